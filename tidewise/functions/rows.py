@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,14 +12,13 @@ from pyspark.sql import types as T
 def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool = False) -> DataFrame:
     """One row per key: the least (or greatest) by ``order``, ties by the other columns.
 
-    An aggregate rather than a window: each task first reduces its own rows, so
-    a key that holds a third of the table sends one row per task through the
-    shuffle instead of landing whole in one sort.
+    Spark turns "row number = 1" into a group limit on both sides of the shuffle:
+    a task sends at most one row per key, so a key that holds a third of the
+    table does not land whole in one sort.
     """
     rest = [*order, *(c for c in df.columns if c not in keys and c not in order)]
-    pick = F.max if latest else F.min
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest)).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
+    ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if latest else F.col(c).asc() for c in rest])
+    return df.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def overlay(

@@ -16,7 +16,6 @@ from ..schemas import (
     ORDER_INFO_TOPIC,
     ORDER_WIDE_STORED,
     PAGE_TOPIC,
-    RAW_CDC_TOPIC,
     RAW_LOG_TOPIC,
 )
 from ..session import scratch_dir, stream_session
@@ -25,6 +24,7 @@ from ..sources import samples
 from ..sources.samples import AS_OF, ITEM, ITEM_ONE_TERM, MISSING_DAY, ORDER_DAY, TD
 from ..sources.topics import file_topic, land
 from ..streaming import jobs
+from . import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 ONCE = {"availableNow": True}
@@ -43,7 +43,7 @@ def utc(spark: SparkSession) -> None:
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
     utc(spark)
-    return logs.parse_logs(samples.raw_log(spark, sf))
+    return logs.parse_logs(landing.topic(spark, sf, "raw_log"))
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,22 +56,27 @@ def _entries(spark: SparkSession, sf: str) -> DataFrame:
 
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
     utc(spark)
-    return cdc.changes(cdc.parse_cdc(samples.cdc_records(spark, sf)))
+    return cdc.changes(cdc.parse_cdc(landing.topic(spark, sf, "cdc")))
 
 
 def _hours(spark: SparkSession, sf: str) -> DataFrame:
-    return dau.first_hours(_entries(spark, sf))
+    utc(spark)
+    return landing.dau_docs(spark, sf, "hr")
 
 
 def _infos(spark: SparkSession, sf: str) -> DataFrame:
     utc(spark)
-    return samples.order_info(spark, sf)
+    return landing.order_info(spark, sf)
+
 
+def _details(spark: SparkSession, sf: str) -> DataFrame:
+    utc(spark)
+    return landing.order_detail(spark, sf)
 
-def _wide(spark: SparkSession, sf: str) -> DataFrame:
-    users, provinces = samples.user_info(spark, sf), samples.base_province(spark, sf)
-    infos = orders.order_info_wide(_infos(spark, sf), users, provinces, AS_OF)
-    return orders.order_wide(infos, samples.order_detail(spark, sf))
+
+def _docs(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    utc(spark)
+    return landing.order_docs(spark, sf, *columns)
 
 
 # ---- logs ----------------------------------------------------------------------------
@@ -81,17 +86,15 @@ def _stream(spark: SparkSession) -> SparkSession:
     return stream_session(spark, spark.sparkContext.defaultParallelism)
 
 
-def _land_logs(session: SparkSession, sf: str) -> str:
-    path = scratch_dir(session, "raw-log")
-    land(samples.raw_log_records(session, sf), RAW_LOG_TOPIC, path)
-    return path
+def _topic_stream(session: SparkSession, sf: str, name: str) -> DataFrame:
+    return file_topic(session, landing.path_of(session, sf, name))
 
 
 @query
 def raw_log_source(spark: SparkSession, sf: str) -> DataFrame:
     """The topic source: every landed record arrives once, with its position and key."""
     session = _stream(spark)
-    stream = file_topic(session, _land_logs(session, sf))
+    stream = _topic_stream(session, sf, "raw_log")
     out = scratch_dir(session, "raw-log-read")
     rows = stream.select("topic", "partition", "offset", "key", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
     writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint")
@@ -132,7 +135,7 @@ def log_topics_sink(spark: SparkSession, sf: str) -> DataFrame:
     """The log split job into topic folders: messages per topic and key."""
     session = _stream(spark)
     out = scratch_dir(session, "log-topics")
-    stream = file_topic(session, _land_logs(session, sf))
+    stream = _topic_stream(session, sf, "raw_log")
     jobs.log_split(stream, out + "-checkpoint", path=out, trigger=ONCE).awaitTermination()
     written = spark.read.schema("key STRING, value STRING, topic STRING").parquet(out)
     return written.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
@@ -220,10 +223,8 @@ def cdc_stream(spark: SparkSession, sf: str) -> DataFrame:
     session = _stream(spark)
     root = scratch_dir(session, "cdc")
     samples.table_lists(session).write.parquet(f"{root}/lists")
-    records = samples.cdc_records(session, sf).withColumn("timestamp", F.timestamp_seconds(F.lit(samples.EPOCH)))
-    land(records, RAW_CDC_TOPIC, f"{root}/landed")
     jobs.cdc_route(
-        file_topic(session, f"{root}/landed"),
+        _topic_stream(session, sf, "cdc"),
         lambda s: s.read.parquet(f"{root}/lists"),
         f"{root}/dims",
         f"{root}/checkpoint",
@@ -279,11 +280,8 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The daily-active job from the page topic to stored documents."""
     session = _stream(spark)
     root = scratch_dir(session, "dau")
-    messages = logs.fan_out(logs.parse_logs(samples.raw_log(session, sf))).where(F.col("topic") == PAGE_TOPIC)
-    ts = F.get_json_object("value", "$.ts").cast("bigint")
-    land(messages.withColumn("offset", ts).withColumn("timestamp", F.timestamp_millis(ts)), PAGE_TOPIC, f"{root}/landed")
     jobs.dau_documents(
-        file_topic(session, f"{root}/landed"),
+        _topic_stream(session, sf, "page"),
         lambda s: samples.user_info(s, sf),
         lambda s: samples.base_province(s, sf),
         f"{root}/docs",
@@ -336,7 +334,7 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Log split stopped half-way and restarted from its checkpoint: every page record once."""
     session = _stream(spark)
     root = scratch_dir(session, "resume")
-    records = samples.raw_log_records(session, sf)
+    records = landing.topic(session, sf, "raw_log")
     middle = F.lit("2024-01-16").cast("timestamp")
 
     def run() -> None:
@@ -356,13 +354,14 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def order_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return orders.parse_order_info(samples.as_messages(_infos(spark, sf), "id"))
+    utc(spark)
+    return orders.parse_order_info(landing.topic(spark, sf, "order_info_topic"))
 
 
 @query
 def order_detail_parse(spark: SparkSession, sf: str) -> DataFrame:
     utc(spark)
-    return orders.parse_order_detail(samples.as_messages(samples.order_detail(spark, sf), "order_id"))
+    return orders.parse_order_detail(landing.topic(spark, sf, "order_detail_topic"))
 
 
 @query
@@ -372,12 +371,13 @@ def order_date_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def order_full_outer(spark: SparkSession, sf: str) -> DataFrame:
-    return orders.order_full_outer(_infos(spark, sf), samples.order_detail(spark, sf))
+    return orders.order_full_outer(_infos(spark, sf), _details(spark, sf))
 
 
 @query
 def order_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return _wide(spark, sf)
+    utc(spark)
+    return landing.order_wide(spark, sf)
 
 
 @query
@@ -385,8 +385,8 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The order job over two topics, stopped in the middle of the period and resumed: the stored documents."""
     session = _stream(spark)
     root = scratch_dir(session, "orders")
-    infos = samples.as_messages(samples.order_info(session, sf), "id")
-    details = samples.as_messages(samples.order_detail(session, sf), "order_id")
+    infos = landing.topic(session, sf, "order_info_topic")
+    details = landing.topic(session, sf, "order_detail_topic")
     middle = F.lit("2024-01-06").cast("timestamp")
 
     def run() -> None:
@@ -411,14 +411,14 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def order_late_expired(spark: SparkSession, sf: str) -> DataFrame:
-    return orders.late_pairs(_infos(spark, sf), samples.order_detail(spark, sf))
+    return orders.late_pairs(_infos(spark, sf), _details(spark, sf))
 
 
 @query
 def sink_upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """A batch, its replay, and a later batch that rewrites half of the documents: the current view."""
     path = scratch_dir(spark, "order-docs")
-    docs = _wide(spark, sf).withColumn("dt", F.col("create_date")).select(*ORDER_WIDE_STORED.names)
+    docs = _docs(spark, sf, *ORDER_WIDE_STORED.names)
     later = docs.where(F.col("order_id") % 2 == 0).withColumn("order_status", F.lit("Z"))
     for rows, batch in ((docs, "orders-0"), (docs, "orders-0"), (later, "orders-1")):
         table.upsert(rows, path, "detail_id", "dt", batch, order=("create_time",))
@@ -433,57 +433,57 @@ def sink_upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def item_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = reports.item_search(_wide(spark, sf), ITEM, ORDER_DAY)
+    found = reports.item_search(_docs(spark, sf, "order_id", "sku_name", "create_time"), ITEM, ORDER_DAY)
     return found.select("detail_id", "order_id", "sku_name", "create_time")
 
 
 @query
 def item_search_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = reports.item_ranked(_wide(spark, sf), ITEM, ORDER_DAY)
+    ranked = reports.item_ranked(_docs(spark, sf, "sku_name"), ITEM, ORDER_DAY)
     return ranked.select("detail_id", "sku_name", F.round("score", 6).alias("score"))
 
 
 @query
 def item_highlight(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.item_highlight(_wide(spark, sf), ITEM_ONE_TERM, ORDER_DAY).select("detail_id", "sku_name")
+    return reports.item_highlight(_docs(spark, sf, "sku_name"), ITEM_ONE_TERM, ORDER_DAY).select("detail_id", "sku_name")
 
 
 @query
 def item_sum_by_age(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.item_buckets(_wide(spark, sf), ITEM_ONE_TERM, ORDER_DAY, "user_age")
+    return reports.item_buckets(_docs(spark, sf, "sku_name", "user_age", "split_total_amount"), ITEM_ONE_TERM, ORDER_DAY, "user_age")
 
 
 @query
 def item_sum_by_gender(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.item_buckets(_wide(spark, sf), ITEM_ONE_TERM, ORDER_DAY, "user_gender")
+    return reports.item_buckets(_docs(spark, sf, "sku_name", "user_gender", "split_total_amount"), ITEM_ONE_TERM, ORDER_DAY, "user_gender")
 
 
 @query
 def item_top_ages(spark: SparkSession, sf: str) -> DataFrame:
-    buckets = reports.item_buckets(_wide(spark, sf), ITEM_ONE_TERM, ORDER_DAY, "user_age")
+    buckets = reports.item_buckets(_docs(spark, sf, "sku_name", "user_age", "split_total_amount"), ITEM_ONE_TERM, ORDER_DAY, "user_age")
     return reports.top_buckets(buckets, "user_age", 10)
 
 
 @query
 def stats_by_item_age(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.stats_by_item(_wide(spark, sf), ITEM, ORDER_DAY, "age")
+    return reports.stats_by_item(_docs(spark, sf, "sku_name", "user_age", "split_total_amount"), ITEM, ORDER_DAY, "age")
 
 
 @query
 def stats_by_item_gender(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.stats_by_item(_wide(spark, sf), ITEM, ORDER_DAY, "gender")
+    return reports.stats_by_item(_docs(spark, sf, "sku_name", "user_gender", "split_total_amount"), ITEM, ORDER_DAY, "gender")
 
 
 @query
 def detail_total(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.detail_total(_wide(spark, sf), ITEM, ORDER_DAY)
+    return reports.detail_total(_docs(spark, sf, "sku_name"), ITEM, ORDER_DAY)
 
 
 @query
 def detail_by_item(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.detail_by_item(_wide(spark, sf), ITEM, ORDER_DAY)
+    return reports.detail_by_item(_docs(spark, sf, *reports.DETAIL_COLUMNS), ITEM, ORDER_DAY)
 
 
 @query
 def detail_page_2(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.detail_by_item(_wide(spark, sf), ITEM_ONE_TERM, ORDER_DAY, page_no=2)
+    return reports.detail_by_item(_docs(spark, sf, *reports.DETAIL_COLUMNS), ITEM_ONE_TERM, ORDER_DAY, page_no=2)

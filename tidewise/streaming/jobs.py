@@ -81,7 +81,6 @@ def dau_documents(
     checkpoint: str,
     as_of=None,
     delay: str = "48 hours",
-    salts: int = state.SALTS,
     seen: Loader | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -97,7 +96,7 @@ def dau_documents(
         docs = dau.dau_wide(fresh, users(batch.sparkSession), provinces(batch.sparkSession), as_of)
         upsert(docs, path, "mid", "dt", _batch_name(batch, batch_id), order=("ts",))
 
-    return _start(state.first_seen_stream(entries, delay, salts), handle, checkpoint, trigger)
+    return _start(state.first_seen_stream(entries, delay), handle, checkpoint, trigger)
 
 
 def restore_devices(spark: SparkSession, path: str, day: str, snapshot: str) -> Loader:
@@ -129,12 +128,12 @@ def order_documents(
     checkpoint: str,
     as_of=None,
     delay: str = "24 hours",
-    salts: int = state.SALTS,
+    slices: int = state.SLICES,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Order header and order line topics to one document per line, filed under the order's date."""
     pairs = state.join_orders_stream(
-        _timed(info_topic, ORDER_INFO, "info_ts"), _timed(detail_topic, ORDER_DETAIL, "detail_ts"), delay, salts
+        _timed(info_topic, ORDER_INFO, "info_ts"), _timed(detail_topic, ORDER_DETAIL, "detail_ts"), delay, slices
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:

@@ -1,68 +1,77 @@
 """Stateful stream operators: first-seen, de-duplication and the day-apart join.
 
-A stream cannot reduce rows before their shuffle, so a key with a large share
-of them would keep one task busy. ``salts`` adds a first round keyed by
-(key, random salt), after which each hot key has at most ``salts`` rows left.
-The outcome does not depend on the salt: the second round alone decides.
+A stream cannot combine rows before a stateful shuffle, so a key with a large
+share of them would keep one task busy. ``thin`` therefore drops repeats of a key
+inside each Arrow batch first. It needs no state and decides nothing: the
+stateful round after it does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.orders import JOIN_SECONDS
 
-SALTS = 8
-_SALT = "_salt"
+SLICES = 4
 
 
-def _salted(rows: DataFrame, salts: int) -> DataFrame:
-    return rows.withColumn(_SALT, F.floor(F.rand() * salts).cast("int"))
+def thin(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keep the first row of each key within every Arrow batch of a task."""
+    keys = list(keys)
 
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch.select(keys)])
+            numbered = table.append_column("_row", pa.array(range(batch.num_rows), pa.int64()))
+            firsts = numbered.group_by(keys).aggregate([("_row", "min")])["_row_min"]
+            yield batch.take(firsts.combine_chunks())
 
-def first_seen_stream(entries: DataFrame, delay: str = "48 hours", salts: int = SALTS) -> DataFrame:
+    return rows.mapInArrow(first_rows, rows.schema)
+
+
+def first_seen_stream(entries: DataFrame, delay: str = "48 hours") -> DataFrame:
     """The first arriving entry of each (mid, day).
 
     The watermark runs on the start of the day, so state is dropped day by day;
     48 hours leave one day of grace after the newest day's start.
     """
-    day = F.date_trunc("day", F.timestamp_millis("ts"))
-    timed = entries.withColumn("day", day).withWatermark("day", delay)
-    if salts > 1:
-        timed = _salted(timed, salts).dropDuplicates(["mid", "day", _SALT]).drop(_SALT)
-    return timed.dropDuplicates(["mid", "day"]).drop("day")
+    dated = thin(entries.withColumn("day", F.date_trunc("day", F.timestamp_millis("ts"))), ["mid", "day"])
+    return dated.withWatermark("day", delay).dropDuplicates(["mid", "day"]).drop("day")
 
 
-def distinct_stream(rows: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """The first arriving row of each key; needs a watermark, which bounds how long a key is remembered."""
-    if salts > 1:
-        rows = _salted(rows, salts).dropDuplicatesWithinWatermark([*keys, _SALT]).drop(_SALT)
-    return rows.dropDuplicatesWithinWatermark(list(keys))
+def distinct_stream(rows: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """The first arriving row of each key; a key is remembered for ``delay`` of event time."""
+    return thin(rows, keys).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def join_orders_stream(
-    infos: DataFrame, details: DataFrame, delay: str = "24 hours", salts: int = SALTS
+    infos: DataFrame, details: DataFrame, delay: str = "24 hours", slices: int = SLICES
 ) -> DataFrame:
-    """Pairs (``i``, ``d``) of equal order at most a day apart, each line once, whichever side comes first.
+    """Pairs (``i``, ``d``) of equal order at most a day apart, whichever side comes first.
 
     ``infos`` and ``details`` carry the times ``info_ts`` and ``detail_ts``.
-    Re-sent headers and lines are dropped before the join, so copies never
-    multiply. Lines are spread over ``salts`` slices of their order and the
-    header, one row, is copied to each.
+    Re-sent headers are dropped before the join, so a line meets one header and
+    copies never multiply; a re-sent line gives its pair again, which the keyed
+    sink stores once. An order's lines are spread over ``slices`` state
+    partitions, and its header, one row, is copied to each.
     """
-    one_info = distinct_stream(infos.withWatermark("info_ts", delay), ["id"], salts)
-    one_detail = distinct_stream(details.withWatermark("detail_ts", delay), ["id"], salts)
-    slices = F.explode(F.sequence(F.lit(0), F.lit(max(salts, 1) - 1)))
-    left = one_info.select(F.struct(*[c for c in infos.columns if c != "info_ts"]).alias("i"), "info_ts", slices.alias("i_salt"))
+    one_info = distinct_stream(infos, ["id"], "info_ts", delay)
+    one_detail = thin(details, ["id"]).withWatermark("detail_ts", delay)
+    left = one_info.select(
+        F.struct(*[c for c in infos.columns if c != "info_ts"]).alias("i"),
+        "info_ts",
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("i_slice"),
+    )
     right = one_detail.select(
         F.struct(*[c for c in details.columns if c != "detail_ts"]).alias("d"),
         "detail_ts",
-        F.pmod(F.xxhash64("id"), F.lit(max(salts, 1))).cast("int").alias("d_salt"),
+        F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("d_slice"),
     )
     reach = F.expr(f"INTERVAL {JOIN_SECONDS} SECONDS")
     near = (F.col("detail_ts") >= F.col("info_ts") - reach) & (F.col("detail_ts") <= F.col("info_ts") + reach)
-    same = (F.col("i.id") == F.col("d.order_id")) & (F.col("i_salt") == F.col("d_salt"))
+    same = (F.col("i.id") == F.col("d.order_id")) & (F.col("i_slice") == F.col("d_slice"))
     return left.join(right, same & near, "inner").select("i", "d")
