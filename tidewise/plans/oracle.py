@@ -311,3 +311,75 @@ FROM found WHERE user_gender IS NOT NULL GROUP BY user_gender""",
     "detail_by_item": _page(ITEM, 0),
     "detail_page_2": _page(ITEM_ONE_TERM, 20),
 }
+
+
+# ---- dashboard -----------------------------------------------------------------------
+
+_WEEK = f"""WITH {_EVENT},
+week AS (SELECT * FROM dated WHERE dt BETWEEN strftime(DATE '{TD}' - 6, '%Y-%m-%d') AND '{TD}'),
+visit AS (
+  SELECT mid, dt, channel, count(*) AS pages, sum(during_time) AS millis, max(CAST(is_new = '1' AS INTEGER)) AS is_new
+  FROM week GROUP BY mid, dt, channel
+)"""
+
+
+def _lines(days: int) -> str:
+    return f"""{_WIDE},
+lines AS (SELECT * FROM wide WHERE create_date BETWEEN strftime(DATE '{ORDER_DAY}' - {days - 1}, '%Y-%m-%d') AND '{ORDER_DAY}'),
+ordered AS (SELECT DISTINCT order_id, user_id, province_name, total_amount FROM lines)"""
+
+
+def _versus(metric: str, figure: str) -> str:
+    return f"""SELECT '{metric}' AS metric, round(CAST({figure.replace('KIND', '0')} AS DOUBLE), 6) AS old,
+  round(CAST({figure.replace('KIND', '1')} AS DOUBLE), 6) AS new FROM visit"""
+
+
+def _top(name: str, num: int, joined: bool) -> str:
+    source = "lines JOIN part ON p_partkey = sku_id" if joined else "lines"
+    return f"""WITH {_lines(7)}
+SELECT {name} AS name, {_sum('split_total_amount')} AS value FROM {source} GROUP BY {name} ORDER BY value DESC, name LIMIT {num}"""
+
+
+_STAGES = ["首页|home", "商品详情|good_detail", "加购物车|cart", "订单|trade", "支付|payment"]
+
+ORACLE |= {
+    "pv_count": f"{_WEEK} SELECT dt, count(*) AS pv FROM week GROUP BY dt",
+    "uv_count": f"{_WEEK} SELECT dt, count(DISTINCT mid) AS uv FROM week GROUP BY dt",
+    "visit_total": f"""{_WEEK}
+SELECT count(*) AS pv_count, count(DISTINCT mid) AS uv_count, count(DISTINCT mid) FILTER (WHERE is_new = '1') AS new_count FROM week""",
+    "new_visit_stats": _WEEK
+    + " UNION ALL ".join(
+        [
+            _versus("浏览量", "sum(pages) FILTER (WHERE is_new = KIND)"),
+            _versus("访客数", "count(DISTINCT mid) FILTER (WHERE is_new = KIND)"),
+            _versus("跳出率", "avg(CAST(pages = 1 AS INTEGER)) FILTER (WHERE is_new = KIND)"),
+            _versus("平均访问时长", "avg(millis / 1000.0) FILTER (WHERE is_new = KIND)"),
+            _versus("平均访问页面数", "avg(pages) FILTER (WHERE is_new = KIND)"),
+        ]
+    ),
+    "channel_pv": f"{_WEEK} SELECT channel AS name, CAST(count(*) AS DOUBLE) AS value FROM week GROUP BY channel",
+    "channel_bounce": f"""{_WEEK}
+SELECT channel AS name, round(avg(CAST(pages = 1 AS INTEGER)), 6) AS value FROM visit GROUP BY channel""",
+    "page_path": f"""{_WEEK}
+SELECT last_page_id AS source, page_id AS target, count(*) AS value FROM week WHERE last_page_id <> '' GROUP BY last_page_id, page_id""",
+    "user_action_convert": _WEEK
+    + " UNION ALL ".join(
+        f"SELECT '{s.split('|')[0]}' AS stage, count(DISTINCT mid) AS n FROM week WHERE page_id = '{s.split('|')[1]}'"
+        for s in _STAGES
+    ),
+    "user_paid": f"""WITH {_lines(3)},
+paid AS (SELECT count(*) AS n FROM customer WHERE c_custkey IN (SELECT user_id FROM lines))
+SELECT 'paid' AS name, n AS value FROM paid UNION ALL SELECT 'unpaid', (SELECT count(*) FROM customer) - n FROM paid""",
+    "user_total": f"""WITH {_EVENT}, {_lines(7)}
+SELECT (SELECT count(*) FROM customer) AS user_count,
+  (SELECT count(DISTINCT user_id) FROM dated
+   WHERE is_new = '1' AND dt BETWEEN strftime(DATE '{ORDER_DAY}' - 6, '%Y-%m-%d') AND '{ORDER_DAY}') AS new_count,
+  round({_sum('total_amount')} / count(DISTINCT user_id), 4) AS pct
+FROM ordered""",
+    "order_total": f"""WITH {_lines(3)}
+SELECT count(*) AS order_count, {_sum('total_amount')} AS order_amount, count(DISTINCT user_id) AS order_user FROM ordered""",
+    "area_orders": f"WITH {_lines(3)} SELECT province_name AS name, count(*) AS value FROM ordered GROUP BY province_name",
+    "top_spu": _top("sku_name", 7, False),
+    "top_tm": _top("p_brand", 7, True),
+    "top_category": _top("p_type", 3, True),
+}

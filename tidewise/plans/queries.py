@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import age_years, as_date
-from ..operators import cdc, dau, dims, logs, orders, reports
+from ..operators import cdc, dashboard, dau, dims, logs, orders, reports
 from ..schemas import (
     DAU_INFO,
     DIM_ROW,
@@ -487,3 +487,95 @@ def detail_by_item(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def detail_page_2(spark: SparkSession, sf: str) -> DataFrame:
     return reports.detail_by_item(_docs(spark, sf, *reports.DETAIL_COLUMNS), ITEM_ONE_TERM, ORDER_DAY, page_no=2)
+
+
+# ---- dashboard -----------------------------------------------------------------------
+
+
+def _dated(spark: SparkSession, sf: str) -> DataFrame:
+    return dau.with_day(_pages(spark, sf))
+
+
+def _skus(spark: SparkSession, sf: str) -> DataFrame:
+    parts = samples.table(spark, sf, "part")
+    return parts.select(F.col("p_partkey").alias("sku_id"), F.col("p_brand").alias("tm"), F.col("p_type").alias("category"))
+
+
+@query
+def pv_count(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.pv_count(_dated(spark, sf), TD)
+
+
+@query
+def uv_count(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.uv_count(_dated(spark, sf), TD)
+
+
+@query
+def visit_total(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.visit_total(_dated(spark, sf), TD)
+
+
+@query
+def new_visit_stats(spark: SparkSession, sf: str) -> DataFrame:
+    stats = dashboard.new_visit_stats(_dated(spark, sf), TD)
+    return stats.select("metric", F.round("old", 6).alias("old"), F.round("new", 6).alias("new"))
+
+
+@query
+def channel_pv(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.channel(_dated(spark, sf), TD, "pv")
+
+
+@query
+def channel_bounce(spark: SparkSession, sf: str) -> DataFrame:
+    rates = dashboard.channel(_dated(spark, sf), TD, "br")
+    return rates.select("name", F.round("value", 6).alias("value"))
+
+
+@query
+def page_path(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.page_path(_dated(spark, sf), TD)
+
+
+@query
+def user_action_convert(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.user_action_convert(_dated(spark, sf), TD)
+
+
+@query
+def user_paid(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.user_paid(samples.user_info(spark, sf), _docs(spark, sf, "user_id"), ORDER_DAY, 3)
+
+
+@query
+def user_total(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _docs(spark, sf, "order_id", "user_id", "province_name", "total_amount")
+    total = dashboard.user_total(samples.user_info(spark, sf), _dated(spark, sf), docs, ORDER_DAY)
+    return total.withColumn("pct", F.round("pct", 4))
+
+
+@query
+def order_total(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.order_total(_docs(spark, sf, "order_id", "user_id", "province_name", "total_amount"), ORDER_DAY, 3)
+
+
+@query
+def area_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.area(_docs(spark, sf, "order_id", "user_id", "province_name", "total_amount"), ORDER_DAY, 3)
+
+
+@query
+def top_spu(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.top_sales(_docs(spark, sf, "sku_name", "split_total_amount"), ORDER_DAY, "sku_name")
+
+
+@query
+def top_tm(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.top_sales(_docs(spark, sf, "sku_id", "split_total_amount"), ORDER_DAY, "tm", skus=_skus(spark, sf))
+
+
+@query
+def top_category(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _docs(spark, sf, "sku_id", "split_total_amount")
+    return dashboard.top_sales(docs, ORDER_DAY, "category", num=3, skus=_skus(spark, sf))
