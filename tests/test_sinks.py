@@ -101,3 +101,21 @@ def test_kafka_options():
     assert stored["maxOffsetsPerTrigger"] == "100" and stored["minPartitions"] == "8"
     sink = topics.kafka_options("h:1")
     assert sink["kafka.acks"] == "all" and sink["kafka.enable.idempotence"] == "true"
+
+
+def test_days_with_one_batch_need_no_shuffle(spark, write):
+    path, put = write
+    put([(1, "a", 1, "d1"), (2, "b", 1, "d2")], "q-0")
+    put([(2, "c", 1, "d2"), (3, "d", 1, "d3")], "q-1")
+
+    def read(*days):
+        return table.read_days(spark, path, DOC, "id", "dt", days, columns=["v"])
+
+    assert sorted(tuple(r) for r in read("d1", "d2", "d9").collect()) == [("d1", 1, "a"), ("d2", 2, "c")]
+    assert read("d9").isEmpty() and table.read_days(spark, path + "x", DOC, "id", "dt", ["d1"]).isEmpty()
+    assert "Exchange" not in read("d1", "d3")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in read("d2")._jdf.queryExecution().executedPlan().toString()
+    table.compact(spark, path, DOC, "id", "dt", "d2")
+    assert "Exchange" not in read("d2")._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in read("d2").collect()] == [("d2", 2, "c")]
+    assert table.read_days(spark, path, DOC, "id", "dt", ["d1", "d2"]).schema.names == DOC.names

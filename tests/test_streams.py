@@ -194,3 +194,34 @@ def test_kafka_needs_its_connector(streams):
 
     with pytest.raises(Exception, match="kafka"):
         kafka_topic(streams, "localhost:1", "t")
+
+
+def test_jobs_chain_from_the_command_line(streams, tmp_path):
+    """Change records and orders in, enriched documents out, then a compaction, all by topic folders."""
+    from tidewise import schemas as S
+    from tidewise.streaming import main
+
+    store = str(tmp_path)
+
+    def job(name, *more):
+        main.run(streams, main.arguments([name, "--store", store, "--checkpoint", f"{store}/cp/{name}", "--once", *more]))
+
+    lists = [("DIM:TABLES", "user_info"), ("DIM:TABLES", "base_province"), ("FACT:TABLES", "order_info")]
+    streams.createDataFrame(lists, TABLE_LIST).write.parquet(f"{store}/lists")
+    user = {"table": "user_info", "type": "insert", "ts": 1, "data": {"id": 1, "gender": "M", "birthday": "1990-01-01"}}
+    place = {"table": "base_province", "type": "bootstrap-insert", "ts": 1, "data": {"id": 1, "name": "P", "area_code": "7"}}
+    push(streams, f"{store}/topics/{S.RAW_CDC_TOPIC}", user, place)
+    job("cdc-route")
+    noon = "2024-01-02 12:00:00"
+    push(streams, f"{store}/topics/{S.ORDER_INFO_TOPIC}", head(1, noon))
+    push(streams, f"{store}/topics/{S.ORDER_DETAIL_TOPIC}", line(11, 1, noon))
+    job("orders")
+    push(streams, f"{store}/topics/{PAGE_TOPIC}", page("a", T0))
+    job("dau")
+    push(streams, f"{store}/topics/{S.RAW_LOG_TOPIC}", {"common": {"mid": "a"}, "start": {"entry": "i"}, "ts": 1})
+    job("log-split")
+    main.run(streams, main.arguments(["compact", "--store", store, "--table", "orders", "--day", "2024-01-02"]))
+    order = read_current(streams, f"{store}/docs/orders", ORDER_WIDE_STORED, "detail_id", "dt").first()
+    assert (order.user_gender, order.province_name, order.province_area_code) == ("M", "P", "7")
+    assert read_current(streams, f"{store}/docs/dau", DAU_INFO, "mid", "dt").first().user_gender == "M"
+    assert streams.read.schema("topic STRING").parquet(f"{store}/out").first().topic == S.START_TOPIC

@@ -26,7 +26,7 @@ from ..schemas import (
     TOPIC_RECORD,
 )
 from ..session import scratch_dir
-from ..sinks.upsert import read_current, upsert
+from ..sinks.upsert import read_days, upsert
 from ..sources import samples
 from ..sources.topics import land
 
@@ -126,11 +126,11 @@ def order_wide(spark: SparkSession, sf: str) -> DataFrame:
     return orders.order_wide(infos, order_detail(spark, sf))
 
 
-def dau_docs(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """The stored daily-active documents, narrowed to the columns a query needs."""
-    return read_current(spark, path_of(spark, sf, "dau_docs"), DAU_INFO, "mid", "dt", columns)
+def dau_docs(spark: SparkSession, sf: str, days: list[str], *columns: str) -> DataFrame:
+    """The stored daily-active documents of some days, narrowed to the columns a query needs."""
+    return read_days(spark, path_of(spark, sf, "dau_docs"), DAU_INFO, "mid", "dt", days, columns)
 
 
-def order_docs(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """The stored order documents, narrowed to the columns a query needs."""
-    return read_current(spark, path_of(spark, sf, "order_docs"), ORDER_WIDE_STORED, "detail_id", "dt", columns)
+def order_docs(spark: SparkSession, sf: str, days: list[str], *columns: str) -> DataFrame:
+    """The stored order documents of some days, narrowed to the columns a query needs."""
+    return read_days(spark, path_of(spark, sf, "order_docs"), ORDER_WIDE_STORED, "detail_id", "dt", days, columns)

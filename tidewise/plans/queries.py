@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +60,9 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.changes(cdc.parse_cdc(landing.topic(spark, sf, "cdc")))
 
 
-def _hours(spark: SparkSession, sf: str) -> DataFrame:
+def _hours(spark: SparkSession, sf: str, *days: str) -> DataFrame:
     utc(spark)
-    return landing.dau_docs(spark, sf, "hr")
+    return landing.dau_docs(spark, sf, list(days), "hr")
 
 
 def _infos(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,9 +75,12 @@ def _details(spark: SparkSession, sf: str) -> DataFrame:
     return landing.order_detail(spark, sf)
 
 
-def _docs(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+def _docs(spark: SparkSession, sf: str, *columns: str, days: int = 1) -> DataFrame:
+    """Stored order documents of the last ``days`` days up to the queried one."""
     utc(spark)
-    return landing.order_docs(spark, sf, *columns)
+    last = datetime.date.fromisoformat(ORDER_DAY)
+    wanted = [str(last - datetime.timedelta(days=n)) for n in range(days)]
+    return landing.order_docs(spark, sf, wanted, *columns)
 
 
 # ---- logs ----------------------------------------------------------------------------
@@ -306,27 +310,27 @@ def dau_state_seed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dau_total(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.dau_total(_hours(spark, sf), TD)
+    return reports.dau_total(_hours(spark, sf, TD), TD)
 
 
 @query
 def dau_total_missing_day(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.dau_total(_hours(spark, sf), MISSING_DAY)
+    return reports.dau_total(_hours(spark, sf, MISSING_DAY), MISSING_DAY)
 
 
 @query
 def dau_by_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.dau_by_hour(_hours(spark, sf), TD)
+    return reports.dau_by_hour(_hours(spark, sf, TD), TD)
 
 
 @query
 def dau_by_hour_filled(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.fill_hours(reports.dau_by_hour(_hours(spark, sf), TD))
+    return reports.fill_hours(reports.dau_by_hour(_hours(spark, sf, TD), TD))
 
 
 @query
 def dau_realtime(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.dau_realtime(_hours(spark, sf), TD)
+    return reports.dau_realtime(_hours(spark, sf, TD, reports.day_before(TD)), TD)
 
 
 @query
@@ -417,8 +421,10 @@ def order_late_expired(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def sink_upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """A batch, its replay, and a later batch that rewrites half of the documents: the current view."""
+    utc(spark)
     path = scratch_dir(spark, "order-docs")
-    docs = _docs(spark, sf, *ORDER_WIDE_STORED.names)
+    stored = landing.path_of(spark, sf, "order_docs")
+    docs = table.read_current(spark, stored, ORDER_WIDE_STORED, "detail_id", "dt")
     later = docs.where(F.col("order_id") % 2 == 0).withColumn("order_status", F.lit("Z"))
     for rows, batch in ((docs, "orders-0"), (docs, "orders-0"), (later, "orders-1")):
         table.upsert(rows, path, "detail_id", "dt", batch, order=("create_time",))
@@ -545,37 +551,37 @@ def user_action_convert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def user_paid(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.user_paid(samples.user_info(spark, sf), _docs(spark, sf, "user_id"), ORDER_DAY, 3)
+    return dashboard.user_paid(samples.user_info(spark, sf), _docs(spark, sf, "user_id", days=3), ORDER_DAY, 3)
 
 
 @query
 def user_total(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf, "order_id", "user_id", "province_name", "total_amount")
+    docs = _docs(spark, sf, "order_id", "user_id", "province_name", "total_amount", days=7)
     total = dashboard.user_total(samples.user_info(spark, sf), _dated(spark, sf), docs, ORDER_DAY)
     return total.withColumn("pct", F.round("pct", 4))
 
 
 @query
 def order_total(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.order_total(_docs(spark, sf, "order_id", "user_id", "province_name", "total_amount"), ORDER_DAY, 3)
+    return dashboard.order_total(_docs(spark, sf, "order_id", "user_id", "province_name", "total_amount", days=3), ORDER_DAY, 3)
 
 
 @query
 def area_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.area(_docs(spark, sf, "order_id", "user_id", "province_name", "total_amount"), ORDER_DAY, 3)
+    return dashboard.area(_docs(spark, sf, "order_id", "user_id", "province_name", "total_amount", days=3), ORDER_DAY, 3)
 
 
 @query
 def top_spu(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.top_sales(_docs(spark, sf, "sku_name", "split_total_amount"), ORDER_DAY, "sku_name")
+    return dashboard.top_sales(_docs(spark, sf, "sku_name", "split_total_amount", days=7), ORDER_DAY, "sku_name")
 
 
 @query
 def top_tm(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.top_sales(_docs(spark, sf, "sku_id", "split_total_amount"), ORDER_DAY, "tm", skus=_skus(spark, sf))
+    return dashboard.top_sales(_docs(spark, sf, "sku_id", "split_total_amount", days=7), ORDER_DAY, "tm", skus=_skus(spark, sf))
 
 
 @query
 def top_category(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf, "sku_id", "split_total_amount")
+    docs = _docs(spark, sf, "sku_id", "split_total_amount", days=7)
     return dashboard.top_sales(docs, ORDER_DAY, "category", num=3, skus=_skus(spark, sf))

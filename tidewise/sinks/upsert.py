@@ -75,6 +75,39 @@ def read_current(
     return current.select(*(schema.names if columns is None else wanted))
 
 
+def read_days(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    key: str,
+    part: str,
+    values: Sequence[str],
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """The current documents of the named partitions, for reports.
+
+    Keys are unique within a batch, so a partition that holds one batch (a
+    compacted day) is scanned as it is, without the shuffle that finds the
+    latest row; only the others go through it.
+    """
+    single = [v for v in values if len(_batches(spark, path, part, v)) == 1]
+    several = [v for v in values if v not in single]
+    wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
+    wanted = schema.names if columns is None else wanted
+    plain = _stored(spark, path, schema, part).where(F.col(part).isin(single)).select(*wanted)
+    if not several:
+        return plain
+    merged = read_current(spark, path, schema, key, part, columns).where(F.col(part).isin(several))
+    return plain.unionByName(merged) if single else merged
+
+
+def _batches(spark: SparkSession, path: str, part: str, value: str) -> list:
+    """The batch folders of one partition; none where it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
+
+
 def stored_keys(spark: SparkSession, path: str, schema: T.StructType, key: str, part: str) -> DataFrame:
     """The keys stored in each partition, without duplicates."""
     return _stored(spark, path, schema, part).select(key, part).distinct()
@@ -87,9 +120,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, part
     crash there only leaves work to repeat. Run it on partitions readers and
     writers are done with, or they may find a listed file gone.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    old = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()]
+    old = _batches(spark, path, part, value)
     target = f"compact-{time.time_ns()}"
     rows = _stored(spark, path, schema, part).where(F.col(part) == value).drop(_BATCH)
     folded = pick_one(rows, [part, key], [_SEQ], latest=True).withColumn(_BATCH, F.lit(target))
@@ -100,5 +131,5 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, part
         .parquet(path)
     )
     for gone in old:
-        fs.delete(gone, True)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return target
