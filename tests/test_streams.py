@@ -30,7 +30,7 @@ def push(session, path, *records, at="2024-01-01 00:00:00"):
 def dims(session):
     users = session.createDataFrame([(1, "F", "2000-01-01")], USER_DIM)
     provinces = session.createDataFrame([(1, "P", "1", "A", "B")], PROVINCE_DIM)
-    return (lambda s: users), (lambda s: provinces)
+    return (lambda s, ids: users), (lambda s, ids: provinces)
 
 
 def page(mid, ts, last=None, item="1"):
@@ -169,6 +169,9 @@ def test_table_list_edit_counts_from_the_next_batch(streams, tmp_path):
     assert sorted((r.topic, r.key) for r in facts) == [("DWD_ORDER_INFO_I_0522", "1"), ("DWD_ORDER_INFO_I_0522", "2")]
     assert [(r.id, r.ts) for r in read_current(streams, f"{root}/dims", DIM_ROW, "id", "table_name").collect()] == [("2", 2)]
     assert [tuple(r) for r in tables.users(streams, f"{root}/dims").collect()] == [(2, "F", "2000-01-01")]
+    some = streams.createDataFrame([(2,), (9,)], "id LONG")
+    assert [r.id for r in tables.users(streams, f"{root}/dims", some).collect()] == [2]
+    assert tables.users(streams, f"{root}/dims", some.where("id = 9")).isEmpty()
     assert tables.provinces(streams, f"{root}/dims").isEmpty()
 
 

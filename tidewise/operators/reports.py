@@ -161,11 +161,10 @@ def stats_by_item(wide: DataFrame, item: str, day: str, t: str, cjk: bool = Fals
     if t not in STATS_FIELDS:
         raise ValueError(f"t must be one of {sorted(STATS_FIELDS)}, not {t!r}")
     field = STATS_FIELDS[t]
-    if t == "gender":
-        buckets = top_buckets(item_buckets(wide, item, day, field, cjk), field)
-        return buckets.select(gender_label(F.col(field)).alias("name"), F.col("total_amount").alias("value"))
-    buckets = top_buckets(item_buckets(wide, item, day, field, cjk), field)
-    return age_bands(buckets)
+    buckets = item_buckets(wide, item, day, field, cjk)
+    if t == "age":
+        return age_bands(buckets)
+    return buckets.select(gender_label(F.col(field)).alias("name"), F.col("total_amount").alias("value"))
 
 
 def age_bands(buckets: DataFrame) -> DataFrame:

@@ -286,8 +286,8 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(session, "dau")
     jobs.dau_documents(
         _topic_stream(session, sf, "page"),
-        lambda s: samples.user_info(s, sf),
-        lambda s: samples.base_province(s, sf),
+        lambda s, ids: samples.user_info(s, sf),
+        lambda s, ids: samples.base_province(s, sf),
         f"{root}/docs",
         f"{root}/checkpoint",
         AS_OF,
@@ -397,8 +397,8 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
         jobs.order_documents(
             file_topic(session, f"{root}/info"),
             file_topic(session, f"{root}/detail"),
-            lambda s: samples.user_info(s, sf),
-            lambda s: samples.base_province(s, sf),
+            lambda s, ids: samples.user_info(s, sf),
+            lambda s, ids: samples.base_province(s, sf),
             f"{root}/docs",
             f"{root}/checkpoint",
             AS_OF,

@@ -63,14 +63,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_current(
-    spark: SparkSession, path: str, schema: T.StructType, key: str, part: str, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    key: str,
+    part: str,
+    columns: Sequence[str] | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """The current document of every key. A filter on ``part`` prunes folders.
 
-    ``columns`` narrows what is read and compared; the key and partition always come along.
+    ``columns`` narrows what is read and compared; the key and partition always
+    come along. ``only`` (one column, named as the key) narrows the keys before
+    the latest row is looked for, so a batch asks for its own keys alone.
     """
     wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
     stored = _stored(spark, path, schema, part).select(*wanted, _SEQ)
+    if only is not None:
+        stored = stored.join(only, key, "left_semi")
     current = pick_one(stored, [part, key], [_SEQ], latest=True).drop(_SEQ)
     return current.select(*(schema.names if columns is None else wanted))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import typed_dim
@@ -15,15 +16,26 @@ def table_lists(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, TABLE_LIST)
 
 
-def current_dim(spark: SparkSession, path: str, table: str, schema: T.StructType, drop_deleted: bool = False) -> DataFrame:
-    """One dimension table from the stored images; the table name prunes the folders read."""
-    rows = read_current(spark, path, DIM_ROW, "id", "table_name")
+def current_dim(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    schema: T.StructType,
+    ids: DataFrame | None = None,
+    drop_deleted: bool = False,
+) -> DataFrame:
+    """One dimension table from the stored images; the table name prunes the folders read.
+
+    ``ids`` (one column ``id``) restricts it to the rows a batch of facts refers to.
+    """
+    only = ids.select(ids["id"].cast("string").alias("id")) if ids is not None else None
+    rows = read_current(spark, path, DIM_ROW, "id", "table_name", only=only).where(F.col("table_name") == table)
     return typed_dim(rows.where("op <> 'D'") if drop_deleted else rows, table, schema)
 
 
-def users(spark: SparkSession, path: str) -> DataFrame:
-    return current_dim(spark, path, "user_info", USER_DIM)
+def users(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
+    return current_dim(spark, path, "user_info", USER_DIM, ids)
 
 
-def provinces(spark: SparkSession, path: str) -> DataFrame:
-    return current_dim(spark, path, "base_province", PROVINCE_DIM)
+def provinces(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
+    return current_dim(spark, path, "base_province", PROVINCE_DIM, ids)

@@ -21,6 +21,8 @@ from ..sinks.upsert import stored_keys, upsert
 from . import state
 
 Loader = Callable[[SparkSession], DataFrame]
+# A dimension for one batch: given the ids (column ``id``) its facts refer to, at least those rows.
+Lookup = Callable[[SparkSession, DataFrame], DataFrame]
 FIVE_SECONDS = {"processingTime": "5 seconds"}
 
 
@@ -67,7 +69,7 @@ def cdc_route(
         else:
             topic_sink.batch_to_files(facts, path, name)
         dims = cdc.dim_rows(changed, current)
-        upsert(dims.drop("partition"), dim_path, "id", "table_name", name, order=("ts", "offset"))
+        upsert(dims, dim_path, "id", "table_name", name, order=("ts", "offset"))
         changed.unpersist()
 
     return _start(raw, handle, checkpoint, trigger)
@@ -75,8 +77,8 @@ def cdc_route(
 
 def dau_documents(
     pages: DataFrame,
-    users: Loader,
-    provinces: Loader,
+    users: Lookup,
+    provinces: Lookup,
     path: str,
     checkpoint: str,
     as_of=None,
@@ -92,13 +94,24 @@ def dau_documents(
     entries = dau.with_day(dau.session_entries(logs.parse_page_log(pages)))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = dau.unseen(batch, seen(batch.sparkSession)) if seen else batch
-        docs = dau.dau_wide(fresh, users(batch.sparkSession), provinces(batch.sparkSession), as_of)
+        fresh = (dau.unseen(batch, seen(batch.sparkSession)) if seen else batch).persist()
+        docs = dau.dau_wide(fresh, *_dims(fresh, users, provinces), as_of)
         upsert(docs, path, "mid", "dt", _batch_name(batch, batch_id), order=("ts",))
+        fresh.unpersist()
 
     return _start(state.first_seen_stream(entries, delay), handle, checkpoint, trigger)
 
 
+def _dims(facts: DataFrame, users: Lookup, provinces: Lookup) -> tuple[DataFrame, DataFrame]:
+    """The dimension rows a batch refers to. The batch is cached, as its ids are read apart from its rows."""
+
+    def ids(column: str) -> DataFrame:
+        return facts.select(F.col(column).alias("id")).distinct()
+
+    session = facts.sparkSession
+    return users(session, ids("user_id")), provinces(session, ids("province_id"))
+
+
 def restore_devices(spark: SparkSession, path: str, day: str, snapshot: str) -> Loader:
     """Set aside the devices stored for one day in ``snapshot``, standing in for the state a lost checkpoint held."""
     keys = stored_keys(spark, path, DAU_INFO, "mid", "dt").where(F.col("dt") == day)
@@ -122,8 +135,8 @@ def _timed(messages: DataFrame, schema, name: str) -> DataFrame:
 def order_documents(
     info_topic: DataFrame,
     detail_topic: DataFrame,
-    users: Loader,
-    provinces: Loader,
+    users: Lookup,
+    provinces: Lookup,
     path: str,
     checkpoint: str,
     as_of=None,
@@ -137,9 +150,10 @@ def order_documents(
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        wide = orders.wide_of_stream_pairs(batch)
-        docs = orders.enrich_orders(wide, users(batch.sparkSession), provinces(batch.sparkSession), as_of)
+        wide = orders.wide_of_stream_pairs(batch).persist()
+        docs = orders.enrich_orders(wide, *_dims(wide, users, provinces), as_of)
         stored = docs.withColumn("dt", F.col("create_date")).select(*ORDER_WIDE_STORED.names)
         upsert(stored, path, "detail_id", "dt", _batch_name(batch, batch_id), order=("create_time",))
+        wide.unpersist()
 
     return _start(pairs, handle, checkpoint, trigger)

@@ -65,7 +65,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         return kafka_topic(session, args.servers, name, positions=known or None, max_offsets=args.max_offsets)
 
     dims, out = f"{args.store}/dims", {"path": f"{args.store}/out", "servers": args.servers, "trigger": trigger}
-    lookups = (lambda s: tables.users(s, dims)), (lambda s: tables.provinces(s, dims))
+    lookups = (lambda s, ids: tables.users(s, dims, ids)), (lambda s, ids: tables.provinces(s, dims, ids))
     if args.job == "log-split":
         query = jobs.log_split(topic(S.RAW_LOG_TOPIC), args.checkpoint, **out)
     elif args.job == "cdc-route":
