@@ -62,7 +62,7 @@ def test_strict_mode_fails_on_a_missing_user(spark, facts, users):
 def test_misses_are_counted(spark, facts, users):
     provinces = spark.createDataFrame([(7, "P", "1", "A", "B")], PROVINCE_DIM)
     enriched = dims.enrich_province(dims.enrich_user(facts, users, keep_found=True), provinces, keep_found=True)
-    assert tuple(dims.missing_dims(enriched).first()) == (4, 2, 2)
+    assert tuple(enriched.agg(*dims.miss_counts()).first()) == (4, 2, 2)
 
 
 def test_overlay_copies_equal_names_and_types(spark):

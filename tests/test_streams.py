@@ -46,6 +46,15 @@ def run_dau(session, root, seen=None, files=1):
     return read_current(session, f"{root}/docs", DAU_INFO, "mid", "dt")
 
 
+def test_missing_dimensions_are_reported(streams, tmp_path, caplog):
+    root = str(tmp_path)
+    stranger = {**page("b", T0), "user_id": "99"}
+    push(streams, f"{root}/in", page("a", T0), stranger)
+    with caplog.at_level("INFO", logger="tidewise.streaming.jobs"):
+        assert run_dau(streams, root).where("user_gender IS NULL").count() == 1
+    assert "'facts': 2, 'no_user': 1, 'no_province': 0" in caplog.text
+
+
 def test_daily_actives_over_batches_and_restart(streams, tmp_path):
     root = str(tmp_path)
     push(streams, f"{root}/in", page("a", T0), page("a", T0 + 5), page("b", T0 + 7, last="x"), page("c", T0 + 8, last=""))
@@ -179,10 +188,13 @@ def test_log_split_restart_loses_and_doubles_nothing(streams, tmp_path):
     root = str(tmp_path)
 
     def run():
-        jobs.log_split(file_topic(streams, f"{root}/in", 1), f"{root}/cp", path=f"{root}/out", trigger=ONCE).awaitTermination()
+        query = jobs.log_split(file_topic(streams, f"{root}/in", 1), f"{root}/cp", path=f"{root}/out", trigger=ONCE)
+        query.awaitTermination()
+        return [p["observedMetrics"].get("log_quality") for p in query.recentProgress if p["numInputRows"]]
 
     push(streams, f"{root}/in", {"common": {"mid": "a"}, "page": {"page_id": "p"}, "displays": [{"item": "1"}], "ts": 1}, "bad")
-    run()
+    quality = run()[0]
+    assert (quality["records"], quality["corrupt"], quality["no_common"]) == (2, 1, 0)
     push(streams, f"{root}/in", {"common": {"mid": "b"}, "err": {"msg": "m"}, "ts": 2})
     run()
     run()
@@ -228,3 +240,17 @@ def test_jobs_chain_from_the_command_line(streams, tmp_path):
     assert (order.user_gender, order.province_name, order.province_area_code) == ("M", "P", "7")
     assert read_current(streams, f"{store}/docs/dau", DAU_INFO, "mid", "dt").first().user_gender == "M"
     assert streams.read.schema("topic STRING").parquet(f"{store}/out").first().topic == S.START_TOPIC
+
+
+def test_batches_that_leave_nothing(streams, tmp_path):
+    """Batches whose rows are all filtered, repeated or unmatched must pass, and write nothing."""
+    root = str(tmp_path)
+    push(streams, f"{root}/in", page("a", T0, last="x"))
+    assert run_dau(streams, root).isEmpty()
+    push(streams, f"{root}/in", page("a", T0))
+    push(streams, f"{root}/in", page("a", T0 + 1))
+    assert run_dau(streams, root).count() == 1
+    push(streams, f"{root}/o/info", head(1, "2024-01-02 12:00:00"))
+    push(streams, f"{root}/o/detail", line(21, 2, "2024-01-02 12:00:00"), at="2024-01-02 12:00:00")
+    orders_root = f"{root}/o"
+    assert run_orders(streams, orders_root) == {}

@@ -41,9 +41,20 @@ def unseen(entries: DataFrame, seen: DataFrame) -> DataFrame:
     return entries.join(seen.select(*DAY_KEY), DAY_KEY, "left_anti")
 
 
-def dau_wide(first: DataFrame, users: DataFrame, provinces: DataFrame, as_of=None, strict: bool = False) -> DataFrame:
-    """The 23-column daily-active document."""
-    enriched = enrich_province(enrich_user(first, users, as_of, strict), provinces, strict=strict)
+def dau_enriched(
+    first: DataFrame, users: DataFrame, provinces: DataFrame, as_of=None, strict: bool = False, keep_found: bool = False
+) -> DataFrame:
+    """First entries with their user and province columns."""
+    with_user = enrich_user(first, users, as_of, strict, keep_found)
+    return enrich_province(with_user, provinces, strict=strict, keep_found=keep_found)
+
+
+def dau_document(enriched: DataFrame) -> DataFrame:
+    """The 23 columns of the daily-active document."""
     extra = T.StructType([f for f in DAU_INFO if f.name not in PAGE_LOG.names])
     source = enriched.withColumn("user_age", F.col("user_age").cast("string")).alias("p")
     return source.select(*overlay(DAU_INFO, [("p", PAGE_LOG), ("p", extra)]))
+
+
+def dau_wide(first: DataFrame, users: DataFrame, provinces: DataFrame, as_of=None, strict: bool = False) -> DataFrame:
+    return dau_document(dau_enriched(first, users, provinces, as_of, strict))

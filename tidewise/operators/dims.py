@@ -73,10 +73,10 @@ def _found(joined: DataFrame, found: str, strict: bool, keep: bool) -> DataFrame
     return joined.drop(found)
 
 
-def missing_dims(enriched: DataFrame) -> DataFrame:
-    """One row: facts, and how many found no user or no province (needs ``keep_found``)."""
-    return enriched.agg(
+def miss_counts() -> list[Column]:
+    """Facts, and how many found no user or no province; over rows enriched with ``keep_found``."""
+    return [
         F.count(F.lit(1)).alias("facts"),
         F.count_if(~F.col("user_found")).alias("no_user"),
         F.count_if(~F.col("province_found")).alias("no_province"),
-    )
+    ]

@@ -173,6 +173,15 @@ def split_counts(parsed: DataFrame) -> DataFrame:
     return one.unpivot([], list(counts), "branch", "n")
 
 
+def quality_counts() -> list[Column]:
+    """Records parsed, and of those the unreadable ones and the ones without common fields."""
+    return [
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col(_CORRUPT).isNotNull()).alias("corrupt"),
+        F.count_if(_is_clean() & F.col("common").isNull()).alias("no_common"),
+    ]
+
+
 def parse_page_log(messages: DataFrame) -> DataFrame:
     """Typed page records from the page topic."""
     return typed(parse_json(messages.select("value"), json_form(PAGE_LOG)).where(F.col(_CORRUPT).isNull()), PAGE_LOG)

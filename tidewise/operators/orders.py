@@ -29,11 +29,12 @@ def with_create_parts(infos: DataFrame) -> DataFrame:
     return infos.withColumn("create_date", date_part(created)).withColumn("create_hour", hour_part(created))
 
 
-def enrich_orders(orders: DataFrame, users: DataFrame, provinces: DataFrame, as_of=None, strict: bool = False) -> DataFrame:
+def enrich_orders(
+    orders: DataFrame, users: DataFrame, provinces: DataFrame, as_of=None, strict: bool = False, keep_found: bool = False
+) -> DataFrame:
     """Add user and province columns under the names the order documents use."""
-    return enrich_province(
-        enrich_user(orders, users, as_of, strict), provinces, iso_3166_2="province_3166_2_code", strict=strict
-    )
+    with_user = enrich_user(orders, users, as_of, strict, keep_found)
+    return enrich_province(with_user, provinces, "province_3166_2_code", strict, keep_found)
 
 
 def order_info_wide(infos: DataFrame, users: DataFrame, provinces: DataFrame, as_of=None, strict: bool = False) -> DataFrame:

@@ -3,18 +3,21 @@
 Progress lives in each query's checkpoint and is committed after the sink, and
 the document sinks replace a replayed batch, so a restart neither loses nor
 doubles a row. Dimensions and table lists are read inside ``foreachBatch``:
-a change to them counts from the next batch.
+a change to them counts from the next batch. What could not be read or found is
+counted along the way: ``log_quality`` in the log split's progress, and a log
+line per batch of the two document jobs.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import cdc, dau, logs, orders
+from ..operators import cdc, dau, dims, logs, orders
 from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_STORED, json_form
 from ..sinks import topics as topic_sink
 from ..sinks.upsert import stored_keys, upsert
@@ -24,6 +27,7 @@ Loader = Callable[[SparkSession], DataFrame]
 # A dimension for one batch: given the ids (column ``id``) its facts refer to, at least those rows.
 Lookup = Callable[[SparkSession, DataFrame], DataFrame]
 FIVE_SECONDS = {"processingTime": "5 seconds"}
+_log = logging.getLogger(__name__)
 
 
 def _batch_name(rows: DataFrame, batch_id: int) -> str:
@@ -41,7 +45,7 @@ def log_split(
     raw: DataFrame, checkpoint: str, path: str | None = None, servers: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Raw logs to the page, display, action, start, error and corrupt topics, in one query over one read."""
-    messages = logs.fan_out(logs.parse_logs(raw))
+    messages = logs.fan_out(logs.parse_logs(raw).observe("log_quality", *logs.quality_counts()))
     trigger = trigger or FIVE_SECONDS
     if servers:
         return topic_sink.stream_to_kafka(messages, servers, checkpoint, **trigger)
@@ -68,8 +72,8 @@ def cdc_route(
             topic_sink.batch_to_kafka(facts, servers)
         else:
             topic_sink.batch_to_files(facts, path, name)
-        dims = cdc.dim_rows(changed, current)
-        upsert(dims, dim_path, "id", "table_name", name, order=("ts", "offset"))
+        images = cdc.dim_rows(changed, current)
+        upsert(images, dim_path, "id", "table_name", name, order=("ts", "offset"))
         changed.unpersist()
 
     return _start(raw, handle, checkpoint, trigger)
@@ -95,8 +99,11 @@ def dau_documents(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         fresh = (dau.unseen(batch, seen(batch.sparkSession)) if seen else batch).persist()
-        docs = dau.dau_wide(fresh, *_dims(fresh, users, provinces), as_of)
+        found = Observation()
+        enriched = dau.dau_enriched(fresh, *_dims(fresh, users, provinces), as_of, keep_found=True)
+        docs = dau.dau_document(enriched.observe(found, *dims.miss_counts()))
         upsert(docs, path, "mid", "dt", _batch_name(batch, batch_id), order=("ts",))
+        _log.info("daily actives, batch %s: %s", batch_id, found.get)
         fresh.unpersist()
 
     return _start(state.first_seen_stream(entries, delay), handle, checkpoint, trigger)
@@ -151,9 +158,12 @@ def order_documents(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         wide = orders.wide_of_stream_pairs(batch).persist()
-        docs = orders.enrich_orders(wide, *_dims(wide, users, provinces), as_of)
+        found = Observation()
+        enriched = orders.enrich_orders(wide, *_dims(wide, users, provinces), as_of, keep_found=True)
+        docs = enriched.observe(found, *dims.miss_counts())
         stored = docs.withColumn("dt", F.col("create_date")).select(*ORDER_WIDE_STORED.names)
         upsert(stored, path, "detail_id", "dt", _batch_name(batch, batch_id), order=("create_time",))
+        _log.info("orders, batch %s: %s", batch_id, found.get)
         wide.unpersist()
 
     return _start(pairs, handle, checkpoint, trigger)
