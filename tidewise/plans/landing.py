@@ -36,15 +36,20 @@ _PATHS: dict[tuple[str, str, str], str] = {}
 
 
 def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Where a store lies; builds it if this application has not yet."""
+    """Where a store lies; builds it if this application has not yet, or if it has been cleared away since."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _PATHS:
+    if key not in _PATHS or not _exists(spark, _PATHS[key]):
         path = scratch_dir(spark, name)
         _BUILDERS[name](spark, sf_dir, path)
         _PATHS[key] = path
     return _PATHS[key]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def build_all(spark: SparkSession, sf_dir: str) -> None:
     for name in _BUILDERS:
         path_of(spark, sf_dir, name)
