@@ -14,7 +14,7 @@ from ..session import scratch_dir
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
-CHUNK = 1 << 20  # bytes or characters that one round of array work takes
+CHUNK = 1 << 18  # bytes or characters that one round of array work takes
 
 
 def mix(x: np.ndarray) -> np.ndarray:

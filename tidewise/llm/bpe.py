@@ -317,16 +317,20 @@ def _columns(batch: pa.RecordBatch, names: Iterable[str]) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(
+    df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None, decoded: bool = False
+) -> DataFrame:
     """Add ``ids`` (packed little-endian unsigned 32-bit), ``ends`` (their byte ends, packed alike) and ``n_tokens``.
 
-    ``keep`` names the columns that stay (default: all). Null or empty text: empty ids, zero tokens.
+    ``keep`` names the columns that stay (default: all). ``decoded`` adds what ``decode`` would give, in the same pass. Null or empty text: empty ids, zero tokens.
     The vocabulary file is read by the driver and broadcast: its size is that of a vocabulary.
     """
-    kept = [c for c in (keep or df.columns) if c not in ("ids", "ends", "n_tokens")]
+    kept = [c for c in (keep or df.columns) if c not in ("ids", "ends", "n_tokens", "decoded")]
     names = list(dict.fromkeys([*kept, text]))
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
     fields = [T.StructField("ids", T.BinaryType()), T.StructField("ends", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
     schema = T.StructType([df.schema[c] for c in kept] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +344,10 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] |
                 ends = [token_ends(np.frombuffer(p, dtype="<u4"), raw).tobytes() for p in packed]
                 counts = pa.array([len(p) // 4 for p in packed], pa.int64())
                 made = [pa.array(packed, pa.binary()), pa.array(ends, pa.binary()), counts]
-                yield pa.RecordBatch.from_arrays(_columns(part, kept) + made, names=[*kept, "ids", "ends", "n_tokens"])
+                if decoded:
+                    both = zip(packed, ends)
+                    made.append(pa.array([decode_ids(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4"), raw) for i, e in both], pa.binary()))
+                yield pa.RecordBatch.from_arrays(_columns(part, kept) + made, names=[*kept, *(f.name for f in fields)])
 
     return df.select(*names).mapInArrow(run, schema)
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import BASE, chunks, mix
+from .arrays import BASE, chunks, mix, stored
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -250,6 +250,7 @@ def fit(rows: DataFrame, id_column: str = "doc_id", text: str = "text", label: s
     calibration = drawn.where(F.col("draw") < held).select("lang", F.substring("text", 1, 2000).alias("text"))
     training = drawn.where(F.col("draw") >= held).select("lang", "text")
     grams = training.mapInArrow(_gram_rows, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = stored(grams, "langid-grams")
     counts = []
     for name in sorted(sizes):
         counts.append(grams.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(GRAMS).toPandas())

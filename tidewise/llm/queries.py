@@ -27,8 +27,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, keep=["doc_id"])
-    return bpe.decode(ids, VOCABULARY).select(
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, VOCABULARY, keep=["doc_id"], decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

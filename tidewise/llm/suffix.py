@@ -34,8 +34,8 @@ from .arrays import BASE, CHUNK, PrefixHash, chunks, mix, pieces, stored
 LENGTH = 100
 ANCHOR = 32
 #: Bytes of text whose anchors meet in one task, and anchors a scan task holds before it sends them on.
-BUCKET_BYTES = 24 << 20
-HELD = 1 << 20
+BUCKET_BYTES = 12 << 20
+HELD = 1 << 18
 #: The second, independent hash of a neighbourhood.
 BASE2 = 0xD6E8FEB86659FD93
 
@@ -341,7 +341,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             held.append(mine)
             cut.extend(map(data.__getitem__, map(slice, mine["start"].tolist(), mine["stop"].tolist())))
             size += int((mine["stop"] - mine["start"]).sum()) + 64 * n
-            if size >= 16 * CHUNK:
+            if size >= 8 << 20:
                 yield sent(np.concatenate(held), cut)
                 held, cut, size = [], [], 0
     if cut:
@@ -354,25 +354,43 @@ FOUND = "doc_id long, start int, stop int, hash1 long, hash2 long"
 def _compare(table: pa.Table, length: int) -> pa.Table:
     """Sort the suffixes of one bucket's groups: repeated windows as spans, and the firsts of dealt-out groups."""
     rows, data = _joined(table.column("rows"), WANTED), _joined(table.column("bytes"), np.uint8)
-    begin = np.cumsum(rows["stop"] - rows["start"], dtype=np.int64) - (rows["stop"] - rows["start"])
+    size = rows["stop"] - rows["start"]
+    begin = np.cumsum(size, dtype=np.int64) - size
     order = np.lexsort((rows["pos"], rows["doc"], rows["part"], rows["key"]))
-    rows, begin = rows[order], begin[order]
+    rows, begin, size = rows[order], begin[order], size[order]
+    groups = np.append(np.flatnonzero(_changes(rows["key"], rows["part"])), len(rows))
+    out = []
+    # Some whole groups at a time: the sort needs a few dozen bytes for each byte it holds.
+    for i, j in chunks(np.add.reduceat(size, groups[:-1]) if len(rows) else size, CHUNK):
+        i, j = int(groups[i]), int(groups[j])
+        held = np.concatenate([data[a : a + n] for a, n in zip(begin[i:j].tolist(), size[i:j].tolist())])
+        out.append(_compare_groups(rows[i:j], held, length))
+    kinds = (np.int64, np.int32, np.int32, np.int64, np.int64, bool)
+    columns = [np.concatenate([np.zeros(0, kind), *(o[i] for o in out)]) for i, kind in enumerate(kinds)]
+    late = [pa.array(c, mask=~columns[5]) for c in columns[3:5]]
+    return pa.Table.from_arrays([pa.array(c) for c in columns[:3]] + late, names=["doc_id", "start", "stop", "hash1", "hash2"])
+
+
+def _compare_groups(rows: np.ndarray, data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Document, start, stop, two hashes and whether it is a first (else a repeated span) for some groups."""
+    size = rows["stop"] - rows["start"]
+    begin = np.cumsum(size, dtype=np.int64) - size
     group = np.cumsum(_changes(rows["key"], rows["part"]))
     left, right = (rows["pos"] - rows["start"]).astype(np.int64), (rows["stop"] - rows["pos"]).astype(np.int64)
     repeat, head = repeated_windows(data, begin + left, left, right, group, length)
-    before = length - ANCHOR
+    origin = rows["pos"] - (length - ANCHOR)
     row, first, last = _runs(repeat)
-    doc, start = rows["doc"][row], rows["pos"][row] - before + first
-    stop = rows["pos"][row] - before + last + length
-    split_row, column = np.nonzero(head & (rows["part"] < 0)[:, None])
-    at = begin[split_row] + left[split_row] - before + column
-    hashes = [PrefixHash(data, base).slices(at, at + length).view(np.int64) for base in (BASE, BASE2)]
-    split_start = rows["pos"][split_row] - before + column
-    n = len(doc)
-    both = [(doc, rows["doc"][split_row]), (start, split_start), (stop, split_start + length)]
-    columns = [pa.array(np.concatenate(x).astype(t)) for x, t in zip(both, (np.int64, np.int32, np.int32))]
-    late = [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(h)]) for h in hashes]
-    return pa.Table.from_arrays(columns + late, names=["doc_id", "start", "stop", "hash1", "hash2"])
+    split, column = np.nonzero(head & (rows["part"] < 0)[:, None])
+    at = begin[split] + left[split] - (length - ANCHOR) + column
+    hashes = [PrefixHash(data, base).slices(at, at + length).view(np.int64) for base in ((BASE, BASE2) if len(at) else ())]
+    none = np.zeros(len(row), np.int64)
+    return (
+        np.concatenate((rows["doc"][row], rows["doc"][split])),
+        np.concatenate((origin[row] + first, origin[split] + column)).astype(np.int32),
+        np.concatenate((origin[row] + last + length, origin[split] + column + length)).astype(np.int32),
+        *(np.concatenate((none, h)) for h in hashes or (none[:0], none[:0])),
+        np.concatenate((none.astype(bool), np.ones(len(split), bool))),
+    )
 
 
 def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
