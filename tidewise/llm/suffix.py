@@ -84,7 +84,8 @@ def anchor_rows(texts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> n
     low, high = np.maximum(begin, at - (length - ANCHOR)), np.minimum(end, at + length)
     rows = np.empty(len(at), ANCHOR_ROW)
     second = PrefixHash(data, BASE2)
-    rows["key"], rows["doc"], rows["pos"] = keys, docs[owner], at - begin
+    # Anchors have the least hashes of their windows; mixed once more they are even, as buckets need them.
+    rows["key"], rows["doc"], rows["pos"] = mix(keys), docs[owner], at - begin
     rows["left"], rows["right"] = at - low, high - at
     sides = rows["left"].astype(np.uint64) << np.uint64(8) | rows["right"]
     rows["near"] = mix(second.slices(low, high) ^ mix(sides))
