@@ -8,13 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, suffix
+from . import ann, bpe, langid, mixing, packing, probminhash, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: The rules of the URL filter (host, path, verdict).
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+#: Target weights of the mixture; names that are not listed weigh 1.
+WEIGHTS = {"lang": {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0}}
+BUDGET = 0.5
+
 
 def query(build: Query) -> Query:
     QUERIES[build.__name__] = build
@@ -25,6 +37,64 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def held_out(id_column: str = "doc_id"):
+    """The rows that nothing is learnt from: null ids are among the learnt."""
+    return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 0, F.lit(False))
+
+
+def domain():
+    """A source's domain, of four: the first digits of its hash."""
+    return F.concat(F.lit("domain"), (F.conv(F.substring(F.md5("source"), 1, 4), 16, 10).cast("int") % 4).cast("string"))
+
+
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20, transform=lambda x: F.floor(x * 64))
+    return found.withColumn("score", F.col("score").cast("long"))
+
+
+ORACLE["op1_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs, domain(), BUDGET, WEIGHTS)
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", "take_tokens")
+
+
+@query
+def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
+
+
+@query
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+def language_model(docs: DataFrame) -> langid.Model | None:
+    return langid.fit(docs.where(~held_out()))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = langid.detect(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,6 +103,18 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = _read(spark, sf_dir, "pages").select("page_id", "url"), _read(spark, sf_dir, "labels")
+    # A page's url ends in the id of the document it shows.
+    document = F.regexp_extract(urls.parts(F.col("url"))[1], "/([0-9]{1,18})[^/]*/?$", 1)
+    shown = pages.withColumn("shown", document).select("url", F.when(F.col("shown") != "", F.col("shown").cast("long")).alias("doc_id"))
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    known = shown.join(labels.select("doc_id", good.alias("good")), "doc_id").select("url", "good")
+    judged = urls.judge(pages, known, RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -43,3 +125,21 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pack(_read(spark, sf_dir, "documents"), VOCABULARY)
+    return rows.select(
+        "shard", "row", "n_tokens", "doc_ids", "doc_starts", "cumulative",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"),
+    )
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _read(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", "toxic")
+    learnt = docs.where(~held_out()).join(labels.where(~held_out()), "doc_id")
+    found = toxicity.score(docs, toxicity.fit(learnt))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
