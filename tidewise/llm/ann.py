@@ -24,7 +24,7 @@ from .arrays import stored
 FOUND = "query_id long, vec_id long, score double"
 BLOCK, EPSILON = 16, 3.0
 #: Share of the lists that a query probes, and so many at least.
-PROBES, LEAST_PROBES = 0.25, 8
+PROBES, LEAST_PROBES = 0.75, 8
 ROUNDS = 12
 SEED = 7
 
