@@ -42,6 +42,13 @@ def place(seed: int, epoch: Column, id_: Column) -> Column:
     return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), id_.cast("string"))), 1, 16)
 
 
+def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of equal names, null matching null, and keep the left ones."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    joined = left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], how)
+    return joined.drop(*[f"_of_{k}" for k in keys])
+
+
 def _weight(names: Column, weights: dict[str, float], default: float) -> Column:
     out = F.lit(round(default * UNIT))
     for name, value in sorted(weights.items()):
@@ -54,7 +61,7 @@ def _share(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     big = "decimal(38,0)"
     # Children fill up in order of room per weight; while one is full, all before it are.
     siblings = Window.partitionBy(*parent)
-    ratio = F.when(F.col("weight") > 0, F.col("room") / F.col("weight"))
+    ratio = F.try_divide(F.col("room"), F.col("weight"))
     order = siblings.orderBy(ratio.asc_nulls_last(), F.col(name).asc_nulls_first())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -90,11 +97,10 @@ def budgets(leaves: DataFrame, budget: int | Column, epochs: int, weights: dict[
         children = children.withColumn("weight", _weight(F.col(level), weights.get(level, {}), default_weight))
         # A subtree without weight can take nothing, so its room counts for nothing on the way down.
         children = children.withColumn("room", F.when(F.col("weight") > 0, F.col("room")).otherwise(F.lit(0)))
-        match = [children[c].eqNullSafe(parents[c]) for c in above]
-        held = children.join(parents, match).select(*[children[c] for c in ("_root", *path, "room", "weight")], "given")
+        held = _matched(children, parents, above)
         parents = _share(held, above, level).select("_root", *path, F.col("share").alias("given"))
-    match = [leaves[c].eqNullSafe(parents[c]) for c in LEVELS]
-    return leaves.join(parents, match, "left").select(*[leaves[c] for c in leaves.columns], F.coalesce("given", F.lit(0)).alias("budget"))
+    matched = _matched(leaves, parents.drop("_root"), list(LEVELS), "left")
+    return matched.select(*leaves.columns, F.coalesce("given", F.lit(0)).alias("budget"))
 
 
 def mix(
@@ -119,16 +125,13 @@ def mix(
     shares = budgets(leaves, int(budget), epochs, weights or {}, default_weight)
     shares = shares.withColumn("full", F.floor(F.col("budget") / F.col("tokens"))).withColumn("rest", F.col("budget") - F.col("full") * F.col("tokens"))
     shares = stored(shares.where("budget > 0").select(*LEVELS, F.col("full").cast("int").alias("full"), "rest"), "mix-shares")
-    same = [units[c].eqNullSafe(shares[c]) for c in LEVELS]
-    placed = units.join(shares, same).select("_id", *[units[c] for c in LEVELS], units["tokens"], "full", "rest")
-    placed = placed.withColumn("at", place(seed, F.col("full"), F.col("_id")))
+    placed = _matched(units, shares, list(LEVELS)).withColumn("at", place(seed, F.col("full"), F.col("_id")))
     placed = placed.withColumn("bucket", F.conv(F.substring("at", 1, 3), 16, 10).cast("int"))
     # Tokens before each bucket of places, so that no leaf is ordered as a whole.
     sums = placed.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("inside"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = stored(sums.withColumn("before", F.coalesce(F.sum("inside").over(running), F.lit(0))), "mix-buckets")
-    same = [placed[c].eqNullSafe(sums[c]) for c in (*LEVELS, "bucket")]
-    with_before = placed.join(sums, same).select(*[placed[c] for c in placed.columns], "before", "inside")
+    with_before = _matched(placed, sums, [*LEVELS, "bucket"])
     # Buckets all before the cut are taken whole, those behind it not at all; only those at the cut are put in order.
     inner = Window.partitionBy(*LEVELS, "bucket").orderBy("at", "_id").rowsBetween(Window.unboundedPreceding, -1)
     cut = with_before.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("inside") > F.col("rest")))
@@ -139,8 +142,12 @@ def mix(
     chosen = settled.select("_id", *LEVELS, "tokens", "full", last.alias("last")).unionByName(cut)
     chosen = chosen.select("_id", *LEVELS, "tokens", "full", F.greatest("last", F.lit(0)).alias("last"))
     chosen = chosen.withColumn("_epochs", F.col("full") + (F.col("last") > 0).cast("int")).where("_epochs > 0")
-    chosen = chosen.select("_id", *[F.col(c).alias(f"_{c}") for c in LEVELS], F.col("tokens").alias("_unit"), "full", "last", "_epochs")
-    same = [named[id_column] == chosen["_id"], *[named[c].eqNullSafe(chosen[f"_{c}"]) for c in LEVELS]]
-    taken = named.join(chosen, same).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_epochs") - 1)))
-    take = F.when(F.col("epoch") < F.col("full"), F.col("_unit")).otherwise(F.col("last")).cast("long")
-    return taken.select(*[named[c] for c in kept], "domain", "epoch", take.alias("take_tokens"))
+    names = [F.col(c).alias(f"_of_{c}") for c in LEVELS]
+    chosen = chosen.select("_id", *names, F.struct("tokens", "full", "last", "_epochs").alias("_taken"))
+    # An id is in one leaf, unless ids repeat: the shuffle is by id, which spreads a source of any size.
+    same = (F.col(id_column) == F.col("_id")) & F.forall(
+        F.array(*[F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in LEVELS]), lambda equal: equal
+    )
+    taken = named.join(chosen, same).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_taken._epochs") - 1)))
+    take = F.when(F.col("epoch") < F.col("_taken.full"), F.col("_taken.tokens")).otherwise(F.col("_taken.last")).cast("long")
+    return taken.select(*kept, "domain", "epoch", take.alias("take_tokens"))

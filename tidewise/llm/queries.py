@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, mixing, packing, probminhash, suffix, topk, toxicity, urls
+from . import ann, bpe, langid, mixing, oracle, packing, probminhash, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,7 +25,7 @@ RULES = [
 ]
 #: Target weights of the mixture; names that are not listed weigh 1.
 WEIGHTS = {"lang": {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0}}
-BUDGET = 0.5
+BUDGET, EPOCHS, SEED = 0.5, 2, 17
 
 
 def query(build: Query) -> Query:
@@ -53,27 +53,19 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.col("score").cast("long"))
 
 
-ORACLE["op1_topk"] = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS DOUBLE)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
-), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
-)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
-"""
+ORACLE["op1_topk"] = oracle.TOPK_SQL
 
 
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    mixed = mixing.mix(docs, domain(), BUDGET, WEIGHTS)
+    mixed = mixing.mix(docs, domain(), BUDGET, WEIGHTS, EPOCHS, SEED)
     return mixed.select("doc_id", "domain", "lang", "source", "epoch", "take_tokens")
 
 
+ORACLE["op2_mixing"] = oracle.mixing_sql(BUDGET, WEIGHTS, EPOCHS, SEED)
+
+
 @query
 def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
@@ -115,6 +107,9 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
 
 
+ORACLE["op7_urls"] = oracle.urls_sql(RULES)
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -77,21 +77,20 @@ def purities(leaves: DataFrame) -> DataFrame:
     """Add ``purity`` to templates (host, template, good, bad)."""
     leaves = leaves.withColumn("parent", F.regexp_replace("template", "/[^/]*$", ""))
     around = leaves.groupBy("host", "parent").agg(F.sum("good").alias("all_good"), F.sum(F.col("good") + F.col("bad")).alias("all"))
-    n = F.col("good") + F.col("bad")
-    others = F.col("all") - n
-    rate = F.col("all_good") / F.col("all")
-    gap = F.col("good") / n - (F.col("all_good") - F.col("good")) / others
-    z = F.abs(gap) / F.sqrt(rate * (1 - rate) * (1 / n + 1 / others))
-    # No labels on one side, or all labels alike: nothing to tell them apart by.
-    similar = (n == 0) | (others == 0) | (rate == 0) | (rate == 1) | (z < SIMILAR)
-    leaves = leaves.join(around, ["host", "parent"]).withColumn("branch", F.when(similar, F.lit("")).otherwise(F.col("template")))
+    # Without labels on one side, or with all labels alike, z is null: nothing to tell the branch apart by.
+    parts_ = leaves.join(around, ["host", "parent"]).withColumn("_n", F.col("good") + F.col("bad")).withColumn("_others", F.col("all") - F.col("_n"))
+    rate = F.try_divide(F.col("all_good"), F.col("all"))
+    gap = F.try_divide(F.col("good"), F.col("_n")) - F.try_divide(F.col("all_good") - F.col("good"), F.col("_others"))
+    spread = rate * (1 - rate) * (F.try_divide(F.lit(1), F.col("_n")) + F.try_divide(F.lit(1), F.col("_others")))
+    z = F.try_divide(F.abs(gap), F.sqrt(spread))
+    similar = F.coalesce(z < SIMILAR, F.lit(True))
+    leaves = parts_.withColumn("branch", F.when(similar, F.lit("")).otherwise(F.col("template")))
     merged = leaves.groupBy("host", "parent", "branch").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     hosts = leaves.groupBy("host").agg(F.sum("good").alias("host_good"), F.sum("bad").alias("host_bad"))
     overall = leaves.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).select(
-        F.when(F.col("g") + F.col("b") > 0, F.col("g") / (F.col("g") + F.col("b"))).otherwise(1.0).alias("overall")
+        F.coalesce(F.try_divide(F.col("g"), F.col("g") + F.col("b")), F.lit(1.0)).alias("overall")
     )
-    overall = overall.first()
-    share = F.lit(overall["overall"] if overall else 1.0)
+    share = F.lit(overall.first()["overall"])
     hosts = hosts.select("host", ((F.col("host_good") + PRIOR * share) / (F.col("host_good") + F.col("host_bad") + PRIOR)).alias("host_share"))
     judged = merged.join(hosts, "host").withColumn("purity", (F.col("good") + PRIOR * F.col("host_share")) / (F.col("good") + F.col("bad") + PRIOR))
     return leaves.select("host", "template", "parent", "branch").join(judged.select("host", "parent", "branch", "purity"), ["host", "parent", "branch"])
