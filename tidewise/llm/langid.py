@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import BASE, chunks, mix, stored
+from .bpe import LETTER, _point_classes
 
 ORDER = 5
 DISCOUNT = 0.75
-TRAIN_ROWS = 10_000
+TRAIN_ROWS = 5_000
 CALIBRATION_ROWS = 500
-GRAMS = 300_000
-REJECT, MARGIN = 6.0, 0.5
+GRAMS = 60_000
+REJECT, MARGIN = 6.0, 1.0
 UNKNOWN = "und"
 
 
@@ -50,9 +51,7 @@ def plain_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).copy()
     lengths = np.array([ORDER + len(t.lower()) for t in texts])
     owner = np.append(np.repeat(np.arange(len(texts)), lengths), len(texts))
-    distinct, inverse = np.unique(points, return_inverse=True)
-    letter = np.array([chr(p).isalpha() for p in distinct], dtype=bool)[inverse]
-    points[~letter] = 32
+    points[_point_classes()[points] != LETTER] = 32
     return points, owner
 
 
@@ -77,12 +76,34 @@ def gram_hashes(points: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
+class Hashes:
+    """A sorted array of hashes; a table over their leading bits says where to begin to look."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+        bits = max(4, len(keys).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.keys) - 1
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each wanted hash is or would be, and whether it is there."""
+        place = self.first[wanted >> self.shift]
+        behind = np.flatnonzero(self.keys[place] < wanted)
+        while len(behind):
+            place[behind] += 1
+            behind = behind[self.keys[place[behind]] < wanted[behind]]
+        return place, (self.keys[place] == wanted) & (place < len(self))
+
+
 @dataclass
 class Model:
     languages: list[str]
-    grams: list[np.ndarray]  # by order 1 .. n: sorted hashes
+    grams: list[Hashes]  # by order 1 .. n: sorted hashes
     values: list[np.ndarray]  # log-probabilities of each language
-    contexts: list[np.ndarray]  # by order 0 .. n - 1: sorted hashes
+    contexts: list[Hashes]  # by order 0 .. n - 1: sorted hashes
     backs: list[np.ndarray]  # log-weights of each language
     floor: np.ndarray
     scale: float = 1.0
@@ -97,21 +118,21 @@ class Model:
         total = np.zeros((len(at), len(self.languages)), dtype=np.float32)
         open_ = np.arange(len(at))
         for n in range(order, 0, -1):
-            wanted = hashes[n][at[open_]]
-            place = np.minimum(np.searchsorted(self.grams[n - 1], wanted), len(self.grams[n - 1]) - 1)
-            found = self.grams[n - 1][place] == wanted
-            total[open_[found]] += self.values[n - 1][place[found]]
+            place, found = self.grams[n - 1].find(hashes[n][at[open_]])
+            seen = open_[found]
+            total[seen] += self.values[n - 1][place[found]]
             open_ = open_[~found]
             if not len(open_):
                 break
-            context = hashes[n - 1][at[open_] - 1]
-            place = np.minimum(np.searchsorted(self.contexts[n - 1], context), len(self.contexts[n - 1]) - 1)
-            known = self.contexts[n - 1][place] == context
+            place, known = self.contexts[n - 1].find(hashes[n - 1][at[open_] - 1])
             total[open_[known]] += self.backs[n - 1][place[known]]
         total[open_] += self.floor
         whose = owner[at]
         count = np.bincount(whose, minlength=len(texts))[: len(texts)]
-        sums = np.stack([np.bincount(whose, weights=total[:, i], minlength=len(texts))[: len(texts)] for i in range(total.shape[1])], axis=1)
+        sums = np.zeros((len(texts), total.shape[1]))
+        begins = np.flatnonzero(np.concatenate((np.ones(min(1, len(whose)), bool), whose[1:] != whose[:-1])))
+        if len(begins):
+            sums[whose[begins]] = np.add.reduceat(total, begins, axis=0, dtype=np.float64)
         letters = np.bincount(whose[points[at] != 32], minlength=len(texts))[: len(texts)]
         return -sums / np.maximum(count, 1)[:, None], letters
 
@@ -202,9 +223,9 @@ def build(counts: pd.DataFrame) -> Model | None:
             share[np.searchsorted(keys, part[n]["key"]), i] = part[n]["share"]
         lower = below[np.searchsorted(below_keys, suffix)] if n else np.repeat(below, len(keys), axis=0)
         values = share + back[np.searchsorted(contexts, context_of)] * lower
-        model.grams.append(keys)
+        model.grams.append(Hashes(keys))
         model.values.append(np.log(values).astype(np.float32))
-        model.contexts.append(contexts)
+        model.contexts.append(Hashes(contexts))
         model.backs.append(np.log(back).astype(np.float32))
         below_keys, below = keys, values
     return model
