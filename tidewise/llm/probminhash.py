@@ -6,10 +6,12 @@ shingle sends arrivals of a Poisson process whose rate is its weight to random r
 arrival, and a shingle stops as soon as its next arrival comes after the latest register of its document. Registers of
 two documents agree with probability equal to their similarity.
 
-Equal texts are classed first, by hash. Of every other bucket of equal bands, each member is compared with the bucket's
-smallest document, never all with all. What is not in that document's class afterwards is compared with a second hub,
-and the few that are left with every member of their bucket, so no link within a bucket is missed for want of a hub.
-Every link is verified on the bags. Classes are the connected components.
+Equal texts are classed first, by hash. Of every other bucket of equal bands, each member is first compared with the
+bucket's smallest document, never all with all. Only buckets that then still hold several components go on: their
+members' registers, one byte each, are compared in blocks of bounded size, inside a task. Of pairs from different
+components whose registers agree in ``ESTIMATE`` or more, those that agree in ``SURE`` or more come as a spanning forest
+in the first round, the others as they are; the second round has all that still lie between components. Every link is
+verified on the bags. Classes are the connected components.
 
 Null and empty texts have no shingles and are classes of their own; rows without an id have a null class; rows of equal
 id are one document. Extra columns stay.
@@ -26,14 +28,17 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import PrefixHash, chunks, mix, stored, uniform
+from .arrays import PrefixHash, chunks, mix, pieces, stored, uniform
 
 WORDS = 5
 SIMILARITY = 0.8
-#: 21 bands of 6 registers: a pair of similarity 0.8 shares a band with probability 0.998, one of 0.3 with 0.015.
-BANDS, ROWS = 21, 6
+#: 32 bands of 8 registers: a pair of similarity 0.8 shares a band with probability 0.997, one of 0.5 with 0.12.
+BANDS, ROWS = 32, 8
 IDENTITY_BITS = 50
-HUB_ROUNDS = 2
+#: Agreeing registers stray from a similarity of 0.8 by 0.025 (one deviation).
+ESTIMATE, SURE = 0.74, 0.86
+#: Members of a bucket, or of one of its blocks, that are compared with each other at once.
+BLOCK = 1024
 
 
 def normal(text: str | None) -> bytes:
@@ -132,7 +137,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, stop in chunks(sizes, 2 << 20):
             texts = [normal(t) for t in batch.column(1).slice(start, stop - start).to_pylist()]
             owner, element, weight = bags(texts)
-            keys = band_keys(signatures(owner, element, weight, len(texts), BANDS * ROWS))
+            registers = signatures(owner, element, weight, len(texts), BANDS * ROWS)
+            keys = band_keys(registers)
             there = np.bincount(owner, minlength=len(texts)) > 0
             offsets = np.concatenate(([0], np.cumsum(there * BANDS)))
             yield pa.RecordBatch.from_arrays(
@@ -140,8 +146,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(0).slice(start, stop - start),
                     pa.array([hashlib.blake2b(t, digest_size=16).digest() if t else None for t in texts], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[there].ravel())),
+                    pa.array([row.tobytes() for row in (registers >> np.uint64(8)).astype(np.uint8)], pa.binary()),
                 ],
-                names=["doc", "same", "bands"],
+                names=["doc", "same", "bands", "registers"],
             )
 
 
@@ -178,56 +185,97 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("doc", F.col("label").alias("component"))
 
 
-def _check(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _check(pairs: DataFrame, bag: DataFrame, least: float) -> DataFrame:
     """Verify pairs (a, b) on the bags of their texts."""
     pairs = stored(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    bag = stored(texts.join(needed, "doc", "left_semi").mapInArrow(_bag_rows, "doc long, bag binary"), "bags")
-    left = pairs.join(bag.toDF("a", "bag_a"), "a")
-    full = left.join(bag.toDF("b", "bag_b"), "b").select("a", "b", "bag_a", "bag_b")
+    left = pairs.join(bag.toDF("a", "bag_a").hint("merge"), "a")
+    full = left.join(bag.toDF("b", "bag_b").hint("merge"), "b").select("a", "b", "bag_a", "bag_b")
     return stored(full.mapInArrow(lambda it: _verify(it, least), "a long, b long, linked boolean"), "verified")
 
 
-def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+def _near_pairs(table: pa.Table, forest: bool) -> pa.Table:
+    """Pairs of different components whose registers agree, from the bucket blocks of one group."""
+    key, low, high = (table.column(c).to_numpy() for c in ("key", "low", "high"))
+    doc, component, block = (table.column(c).to_numpy() for c in ("doc", "component", "block"))
+    registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(len(doc), -1)
+    order = np.lexsort((doc, high, low, key))
+    key, low, high, doc, component, block, registers = (c[order] for c in (key, low, high, doc, component, block, registers))
+    cut = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))).tolist()
+    found: set[tuple[int, int]] = set()
+    need, sure = ESTIMATE * registers.shape[1], SURE * registers.shape[1]
+    for i, j in zip(cut, [*cut[1:], len(doc)]):
+        agree = []
+        for x in range(i, j - 1):
+            others = np.flatnonzero(component[x + 1 : j] != component[x]) + x + 1
+            if low[i] != high[i]:
+                others = others[block[others] != block[x]]
+            same = (registers[others] == registers[x]).sum(axis=1)
+            near = same >= need
+            agree += [(-n, x, y) for n, y in zip(same[near].tolist(), others[near].tolist())]
+        name = {}
+
+        def root(x: int) -> int:
+            while name.setdefault(x, x) != x:
+                x = name[x]
+            return x
+
+        for n, x, y in sorted(agree):
+            p, q = root(int(component[x])), root(int(component[y]))
+            if forest and p == q:
+                continue
+            if forest and -n >= sure:
+                name[max(p, q)] = min(p, q)
+            found.add((int(min(doc[x], doc[y])), int(max(doc[x], doc[y]))))
+    pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _pairs_of(forest: bool):
+    return lambda table: _near_pairs(table, forest)
+
+
+def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """(doc, class) for every distinct non-null id: the smallest id of its class of near copies."""
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where("doc is not null")
-    base = stored(texts.mapInArrow(_scan, "doc long, same binary, bands array<long>"), "signatures")
-    firsts = base.where("same is not null").groupBy("same").agg(F.min("doc").alias("first"))
+    base = stored(texts.mapInArrow(_scan, "doc long, same binary, bands array<long>, registers binary"), "signatures")
+    shown = base.where("same is not null")
+    firsts = shown.groupBy("same").agg(F.min("doc").alias("first"))
     members = base.join(firsts, "same", "left").select("doc", F.coalesce("first", "doc").alias("first")).distinct()
-    bucket_rows = base.where("same is not null").groupBy("same").agg(F.min_by("bands", "doc").alias("bands"), F.min("doc").alias("doc"))
-    rows = stored(bucket_rows.select("doc", F.explode("bands").alias("key")), "band-rows")
-    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    rows = stored(rows.join(full, "key"), "full-buckets")
-
-    def with_hub(open_rows: DataFrame) -> DataFrame:
-        return rows.join(open_rows.groupBy("key").agg(F.min("doc").alias("hub")), "key")
-
-    def ordered(left: str, right: str):
-        return F.least(left, right).alias("a"), F.greatest(left, right).alias("b")
-
-    open_rows, tested = rows, None
-    for step in range(HUB_ROUNDS + 1):
-        if step < HUB_ROUNDS:
-            hubs = with_hub(open_rows)
-            pairs = hubs.where("doc != hub").select(*ordered("doc", "hub")).distinct()
-        else:
-            other = rows.select("key", F.col("doc").alias("other"))
-            pairs = open_rows.join(other, "key").where("doc != other").select(*ordered("doc", "other")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        checked = _check(pairs, texts, least)
-        tested = checked if tested is None else tested.union(checked)
-        component = components(tested.where("linked"))
-        if step == HUB_ROUNDS:
-            break
-        named = hubs.join(component, "doc", "left").select("key", "doc", "hub", F.coalesce("component", "doc").alias("mine"))
-        hub_name = component.toDF("hub", "hub_component")
-        strangers = named.join(hub_name, "hub", "left").where(F.col("mine") != F.coalesce("hub_component", "hub"))
-        open_rows = stored(strangers.join(open_rows, ["key", "doc"], "left_semi").select("key", "doc"), "open")
-        if not open_rows.limit(1).count():
+    once = shown.groupBy("same").agg(F.min("doc").alias("doc")).select("doc", "same")
+    # Rows of one id may differ in text; the id's first text in order of hash stands for it.
+    distinct = shown.join(once, ["doc", "same"], "left_semi").groupBy("doc").agg(F.min(F.struct("same", "bands", "registers")).alias("it"))
+    signed = stored(distinct.select("doc", "it.bands", "it.registers"), "signed")
+    rows = signed.select("doc", F.explode("bands").alias("key"))
+    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("hub")).where("n > 1")
+    rows = stored(rows.join(buckets, "key"), "full-buckets")
+    needed = rows.select("doc").distinct()
+    # By merge at every size: a plan that only changes with the size cannot be tested small.
+    bagged = texts.join(needed.hint("merge"), "doc", "left_semi").mapInArrow(_bag_rows, "doc long, bag binary")
+    bag = stored(bagged, "bags")
+
+    hub = rows.where("doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+    tested = _check(hub, bag, least)
+    component = components(tested.where("linked"))
+    crowded = rows.where("n > 2").select("key", "doc", "n")
+    for forest in (True, False):
+        named = crowded.join(component, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        mixed = named.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
+        parts = F.ceil(F.col("n") / block).cast("int")
+        dealt = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc"), parts).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), parts - 1))
+        dealt = dealt.select("key", "doc", "component", "n", "block", other.alias("other"))
+        dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+        dealt = stored(dealt.join(signed.select("doc", "registers"), "doc"), "open-buckets")
+        # Small buckets share a call, about BLOCK rows each time; a pair of blocks of a large one has its own.
+        calls = pieces(dealt.count(), block)
+        call = F.pmod(F.xxhash64("key", "low", "high"), F.lit(calls)).cast("int")
+        near = dealt.withColumn("call", call).groupBy("call").applyInArrow(_pairs_of(forest), "a long, b long")
+        pairs = stored(near.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
+        if not pairs.limit(1).count():
             break
-    named = members.join(component, members["first"] == component["doc"], "left").select(members["doc"], F.coalesce("component", "first").alias("class"))
-    return named
+        tested = tested.unionByName(_check(pairs, bag, least))
+        component = components(tested.where("linked"))
+    return members.join(component, members["first"] == component["doc"], "left").select(members["doc"], F.coalesce("component", "first").alias("class"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
