@@ -8,8 +8,8 @@ two documents agree with probability equal to their similarity.
 
 Equal texts are classed first, by hash. Of every other bucket of equal bands, each member is first compared with the
 bucket's smallest document, never all with all. Only buckets that then still hold several components go on: their
-members' registers, one byte each, are compared in blocks of bounded size, inside a task. Of pairs from different
-components whose registers agree in ``ESTIMATE`` or more, those that agree in ``SURE`` or more come as a spanning forest
+members' registers, one byte each, are compared in blocks of bounded size, inside a task; a pair is looked at in the
+first bucket it shares. Of pairs from different components whose registers agree in ``ESTIMATE`` or more, those that agree in ``SURE`` or more come as a spanning forest
 in the first round, the others as they are; the second round has all that still lie between components. Every link is
 verified on the bags. Classes are the connected components.
 
@@ -35,8 +35,9 @@ SIMILARITY = 0.8
 #: 32 bands of 8 registers: a pair of similarity 0.8 shares a band with probability 0.997, one of 0.5 with 0.12.
 BANDS, ROWS = 32, 8
 IDENTITY_BITS = 50
-#: Agreeing registers stray from a similarity of 0.8 by 0.025 (one deviation).
-ESTIMATE, SURE = 0.74, 0.86
+#: So many further registers only serve to estimate. All together stray from a similarity of 0.8 by 0.018 (one deviation).
+FURTHER = 256
+ESTIMATE, SURE = 0.76, 0.84
 #: Members of a bucket, or of one of its blocks, that are compared with each other at once.
 BLOCK = 1024
 
@@ -137,8 +138,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, stop in chunks(sizes, 2 << 20):
             texts = [normal(t) for t in batch.column(1).slice(start, stop - start).to_pylist()]
             owner, element, weight = bags(texts)
-            registers = signatures(owner, element, weight, len(texts), BANDS * ROWS)
-            keys = band_keys(registers)
+            registers = signatures(owner, element, weight, len(texts), BANDS * ROWS + FURTHER)
+            keys = band_keys(registers[:, : BANDS * ROWS])
             there = np.bincount(owner, minlength=len(texts)) > 0
             offsets = np.concatenate(([0], np.cumsum(there * BANDS)))
             yield pa.RecordBatch.from_arrays(
@@ -198,8 +199,11 @@ def _near_pairs(table: pa.Table, forest: bool) -> pa.Table:
     key, low, high = (table.column(c).to_numpy() for c in ("key", "low", "high"))
     doc, component, block = (table.column(c).to_numpy() for c in ("doc", "component", "block"))
     registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(len(doc), -1)
+    bands = np.stack(table.column("bands").to_numpy())
     order = np.lexsort((doc, high, low, key))
-    key, low, high, doc, component, block, registers = (c[order] for c in (key, low, high, doc, component, block, registers))
+    key, low, high, doc, component, block, registers, bands = (
+        c[order] for c in (key, low, high, doc, component, block, registers, bands)
+    )
     cut = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))).tolist()
     found: set[tuple[int, int]] = set()
     need, sure = ESTIMATE * registers.shape[1], SURE * registers.shape[1]
@@ -210,8 +214,10 @@ def _near_pairs(table: pa.Table, forest: bool) -> pa.Table:
             if low[i] != high[i]:
                 others = others[block[others] != block[x]]
             same = (registers[others] == registers[x]).sum(axis=1)
-            near = same >= need
-            agree += [(-n, x, y) for n, y in zip(same[near].tolist(), others[near].tolist())]
+            others, same = others[same >= need], same[same >= need]
+            shared = (bands[others] == bands[x]).argmax(axis=1)
+            first = bands[x][shared] == key[i]
+            agree += [(-n, x, y) for n, y in zip(same[first].tolist(), others[first].tolist())]
         name = {}
 
         def root(x: int) -> int:
@@ -265,7 +271,7 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         other = F.explode(F.sequence(F.lit(0), parts - 1))
         dealt = dealt.select("key", "doc", "component", "n", "block", other.alias("other"))
         dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-        dealt = stored(dealt.join(signed.select("doc", "registers"), "doc"), "open-buckets")
+        dealt = stored(dealt.join(signed.select("doc", "registers", "bands"), "doc"), "open-buckets")
         # Small buckets share a call, about BLOCK rows each time; a pair of blocks of a large one has its own.
         calls = pieces(dealt.count(), block)
         call = F.pmod(F.xxhash64("key", "low", "high"), F.lit(calls)).cast("int")
