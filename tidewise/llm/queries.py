@@ -135,6 +135,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", "toxic")
-    learnt = docs.where(~held_out()).join(labels.where(~held_out()), "doc_id")
-    found = toxicity.score(docs, toxicity.fit(learnt))
+    found = toxicity.score(docs, toxicity.fit(docs, labels.where(~held_out())))
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")

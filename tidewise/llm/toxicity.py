@@ -271,16 +271,21 @@ def _platt(value: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def fit(
-    rows: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
     train_toxic: int = TRAIN_TOXIC, train_clean: int = TRAIN_CLEAN,
 ) -> Model | None:
-    """Learn from rows with a label of 0 or 1; about ``train_toxic`` and ``train_clean`` of them are read."""
-    sizes = dict(rows.where(F.col(label).isin(0, 1)).groupBy(label).count().collect())
+    """Learn from the documents of ``labels`` (id and a label of 0 or 1); about ``train_toxic`` and ``train_clean`` are read.
+
+    The rows are drawn among the labels, so the two numbers bound what is sent to the tasks that read the texts.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("toxic"))
+    sizes = dict(known.groupBy("toxic").count().collect())
     if len(sizes) < 2:
         return None
-    share = F.when(F.col(label) == 1, F.lit(train_toxic / sizes[1])).otherwise(F.lit(train_clean / sizes[0]))
-    draw = F.xxhash64(F.lit("toxicity"), F.col(id_column)) / F.lit(2.0**64) + 0.5
-    drawn = rows.where(F.col(label).isin(0, 1) & (draw < share)).select(F.col(label).cast("int").alias("toxic"), F.coalesce(text, F.lit("")).alias("text"))
+    share = F.when(F.col("toxic") == 1, F.lit(train_toxic / sizes[1])).otherwise(F.lit(train_clean / sizes[0]))
+    draw = F.xxhash64(F.lit("toxicity"), F.col("_id")) / F.lit(2.0**64) + 0.5
+    chosen = F.broadcast(known.where(draw < share))
+    drawn = docs.join(chosen, docs[id_column] == chosen["_id"]).select("toxic", F.coalesce(docs[text], F.lit("")).alias("text"))
     sample = stored(drawn, "toxicity-sample")
     n = dict(sample.groupBy("toxic").count().collect())
     if len(n) < 2:
