@@ -81,7 +81,7 @@ def test_day_filter_prunes_folders_and_columns(spark, write):
     assert [r.id for r in day.collect()] == [1]
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
-    assert "ReadSchema: struct<id:bigint,v:string,_seq:bigint>" in plan
+    assert "ReadSchema: struct<id:bigint,v:string,_seq:bigint,_version:string>" in plan
 
 
 def test_batch_topic_files_replace_on_replay(spark, tmp_path):

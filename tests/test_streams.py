@@ -175,7 +175,9 @@ def test_table_list_edit_counts_from_the_next_batch(streams, tmp_path):
     push(streams, f"{root}/in", change(2, "order_info", 2), change(2, "user_info", 2), change(2, "user_info", 1))
     run()
     facts = streams.read.schema("key STRING, value STRING, topic STRING").parquet(f"{root}/facts").collect()
-    assert sorted((r.topic, r.key) for r in facts) == [("DWD_ORDER_INFO_I_0522", "1"), ("DWD_ORDER_INFO_I_0522", "2")]
+    assert sorted((r.topic, r.key or r.value) for r in facts) == [
+        ("DWD_CORRUPT_LOG_TOPIC_0522", "broken"), ("DWD_ORDER_INFO_I_0522", "1"), ("DWD_ORDER_INFO_I_0522", "2")
+    ]
     assert [(r.id, r.ts) for r in read_current(streams, f"{root}/dims", DIM_ROW, "id", "table_name").collect()] == [("2", 2)]
     assert [tuple(r) for r in tables.users(streams, f"{root}/dims").collect()] == [(2, "F", "2000-01-01")]
     some = streams.createDataFrame([(2,), (9,)], "id LONG")
@@ -212,7 +214,7 @@ def test_kafka_needs_its_connector(streams):
 
 
 def test_jobs_chain_from_the_command_line(streams, tmp_path):
-    """Change records and orders in, enriched documents out, then a compaction, all by topic folders."""
+    """Raw logs and change records in, enriched documents out, then a compaction: no record in between is made by hand."""
     from tidewise import schemas as S
     from tidewise.streaming import main
 
@@ -221,25 +223,123 @@ def test_jobs_chain_from_the_command_line(streams, tmp_path):
     def job(name, *more):
         main.run(streams, main.arguments([name, "--store", store, "--checkpoint", f"{store}/cp/{name}", "--once", *more]))
 
-    lists = [("DIM:TABLES", "user_info"), ("DIM:TABLES", "base_province"), ("FACT:TABLES", "order_info")]
+    dims_, facts = ["user_info", "base_province"], ["order_info", "order_detail"]
+    lists = [("DIM:TABLES", t) for t in dims_] + [("FACT:TABLES", t) for t in facts]
     streams.createDataFrame(lists, TABLE_LIST).write.parquet(f"{store}/lists")
-    user = {"table": "user_info", "type": "insert", "ts": 1, "data": {"id": 1, "gender": "M", "birthday": "1990-01-01"}}
-    place = {"table": "base_province", "type": "bootstrap-insert", "ts": 1, "data": {"id": 1, "name": "P", "area_code": "7"}}
-    push(streams, f"{store}/topics/{S.RAW_CDC_TOPIC}", user, place)
-    job("cdc-route")
+
+    def change(table, data, type="insert"):
+        return {"table": table, "type": type, "ts": 1, "data": data}
+
     noon = "2024-01-02 12:00:00"
-    push(streams, f"{store}/topics/{S.ORDER_INFO_TOPIC}", head(1, noon))
-    push(streams, f"{store}/topics/{S.ORDER_DETAIL_TOPIC}", line(11, 1, noon))
-    job("orders")
-    push(streams, f"{store}/topics/{PAGE_TOPIC}", page("a", T0))
-    job("dau")
-    push(streams, f"{store}/topics/{S.RAW_LOG_TOPIC}", {"common": {"mid": "a"}, "start": {"entry": "i"}, "ts": 1})
-    job("log-split")
+    push(
+        streams,
+        f"{store}/topics/{S.RAW_CDC_TOPIC}",
+        change("user_info", {"id": 1, "gender": "M", "birthday": "1990-01-01"}),
+        change("base_province", {"id": 1, "name": "P", "area_code": "7"}, "bootstrap-insert"),
+        change("order_info", head(1, noon)),
+        change("order_detail", line(11, 1, noon)),
+        "broken",
+    )
+    log = {"common": {"mid": "a", "uid": "1", "ar": "1"}, "page": {"page_id": "home"}, "ts": T0}
+    push(streams, f"{store}/topics/{S.RAW_LOG_TOPIC}", log, {"common": {"mid": "a"}, "start": {"entry": "i"}, "ts": 1})
+    for name in ("cdc-route", "log-split", "orders", "dau"):
+        job(name, *(["--as-of", "2024-01-31"] if name in ("orders", "dau") else []))
     main.run(streams, main.arguments(["compact", "--store", store, "--table", "orders", "--day", "2024-01-02"]))
     order = read_current(streams, f"{store}/docs/orders", ORDER_WIDE_STORED, "detail_id", "dt").first()
-    assert (order.user_gender, order.province_name, order.province_area_code) == ("M", "P", "7")
+    assert (order.user_gender, order.user_age, order.province_name, order.province_area_code) == ("M", 34, "P", "7")
     assert read_current(streams, f"{store}/docs/dau", DAU_INFO, "mid", "dt").first().user_gender == "M"
-    assert streams.read.schema("topic STRING").parquet(f"{store}/out").first().topic == S.START_TOPIC
+    written = streams.read.parquet(f"{store}/topics/_topic={S.START_TOPIC}")
+    assert written.count() == 1 and set(S.TOPIC_RECORD.names) <= set(written.columns)
+    assert streams.read.parquet(f"{store}/topics/_topic={S.CORRUPT_TOPIC}").first().value == "broken"
+
+
+def test_missing_table_lists_fail_the_batch(streams, tmp_path):
+    from tidewise import schemas as S
+    from tidewise.streaming import main
+
+    store = str(tmp_path)
+    push(streams, f"{store}/topics/{S.RAW_CDC_TOPIC}", {"table": "user_info", "type": "insert", "ts": 1, "data": {"id": 1}})
+    args = main.arguments(["cdc-route", "--store", store, "--checkpoint", f"{store}/cp", "--once"])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        main.run(streams, args)
+
+
+LATE = "2024-01-10 12:00:00"
+
+
+def test_order_that_arrives_whole_but_late_is_stored(streams, tmp_path):
+    root = str(tmp_path)
+    for day in ("2024-01-10 10:00:00", "2024-01-10 11:00:00"):
+        push(streams, f"{root}/info", head(1, day), at=day)
+        push(streams, f"{root}/detail", line(11, 1, day), at=day)
+        run_orders(streams, root)
+    old = "2024-01-02 12:00:00"
+    push(streams, f"{root}/info", head(2, old), at=LATE)
+    push(streams, f"{root}/detail", line(21, 2, old), at=LATE)
+    assert set(run_orders(streams, root)) == {11, 21}
+
+
+def test_newest_header_wins_on_old_and_new_lines(streams, tmp_path):
+    root = str(tmp_path)
+    noon = "2024-01-02 12:00:00"
+    push(streams, f"{root}/info", {**head(1, noon), "order_status": "A", "operate_time": noon}, at=noon)
+    push(streams, f"{root}/detail", line(11, 1, noon), at=noon)
+    run_orders(streams, root)
+    newer = {**head(1, noon), "order_status": "B", "operate_time": "2024-01-02 13:00:00"}
+    push(streams, f"{root}/info", newer, at=noon)
+    push(streams, f"{root}/detail", line(12, 1, noon), at=noon)
+    run_orders(streams, root)
+    # The older header once more does not take the newer one's place.
+    push(streams, f"{root}/info", {**head(1, noon), "order_status": "A", "operate_time": noon, "total_amount": 6.0}, at=noon)
+    assert {d.order_status for d in run_orders(streams, root).values()} == {"B"}
+
+
+def test_device_of_a_day_long_past_counts_once(streams, tmp_path):
+    root = str(tmp_path)
+    now = T0 + 9 * DAY
+    push(streams, f"{root}/in", page("a", now), at="2024-01-10 12:00:00")
+    run_dau(streams, root)
+    push(streams, f"{root}/in", page("b", now - 5 * DAY, item="first"), at="2024-01-10 13:00:00")
+    assert run_dau(streams, root).where("mid = 'b'").first().dt == "2024-01-05"
+    # Days later the state has forgotten b; the stored document has not.
+    push(streams, f"{root}/in", page("z", now + 5 * DAY), at="2024-01-15 12:00:00")
+    run_dau(streams, root)
+    push(streams, f"{root}/in", page("b", now - 5 * DAY + 1, item="again"), at="2024-01-15 13:00:00")
+    assert [r.page_item for r in run_dau(streams, root).where("mid = 'b'").collect()] == ["first"]
+
+
+def test_any_cut_into_batches_gives_the_same_dimensions(streams, tmp_path):
+    def change(id, ts, name):
+        return {"table": "user_info", "type": "update", "ts": ts, "data": {"id": id, "name": name}}
+
+    changes = [change(1, 3, "new"), change(1, 2, "old"), change(2, 1, "x"), change(1, 1, "first"), change(2, 5, "y")]
+    results = []
+    for cut in ([5], [1, 4], [1, 1, 1, 1, 1]):
+        root = str(tmp_path / "-".join(map(str, cut)))
+        lists = streams.createDataFrame([("DIM:TABLES", "user_info")], TABLE_LIST)
+        at = 0
+        for n in cut:
+            push(streams, f"{root}/in", *changes[at : at + n])
+            at += n
+            jobs.cdc_route(
+                file_topic(streams, f"{root}/in"), lambda s: lists, f"{root}/dims", f"{root}/cp", path=f"{root}/facts", trigger=ONCE
+            ).awaitTermination()
+        rows = read_current(streams, f"{root}/dims", DIM_ROW, "id", "table_name").collect()
+        results.append(sorted((r.id, r.ts) for r in rows))
+    assert results == [[("1", 3), ("2", 5)]] * 3
+
+
+def test_unreadable_records_are_counted(streams, tmp_path):
+    root = str(tmp_path)
+    push(streams, f"{root}/in", page("a", T0), "broken", {"mid": None, "ts": T0}, {"mid": "b"})
+    users, provinces = dims(streams)
+    query = jobs.dau_documents(
+        file_topic(streams, f"{root}/in"), users, provinces, f"{root}/docs", f"{root}/cp", "2024-01-31", trigger=ONCE
+    )
+    query.awaitTermination()
+    seen = next(p["observedMetrics"]["page_quality"] for p in query.recentProgress if p["numInputRows"])
+    assert (seen["records"], seen["corrupt"], seen["no_key"]) == (4, 1, 2) and jobs.dropped(query) == 0
+    assert read_current(streams, f"{root}/docs", DAU_INFO, "mid", "dt").count() == 1
 
 
 def test_batches_that_leave_nothing(streams, tmp_path):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rows import pick_one
 from ..functions.scalars import op_code, table_topic
-from ..schemas import CDC
+from ..schemas import CDC, CORRUPT_TOPIC
 from .logs import parse_json
 
 FACT_LIST = "FACT:TABLES"
@@ -38,6 +38,12 @@ def fact_messages(changed: DataFrame, table_lists: DataFrame) -> DataFrame:
     return changed.join(listed(table_lists, FACT_LIST), "table", "left_semi").select(*_message())
 
 
+def corrupt_messages(parsed: DataFrame) -> DataFrame:
+    """Change records that could not be read, as they came, for the corrupt topic."""
+    bad = parsed.where(F.col("_corrupt").isNotNull())
+    return bad.select(F.lit(CORRUPT_TOPIC).alias("topic"), F.lit(None).cast("string").alias("key"), F.col("_corrupt").alias("value"))
+
+
 def dim_rows(changed: DataFrame, table_lists: DataFrame) -> DataFrame:
     """Changes of the listed dimension tables. A table may be in both lists."""
     return changed.join(listed(table_lists, DIM_LIST), "table", "left_semi").select(*_dim_row(changed))

@@ -14,6 +14,8 @@ from .logs import parse_json
 
 # Fixed value: how far apart a header and its lines may arrive.
 JOIN_SECONDS = 24 * 3600
+# What makes one header of an order newer than another.
+HEADER_VERSION = ("operate_time", "order_status")
 
 
 def parse_order_info(messages: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def _one_header(infos: DataFrame) -> DataFrame:
     the join with a shuffle of their own, which adaptive execution can split
     when one order holds a large share of the lines.
     """
-    return pick_one(infos, ["id", "create_time"], ["operate_time", "order_status"], latest=True)
+    return pick_one(infos, ["id", "create_time"], list(HEADER_VERSION), latest=True)
 
 
 def _paired(infos: DataFrame, details: DataFrame, how: str = "inner") -> DataFrame:

@@ -246,7 +246,7 @@ FROM change WHERE table_name IN ('order_info', 'order_detail', 'sku_info')""",
 SELECT id, birthday, age, strftime(DATE '{AS_OF}' - 1, '%Y-%m-%d') AS day_before FROM users""",
     "enrich_user": f"""WITH {_DIMS}
 SELECT o_orderkey AS id, o_custkey AS user_id, gender AS user_gender, age AS user_age, CAST(u.id IS NOT NULL AS INTEGER) AS user_found
-FROM orders LEFT JOIN (SELECT * FROM users WHERE id % 50 <> 7) AS u ON u.id = o_custkey""",
+FROM orders LEFT JOIN users AS u ON u.id = o_custkey""",
     "enrich_province": f"""WITH {_DIMS}
 SELECT o_orderkey AS id, o_orderkey % 25 AS province_id, name AS province_name, area_code AS province_area_code,
   iso_code AS province_iso_code, iso_3166_2 AS province_3166_2
@@ -256,7 +256,7 @@ FROM orders LEFT JOIN provinces AS p ON p.id = o_orderkey % 25""",
 SELECT {_BASE}, page_id, page_item, page_item_type, "sourceType", during_time, u.gender AS user_gender,
   CAST(u.age AS VARCHAR) AS user_age, p.name AS province_name, p.iso_code AS province_iso_code,
   p.iso_3166_2 AS province_3166_2, p.area_code AS province_area_code, dt, hr, ts
-FROM first LEFT JOIN (SELECT * FROM users WHERE id % 50 <> 7) AS u ON CAST(u.id AS VARCHAR) = user_id
+FROM first LEFT JOIN users AS u ON CAST(u.id AS VARCHAR) = user_id
 LEFT JOIN provinces AS p ON CAST(p.id AS VARCHAR) = province_id""",
     "dau_first_seen_stream": f"""WITH {_EVENT}, {_DIMS}
 SELECT dt, mid, user_id, p.name AS province_name FROM first LEFT JOIN provinces AS p ON CAST(p.id AS VARCHAR) = province_id""",

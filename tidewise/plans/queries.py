@@ -252,7 +252,7 @@ def user_age(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def enrich_user(spark: SparkSession, sf: str) -> DataFrame:
-    enriched = dims.enrich_user(_infos(spark, sf), samples.user_info(spark, sf, gaps=True), AS_OF, keep_found=True)
+    enriched = dims.enrich_user(_infos(spark, sf), samples.user_info(spark, sf), AS_OF, keep_found=True)
     found = F.col("user_found").cast("int").alias("user_found")
     return enriched.select("id", "user_id", "user_gender", "user_age", found)
 
@@ -276,7 +276,7 @@ def dau_first_seen(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dau_wide(spark: SparkSession, sf: str) -> DataFrame:
     first = dau.first_seen(_entries(spark, sf))
-    return dau.dau_wide(first, samples.user_info(spark, sf, gaps=True), samples.base_province(spark, sf), AS_OF)
+    return dau.dau_wide(first, samples.user_info(spark, sf), samples.base_province(spark, sf), AS_OF)
 
 
 @query

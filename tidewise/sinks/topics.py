@@ -1,4 +1,8 @@
-"""Topic sinks: Kafka, or a folder of Parquet files with the same (topic, key, value) rows."""
+"""Topic sinks: Kafka, or folders of Parquet files shaped like the records a topic source reads.
+
+Folder form: ``<path>/_topic=<topic>/_batch=<writer>-<n>/``. Every writer, stream or
+batch, writes this way, so jobs may share a root and one job's topic feeds the next.
+"""
 
 from __future__ import annotations
 
@@ -25,23 +29,28 @@ def stream_to_kafka(messages: DataFrame, servers: str, checkpoint: str, **trigge
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def stream_to_files(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """One folder per topic; the sink's own log makes a replayed batch count once."""
-    writer = _records(messages).writeStream.format("parquet").partitionBy("topic").option("path", path)
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
 def batch_to_kafka(messages: DataFrame, servers: str) -> None:
     _records(messages).write.format("kafka").options(**kafka_options(servers)).save()
 
 
 def batch_to_files(messages: DataFrame, path: str, batch: str) -> None:
-    """Write one batch below its own ``_batch`` folders; a replay replaces them."""
+    """Write one batch below its own ``_batch`` folders; a replay replaces them.
+
+    Records get a position within the batch and the time they are written.
+    """
+    records = _records(messages).select(
+        "key",
+        "value",
+        "topic",
+        F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+        F.col("topic").alias("_topic"),
+        F.lit(batch).alias("_batch"),
+    )
     (
-        _records(messages)
-        .withColumn("_batch", F.lit(batch))
-        .write.mode("overwrite")
+        records.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "_batch")
+        .partitionBy("_topic", "_batch")
         .parquet(path)
     )

@@ -3,7 +3,9 @@
 Layout: ``<path>/<part>=<value>/_batch=<writer>-<n>/``. A batch writes only its
 own folders (so a write costs what the batch holds, not what the day holds, and
 a replayed batch replaces exactly what it wrote before). A reader keeps, per
-key, the row of the latest batch. ``compact`` folds a partition's batches into one.
+key, the row of the greatest version, of equal versions the one of the latest
+batch; so a table does not depend on how a sequence of changes was cut into
+batches. ``compact`` folds a partition's batches into one.
 """
 
 from __future__ import annotations
@@ -12,13 +14,14 @@ import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rows import pick_one
 
-_SEQ, _BATCH = "_seq", "_batch"
+_SEQ, _BATCH, _VERSION = "_seq", "_batch", "_version"
+_LATEST = [_VERSION, _SEQ]
 
 
 def upsert(
@@ -29,13 +32,19 @@ def upsert(
     batch: str,
     order: Sequence[str] = (),
     seq: int | None = None,
+    version: Sequence[str] = (),
+    keep: Sequence[str] | None = None,
 ) -> None:
     """Write one batch of documents. Within it, the greatest row by ``order`` stands for its key.
 
+    ``version`` names the columns that rank a key's rows across batches, in
+    their order; without it the latest batch wins. ``keep`` narrows what is stored.
     A failed write fails the batch, so nothing after it is committed.
     """
-    one = pick_one(docs, [part, key], list(order), latest=True)
-    stamped = one.withColumn(_SEQ, F.lit(seq if seq is not None else time.time_ns())).withColumn(_BATCH, F.lit(batch))
+    one = pick_one(docs, [part, key], list(order or version), latest=True)
+    ranked = one.withColumn(_VERSION, _version_text(one, version))
+    rows = ranked if keep is None else ranked.select(*keep, _VERSION)
+    stamped = rows.withColumn(_SEQ, F.lit(seq if seq is not None else time.time_ns())).withColumn(_BATCH, F.lit(batch))
     (
         stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -44,12 +53,28 @@ def upsert(
     )
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, part: str) -> DataFrame:
+def _version_text(docs: DataFrame, columns: Sequence[str]) -> Column:
+    """The version columns as one text that sorts as they do: numbers (not negative) to full width, NULL first."""
+
+    def text(name: str) -> Column:
+        value = F.col(name).cast("string")
+        padded = value if docs.schema[name].dataType == T.StringType() else F.lpad(value, 20, "0")
+        return F.coalesce(padded, F.lit(""))
+
+    return F.concat_ws("\x01", *[text(c) for c in columns]) if columns else F.lit("")
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, part: str, values: Sequence[str] | None = None) -> DataFrame:
+    """The stored rows; of the named partitions only, which then are the only folders listed."""
     fields = [f for f in schema if f.name != part]
-    full = T.StructType(
-        [*fields, T.StructField(_SEQ, T.LongType()), T.StructField(part, T.StringType()), T.StructField(_BATCH, T.StringType())]
-    )
-    return read_or_empty(spark, path, full)
+    stamps = [T.StructField(_SEQ, T.LongType()), T.StructField(_VERSION, T.StringType())]
+    full = T.StructType([*fields, *stamps, T.StructField(part, T.StringType()), T.StructField(_BATCH, T.StringType())])
+    if values is None:
+        return read_or_empty(spark, path, full)
+    there = [f"{path}/{part}={v}" for v in values if _batches(spark, path, part, v)]
+    if not there:
+        return _no_rows(spark, full)
+    return spark.read.schema(full).option("basePath", path).parquet(*there)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -59,7 +84,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        return _no_rows(spark, schema)
+
+
+def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_current(
@@ -70,18 +99,19 @@ def read_current(
     part: str,
     columns: Sequence[str] | None = None,
     only: DataFrame | None = None,
+    values: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The current document of every key. A filter on ``part`` prunes folders.
+    """The current document of every key. A filter on ``part`` prunes folders; ``values`` names them beforehand.
 
     ``columns`` narrows what is read and compared; the key and partition always
     come along. ``only`` (one column, named as the key) narrows the keys before
     the latest row is looked for, so a batch asks for its own keys alone.
     """
     wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
-    stored = _stored(spark, path, schema, part).select(*wanted, _SEQ)
+    stored = _stored(spark, path, schema, part, values).select(*wanted, _SEQ, _VERSION)
     if only is not None:
         stored = stored.join(only, key, "left_semi")
-    current = pick_one(stored, [part, key], [_SEQ], latest=True).drop(_SEQ)
+    current = pick_one(stored, [part, key], _LATEST, latest=True).drop(_SEQ, _VERSION)
     return current.select(*(schema.names if columns is None else wanted))
 
 
@@ -104,10 +134,10 @@ def read_days(
     several = [v for v in values if v not in single]
     wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
     wanted = schema.names if columns is None else wanted
-    plain = _stored(spark, path, schema, part).where(F.col(part).isin(single)).select(*wanted)
+    plain = _stored(spark, path, schema, part, single).select(*wanted)
     if not several:
         return plain
-    merged = read_current(spark, path, schema, key, part, columns).where(F.col(part).isin(several))
+    merged = read_current(spark, path, schema, key, part, columns, values=several)
     return plain.unionByName(merged) if single else merged
 
 
@@ -118,9 +148,11 @@ def _batches(spark: SparkSession, path: str, part: str, value: str) -> list:
     return [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
 
 
-def stored_keys(spark: SparkSession, path: str, schema: T.StructType, key: str, part: str) -> DataFrame:
-    """The keys stored in each partition, without duplicates."""
-    return _stored(spark, path, schema, part).select(key, part).distinct()
+def stored_keys(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, part: str, values: Sequence[str] | None = None
+) -> DataFrame:
+    """The keys stored in each partition (or in the named ones), without duplicates."""
+    return _stored(spark, path, schema, part, values).select(key, part).distinct()
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, part: str, value: str) -> str:
@@ -132,8 +164,8 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, part
     """
     old = _batches(spark, path, part, value)
     target = f"compact-{time.time_ns()}"
-    rows = _stored(spark, path, schema, part).where(F.col(part) == value).drop(_BATCH)
-    folded = pick_one(rows, [part, key], [_SEQ], latest=True).withColumn(_BATCH, F.lit(target))
+    rows = _stored(spark, path, schema, part, [value]).drop(_BATCH)
+    folded = pick_one(rows, [part, key], _LATEST, latest=True).withColumn(_BATCH, F.lit(target))
     (
         folded.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

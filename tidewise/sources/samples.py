@@ -29,23 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give every core a share of a table that is stored in fewer pieces than there are cores.
-
-    A file of one row group is read by one task. A large table has more pieces
-    than cores and passes unchanged, without a shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _text(column: Column) -> Column:
     return column.cast("string")
 
 
 def raw_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key, value, offset, timestamp): one application log per event."""
-    e = spread(table(spark, sf_dir, "events")).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     u, k, event = F.col("user_id"), F.col("k"), F.col("event_id")
     kind = F.col("event_type")
     moment = F.col("ts").cast("timestamp")
@@ -155,7 +145,7 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("u"), _text(key), F.lit("_v"), _text(version)).alias("name")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     parts = [
-        spread(table(spark, sf_dir, "orders")).select(
+        table(spark, sf_dir, "orders").select(
             *_change("order_info", F.col("o_orderkey"), once, F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("total_amount"))
         ),
         customers.select(*_change("user_info", key, version, name, _gender(key).alias("gender"), _birthday(key).alias("birthday"))),
@@ -183,13 +173,9 @@ def _birthday(key: Column) -> Column:
     return _text(F.date_add(F.lit("1960-01-01").cast("date"), ((key * 97) % 20000).cast("int")))
 
 
-def user_info(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
-    """The user dimension; with ``gaps`` one user in fifty is missing."""
+def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    users = table(spark, sf_dir, "customer")
-    if gaps:
-        users = users.where(key % 50 != 7)
-    return users.select(key.alias("id"), _gender(key).alias("gender"), _birthday(key).alias("birthday"))
+    return table(spark, sf_dir, "customer").select(key.alias("id"), _gender(key).alias("gender"), _birthday(key).alias("birthday"))
 
 
 def base_province(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +200,7 @@ def _time_text(second: Column) -> Column:
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     zero, no_text = F.lit(0.0), F.lit(None).cast("string")
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("id"),
         (key % 25).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -234,7 +220,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines. The id is a digest of the line, so equal lines are one line sent twice."""
-    line, key = spread(table(spark, sf_dir, "lineitem")), F.col("l_orderkey")
+    line, key = table(spark, sf_dir, "lineitem"), F.col("l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_name")
 
     def cents(name: str) -> Column:

@@ -12,10 +12,18 @@ from ..sinks.upsert import read_current, read_or_empty
 
 
 def table_lists(spark: SparkSession, path: str) -> DataFrame:
-    """The fact and dimension table lists as they are now. Read it inside the batch, so an edit counts from the next one."""
+    """The fact and dimension table lists as they are now. Read it inside the batch, so an edit counts from the next one.
+
+    A job that routes by lists should find them: see ``required_lists``.
+    """
     return read_or_empty(spark, path, TABLE_LIST)
 
 
+def required_lists(spark: SparkSession, path: str) -> DataFrame:
+    """The same, but a path that does not exist fails the batch instead of routing nothing; an empty list is fine."""
+    return spark.read.schema(TABLE_LIST).parquet(path)
+
+
 def current_dim(
     spark: SparkSession,
     path: str,
@@ -29,7 +37,7 @@ def current_dim(
     ``ids`` (one column ``id``) restricts it to the rows a batch of facts refers to.
     """
     only = ids.select(ids["id"].cast("string").alias("id")) if ids is not None else None
-    rows = read_current(spark, path, DIM_ROW, "id", "table_name", only=only).where(F.col("table_name") == table)
+    rows = read_current(spark, path, DIM_ROW, "id", "table_name", only=only, values=[table])
     return typed_dim(rows.where("op <> 'D'") if drop_deleted else rows, table, schema)
 
 

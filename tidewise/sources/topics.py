@@ -53,12 +53,18 @@ def kafka_topic(spark: SparkSession, servers: str, topic: str, **kwargs) -> Data
     )
 
 
+def topic_folder(root: str, topic: str) -> str:
+    """Where a topic lies below a root: in a folder of its name, landed by hand or by the topic sinks."""
+    return f"{root}/{{_topic=,}}{topic}"
+
+
 def file_topic(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The same stream from landed files."""
-    reader = spark.readStream.schema(TOPIC_RECORD)
+    # Batch folders below are no columns: with partition discovery, a query started before the first one would not know them.
+    reader = spark.readStream.schema(TOPIC_RECORD).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*TOPIC_RECORD.names)
 
 
 def land(messages: DataFrame, topic: str, path: str, mode: str = "append") -> None:

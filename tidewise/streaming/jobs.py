@@ -4,8 +4,10 @@ Progress lives in each query's checkpoint and is committed after the sink, and
 the document sinks replace a replayed batch, so a restart neither loses nor
 doubles a row. Dimensions and table lists are read inside ``foreachBatch``:
 a change to them counts from the next batch. What could not be read or found is
-counted along the way: ``log_quality`` in the log split's progress, and a log
-line per batch of the two document jobs.
+counted along the way: ``log_quality``, ``page_quality``, ``info_quality`` and
+``detail_quality`` in the progress of the jobs that read these topics (see
+``dropped`` for what came too late), a log line per batch of the two document
+jobs, and unreadable change records go to the corrupt topic.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc, dau, dims, logs, orders
-from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_STORED, json_form
+from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_STORED, PAGE_LOG, json_form
 from ..sinks import topics as topic_sink
 from ..sinks.upsert import stored_keys, upsert
 from . import state
@@ -46,10 +48,13 @@ def log_split(
 ) -> StreamingQuery:
     """Raw logs to the page, display, action, start, error and corrupt topics, in one query over one read."""
     messages = logs.fan_out(logs.parse_logs(raw).observe("log_quality", *logs.quality_counts()))
-    trigger = trigger or FIVE_SECONDS
     if servers:
-        return topic_sink.stream_to_kafka(messages, servers, checkpoint, **trigger)
-    return topic_sink.stream_to_files(messages, path, checkpoint, **trigger)
+        return topic_sink.stream_to_kafka(messages, servers, checkpoint, **(trigger or FIVE_SECONDS))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        topic_sink.batch_to_files(batch, path, _batch_name(batch, batch_id))
+
+    return _start(messages, handle, checkpoint, trigger)
 
 
 def cdc_route(
@@ -64,17 +69,21 @@ def cdc_route(
     """Change records to fact topics and to the dimension table."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        changed = cdc.changes(cdc.parse_cdc(batch)).persist()
-        current = lists(batch.sparkSession)
-        name = _batch_name(batch, batch_id)
-        facts = cdc.fact_messages(changed, current)
-        if servers:
-            topic_sink.batch_to_kafka(facts, servers)
-        else:
-            topic_sink.batch_to_files(facts, path, name)
-        images = cdc.dim_rows(changed, current)
-        upsert(images, dim_path, "id", "table_name", name, order=("ts", "offset"))
-        changed.unpersist()
+        parsed = cdc.parse_cdc(batch).persist()
+        try:
+            changed = cdc.changes(parsed)
+            current = lists(batch.sparkSession)
+            name = _batch_name(batch, batch_id)
+            messages = cdc.fact_messages(changed, current).unionByName(cdc.corrupt_messages(parsed))
+            if servers:
+                topic_sink.batch_to_kafka(messages, servers)
+            else:
+                topic_sink.batch_to_files(messages, path, name)
+            images = cdc.dim_rows(changed, current)
+            stored = [f.name for f in DIM_ROW]
+            upsert(images, dim_path, "id", "table_name", name, seq=batch_id, version=("ts", "offset"), keep=stored)
+        finally:
+            parsed.unpersist()
 
     return _start(raw, handle, checkpoint, trigger)
 
@@ -95,20 +104,40 @@ def dau_documents(
     ``seen`` gives the (mid, dt) already stored, for a start without the former
     checkpoint (see ``restore_devices``).
     """
-    entries = dau.with_day(dau.session_entries(logs.parse_page_log(pages)))
+    parsed = _parsed_with_arrival(pages, PAGE_LOG, "page_quality", ["mid", "ts"])
+    entries = dau.with_day(dau.session_entries(parsed))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = (dau.unseen(batch, seen(batch.sparkSession)) if seen else batch).persist()
-        found = Observation()
-        enriched = dau.dau_enriched(fresh, *_dims(fresh, users, provinces), as_of, keep_found=True)
-        docs = dau.dau_document(enriched.observe(found, *dims.miss_counts()))
-        upsert(docs, path, "mid", "dt", _batch_name(batch, batch_id), order=("ts",))
-        _log.info("daily actives, batch %s: %s", batch_id, found.get)
-        fresh.unpersist()
+        known = batch.persist()
+        fresh = _first_of_their_day(known, path)
+        fresh = (dau.unseen(fresh, seen(batch.sparkSession)) if seen else fresh).persist()
+        try:
+            found = Observation()
+            enriched = dau.dau_enriched(fresh, *_dims(fresh, users, provinces), as_of, keep_found=True)
+            docs = dau.dau_document(enriched.observe(found, *dims.miss_counts()))
+            upsert(docs, path, "mid", "dt", _batch_name(batch, batch_id), order=("ts",), seq=batch_id)
+            _log.info("daily actives, batch %s: %s", batch_id, found.get)
+        finally:
+            fresh.unpersist()
+            known.unpersist()
 
     return _start(state.first_seen_stream(entries, delay), handle, checkpoint, trigger)
 
 
+def _first_of_their_day(batch: DataFrame, path: str) -> DataFrame:
+    """Without the devices that are stored already, as far as the state may have forgotten them.
+
+    Only records of days before the day before their arrival can be such; the
+    keys of just those days are read.
+    """
+    late = F.coalesce(F.col("dt") < F.date_sub(F.col("arrival").cast("date"), 1).cast("string"), F.lit(False))
+    days = [r["dt"] for r in batch.where(late).select("dt").distinct().collect()]
+    if not days:
+        return batch
+    stored = stored_keys(batch.sparkSession, path, DAU_INFO, "mid", "dt", days)
+    return dau.unseen(batch, stored)
+
+
 def _dims(facts: DataFrame, users: Lookup, provinces: Lookup) -> tuple[DataFrame, DataFrame]:
     """The dimension rows a batch refers to. The batch is cached, as its ids are read apart from its rows."""
 
@@ -131,12 +160,31 @@ def _event_time(text: Column, arrival: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), arrival)
 
 
-def _timed(messages: DataFrame, schema, name: str) -> DataFrame:
-    parsed = logs.parse_json(messages.select("value", "timestamp"), json_form(schema)).where("_corrupt IS NULL")
-    return parsed.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
-        _event_time(F.col("create_time"), F.col("timestamp")).alias(name),
+def _parsed_with_arrival(messages: DataFrame, schema, quality: str, needed: list[str]) -> DataFrame:
+    """Typed records and their ``arrival``. Unreadable ones, and those without the ``needed`` fields, are counted and left out."""
+    parsed = logs.parse_json(messages.select("value", "timestamp"), json_form(schema))
+    fields = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    read = parsed.select(*fields, F.col("timestamp").alias("arrival"), F.col("_corrupt").isNotNull().alias("_bad"))
+    whole = F.lit(True)
+    for name in needed:
+        whole = whole & F.col(name).isNotNull()
+    counted = read.observe(
+        quality,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if("_bad").alias("corrupt"),
+        F.count_if(~F.col("_bad") & ~whole).alias("no_key"),
     )
+    return counted.where(~F.col("_bad") & whole).drop("_bad")
+
+
+def _timed(messages: DataFrame, schema, name: str, needed: list[str]) -> DataFrame:
+    parsed = _parsed_with_arrival(messages, schema, name.replace("_ts", "_quality"), needed)
+    return parsed.withColumn(name, _event_time(F.col("create_time"), F.col("arrival")))
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Rows that a job's stateful steps dropped because they came later than its delay, as far as progress reaches back."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
 
 
 def order_documents(
@@ -149,21 +197,29 @@ def order_documents(
     as_of=None,
     delay: str = "24 hours",
     slices: int = state.SLICES,
+    keep: str = "72 hours",
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Order header and order line topics to one document per line, filed under the order's date."""
     pairs = state.join_orders_stream(
-        _timed(info_topic, ORDER_INFO, "info_ts"), _timed(detail_topic, ORDER_DETAIL, "detail_ts"), delay, slices
+        _timed(info_topic, ORDER_INFO, "info_ts", ["id"]),
+        _timed(detail_topic, ORDER_DETAIL, "detail_ts", ["id", "order_id"]),
+        delay,
+        slices,
+        keep,
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         wide = orders.wide_of_stream_pairs(batch).persist()
-        found = Observation()
-        enriched = orders.enrich_orders(wide, *_dims(wide, users, provinces), as_of, keep_found=True)
-        docs = enriched.observe(found, *dims.miss_counts())
-        stored = docs.withColumn("dt", F.col("create_date")).select(*ORDER_WIDE_STORED.names)
-        upsert(stored, path, "detail_id", "dt", _batch_name(batch, batch_id), order=("create_time",))
-        _log.info("orders, batch %s: %s", batch_id, found.get)
-        wide.unpersist()
+        try:
+            found = Observation()
+            enriched = orders.enrich_orders(wide, *_dims(wide, users, provinces), as_of, keep_found=True)
+            docs = enriched.observe(found, *dims.miss_counts())
+            stored = docs.withColumn("dt", F.col("create_date")).select(*ORDER_WIDE_STORED.names)
+            name = _batch_name(batch, batch_id)
+            upsert(stored, path, "detail_id", "dt", name, seq=batch_id, version=orders.HEADER_VERSION)
+            _log.info("orders, batch %s: %s", batch_id, found.get)
+        finally:
+            wide.unpersist()
 
     return _start(pairs, handle, checkpoint, trigger)

@@ -3,7 +3,7 @@
     python -m tidewise.streaming.main dau --servers host:9092 --store /shared/store --checkpoint /shared/cp/dau
     python -m tidewise.streaming.main compact --store /shared/store --table dau --day 2024-01-15
 
-Without ``--servers`` a topic is a folder ``<store>/topics/<topic>`` of landed records.
+Without ``--servers`` a topic is a folder below ``<store>/topics``, both for the jobs that write it and those that read it.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from .. import schemas as S
 from ..session import build_session, stream_session
 from ..sinks.upsert import compact
 from ..sources import tables
-from ..sources.topics import file_topic, kafka_topic
+from ..sources.topics import file_topic, kafka_topic, topic_folder
 from . import jobs
+from .state import SLICES
 
 # Table name -> (folder, schema, key, partition column) of the stored documents.
 STORES = {
@@ -39,6 +40,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-offsets", type=int, help="records per batch and topic")
     parser.add_argument("--state-partitions", type=int, help="fixed when the checkpoint is created")
     parser.add_argument("--restore-day", help="dau only: day whose stored devices stand in for a lost checkpoint")
+    parser.add_argument("--delay", help="how much later than others a record may arrive, like '24 hours'")
+    parser.add_argument("--keep", default="72 hours", help="orders only: how long headers and lines wait for each other")
+    parser.add_argument("--slices", type=int, default=SLICES, help="orders only: state partitions an order's lines are spread over")
+    parser.add_argument("--as-of", help="the date that ages are counted at; default: today")
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     parser.add_argument("--table", choices=list(STORES), help="compact only")
     parser.add_argument("--day", help="compact only: the partition to fold")
@@ -60,27 +65,30 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
     def topic(name: str) -> DataFrame:
         if not args.servers:
-            return file_topic(session, f"{args.store}/topics/{name}")
+            return file_topic(session, topic_folder(f"{args.store}/topics", name))
         known = {k: v for k, v in positions.items() if k[0] == name}
         return kafka_topic(session, args.servers, name, positions=known or None, max_offsets=args.max_offsets)
 
-    dims, out = f"{args.store}/dims", {"path": f"{args.store}/out", "servers": args.servers, "trigger": trigger}
+    dims, out = f"{args.store}/dims", {"path": f"{args.store}/topics", "servers": args.servers, "trigger": trigger}
     lookups = (lambda s, ids: tables.users(s, dims, ids)), (lambda s, ids: tables.provinces(s, dims, ids))
     if args.job == "log-split":
         query = jobs.log_split(topic(S.RAW_LOG_TOPIC), args.checkpoint, **out)
     elif args.job == "cdc-route":
         lists = f"{args.store}/lists"
         query = jobs.cdc_route(
-            topic(S.RAW_CDC_TOPIC), lambda s: tables.table_lists(s, lists), dims, args.checkpoint, **out
+            topic(S.RAW_CDC_TOPIC), lambda s: tables.required_lists(s, lists), dims, args.checkpoint, **out
         )
     elif args.job == "dau":
         docs = f"{args.store}/{STORES['dau'][0]}"
         seen = jobs.restore_devices(spark, docs, args.restore_day, f"{args.checkpoint}-seen") if args.restore_day else None
-        query = jobs.dau_documents(topic(S.PAGE_TOPIC), *lookups, docs, args.checkpoint, seen=seen, trigger=trigger)
+        query = jobs.dau_documents(
+            topic(S.PAGE_TOPIC), *lookups, docs, args.checkpoint, args.as_of, args.delay or "48 hours", seen, trigger
+        )
     else:
         docs = f"{args.store}/{STORES['orders'][0]}"
         query = jobs.order_documents(
-            topic(S.ORDER_INFO_TOPIC), topic(S.ORDER_DETAIL_TOPIC), *lookups, docs, args.checkpoint, trigger=trigger
+            topic(S.ORDER_INFO_TOPIC), topic(S.ORDER_DETAIL_TOPIC), *lookups, docs, args.checkpoint, args.as_of,
+            args.delay or "24 hours", args.slices, args.keep, trigger,
         )
     query.awaitTermination()
 

@@ -34,44 +34,52 @@ def thin(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def first_seen_stream(entries: DataFrame, delay: str = "48 hours") -> DataFrame:
-    """The first arriving entry of each (mid, day).
+    """The first arriving entry of each (mid, day); ``entries`` carry their ``arrival``.
 
-    The watermark runs on the start of the day, so state is dropped day by day;
-    48 hours leave one day of grace after the newest day's start.
+    A device is remembered for ``delay`` after it first arrived, whatever day its
+    record names, so a record of a day long past counts like any other. What
+    comes again later than that has to be looked up among the stored documents.
     """
     dated = thin(entries.withColumn("day", F.date_trunc("day", F.timestamp_millis("ts"))), ["mid", "day"])
-    return dated.withWatermark("day", delay).dropDuplicates(["mid", "day"]).drop("day")
+    return dated.withWatermark("arrival", delay).dropDuplicatesWithinWatermark(["mid", "day"]).drop("day")
 
 
-def distinct_stream(rows: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
-    """The first arriving row of each key; a key is remembered for ``delay`` of event time."""
-    return thin(rows, keys).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+def distinct_stream(rows: DataFrame, time: str, delay: str, ignore: Sequence[str] = ()) -> DataFrame:
+    """Rows that differ in content from all rows of the last ``delay``: a re-sent row is dropped, a changed one passes."""
+    content = F.xxhash64(*[c for c in rows.columns if c not in (time, *ignore)])
+    marked = rows.withColumn("_content", content).withWatermark(time, delay)
+    return marked.dropDuplicatesWithinWatermark(["id", "_content"]).drop("_content")
 
 
 def join_orders_stream(
-    infos: DataFrame, details: DataFrame, delay: str = "24 hours", slices: int = SLICES
+    infos: DataFrame, details: DataFrame, delay: str = "24 hours", slices: int = SLICES, keep: str = "72 hours"
 ) -> DataFrame:
-    """Pairs (``i``, ``d``) of equal order at most a day apart, whichever side comes first.
-
-    ``infos`` and ``details`` carry the times ``info_ts`` and ``detail_ts``.
-    Re-sent headers are dropped before the join, so a line meets one header and
-    copies never multiply; a re-sent line gives its pair again, which the keyed
-    sink stores once. An order's lines are spread over ``slices`` state
+    """Pairs (``i``, ``d``) of equal order created at most a day apart, whichever side comes first.
+
+    ``infos`` and ``details`` carry their own times ``info_ts`` and ``detail_ts``,
+    which decide what belongs together, and their ``arrival``, which alone decides
+    how long they are remembered: ``keep`` after they came. An order that arrives
+    whole but late is joined. Headers re-sent unchanged are dropped before the
+    join, so copies never multiply; a changed header meets the lines again, and
+    the sink keeps the newest. An order's lines are spread over ``slices`` state
     partitions, and its header, one row, is copied to each.
     """
-    one_info = distinct_stream(infos, ["id"], "info_ts", delay)
-    one_detail = thin(details, ["id"]).withWatermark("detail_ts", delay)
+    one_info = distinct_stream(infos, "arrival", delay, ["info_ts"])
+    one_detail = details.withWatermark("arrival", delay)
     left = one_info.select(
-        F.struct(*[c for c in infos.columns if c != "info_ts"]).alias("i"),
+        F.struct(*[c for c in infos.columns if c not in ("info_ts", "arrival")]).alias("i"),
         "info_ts",
+        F.col("arrival").alias("info_arrival"),
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("i_slice"),
     )
     right = one_detail.select(
-        F.struct(*[c for c in details.columns if c != "detail_ts"]).alias("d"),
+        F.struct(*[c for c in details.columns if c not in ("detail_ts", "arrival")]).alias("d"),
         "detail_ts",
+        F.col("arrival").alias("detail_arrival"),
         F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("d_slice"),
     )
-    reach = F.expr(f"INTERVAL {JOIN_SECONDS} SECONDS")
+    reach, stay = F.expr(f"INTERVAL {JOIN_SECONDS} SECONDS"), F.expr(f"INTERVAL {keep}")
     near = (F.col("detail_ts") >= F.col("info_ts") - reach) & (F.col("detail_ts") <= F.col("info_ts") + reach)
+    held = (F.col("detail_arrival") >= F.col("info_arrival") - stay) & (F.col("detail_arrival") <= F.col("info_arrival") + stay)
     same = (F.col("i.id") == F.col("d.order_id")) & (F.col("i_slice") == F.col("d_slice"))
-    return left.join(right, same & near, "inner").select("i", "d")
+    return left.join(right, same & near & held, "inner").select("i", "d")
