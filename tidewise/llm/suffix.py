@@ -434,13 +434,16 @@ def repeat_spans(
     return marks.where(F.col("key").isNull()).select(spans).unionByName(found.where(F.col("hash1").isNull()).select(spans)).unionByName(later.select(spans))
 
 
-CUT = "spans array<struct<start:int,stop:int>>, kept binary, n_bytes long, n_removed long"
+CUT = "spans array<struct<start:int,stop:int>>, kept {}, n_bytes long, n_removed long"
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False
+) -> DataFrame:
     """Add ``spans`` (maximal removed runs), ``kept`` (the remaining bytes), ``n_bytes`` and ``n_removed`` to every row.
 
-    Columns of these names are replaced. Rows without an id lose nothing.
+    Columns of these names are replaced. Rows without an id lose nothing. With ``as_text``, ``kept`` is text: what
+    is left of a character that was cut apart goes too.
     """
     added = ["spans", "kept", "n_bytes", "n_removed"]
     others = [c for c in docs.columns if c not in added]
@@ -450,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         .agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
     )
     joined = docs.select(*others).join(spans, F.col(id_column).cast("long") == F.col("_doc"), "left").drop("_doc")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "_spans"] + [CUT])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "_spans"] + [CUT.format("string" if as_text else "binary")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -462,7 +465,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                 cut = [_cut(t, m) for t, m in zip(texts, marks, strict=True)]
                 columns = [part.column(c) for c in others] + [
                     pa.array([[{"start": a, "stop": b} for a, b in m] for _, m in cut], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-                    pa.array([k for k, _ in cut], pa.binary()),
+                    pa.array([k.decode("utf-8", "ignore") for k, _ in cut], pa.string()) if as_text else pa.array([k for k, _ in cut], pa.binary()),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([len(t) - len(k) for t, (k, _) in zip(texts, cut)], pa.int64()),
                 ]
