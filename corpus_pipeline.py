@@ -29,8 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated passages out of the texts; bytes of a character that was cut apart go with the passage."""
-    cut = suffix.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.decode(F.col("kept"), "UTF-8")).otherwise(F.col("text"))
+    cut = suffix.remove_repeats(docs, as_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     kept = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(*docs.columns)
 
