@@ -235,7 +235,10 @@ def _calibrate(model: Model, rows: pd.DataFrame) -> None:
     """Scale of the softmax by log-loss, and the entropies that are usual, on rows (lang, text) not trained on."""
     number = {name: i for i, name in enumerate(model.languages)}
     rows = rows[rows["lang"].isin(number)]
-    entropy, letters = model.entropies(rows["text"].fillna("").tolist())
+    texts = rows["text"].fillna("").tolist()
+    parts = [model.entropies(texts[i:j]) for i, j in chunks(np.array([len(t) for t in texts], dtype=np.int64))]
+    entropy = np.concatenate([np.zeros((0, len(model.languages))), *(e for e, _ in parts)])
+    letters = np.concatenate([np.zeros(0, dtype=np.int64), *(n for _, n in parts)])
     truth = rows["lang"].map(number).to_numpy(dtype=np.int64)
     use = letters > 0
     entropy, truth, letters = entropy[use], truth[use], letters[use]
