@@ -1,10 +1,10 @@
 """Toxicity of whole texts: a support vector machine on a gapped string kernel with Nystroem landmarks.
 
 Words are runs between white space, lower case, without signs; neighbouring single characters are read as one word, so
-``i-d.i*o t`` and ``i d i o t`` count as ``idiot``. The kernel of two words sums over common three-letter subsequences
+``i-d.i*o.t`` and ``i d i o t`` count as ``idiot``. The kernel of two words sums over common three-letter subsequences
 within ``SPAN`` letters, each occurrence weighing ``DECAY`` to the letters it spans, divided by what the words' lengths
-alone would give and squared. A sentence is the sum of its words (sentences end at ``.!?`` before white space and at
-line ends, and after ``SENTENCE`` words). Landmark words are those whose share of toxic training documents stands out
+alone would give, to the power ``POWER``. A sentence is the sum of its words (sentences end at ``.!?`` before white space and at
+line ends, and after ``SENTENCE`` words). Landmark words are those that tell toxic training documents from clean ones
 most, and the most frequent clean ones; through them kernel values become features, on which a linear machine with
 squared hinge loss is trained. As a sentence's features are sums over words, each word has one number, which is cached.
 
@@ -28,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import PrefixHash, chunks, mix, stored
+from .arrays import PrefixHash, chunks, mix, small_batches, stored
 from .bpe import BLANK, LETTER, NUMBER, _point_classes
 
 SPAN, DECAY = 5, 0.7
+#: Of the normed kernel: above 1 it keeps chance likeness low, near 1 it lets inserted letters through.
+POWER = 1.25
 LETTERS = 64
 SENTENCE = 32
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 160, 32
@@ -139,7 +141,7 @@ class Kernel:
             scaled = weight[order] / _norms(end - start)[whose[order]].astype(np.float32)
             first = np.flatnonzero(np.concatenate(([True], whose[order][1:] != whose[order][:-1])))
             out[whose[order][first]] = np.add.reduceat(self.table[row[order]] * scaled[:, None], first, axis=0)
-        return out * out
+        return out**POWER
 
 
 @dataclass
@@ -278,6 +280,7 @@ def fit(
 
     The rows are drawn among the labels, so the two numbers bound what is sent to the tasks that read the texts.
     """
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("toxic"))
     sizes = dict(known.groupBy("toxic").count().collect())
     if len(sizes) < 2:
@@ -291,9 +294,15 @@ def fit(
     if len(n) < 2:
         return None
     counts = sample.mapInArrow(_word_rows, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    # Log ratio of the shares over its standard error.
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    ranked = stored(counts.withColumn("z", (F.log(a / (n[1] + 1)) - F.log(b / (n[0] + 1))) / F.sqrt(1 / a + 1 / b)), "toxicity-words")
+    # Log-likelihood ratio of a word that is as frequent in toxic as in clean documents, signed: unlike a ratio over its
+    # error it ranks words that are never in clean documents before those that copies have made frequent in both.
+    both, share = F.col("a") + F.col("b"), n[1] / (n[1] + n[0])
+
+    def part(seen: str, portion: float):
+        return F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / (both * portion))).otherwise(0.0)
+
+    ratio = part("a", share) + part("b", 1 - share)
+    ranked = stored(counts.withColumn("z", F.when(F.col("a") > both * share, ratio).otherwise(-ratio)), "toxicity-words")
     striking = ranked.where("length(word) >= 3 and a >= 3 and z > 0").orderBy(F.desc("z"), "word").limit(TOXIC_LANDMARKS).collect()
     usual = ranked.where("length(word) >= 3 and z <= 0").orderBy(F.desc("b"), "word").limit(CLEAN_LANDMARKS).collect()
     if not striking:
@@ -329,6 +338,7 @@ def fit(
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); columns of these names are replaced."""
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
