@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidewise.llm import ann, topk, vectors
 
-EVEN = F.col("id") % 4 == 0
+def even():
+    return F.col("id") % 4 == 0
 
 
 def brute(rows: list[tuple], k: int, zero: bool = True) -> dict[int, list[tuple[int, float]]]:
@@ -44,7 +45,7 @@ def test_top_k_is_exact(spark, k, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD_ROWS", 64)
     data = rows(3)
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
-    assert got(topk.top_k(df, EVEN, k)) == brute(data, k)
+    assert got(topk.top_k(df, even(), k)) == brute(data, k)
 
 
 def test_lists_stop_early_and_miss_nothing():
@@ -62,14 +63,14 @@ def test_lists_stop_early_and_miss_nothing():
 def test_few_candidates_and_empty_tables(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (4, [0.0, 1.0])], "vec_id long, embedding array<double>")
     for search in (topk.top_k, ann.nearest):
-        assert got(search(few, EVEN, 20)) == {0: [(4, 0.0)], 4: [(0, 0.0)]}
-        assert search(few.limit(0), EVEN, 20).count() == 0
+        assert got(search(few, even(), 20)) == {0: [(4, 0.0)], 4: [(0, 0.0)]}
+        assert search(few.limit(0), even(), 20).count() == 0
 
 
 def test_neighbours_when_every_list_is_probed(spark):
     data = rows(5)
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
-    assert got(ann.nearest(df, EVEN, 20, probes=1.0)) == brute(data, 20, zero=False)
+    assert got(ann.nearest(df, even(), 20, probes=1.0)) == brute(data, 20, zero=False)
 
 
 def test_neighbours_reach_the_recall(spark, sf_dir):

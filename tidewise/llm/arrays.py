@@ -6,7 +6,7 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
 
@@ -14,6 +14,10 @@ from ..session import scratch_dir
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
+#: Rows of whole texts that go to Python at once; Spark's setting for it and what it is by itself.
+BATCH_ROWS = 500
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 CHUNK = 1 << 18  # bytes or characters that one round of array work takes
 
 
@@ -76,6 +80,16 @@ def chunks(sizes: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let a batch that goes to Python hold BATCH_ROWS rows, unless the session says otherwise.
+
+    Spark's 10 000 rows of whole texts are tens of megabytes for each buffer and task, outside the heap. The
+    setting stays with the session, as what an operator returns runs later.
+    """
+    if spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a table in the folder all executors share."""
     path = scratch_dir(df.sparkSession, label)

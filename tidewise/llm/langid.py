@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import BASE, chunks, mix, stored
+from .arrays import BASE, chunks, mix, small_batches, stored
 from .bpe import LETTER, _point_classes
 
 ORDER = 5
@@ -209,7 +209,7 @@ def build(counts: pd.DataFrame) -> Model | None:
         return None
     parts = [_orders(g["gram"].tolist(), g["n"].to_numpy()) for _, g in counts.groupby("lang", sort=True)]
     # Below single characters every language hands its rest to one even distribution.
-    size = max(len(p[0]["key"]) for p in parts) + 1
+    size = len(np.unique(np.concatenate([p[0]["key"] for p in parts]))) + 1
     below_keys, below = np.zeros(1, np.uint64), np.full((1, len(languages)), 1.0 / size)
     model = Model(languages, [], [], [], [], np.log(below[0]).astype(np.float32))
     for n in range(ORDER):
@@ -260,6 +260,7 @@ def _calibrate(model: Model, rows: pd.DataFrame) -> None:
 
 def fit(rows: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "lang", train_rows: int = TRAIN_ROWS) -> Model | None:
     """Learn from rows with a non-null label. A bounded share of each language is read, chosen by a hash of the id."""
+    small_batches(rows.sparkSession)
     sizes = dict(rows.where(F.col(label).isNotNull()).groupBy(label).count().collect())
     if not sizes:
         return None
@@ -292,6 +293,7 @@ RESULTS = [
 
 def detect(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score``, ``entropy`` (null for ``und``) and ``rejected``; only the text is looked at."""
+    small_batches(docs.sparkSession)
     names = [f.name for f in RESULTS]
     kept = [c for c in docs.columns if c not in names]
     schema = T.StructType([docs.schema[c] for c in kept] + RESULTS)

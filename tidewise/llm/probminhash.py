@@ -28,7 +28,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import PrefixHash, chunks, mix, pieces, stored, uniform
+from .arrays import PrefixHash, chunks, mix, pieces, small_batches, stored, uniform
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -242,6 +242,7 @@ def _pairs_of(forest: bool):
 
 def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """(doc, class) for every distinct non-null id: the smallest id of its class of near copies."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where("doc is not null")
     base = stored(texts.mapInArrow(_scan, "doc long, same binary, bands array<long>, registers binary"), "signatures")
     shown = base.where("same is not null")

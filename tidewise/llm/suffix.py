@@ -29,7 +29,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE, CHUNK, PrefixHash, chunks, mix, pieces, stored
+from .arrays import BASE, CHUNK, PrefixHash, chunks, mix, pieces, small_batches, stored
 
 LENGTH = 100
 ANCHOR = 32
@@ -186,8 +186,8 @@ def suffix_sort(data: np.ndarray, start: np.ndarray, limit: np.ndarray, group: n
 def _verified(data: np.ndarray, start: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """Shared extensions cut at the first byte that differs, should two hashes have collided."""
     at = np.flatnonzero(shared)
-    for i in range(0, len(at), 1 << 16):
-        part = at[i : i + (1 << 16)]
+    for i in range(0, len(at), 1 << 12):
+        part = at[i : i + (1 << 12)]
         length = shared[part]
         begin = np.cumsum(length) - length
         step = np.arange(int(length.sum())) - np.repeat(begin, length)
@@ -414,6 +414,7 @@ def repeat_spans(
     """Spans (doc_id, start, stop) of bytes that repeat; a document's spans may overlap and come in any order."""
     if not 2 * ANCHOR <= length <= 200:
         raise ValueError(f"length must be {2 * ANCHOR} to 200")
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces(total, BUCKET_BYTES)
