@@ -36,7 +36,11 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, domain(), MIX_BUDGET, WEIGHTS).select(*docs.columns)
+    """Take each leaf's token prefix: the document at the cut keeps its first take_tokens words (ids occur once by now)."""
+    mixed = mixing.mix(docs, domain(), MIX_BUDGET, WEIGHTS)
+    short = mixing.word_count() > F.col("take_tokens")
+    kept = mixed.withColumn("text", F.when(short, mixing.first_words(F.col("text"), F.col("take_tokens"))).otherwise(F.col("text")))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,11 +7,12 @@ import numpy as np
 import pytest
 import tiktoken
 from public_tokenizers import PATTERN
+from pyspark.sql import functions as F
 from test_probminhash import classes
 from test_suffix import plain
 
 import corpus_pipeline as pipeline
-from tidewise.llm import bpe
+from tidewise.llm import bpe, mixing
 from tidewise.llm.oracle import mixing_sql
 from tidewise.llm.queries import EPOCHS, SEED, VOCABULARY, WEIGHTS
 
@@ -72,6 +73,29 @@ def test_mixture_is_what_sql_selects(stages):
     assert Counter(r.doc_id for r in found["mixing"].collect()) == Counter(r[0] for r in rows)
 
 
+def test_mixture_passes_no_more_words_than_its_budget(stages):
+    found, root = stages
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{root}/suffix_dedup/*.parquet')")
+    rows = connection.execute(f"SELECT doc_id, lang, source, take_tokens FROM ({mixing_sql(pipeline.MIX_BUDGET, WEIGHTS, EPOCHS, SEED)})").fetchall()
+    before, got = texts(found["suffix_dedup"]), found["mixing"].collect()
+    assert Counter((r.doc_id, len(r.text.split())) for r in got) == Counter((i, n) for i, _, _, n in rows)
+    owed, kept = Counter(), Counter()
+    for _, lang, source, n in rows:
+        owed[lang, source] += n
+    for r in got:
+        kept[r.lang, r.source] += len(r.text.split())
+    assert kept == owed and all(before[r.doc_id].startswith(r.text) and r.n_chars == len(r.text) for r in got)
+    assert any(r.text != before[r.doc_id] for r in got)
+
+
+def test_first_words(spark):
+    cases = [("  a b\n c ", 2), ("a  b", 2), ("a b", 5), (" ", 1), ("", 1), (None, 1), ("x" * 100_000 + " y", 1), ("w " * 20_000, 10_000)]
+    df = spark.createDataFrame(cases, "text string, n long")
+    got = [r[0] for r in df.select(mixing.first_words(F.col("text"), F.col("n"))).collect()]
+    assert got == ["  a b", "a  b", "a b", " ", "", None, "x" * 100_000, ("w " * 10_000)[:-1]]
+
+
 def test_ids_are_the_library_s(stages):
     found, _ = stages
     ranks = bpe.parse_ranks(bpe.read_ranks(VOCABULARY))
@@ -81,6 +105,14 @@ def test_ids_are_the_library_s(stages):
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(before[r.doc_id])
 
 
+def test_ids_are_those_of_the_mixture_s_texts(stages):
+    """As above, but a document that one epoch takes whole and the next one cuts has two texts."""
+    found, _ = stages
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.parse_ranks(bpe.read_ranks(VOCABULARY)), special_tokens={})
+    expected = Counter((r.doc_id, tuple(library.encode_ordinary(r.text))) for r in found["mixing"].collect())
+    assert Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in found["bpe"].collect()) == expected
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     from __spark_entry__ import oracle_sql, queries
 

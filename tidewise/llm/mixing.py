@@ -37,6 +37,11 @@ def word_count(text: str = "text") -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
+def first_words(text: Column, count: Column) -> Column:
+    """A text up to the end of its first ``count`` words between blanks; one with fewer words as it is."""
+    return F.array_join(F.slice(F.split(text, r"(?<=\S)(?=\s)"), F.lit(1), count.cast("int")), "")
+
+
 def place(seed: int, epoch: Column, id_: Column) -> Column:
     """The place of a document in an epoch's order: 16 hexadecimal digits."""
     return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), id_.cast("string"))), 1, 16)
