@@ -75,6 +75,20 @@ def test_held_out_accuracy_and_shape(spark, sf_dir):
     assert right / total > 0.98 and found.count() == docs.count() and rejected == 0
 
 
+def test_calibration_reads_whole_texts(spark):
+    """Texts that go on differently after 2000 characters are usual in their language, and none is rejected for it."""
+    draw = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz ")
+    rows = [(i, "abra kadabra " * 160 + "".join(draw.choice(letters, 6000)), "aa") for i in range(150)]
+    rows += [(i, "zyx wzyx wyz " * 160 + "".join(draw.choice(letters, 6000)), "bb") for i in range(150, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, train_rows=1000)
+    found = langid.detect(df, model)
+    whole = found.where("lang = lang_pred").groupBy("lang").agg(F.min("entropy").alias("least"), F.max("entropy").alias("most")).collect()
+    usual = dict(zip(model.languages, model.typical[:, 0].tolist()))
+    assert len(whole) == 2 and all(r.least <= usual[r.lang] <= r.most for r in whole)
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "x", None, "kept"), (2, None, None, None)], "doc_id long, text string, lang string, score string")
     model = langid.fit(df)

@@ -231,15 +231,28 @@ def build(counts: pd.DataFrame) -> Model | None:
     return model
 
 
-def _calibrate(model: Model, rows: pd.DataFrame) -> None:
+def _entropy_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Of rows (lang, text) the language, the entropies in all languages, and the number of letters of the whole text."""
+    for batch in batches:
+        texts = batch.column(1).cast(pa.string())
+        for start, stop in chunks(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)):
+            entropy, letters = model.entropies([t or "" for t in texts.slice(start, stop - start).to_pylist()])
+            lists = pa.array(list(entropy), pa.list_(pa.float64()))
+            names = ["lang", "entropy", "letters"]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), lists, pa.array(letters, pa.int64())], names=names)
+
+
+def _calibrate(model: Model, rows: DataFrame) -> None:
     """Scale of the softmax by log-loss, and the entropies that are usual, on rows (lang, text) not trained on."""
     number = {name: i for i, name in enumerate(model.languages)}
-    rows = rows[rows["lang"].isin(number)]
-    texts = rows["text"].fillna("").tolist()
-    parts = [model.entropies(texts[i:j]) for i, j in chunks(np.array([len(t) for t in texts], dtype=np.int64))]
-    entropy = np.concatenate([np.zeros((0, len(model.languages))), *(e for e, _ in parts)])
-    letters = np.concatenate([np.zeros(0, dtype=np.int64), *(n for _, n in parts)])
-    truth = rows["lang"].map(number).to_numpy(dtype=np.int64)
+    # Whole texts are judged in the tasks; the driver gets a few numbers of each of the bounded rows.
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    judged = rows.mapInArrow(lambda it: _entropy_rows(it, shared.value), "lang string, entropy array<double>, letters long").toPandas()
+    shared.unpersist()
+    judged = judged[judged["lang"].isin(number)]
+    entropy = np.array(judged["entropy"].tolist(), dtype=np.float64).reshape(-1, len(model.languages))
+    letters = judged["letters"].to_numpy(dtype=np.int64)
+    truth = judged["lang"].map(number).to_numpy(dtype=np.int64)
     use = letters > 0
     entropy, truth, letters = entropy[use], truth[use], letters[use]
     model.typical = np.tile([math.log(len(model.grams[0]) + 1), 1.0], (len(model.languages), 1))
@@ -271,8 +284,7 @@ def fit(rows: DataFrame, id_column: str = "doc_id", text: str = "text", label: s
     held = F.lit(CALIBRATION_ROWS / (train_rows + CALIBRATION_ROWS))
     drawn = rows.select(F.col(label).alias("lang"), F.col(text).alias("text"), (draw / F.least(limit, F.lit(1.0))).alias("draw"))
     drawn = drawn.where("lang is not null and text is not null and draw < 1")
-    # The text is cut in the calibration rows only, whose number times this length bounds what the driver gets.
-    calibration = drawn.where(F.col("draw") < held).select("lang", F.substring("text", 1, 2000).alias("text"))
+    calibration = drawn.where(F.col("draw") < held).select("lang", "text")
     training = drawn.where(F.col("draw") >= held).select("lang", "text")
     grams = training.mapInArrow(_gram_rows, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = stored(grams, "langid-grams")
@@ -281,7 +293,7 @@ def fit(rows: DataFrame, id_column: str = "doc_id", text: str = "text", label: s
         counts.append(grams.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(GRAMS).toPandas())
     model = build(pd.concat(counts))
     if model is not None:
-        _calibrate(model, calibration.toPandas())
+        _calibrate(model, calibration)
     return model
 
 
