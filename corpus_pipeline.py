@@ -1,7 +1,7 @@
 """A corpus pipeline: each stage takes (spark, docs, sf_dir) and returns the documents that the next one works on.
 
 Language ID drops texts that are no language; near copies leave one document of each class; long passages that occur
-earlier are cut out; sources are mixed to target weights; what is left is encoded. Each stage is written and read again.
+earlier are cut out; sources are mixed to target weights; what is left is encoded, and decoded to check it. Each stage is written and read again.
 """
 
 from __future__ import annotations
@@ -44,7 +44,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs, VOCABULARY, keep=["doc_id", "lang", "source"]).select("doc_id", "lang", "source", "n_tokens", "ids")
+    """Ids and the hash of what they decode to; a text that does not come back from its ids is an error."""
+    coded = bpe.encode(docs, VOCABULARY, keep=["doc_id", "lang", "source", "text"], decoded=True)
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    hashed = F.when(same, F.sha2("decoded", 256)).otherwise(F.raise_error(F.lit("decoding does not give the text")).cast("string"))
+    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", "ends", hashed.alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against plain versions of each."""
 
+import hashlib
 from collections import Counter
 
 import duckdb
@@ -113,6 +114,14 @@ def test_ids_are_those_of_the_mixture_s_texts(stages):
     assert Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in found["bpe"].collect()) == expected
 
 
+def test_decoding_gives_the_texts(stages):
+    found, _ = stages
+    expected = Counter((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in found["mixing"].collect())
+    got = found["bpe"].collect()
+    assert Counter((r.doc_id, r.decoded_sha256) for r in got) == expected
+    assert all(len(r.ends) == len(r.ids) == 4 * r.n_tokens for r in got)
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     from __spark_entry__ import oracle_sql, queries
 
