@@ -110,3 +110,23 @@ def test_query_against_all_pairs(spark, sf_dir):
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert {r.doc_id: r.class_id for r in QUERIES["op3_probminhash"](spark, sf_dir).collect()} == classes(rows)
+
+
+def test_crowded_buckets_compare_what_is_four_deviations_below_the_threshold():
+    """A pair of similarity 0.8, neither of them the hub, whose registers agree in 0.73 only."""
+    import pyarrow as pa
+
+    size = P.BANDS * P.ROWS + P.FURTHER
+    agreeing = int(np.ceil((0.8 - 4 * np.sqrt(0.8 * 0.2 / size)) * size))
+    registers = np.zeros((3, size), np.uint8)
+    registers[1], registers[2, :agreeing], registers[2, agreeing:] = 1, 1, 2
+    bands = np.tile(np.arange(P.BANDS), (3, 1)) + 100 * np.arange(3)[:, None]
+    bands[:, 0] = 7
+    table = pa.table(
+        {
+            "key": [7] * 3, "low": [0] * 3, "high": [0] * 3, "doc": [1, 2, 3], "component": [1, 2, 3], "block": [0] * 3,
+            "registers": [r.tobytes() for r in registers], "bands": bands.tolist(),
+        }
+    )
+    for forest in (True, False):
+        assert P._near_pairs(table, forest).to_pylist() == [{"a": 2, "b": 3}]
