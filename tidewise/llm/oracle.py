@@ -134,3 +134,41 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+def phrases_sql(least: int, absorb: int, top: int) -> str:
+    """Phrases of two to four words by their worst cut; every phrase of every piece is written out and counted."""
+    return f"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words FROM pieces),
+total AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM lists GROUP BY lang HAVING sum(len(words)) > 0),
+placed AS (
+  SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS spot FROM lists, (SELECT unnest(range(1, 5)) AS size)
+),
+counted AS (
+  SELECT lang, size, words[spot : spot + size - 1] AS words, count(*) AS a FROM placed GROUP BY ALL HAVING count(*) >= {least}
+),
+cuts AS (
+  SELECT lang, size, words, a, k, words[1 : k] AS head, words[k + 1 : size] AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM counted WHERE size >= 2)
+),
+scored AS (
+  SELECT c.lang, c.size, c.words, c.a, c.k, h.a AS l, t.a AS r, (CAST(2000000 AS HUGEINT) * c.a) // (CAST(h.a AS HUGEINT) + t.a) AS score
+  FROM cuts AS c JOIN counted AS h ON h.lang = c.lang AND h.words = c.head JOIN counted AS t ON t.lang = c.lang AND t.words = c.tail
+),
+worst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS pick FROM scored) WHERE pick = 1),
+parts AS (SELECT lang, a, words, size, m, unnest(range(1, size - m + 2)) AS spot FROM (SELECT *, unnest(range(2, size)) AS m FROM counted WHERE size >= 3)),
+around AS (SELECT lang, words[spot : spot + m - 1] AS words, max(a) AS a FROM parts GROUP BY ALL),
+own AS (
+  SELECT w.* FROM worst AS w LEFT JOIN around AS o ON o.lang = w.lang AND o.words = w.words
+  WHERE o.a IS NULL OR CAST(100 AS HUGEINT) * o.a < CAST({absorb} AS HUGEINT) * w.a
+),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank,
+    array_to_string(words, ' ') AS phrase, a, l, r, score FROM own
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= {top}
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, mixing, oracle, packing, probminhash, suffix, topk, toxicity, urls
+from . import ann, bpe, langid, mixing, oracle, packing, phrases, probminhash, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,3 +137,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _read(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", "toxic")
     found = toxicity.score(docs, toxicity.fit(docs, labels.where(~held_out())))
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_read(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrases"] = oracle.phrases_sql(phrases.LEAST, phrases.ABSORB, phrases.TOP)
