@@ -97,15 +97,6 @@ def test_first_words(spark):
     assert got == ["  a b", "a  b", "a b", " ", "", None, "x" * 100_000, ("w " * 10_000)[:-1]]
 
 
-def test_ids_are_the_library_s(stages):
-    found, _ = stages
-    ranks = bpe.parse_ranks(bpe.read_ranks(VOCABULARY))
-    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    before = texts(found["mixing"])
-    for r in found["bpe"].collect():
-        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(before[r.doc_id])
-
-
 def test_ids_are_those_of_the_mixture_s_texts(stages):
     """As above, but a document that one epoch takes whole and the next one cuts has two texts."""
     found, _ = stages

@@ -9,18 +9,21 @@ import pytest
 from tidewise.llm import suffix
 
 
-def plain(rows: list[tuple[int, bytes]], length: int = 100) -> dict[int, tuple[bytes, list[tuple[int, int]]]]:
+def plain(rows: list[tuple[int, bytes]], length: int = 100, by_text: bool = False) -> dict:
     """Kept bytes and removed runs of each document."""
-    seen, out = set(), {}
-    for doc, text in sorted(rows):
-        gone = np.zeros(len(text), dtype=bool)
+    first: dict[bytes, tuple[int, int]] = {}
+    for doc, text in rows:
         for at in range(len(text) - length + 1):
             window = text[at : at + length]
-            if window in seen:
+            first[window] = min((doc, at), first.get(window, (doc, at)))
+    out = {}
+    for doc, text in rows:
+        gone = np.zeros(len(text), dtype=bool)
+        for at in range(len(text) - length + 1):
+            if first[text[at : at + length]] < (doc, at):
                 gone[at : at + length] = True
-            seen.add(window)
         edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(int), [0])))).reshape(-1, 2)
-        out[doc] = bytes(np.frombuffer(text, np.uint8)[~gone]), [tuple(e) for e in edges.tolist()]
+        out[(doc, text) if by_text else doc] = bytes(np.frombuffer(text, np.uint8)[~gone]), [tuple(e) for e in edges.tolist()]
     return out
 
 
@@ -49,12 +52,47 @@ def test_against_plain_scan(spark, group):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     spans = {}
     for r in suffix.repeat_spans(df, group=group).collect():
-        spans.setdefault(r.doc_id, []).append((r.start, r.stop))
+        spans.setdefault(r.doc_id, []).extend(np.frombuffer(r.spans, suffix.SPAN).tolist())
     expected = plain([(d, (t or "").encode()) for d, t in rows])
     for doc, text in rows:
         assert suffix._cut((text or "").encode(), spans.get(doc, [])) == expected[doc], doc
 
 
+@pytest.mark.parametrize("group", [suffix.GROUP, 3])
+def test_repeated_rows_take_nothing_from_each_other(spark, group):
+    """Rows of one id, of equal and of different text, with passages they share with others."""
+    random.seed(5)
+    shared, own = word(300), word(400)
+    rows = [(i, word(40) + shared[i * 10 : i * 10 + 180] + word(20)) for i in range(8)]
+    rows += [(20, own), (20, own), (20, own + "!"), (20, "x" + own), (20, shared), (21, own), (21, own), (3, rows[3][1]), (4, rows[4][1] + shared)]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = {}
+    for r in suffix.repeat_spans(df, group=group).join(df.selectExpr("doc_id", "text", "xxhash64(text) twin").distinct(), ["doc_id", "twin"]).collect():
+        spans.setdefault((r.doc_id, r.text.encode()), []).extend(np.frombuffer(r.spans, suffix.SPAN).tolist())
+    expected = plain([(d, t.encode()) for d, t in rows], by_text=True)
+    for doc, text in rows:
+        assert suffix._cut(text.encode(), spans.get((doc, text.encode()), [])) == expected[doc, text.encode()], doc
+    out = suffix.remove_repeats(df).collect()
+    assert sorted((r.doc_id, r.text, bytes(r.kept)) for r in out) == sorted((d, t, expected[d, t.encode()][0]) for d, t in rows)
+    assert all(r.n_removed == 0 for r in out if r.doc_id == 20 and r.text == own)
+
+
+def test_names_of_extra_columns_do_not_clash(spark):
+    text = word(200)
+    names = ["_doc", "_twin", "_found", "_DOC_", "twin", "spans", "part", "bucket"]
+    rows = [(1, text, *names), (2, text, *names)]
+    out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)))
+    assert [n for n in names if n != "spans"] == out.columns[2:9]
+    assert {(r.doc_id, r.n_removed, r._twin) for r in out.collect()} == {(1, 0, "_twin"), (2, 200, "_twin")}
+
+
+def test_the_callers_session_stays(spark):
+    before = spark.conf.getAll
+    suffix.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string")).collect()
+    assert spark.conf.getAll == before
+
+
 def test_rows_and_columns_stay(spark):
     text = word(150)
     rows = [(2, text, "a"), (1, text, None), (3, None, "c"), (None, text, "d")]

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..session import scratch_dir
 
@@ -14,7 +15,7 @@ from ..session import scratch_dir
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
-#: Rows of whole texts that go to Python at once; Spark's setting for it and what it is by itself.
+#: Rows of whole texts that go to Python at once at most; Spark's setting for it and what it is by itself.
 BATCH_ROWS = 500
 _BATCH, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
@@ -80,14 +81,34 @@ def chunks(sizes: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let a batch that goes to Python hold BATCH_ROWS rows, unless the session says otherwise.
+def own_session(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """The same rows in a session of the operator's own, where a batch that goes to Python holds at most ``rows`` rows.
 
     Spark's 10 000 rows of whole texts are tens of megabytes for each buffer and task, outside the heap. The
-    setting stays with the session, as what an operator returns runs later.
+    caller's session stays as it is; if it has smaller batches already, it is used itself.
     """
-    if spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT:
-        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    spark = df.sparkSession
+    if 0 < int(spark.conf.get(_BATCH, _DEFAULT)) <= rows:
+        return df
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set(_BATCH, str(rows))
+    view = f"rows_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        return own.table(f"{own.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name for the operator's own use that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while (name := f"_{name}").lower() in taken:
+        pass
+    return name
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

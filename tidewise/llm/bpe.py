@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrays import CHUNK, chunks, small_batches
+from .arrays import CHUNK, chunks, own_session
 
 #: Slices that a Python worker remembers; beyond it the cache starts anew.
 CACHE = 400_000
@@ -325,7 +325,7 @@ def encode(
     ``keep`` names the columns that stay (default: all). ``decoded`` adds what ``decode`` would give, in the same pass. Null or empty text: empty ids, zero tokens.
     The vocabulary file is read by the driver and broadcast: its size is that of a vocabulary.
     """
-    small_batches(df.sparkSession)
+    df = own_session(df)
     kept = [c for c in (keep or df.columns) if c not in ("ids", "ends", "n_tokens", "decoded")]
     names = list(dict.fromkeys([*kept, text]))
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
@@ -355,7 +355,7 @@ def encode(
 
 def decode(df: DataFrame, vocabulary: str) -> DataFrame:
     """Replace ``ids`` and ``ends`` of ``encode`` by ``decoded``, the bytes they stand for."""
-    small_batches(df.sparkSession)
+    df = own_session(df)
     kept = [c for c in df.columns if c not in ("ids", "ends", "decoded")]
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import BASE, chunks, mix, small_batches, stored
+from .arrays import BASE, chunks, mix, own_session, stored
 from .bpe import LETTER, _point_classes
 
 ORDER = 5
@@ -273,7 +273,7 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
 
 def fit(rows: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "lang", train_rows: int = TRAIN_ROWS) -> Model | None:
     """Learn from rows with a non-null label. A bounded share of each language is read, chosen by a hash of the id."""
-    small_batches(rows.sparkSession)
+    rows = own_session(rows)
     sizes = dict(rows.where(F.col(label).isNotNull()).groupBy(label).count().collect())
     if not sizes:
         return None
@@ -305,7 +305,7 @@ RESULTS = [
 
 def detect(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score``, ``entropy`` (null for ``und``) and ``rejected``; only the text is looked at."""
-    small_batches(docs.sparkSession)
+    docs = own_session(docs)
     names = [f.name for f in RESULTS]
     kept = [c for c in docs.columns if c not in names]
     schema = T.StructType([docs.schema[c] for c in kept] + RESULTS)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import stored
+from .arrays import free_name, stored
 
 #: Weights are whole numbers of this unit, so that shares are computed without rounding.
 UNIT = 1_000_000
@@ -147,12 +147,15 @@ def mix(
     chosen = settled.select("_id", *LEVELS, "tokens", "full", last.alias("last")).unionByName(cut)
     chosen = chosen.select("_id", *LEVELS, "tokens", "full", F.greatest("last", F.lit(0)).alias("last"))
     chosen = chosen.withColumn("_epochs", F.col("full") + (F.col("last") > 0).cast("int")).where("_epochs > 0")
-    names = [F.col(c).alias(f"_of_{c}") for c in LEVELS]
-    chosen = chosen.select("_id", *names, F.struct("tokens", "full", "last", "_epochs").alias("_taken"))
+    own, taken_as = free_name(named, "id"), free_name(named, "taken")
+    levels = {c: free_name(named, f"of_{c}") for c in LEVELS}
+    names = [F.col(c).alias(name) for c, name in levels.items()]
+    chosen = chosen.select(F.col("_id").alias(own), *names, F.struct("tokens", "full", "last", "_epochs").alias(taken_as))
     # An id is in one leaf, unless ids repeat: the shuffle is by id, which spreads a source of any size.
-    same = (F.col(id_column) == F.col("_id")) & F.forall(
-        F.array(*[F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in LEVELS]), lambda equal: equal
+    same = (F.col(id_column) == F.col(own)) & F.forall(
+        F.array(*[F.col(c).eqNullSafe(F.col(name)) for c, name in levels.items()]), lambda equal: equal
     )
-    taken = named.join(chosen, same).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_taken._epochs") - 1)))
-    take = F.when(F.col("epoch") < F.col("_taken.full"), F.col("_taken.tokens")).otherwise(F.col("_taken.last")).cast("long")
+    part = {f: F.col(f"{taken_as}.{f}") for f in ("tokens", "full", "last", "_epochs")}
+    taken = named.join(chosen, same).withColumn("epoch", F.explode(F.sequence(F.lit(0), part["_epochs"] - 1)))
+    take = F.when(F.col("epoch") < part["full"], part["tokens"]).otherwise(part["last"]).cast("long")
     return taken.select(*kept, "domain", "epoch", take.alias("take_tokens"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import chunks, pieces, small_batches
+from .arrays import chunks, own_session, pieces
 from .bpe import encode_texts, merges_of, read_ranks
 
 LENGTH = 2048
@@ -124,7 +124,7 @@ def _pack(table: pa.Table, vocabulary, length: int) -> pa.Table:
 def pack(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Packed rows: ``shard`` and ``row`` number, the segments' documents and first tokens in them, ``cumulative``
     segment lengths, ``ids`` and ``positions`` (packed little-endian unsigned 32-bit)."""
-    small_batches(docs.sparkSession)
+    docs = own_session(docs)
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where("text is not null and text != ''")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = pieces(total, SHARD_BYTES)

@@ -28,7 +28,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import PrefixHash, chunks, mix, pieces, small_batches, stored, uniform
+from .arrays import PrefixHash, chunks, free_name, mix, own_session, pieces, stored, uniform
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -243,7 +243,7 @@ def _pairs_of(forest: bool):
 
 def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """(doc, class) for every distinct non-null id: the smallest id of its class of near copies."""
-    small_batches(docs.sparkSession)
+    docs = own_session(docs)
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where("doc is not null")
     base = stored(texts.mapInArrow(_scan, "doc long, same binary, bands array<long>, registers binary"), "signatures")
     shown = base.where("same is not null")
@@ -289,9 +289,9 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """Add ``class_id`` to every row: the smallest id of its class; null where the id is null."""
     classes = near_classes(docs, id_column, text, least)
-    kept = docs.drop("class_id")
-    joined = kept.join(classes.toDF("_doc", "class_id"), kept[id_column].cast("long") == F.col("_doc"), "left")
-    return joined.drop("_doc")
+    kept, doc = docs.drop("class_id"), free_name(docs, "doc")
+    joined = kept.join(classes.toDF(doc, "class_id"), kept[id_column].cast("long") == F.col(doc), "left")
+    return joined.drop(doc)
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:

@@ -13,10 +13,11 @@ earlier in the same one). Matches never cross documents; all strings are judged
    suffixes compare by the length of their common extension, found by binary search over prefix polynomial hashes.
    Neighbours with an extension of ``length`` are compared byte by byte (a collision of hashes is split there) and form
    a class; all but its earliest suffix mark their bytes.
-4. The marked spans of a document are merged and cut out.
+4. The marked spans of a document are merged, in each task and then over all, and cut out.
 
-Null text counts as empty; documents shorter than ``length`` lose nothing; equal texts are ordered by id; repeated rows
-of one id are one document each with equal rank, ordered by nothing further, so ids must be unique. Extra columns stay.
+Null text counts as empty; documents shorter than ``length`` lose nothing; equal texts are ordered by id. Rows of one id
+are one document in that order: of two of them neither is earlier than the other at the same start, so a repeated row
+takes nothing from its copy. Rows of one id are told apart by their text. Extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE, CHUNK, PrefixHash, chunks, mix, pieces, small_batches, stored
+from .arrays import BASE, CHUNK, PrefixHash, chunks, free_name, mix, own_session, pieces, stored
 
 LENGTH = 100
 ANCHOR = 32
@@ -39,7 +40,13 @@ HELD = 1 << 18
 #: The second, independent hash of a neighbourhood.
 BASE2 = 0xD6E8FEB86659FD93
 
-ANCHOR_ROW = np.dtype([("key", "<u8"), ("near", "<u8"), ("doc", "<i8"), ("pos", "<i4"), ("left", "u1"), ("right", "u1")])
+#: ``twin`` is a hash of the row's text, which tells rows of one id apart.
+ANCHOR_ROW = np.dtype(
+    [("key", "<u8"), ("near", "<u8"), ("doc", "<i8"), ("twin", "<i8"), ("pos", "<i4"), ("left", "u1"), ("right", "u1")]
+)
+SPAN = np.dtype([("start", "<i4"), ("stop", "<i4")])
+ASKED = np.dtype([("key", "<i8"), ("part", "<i4"), ("start", "<i4"), ("stop", "<i4"), ("pos", "<i4")])
+FIRST = np.dtype([("hash1", "<i8"), ("hash2", "<i8"), ("doc", "<i8"), ("twin", "<i8"), ("start", "<i4")])
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,7 +78,7 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> tuple
     return at, keys[at], hashed
 
 
-def anchor_rows(texts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def anchor_rows(texts: list[bytes], docs: np.ndarray, twins: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """The anchors of some documents, each with the hash of its neighbourhood: all windows that can have this anchor."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     bounds = np.concatenate(([0], np.cumsum(sizes)))
@@ -85,7 +92,7 @@ def anchor_rows(texts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> n
     rows = np.empty(len(at), ANCHOR_ROW)
     second = PrefixHash(data, BASE2)
     # Anchors have the least hashes of their windows; mixed once more they are even, as buckets need them.
-    rows["key"], rows["doc"], rows["pos"] = mix(keys), docs[owner], at - begin
+    rows["key"], rows["doc"], rows["twin"], rows["pos"] = mix(keys), docs[owner], twins[owner], at - begin
     rows["left"], rows["right"] = at - low, high - at
     sides = rows["left"].astype(np.uint64) << np.uint64(8) | rows["right"]
     rows["near"] = mix(second.slices(low, high) ^ mix(sides))
@@ -102,15 +109,51 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
 
 
 def _settle(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first of equal neighbourhoods, whether its anchor begins here, and the repeated neighbourhoods."""
-    rows = rows[np.lexsort((rows["pos"], rows["doc"], rows["near"], rows["key"]))]
+    """The first of equal neighbourhoods (all that share its id and place), whether its anchor begins here, and the repeated ones."""
+    rows = rows[np.lexsort((rows["twin"], rows["pos"], rows["doc"], rows["near"], rows["key"]))]
     key_starts = _changes(rows["key"])
-    first = key_starts | _changes(rows["near"])
-    return rows[first], key_starts[first], rows[~first]
+    starts = key_starts | _changes(rows["near"])
+    rows_differ = starts | _changes(rows["doc"], rows["pos"], rows["twin"])
+    first = rows[np.flatnonzero(starts)][np.cumsum(starts) - 1] if len(rows) else rows
+    kept = (rows["doc"] == first["doc"]) & (rows["pos"] == first["pos"])
+    return rows[kept & rows_differ], key_starts[kept & rows_differ], rows[~kept]
 
 
-def _spans(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return rows["doc"], rows["pos"] - rows["left"].astype("<i4"), rows["pos"] + rows["right"].astype("<i4")
+def _spans(rows: np.ndarray) -> np.ndarray:
+    out = np.empty(len(rows), SPAN)
+    out["start"], out["stop"] = rows["pos"] - rows["left"].astype("<i4"), rows["pos"] + rows["right"].astype("<i4")
+    return out
+
+
+def _merged(doc: np.ndarray, twin: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same bytes of each document in as few spans as cover them, in order."""
+    order = np.lexsort((spans["start"], twin, doc))
+    doc, twin, spans = doc[order], twin[order], spans[order]
+    # Each document's places lie beyond those of the ones before it.
+    shift = np.cumsum(_changes(doc, twin)).astype(np.int64) << 32
+    reach = np.maximum.accumulate(spans["stop"] + shift)
+    begins = np.ones(len(doc), dtype=bool)
+    begins[1:] = spans["start"][1:] + shift[1:] > reach[:-1]
+    at = np.flatnonzero(begins)
+    out = spans[at].copy()
+    if len(at):
+        out["stop"] = np.append(reach[at[1:] - 1], reach[-1]) - shift[at]
+    return doc[at], twin[at], out
+
+
+def _packed(doc: np.ndarray, twin: np.ndarray, rows: np.ndarray) -> dict[tuple[int, int], bytes]:
+    """Rows of each document as bytes."""
+    order = np.lexsort((twin, doc))
+    doc, twin, rows = doc[order], twin[order], rows[order]
+    cut = np.flatnonzero(_changes(doc, twin)).tolist() + [len(doc)]
+    return {(int(doc[i]), int(twin[i])): rows[i:j].tobytes() for i, j in zip(cut, cut[1:])}
+
+
+def _by_document(spans: dict[tuple[int, int], bytes], asked: dict[tuple[int, int], bytes]) -> pa.Table:
+    names = list(dict.fromkeys([*spans, *asked]))
+    columns = [pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64())]
+    columns += [pa.array([held.get(n) for n in names], pa.binary()) for held in (spans, asked)]
+    return pa.Table.from_arrays(columns, names=["doc_id", "twin", "spans", "asked"])
 
 
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -198,13 +241,19 @@ def _verified(data: np.ndarray, start: np.ndarray, shared: np.ndarray) -> np.nda
 
 
 def repeated_windows(
-    data: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray, length: int = LENGTH
+    data: np.ndarray,
+    anchor: np.ndarray,
+    left: np.ndarray,
+    right: np.ndarray,
+    group: np.ndarray,
+    place: np.ndarray,
+    length: int = LENGTH,
 ) -> tuple[np.ndarray, np.ndarray]:
     """For neighbourhoods in order of (group, document, position): which windows repeat an earlier one, and which are first.
 
     Column k stands for the window that begins ``length - ANCHOR - k`` bytes before the anchor. Two windows are equal
     when the suffixes at the anchor agree to the window's end and the reversed ones to its start, so the classes of
-    all windows follow from two suffix sorts.
+    all windows follow from two suffix sorts. Members of equal ``place`` (rows of one id) are as early as each other.
     """
     n, spread = len(anchor), length - ANCHOR + 1
     forward, agree_right = suffix_sort(data, anchor, right, group)
@@ -228,7 +277,9 @@ def repeated_windows(
             continue
         both = classes[0][at] * n + classes[1][at]
         sort = np.argsort(both, kind="stable")
-        later = at[sort[~_changes(both[sort])]]
+        starts = _changes(both[sort])
+        first = at[sort[np.flatnonzero(starts)]][np.cumsum(starts) - 1]
+        later = at[sort][place[at[sort]] != place[first]]
         repeat[later, k] = True
         head[later, k] = False
     return repeat, head
@@ -265,9 +316,9 @@ def _scan(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Itera
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).fill_null(b"")
         sizes = pa.compute.binary_length(texts).to_numpy(zero_copy_only=False)
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
+        docs, twins = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
         for start, stop in chunks(sizes):
-            rows = anchor_rows(texts.slice(start, stop - start).to_pylist(), docs[start:stop], length)
+            rows = anchor_rows(texts.slice(start, stop - start).to_pylist(), docs[start:stop], twins[start:stop], length)
             held.append(rows)
             count += len(rows)
             if count >= HELD:
@@ -281,30 +332,29 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x), dtype=dtype)
 
 
-MARKS = "doc_id long, start int, stop int, key long, part int, pos int"
+MARKS = "doc_id long, twin long, spans binary, asked binary"
 
 
 def _meet(table: pa.Table, most: int) -> pa.Table:
-    """Settle one bucket: spans of repeated neighbourhoods, and the neighbourhoods that must be compared as bytes."""
+    """Settle one bucket: a document's spans of repeated neighbourhoods, and those that must be compared as bytes."""
     rows, starts, repeats = _settle(_joined(table.column("block"), ANCHOR_ROW))
     group = np.cumsum(starts) - 1
     sizes = np.bincount(group) if len(group) else np.zeros(0, np.int64)
     rank = np.arange(len(rows)) - np.flatnonzero(starts)[group]
     open_ = sizes[group] > 1
     done = np.concatenate((repeats, _joined(table.column("repeats"), ANCHOR_ROW)))
-    spans, asked = _spans(done), _spans(rows[open_])
     # Members of an oversized group are dealt out; the number of its parts is in the part number's sign.
     part = rank[open_] // most
-    part = np.where(sizes[group][open_] > most, -1 - part, part).astype(np.int32)
-    n, m = len(done), len(part)
-    key = rows["key"][open_].view(np.int64)
-    columns = [np.concatenate(pair) for pair in zip(spans, asked)]
-    late = [pa.concat_arrays([pa.nulls(n, pa.from_numpy_dtype(x.dtype)), pa.array(x)]) for x in (key, part, rows["pos"][open_].astype(np.int32))]
-    assert len(columns[0]) == n + m
-    return pa.Table.from_arrays([pa.array(c) for c in columns] + late, names=["doc_id", "start", "stop", "key", "part", "pos"])
+    part = np.where(sizes[group][open_] > most, -1 - part, part)
+    asked, spans = np.empty(len(part), ASKED), _spans(rows[open_])
+    asked["key"], asked["part"], asked["pos"] = rows["key"][open_].view(np.int64), part, rows["pos"][open_]
+    asked["start"], asked["stop"] = spans["start"], spans["stop"]
+    return _by_document(
+        _packed(*_merged(done["doc"], done["twin"], _spans(done))), _packed(rows["doc"][open_], rows["twin"][open_], asked)
+    )
 
 
-WANTED = np.dtype([("key", "<i8"), ("part", "<i4"), ("doc", "<i8"), ("start", "<i4"), ("stop", "<i4"), ("pos", "<i4")])
+WANTED = np.dtype([("doc", "<i8"), ("twin", "<i8"), *ASKED.descr])
 
 
 def _fetch(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -326,38 +376,32 @@ def _fetch(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         )
 
     held, cut, size = [], [], 0
-    for batch in batches:
-        asked = batch.column(2)
-        flat = asked.flatten()
-        counts = pa.compute.list_value_length(asked).to_numpy(zero_copy_only=False)
-        rows = np.empty(len(flat), WANTED)
-        for name in ("key", "part", "start", "stop", "pos"):
-            rows[name] = flat.field(name).to_numpy(zero_copy_only=False)
-        rows["doc"] = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), counts)
-        at = 0
-        for text, n in zip(batch.column(1), counts.tolist()):
-            data = text.as_buffer().to_pybytes()
-            mine = rows[at : at + n]
-            at += n
-            held.append(mine)
-            cut.extend(map(data.__getitem__, map(slice, mine["start"].tolist(), mine["stop"].tolist())))
-            size += int((mine["stop"] - mine["start"]).sum()) + 64 * n
-            if size >= 8 << 20:
-                yield sent(np.concatenate(held), cut)
-                held, cut, size = [], [], 0
+    for doc, twin, text, asked in (row for batch in batches for row in zip(*batch.columns, strict=True)):
+        found = np.frombuffer(b"".join(block.as_py() for block in asked.values), ASKED)
+        mine = np.empty(len(found), WANTED)
+        mine["doc"], mine["twin"] = doc.as_py(), twin.as_py()
+        for name in ASKED.names:
+            mine[name] = found[name]
+        data = text.as_buffer().to_pybytes()
+        held.append(mine)
+        cut.extend(map(data.__getitem__, map(slice, mine["start"].tolist(), mine["stop"].tolist())))
+        size += int((mine["stop"] - mine["start"]).sum()) + 64 * len(mine)
+        if size >= 8 << 20:
+            yield sent(np.concatenate(held), cut)
+            held, cut, size = [], [], 0
     if cut:
         yield sent(np.concatenate(held), cut)
 
 
-FOUND = "doc_id long, start int, stop int, hash1 long, hash2 long"
+FOUND = "doc_id long, twin long, spans binary, part int, firsts binary"
 
 
-def _compare(table: pa.Table, length: int) -> pa.Table:
-    """Sort the suffixes of one bucket's groups: repeated windows as spans, and the firsts of dealt-out groups."""
+def _compare(table: pa.Table, length: int, buckets: int) -> pa.Table:
+    """Sort the suffixes of one bucket's groups: each document's repeated windows, and the firsts of dealt-out groups by bucket."""
     rows, data = _joined(table.column("rows"), WANTED), _joined(table.column("bytes"), np.uint8)
     size = rows["stop"] - rows["start"]
     begin = np.cumsum(size, dtype=np.int64) - size
-    order = np.lexsort((rows["pos"], rows["doc"], rows["part"], rows["key"]))
+    order = np.lexsort((rows["twin"], rows["pos"], rows["doc"], rows["part"], rows["key"]))
     rows, begin, size = rows[order], begin[order], size[order]
     groups = np.append(np.flatnonzero(_changes(rows["key"], rows["part"])), len(rows))
     out = []
@@ -366,32 +410,56 @@ def _compare(table: pa.Table, length: int) -> pa.Table:
         i, j = int(groups[i]), int(groups[j])
         held = np.concatenate([data[a : a + n] for a, n in zip(begin[i:j].tolist(), size[i:j].tolist())])
         out.append(_compare_groups(rows[i:j], held, length))
-    kinds = (np.int64, np.int32, np.int32, np.int64, np.int64, bool)
-    columns = [np.concatenate([np.zeros(0, kind), *(o[i] for o in out)]) for i, kind in enumerate(kinds)]
-    late = [pa.array(c, mask=~columns[5]) for c in columns[3:5]]
-    return pa.Table.from_arrays([pa.array(c) for c in columns[:3]] + late, names=["doc_id", "start", "stop", "hash1", "hash2"])
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, SPAN), np.zeros(0, FIRST))
+    doc, twin, spans, firsts = (np.concatenate([none, *(o[k] for o in out)]) for k, none in enumerate(empty))
+    packed = _packed(*_merged(doc, twin, spans))
+    bucket = _bucket(mix(firsts["hash1"].view(np.uint64)), buckets)
+    firsts = firsts[np.argsort(bucket, kind="stable")]
+    bucket = np.sort(bucket)
+    cut = np.flatnonzero(_changes(bucket)).tolist() + [len(bucket)]
+    parts = [(int(bucket[i]), firsts[i:j].tobytes()) for i, j in zip(cut, cut[1:])]
+    none, nothing = [None] * len(packed), [None] * len(parts)
+    columns = [
+        pa.array([d for d, _ in packed] + nothing, pa.int64()),
+        pa.array([t for _, t in packed] + nothing, pa.int64()),
+        pa.array(list(packed.values()) + nothing, pa.binary()),
+        pa.array(none + [b for b, _ in parts], pa.int32()),
+        pa.array(none + [f for _, f in parts], pa.binary()),
+    ]
+    return pa.Table.from_arrays(columns, names=["doc_id", "twin", "spans", "part", "firsts"])
 
 
 def _compare_groups(rows: np.ndarray, data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Document, start, stop, two hashes and whether it is a first (else a repeated span) for some groups."""
+    """Documents, twins and spans that repeat in some groups, and the first windows of dealt-out groups."""
     size = rows["stop"] - rows["start"]
     begin = np.cumsum(size, dtype=np.int64) - size
     group = np.cumsum(_changes(rows["key"], rows["part"]))
+    place = np.cumsum(_changes(group, rows["doc"], rows["pos"]))
     left, right = (rows["pos"] - rows["start"]).astype(np.int64), (rows["stop"] - rows["pos"]).astype(np.int64)
-    repeat, head = repeated_windows(data, begin + left, left, right, group, length)
+    repeat, head = repeated_windows(data, begin + left, left, right, group, place, length)
     origin = rows["pos"] - (length - ANCHOR)
     row, first, last = _runs(repeat)
+    spans = np.empty(len(row), SPAN)
+    spans["start"], spans["stop"] = origin[row] + first, origin[row] + last + length
     split, column = np.nonzero(head & (rows["part"] < 0)[:, None])
-    at = begin[split] + left[split] - (length - ANCHOR) + column
-    hashes = [PrefixHash(data, base).slices(at, at + length).view(np.int64) for base in ((BASE, BASE2) if len(at) else ())]
-    none = np.zeros(len(row), np.int64)
-    return (
-        np.concatenate((rows["doc"][row], rows["doc"][split])),
-        np.concatenate((origin[row] + first, origin[split] + column)).astype(np.int32),
-        np.concatenate((origin[row] + last + length, origin[split] + column + length)).astype(np.int32),
-        *(np.concatenate((none, h)) for h in hashes or (none[:0], none[:0])),
-        np.concatenate((none.astype(bool), np.ones(len(split), bool))),
-    )
+    firsts = np.empty(len(split), FIRST)
+    if len(split):
+        at = begin[split] + left[split] - (length - ANCHOR) + column
+        firsts["hash1"], firsts["hash2"] = (PrefixHash(data, base).slices(at, at + length).view(np.int64) for base in (BASE, BASE2))
+        firsts["doc"], firsts["twin"], firsts["start"] = rows["doc"][split], rows["twin"][split], origin[split] + column
+    return rows["doc"][row], rows["twin"][row], spans, firsts
+
+
+def _later(table: pa.Table, length: int) -> pa.Table:
+    """Each document's windows that are not the first of their hashes, of one bucket of dealt-out groups' firsts."""
+    rows = _joined(table.column("firsts"), FIRST)
+    rows = rows[np.lexsort((rows["start"], rows["doc"], rows["hash2"], rows["hash1"]))]
+    starts = _changes(rows["hash1"], rows["hash2"])
+    first = rows[np.flatnonzero(starts)][np.cumsum(starts) - 1] if len(rows) else rows
+    rows = rows[(rows["doc"] != first["doc"]) | (rows["start"] != first["start"])]
+    spans = np.empty(len(rows), SPAN)
+    spans["start"], spans["stop"] = rows["start"], rows["start"] + length
+    return _by_document(_packed(*_merged(rows["doc"], rows["twin"], spans)), {}).drop_columns("asked")
 
 
 def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -411,28 +479,28 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[i
 def repeat_spans(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, group: int = GROUP
 ) -> DataFrame:
-    """Spans (doc_id, start, stop) of bytes that repeat; a document's spans may overlap and come in any order."""
+    """Packed spans (doc_id, twin, spans) of bytes that repeat; a document's may overlap and lie in several rows.
+
+    ``twin`` is ``xxhash64`` of the row's text; ``spans`` are pairs of 32-bit start and stop.
+    """
     if not 2 * ANCHOR <= length <= 200:
         raise ValueError(f"length must be {2 * ANCHOR} to 200")
-    small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
+    content = F.col(text).cast("string")
+    texts = own_session(docs).select(F.col(id_column).cast("long").alias("doc_id"), content.alias("text"), F.xxhash64(content).alias("twin"))
+    texts = texts.where("doc_id is not null")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces(total, BUCKET_BYTES)
     blocks = texts.mapInArrow(lambda it: _scan(it, buckets, length), "bucket int, block binary, repeats binary")
     marks = stored(blocks.groupBy("bucket").applyInArrow(lambda t: _meet(t, group), MARKS), "suffix-marks")
-    asked = (
-        marks.where(F.col("key").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("key", "part", "start", "stop", "pos")).alias("asked"))
-    )
-    wanted = texts.join(asked, "doc_id").select("doc_id", "text", "asked")
+    asked = marks.where(F.col("asked").isNotNull()).groupBy("doc_id", "twin").agg(F.collect_list("asked").alias("asked"))
+    # One of identical rows is enough: the spans found are theirs alike.
+    wanted = texts.join(asked, ["doc_id", "twin"]).select("doc_id", "twin", "text", "asked")
     cuts = wanted.mapInArrow(lambda it: _fetch(it, buckets), "bucket int, rows binary, bytes binary")
-    found = stored(cuts.groupBy("bucket").applyInArrow(lambda t: _compare(t, length), FOUND), "suffix-found")
-    firsts = found.where(F.col("hash1").isNotNull())
-    lowest = firsts.groupBy("hash1", "hash2").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    later = firsts.join(lowest, ["hash1", "hash2"]).where(F.struct("doc_id", "start") != F.col("first"))
-    spans = ["doc_id", "start", "stop"]
-    return marks.where(F.col("key").isNull()).select(spans).unionByName(found.where(F.col("hash1").isNull()).select(spans)).unionByName(later.select(spans))
+    found = stored(cuts.groupBy("bucket").applyInArrow(lambda t: _compare(t, length, buckets), FOUND), "suffix-found")
+    firsts = found.where(F.col("firsts").isNotNull()).select("part", "firsts")
+    later = firsts.groupBy("part").applyInArrow(lambda t: _later(t, length), "doc_id long, twin long, spans binary")
+    spans = [source.where(F.col("spans").isNotNull()).select("doc_id", "twin", "spans") for source in (marks, found)]
+    return spans[0].unionByName(spans[1]).unionByName(later)
 
 
 CUT = "spans array<struct<start:int,stop:int>>, kept {}, n_bytes long, n_removed long"
@@ -448,13 +516,20 @@ def remove_repeats(
     """
     added = ["spans", "kept", "n_bytes", "n_removed"]
     others = [c for c in docs.columns if c not in added]
+    found, twin, doc = (free_name(docs, n) for n in ("found", "twin", "doc"))
     spans = (
         repeat_spans(docs, id_column, text, length)
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+        .groupBy(F.col("doc_id").alias(doc), F.col("twin").alias(twin))
+        .agg(F.collect_list("spans").alias(found))
     )
-    joined = docs.select(*others).join(spans, F.col(id_column).cast("long") == F.col("_doc"), "left").drop("_doc")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "_spans"] + [CUT.format("string" if as_text else "binary")])
+    rows = own_session(docs).select(*others)
+    same = (rows[id_column].cast("long") == F.col(doc)) & (F.xxhash64(rows[text].cast("string")) == F.col(twin))
+    joined = rows.join(spans, same, "left").drop(doc, twin)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != found] + [CUT.format("string" if as_text else "binary")])
+
+    def marks(blocks: list[bytes] | None) -> list[tuple[int, int]]:
+        held = np.frombuffer(b"".join(blocks or ()), SPAN)
+        return list(zip(held["start"].tolist(), held["stop"].tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -462,8 +537,7 @@ def remove_repeats(
             for first, last in chunks(sizes):
                 part = batch.slice(first, last - first)
                 texts = [t or b"" for t in part.column(text).cast(pa.binary()).to_pylist()]
-                marks = [[(s["start"], s["stop"]) for s in m or ()] for m in part.column("_spans").to_pylist()]
-                cut = [_cut(t, m) for t, m in zip(texts, marks, strict=True)]
+                cut = [_cut(t, marks(m)) for t, m in zip(texts, part.column(found).to_pylist(), strict=True)]
                 columns = [part.column(c) for c in others] + [
                     pa.array([[{"start": a, "stop": b} for a, b in m] for _, m in cut], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
                     pa.array([k.decode("utf-8", "ignore") for k, _ in cut], pa.string()) if as_text else pa.array([k for k, _ in cut], pa.binary()),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import PrefixHash, chunks, mix, small_batches, stored
+from .arrays import PrefixHash, chunks, mix, own_session, stored
 from .bpe import BLANK, LETTER, NUMBER, _point_classes
 
 SPAN, DECAY = 5, 0.7
@@ -280,7 +280,7 @@ def fit(
 
     The rows are drawn among the labels, so the two numbers bound what is sent to the tasks that read the texts.
     """
-    small_batches(docs.sparkSession)
+    docs = own_session(docs)
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("toxic"))
     sizes = dict(known.groupBy("toxic").count().collect())
     if len(sizes) < 2:
@@ -288,7 +288,8 @@ def fit(
     share = F.when(F.col("toxic") == 1, F.lit(train_toxic / sizes[1])).otherwise(F.lit(train_clean / sizes[0]))
     draw = F.xxhash64(F.lit("toxicity"), F.col("_id")) / F.lit(2.0**64) + 0.5
     chosen = F.broadcast(known.where(draw < share))
-    drawn = docs.join(chosen, docs[id_column] == chosen["_id"]).select("toxic", F.coalesce(docs[text], F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_column).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
+    drawn = rows.join(chosen, rows["id"] == chosen["_id"]).select("toxic", "text")
     sample = stored(drawn, "toxicity-sample")
     n = dict(sample.groupBy("toxic").count().collect())
     if len(n) < 2:
@@ -338,7 +339,7 @@ def fit(
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); columns of these names are replaced."""
-    small_batches(docs.sparkSession)
+    docs = own_session(docs)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
