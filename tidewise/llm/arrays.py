@@ -111,13 +111,21 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage with a table in the folder all executors share."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table of ``stored`` once everything that is read from it is stored itself."""
+    files, spark = table.inputFiles(), table.sparkSession
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pieces(total: int, each: int) -> int:
     """How many parts of about ``each`` hold ``total``."""
     return max(1, -(-int(total) // each))

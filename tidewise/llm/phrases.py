@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import BASE, mix, own_session, pieces, stored
+from .arrays import BASE, discard, mix, own_session, pieces, stored
 
 # What ends a piece, what separates words, and the language of texts without one.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -46,18 +46,18 @@ LONGEST = 4
 ABSORB = 80
 TOP = 2000
 #: Text of a block, text whose phrases' counts meet in one task, and counts that a task holds before it sends them on.
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 8 << 20
-HELD = 1 << 20
+BLOCK_BYTES = 3 << 20
+BUCKET_BYTES = 4 << 20
+HELD = 1 << 18
 #: Blocks that go to Python at once.
-BLOCK_ROWS = 2
+BLOCK_ROWS = 1
 
 WORD, BLANK, END = 0, 1, 2
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _KIND = np.array([END if c in PIECE_ENDS else BLANK if c in BLANKS else WORD for c in range(256)], dtype=np.uint8)
 
 #: A block's count of one phrase, keyed by its first words and its last one, and the number that comes back.
-COUNT = np.dtype([("pre", "<i8"), ("next", "<i8"), ("n", "<i8"), ("block", "<i8"), ("at", "<i4")])
+COUNT = np.dtype([("pre", "<i8"), ("next", "<i8"), ("n", "<i4"), ("block", "<i8"), ("at", "<i4")])
 NUMBER = np.dtype([("at", "<i4"), ("id", "<i8")])
 
 OCCURRENCES = "block long, lang array<string>, word array<string>, n array<long>, places binary, words binary"
@@ -82,6 +82,20 @@ def _unpack_places(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data, "<i4"), dtype=np.int64)
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in order of block and place in it, byte by byte of each field: the upper bytes are mostly alike."""
+    steps = counts.copy()
+    steps["at"] = np.diff(counts["at"], prepend=0)
+    return _pack(steps.view(np.uint8).reshape(len(counts), COUNT.itemsize).T)
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    planes = _unpack(data, "u1").reshape(COUNT.itemsize, -1)
+    counts = planes.T.copy().view(COUNT).reshape(-1)
+    counts["at"] = np.cumsum(counts["at"])
+    return counts
+
+
 def _parts(text: bytes, limit: int) -> Iterator[bytes]:
     """A text in parts of about ``limit`` bytes that end where pieces do."""
     if len(text) <= limit:
@@ -99,7 +113,7 @@ def _parts(text: bytes, limit: int) -> Iterator[bytes]:
 def occurrences(texts: list[bytes], langs: list[str]) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (language, word) with their counts, and all words in order: places and numbers of distinct words."""
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    data = np.frombuffer(b"".join(t + b"\n" for t in texts).translate(_LOWER), np.uint8)
+    data = np.frombuffer(b"\n".join([*texts, b""]).translate(_LOWER), np.uint8)
     kind = _KIND[data]
     inside = np.concatenate(([False], kind == WORD, [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
@@ -107,7 +121,7 @@ def occurrences(texts: list[bytes], langs: list[str]) -> tuple[pa.Array, pa.Arra
     offsets = np.concatenate(([0], np.cumsum(stop - start)))
     letters = pa.py_buffer(data[kind == WORD])
     words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), letters]).dictionary_encode()
-    place = np.arange(len(start)) + np.cumsum(kind == END)[start]
+    place = np.arange(len(start)) + np.cumsum(kind == END, dtype=np.int32)[start]
     names = {name: i for i, name in enumerate(dict.fromkeys(langs))}
     spoken = np.array([names[name] for name in langs], dtype=np.int64)
     lang = spoken[np.searchsorted(np.cumsum(sizes), start, side="right")]
@@ -144,14 +158,6 @@ def _scan(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Re
         yield row()
 
 
-def _numbers(values: pa.Array) -> np.ndarray:
-    if not pa.types.is_struct(values.type):
-        return np.frombuffer(b"".join(values.to_pylist()), NUMBER)
-    out = np.empty(len(values), NUMBER)
-    out["at"], out["id"] = (values.field(n).to_numpy(zero_copy_only=False) for n in ("at", "id"))
-    return out
-
-
 def _numbered(held: np.ndarray, places: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The semi-join in a block: occurrences of the phrases that were given numbers, and those numbers in order."""
     rank = np.full(int(max(phrases.max(initial=-1), held["at"].max(initial=-1))) + 1, -1, dtype=np.int64)
@@ -162,7 +168,7 @@ def _numbered(held: np.ndarray, places: np.ndarray, phrases: np.ndarray) -> tupl
 
 def _extend(batches: Iterator[pa.RecordBatch], k: int, buckets: int, more: bool) -> Iterator[pa.RecordBatch]:
     """R(k + 1) of each block by a merge-join of R(k) and R(1), and its blocks' counts by bucket of their phrase."""
-    held: list[np.ndarray] = []
+    sums: list[np.ndarray] = []
 
     def relation(*values) -> pa.RecordBatch:
         row = [pa.array([v], pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(values)]
@@ -170,20 +176,26 @@ def _extend(batches: Iterator[pa.RecordBatch], k: int, buckets: int, more: bool)
         return pa.RecordBatch.from_arrays(row, schema=_RELATION)
 
     def sent() -> pa.RecordBatch:
-        counts = np.concatenate(held)
+        counts = np.concatenate(sums)
         key = mix(counts["pre"].view(np.uint64) * np.uint64(BASE) ^ mix(counts["next"].view(np.uint64)))
         bucket = (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         cut = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
         at = [order[i:j] for i, j in zip(cut, cut[1:])]
         row = [pa.nulls(len(at), f.type) for f in list(_RELATION)[:-2]]
-        row += [pa.array([int(bucket[p[0]]) for p in at], pa.int32()), pa.array([counts[p].tobytes() for p in at], pa.binary())]
+        row += [pa.array([int(bucket[p[0]]) for p in at], pa.int32()), pa.array([_pack_counts(counts[p]) for p in at], pa.binary())]
         return pa.RecordBatch.from_arrays(row, schema=_RELATION)
 
     for batch in batches:
-        numbers = batch.column("numbers")
-        for i, row in enumerate(batch.drop_columns("numbers").to_pylist()):
-            places, phrases, ids = _numbered(_numbers(numbers[i].values), _unpack_places(row["places"]), _unpack(row["phrases"], "<i4"))
+        several = [batch.column(n) for n in ("ats", "ids")] if k == 1 else [batch.column("numbers")]
+        for i, row in enumerate(batch.select(["block", *_RELATION.names[1:6]]).to_pylist()):
+            held = [column[i].values for column in several]
+            if k == 1:
+                given = np.empty(len(held[0]), NUMBER)
+                given["at"], given["id"] = (values.to_numpy(zero_copy_only=False) for values in held)
+            else:
+                given = np.frombuffer(b"".join(held[0].to_pylist()), NUMBER)
+            places, phrases, ids = _numbered(given, _unpack_places(row["places"]), _unpack(row["phrases"], "<i4"))
             if k == 1:
                 places1, words1, ids1 = places, phrases, ids
             else:
@@ -197,16 +209,16 @@ def _extend(batches: Iterator[pa.RecordBatch], k: int, buckets: int, more: bool)
             counts = np.empty(len(found), COUNT)
             counts["pre"], counts["next"] = ids[found // max(1, len(ids1))], ids1[found % max(1, len(ids1))]
             counts["n"], counts["block"], counts["at"] = n, row["block"], np.arange(len(found))
-            held.append(counts)
+            sums.append(counts)
             if more and len(found):
                 # Of R(1), the next join asks for what follows these occurrences only.
                 next_ = np.isin(places1, places + k + 1, assume_unique=True)
                 packed = _pack_places(places1[next_]), _pack(words1[next_].astype("<i4")), _pack(ids1.astype("<i8"))
                 yield relation(row["block"], *packed, _pack_places(places), _pack(number.astype("<i4")))
-            if sum(map(len, held)) >= HELD:
+            if sum(map(len, sums)) >= HELD:
                 yield sent()
-                held = []
-    if sum(map(len, held)):
+                sums = []
+    if sum(map(len, sums)):
         yield sent()
 
 
@@ -219,10 +231,10 @@ _RELATION = pa.schema(
 
 def _count(key: tuple, table: pa.Table, least: int, more: bool) -> pa.Table:
     """The group-count of one bucket's phrases: those frequent enough, and their numbers for each block that has them."""
-    rows = np.frombuffer(b"".join(table.column("counts").to_pylist()), COUNT)
+    rows = np.concatenate([_unpack_counts(c.as_py()) for c in table.column("counts")])
     rows = rows[np.lexsort((rows["next"], rows["pre"]))]
     starts = np.flatnonzero(np.concatenate(([True], (rows["pre"][1:] != rows["pre"][:-1]) | (rows["next"][1:] != rows["next"][:-1]))))
-    total = np.add.reduceat(rows["n"], starts)
+    total = np.add.reduceat(rows["n"].astype(np.int64), starts)
     frequent = total >= least
     number = (np.int64(key[0].as_py()) << np.int64(40)) + np.cumsum(frequent) - 1
     groups = rows[starts[frequent]]
@@ -266,22 +278,24 @@ def frequent_phrases(
     rows = own_session(rows.where("text != ''"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces(total, BUCKET_BYTES)
-    blocks = stored(rows.mapInArrow(lambda it: _scan(it, block_bytes), OCCURRENCES), "phrases-1")
+    blocks = stored(rows.mapInArrow(lambda it: _scan(it, block_bytes), OCCURRENCES), "phrases-1", "zstd")
     counted = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "it")).select("block", "at", "it.*")
     totals = stored(counted.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     words = counted.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     words = stored(words.withColumn("id", F.monotonically_increasing_id()), "phrases-words")
-    numbers = counted.join(words, ["lang", "word"]).select("block", F.struct("at", "id").alias("one"))
-    numbers = numbers.groupBy("block").agg(F.collect_list("one").alias("numbers"))
+    # Both lists take the same rows in the same order; as lists of numbers they are a third of one list of pairs.
+    numbers = counted.join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list("at").alias("ats"), F.collect_list("id").alias("ids"))
     relation = blocks.select("block", *[F.lit(None).cast("binary").alias(n) for n in ("places1", "words1", "ids1")], "places", F.col("words").alias("phrases"))
     named = words.select("id", "lang", F.array("word").alias("words"), "a")
-    found = [named]
+    found, table = [named], blocks
     for k in range(1, longest):
         more = k + 1 < longest
         joined = own_session(relation.join(numbers, "block"), BLOCK_ROWS)
         step = stored(joined.mapInArrow(_extender(k, buckets, more), RELATION), f"phrases-{k + 1}")
         counts = step.where("counts is not null").select("bucket", "counts")
         groups = stored(counts.groupBy("bucket").applyInArrow(_counter(least, more), GROUPS), f"phrases-groups-{k + 1}")
+        discard(table)
+        table = step
         longer = groups.where("id is not null").select("id", "pre", "next", "a")
         before = named.select(F.col("id").alias("pre"), "lang", F.col("words").alias("first"))
         after = words.select(F.col("id").alias("next"), "word")
@@ -289,6 +303,7 @@ def frequent_phrases(
         found.append(named)
         relation = step.where("counts is null").drop("bucket", "counts")
         numbers = groups.where("block is not null").groupBy("block").agg(F.collect_list("numbers").alias("numbers"))
+    discard(table)
     every = found[0]
     for one in found[1:]:
         every = every.unionByName(one)
