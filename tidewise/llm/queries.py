@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, mixing, oracle, packing, phrases, probminhash, suffix, topk, toxicity, urls
+from . import ann, bpe, langid, mixing, oracle, packing, phrases, probminhash, repair, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +145,17 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_phrases"] = oracle.phrases_sql(phrases.LEAST, phrases.ABSORB, phrases.TOP)
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: by a hash of id and turn a row is dropped, emptied, loses its stops, is doubled or made the user's."""
+    rows = _read(spark, sf_dir, "conversations")
+    space = F.lit(" ")
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    damage = F.crc32(named) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    text = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.when(damage == 0, 0).when(damage == 3, 2).otherwise(1)
+    damaged = rows.select("conv_id", "turn", F.when(damage == 4, "user").otherwise(role).alias("role"), text.alias("text"), copies.alias("copies"))
+    return repair.repair_digests(repair.turns(damaged, copies="copies"))
