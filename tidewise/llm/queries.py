@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, mixing, oracle, packing, phrases, probminhash, repair, suffix, topk, toxicity, urls
+from . import ann, bpe, langid, mixing, oracle, packing, phrases, probminhash, quality, repair, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +147,14 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_phrases"] = oracle.phrases_sql(phrases.LEAST, phrases.ABSORB, phrases.TOP)
 
 
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _read(spark, sf_dir, "labels").where("quality is not null").select("doc_id", "quality")
+    found = quality.score(docs, quality.fit(docs, labels.where(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged conversations: by a hash of id and turn a row is dropped, emptied, loses its stops, is doubled or made the user's."""
