@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidewise.operators import dashboard as d
 
@@ -13,7 +14,9 @@ def pages(spark):
         ("b", "2", "1", "c2", None, "home", 2000, "2024-01-08"),
     ]
     names = "mid user_id is_new channel last_page_id page_id during_time dt".split()
-    return spark.createDataFrame(rows, ", ".join(f"{n} {'LONG' if n == 'during_time' else 'STRING'}" for n in names))
+    given = spark.createDataFrame(rows, ", ".join(f"{n} {'LONG' if n == 'during_time' else 'STRING'}" for n in names))
+    moment = F.unix_millis(F.col("dt").cast("timestamp")) + F.when(F.col("last_page_id") == "home", 9).otherwise(0)
+    return given.withColumn("ts", moment).withColumn("page_item", F.lit("1"))
 
 
 def rows(df):
@@ -32,6 +35,9 @@ def test_visits(pages):
     stats = {r.metric: (r.old, r.new) for r in d.new_visit_stats(pages, "2024-01-15").collect()}
     assert stats == {"浏览量": (2, 2), "访客数": (1, 1), "跳出率": (0, 1), "平均访问时长": (4, 2), "平均访问页面数": (2, 1)}
     assert rows(d.channel(pages, "2024-01-15", "br")) == {("c1", 0.0), ("c2", 1.0)}
+    again = pages.where("last_page_id = 'home'").withColumn("last_page_id", F.lit(None).cast("string")).withColumn("ts", F.col("ts") + 50)
+    twice = {r.metric: r.old for r in d.new_visit_stats(pages.unionByName(again), "2024-01-15").collect()}
+    assert twice == {"浏览量": 3, "访客数": 1, "跳出率": 0.5, "平均访问时长": 3.5, "平均访问页面数": 1.5}
     with pytest.raises(ValueError):
         d.channel(pages, "2024-01-15", "xx")
 

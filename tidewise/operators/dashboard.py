@@ -1,9 +1,8 @@
 """Dashboard figures over the last days of page logs and order documents.
 
 The dashboard asks for these by a number of ``days``; only the shape of each
-answer is given, so the definitions are this project's own. A visit is one
-device on one day, and it bounces if it saw a single page: both come from a
-combinable aggregate, however many pages one device sends.
+answer is given, so the definitions are this project's own. A visit begins at
+an entry page (``sessions``) and bounces if it saw that page only.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import money
+from .sessions import visits
+from .uv import uv_period
 
 DEFAULT_DAYS = 7
 TOP = 7
@@ -54,6 +55,12 @@ def _is_new() -> Column:
     return F.max(F.when(F.col("is_new") == "1", 1).otherwise(0)).alias("is_new")
 
 
+def visit_total_of(counts: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The same from a period's pages per day (``pv_count``) and its days' bitmaps (``uv``)."""
+    pages = counts.agg(F.coalesce(F.sum("pv"), F.lit(0)).alias("pv_count"))
+    return uv_period(bitmaps).select(pages.scalar().alias("pv_count"), "uv_count", "new_count")
+
+
 def visit_total(pages: DataFrame, day: str, days: int | None = None) -> DataFrame:
     """One row: pages, devices and new devices of the period."""
     devices = last_days(pages, day, days).groupBy("mid").agg(F.count(F.lit(1)).alias("pv"), _is_new())
@@ -64,18 +71,13 @@ def visit_total(pages: DataFrame, day: str, days: int | None = None) -> DataFram
     )
 
 
-def _visits(pages: DataFrame, *extra: str) -> DataFrame:
-    seen = [F.count(F.lit(1)).alias("pages"), F.sum("during_time").alias("millis"), _is_new()]
-    return pages.groupBy("mid", "dt", *extra).agg(*seen)
-
-
 def _bounce_rate() -> Column:
     return F.avg(F.when(F.col("pages") == 1, 1.0).otherwise(0.0))
 
 
 def new_visit_stats(pages: DataFrame, day: str, days: int | None = None) -> DataFrame:
-    """(metric, old, new): pages, devices, bounce rate, mean seconds and mean pages per visit."""
-    visits = _visits(last_days(pages, day, days))
+    """(metric, old, new): pages, devices, bounce rate, mean seconds and mean pages per visit, of old and new devices' visits."""
+    seen = visits(last_days(pages, day, days))
     figures = [
         F.sum("pages").cast("double"),
         F.count_distinct("mid").cast("double"),
@@ -83,7 +85,7 @@ def new_visit_stats(pages: DataFrame, day: str, days: int | None = None) -> Data
         F.sum("millis") / 1000 / F.count(F.lit(1)),
         F.sum("pages") / F.count(F.lit(1)),
     ]
-    by_kind = visits.groupBy("is_new").agg(*[f.alias(f"f{i}") for i, f in enumerate(figures)])
+    by_kind = seen.groupBy("is_new").agg(*[f.alias(f"f{i}") for i, f in enumerate(figures)])
     one = by_kind.agg(
         *[
             F.max(F.when(F.col("is_new") == kind, F.col(f"f{i}"))).alias(f"f{i}_{kind}")
@@ -99,12 +101,12 @@ def new_visit_stats(pages: DataFrame, day: str, days: int | None = None) -> Data
 
 
 def channel(pages: DataFrame, day: str, t: str = "pv", days: int | None = None) -> DataFrame:
-    """(name, value): page views (``pv``) or bounce rate (``br``) by channel."""
+    """(name, value): page views (``pv``) or bounce rate (``br``) by channel; a visit's is that of its first page."""
     period = last_days(pages, day, days)
     if t == "pv":
         return period.groupBy(F.col("channel").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("value"))
     if t == "br":
-        return _visits(period, "channel").groupBy(F.col("channel").alias("name")).agg(_bounce_rate().alias("value"))
+        return visits(period).groupBy(F.col("channel").alias("name")).agg(_bounce_rate().alias("value"))
     raise ValueError(f"t must be 'pv' or 'br', not {t!r}")
 
 

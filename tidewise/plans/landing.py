@@ -20,12 +20,14 @@ from ..schemas import (
     ORDER_INFO,
     ORDER_INFO_TOPIC,
     ORDER_WIDE_STORED,
+    PAGE_DAY,
     PAGE_TOPIC,
     RAW_CDC_TOPIC,
     RAW_LOG_TOPIC,
     TOPIC_RECORD,
 )
 from ..session import scratch_dir
+from ..sinks import days, uv
 from ..sinks.upsert import read_days, upsert
 from ..sources import samples
 from ..sources.topics import land
@@ -78,6 +80,17 @@ def _page(spark: SparkSession, sf: str, path: str) -> None:
     land(messages.withColumn("offset", ts).withColumn("timestamp", F.timestamp_millis(ts)), PAGE_TOPIC, path)
 
 
+@_store
+def _page_days(spark: SparkSession, sf: str, path: str) -> None:
+    pages = logs.page_log(logs.parse_logs(topic(spark, sf, "raw_log")))
+    days.write_days(dau.with_day(pages).select(*PAGE_DAY.names), path, "log-0")
+
+
+@_store
+def _uv(spark: SparkSession, sf: str, path: str) -> None:
+    uv.add_days(spark, path_of(spark, sf, "page_days"), path, days.days_up_to(samples.LAST_DAY, samples.PERIOD))
+
+
 @_store
 def _order_info(spark: SparkSession, sf: str, path: str) -> None:
     samples.order_info(spark, sf).write.parquet(path)
@@ -131,11 +144,21 @@ def order_wide(spark: SparkSession, sf: str) -> DataFrame:
     return orders.order_wide(infos, order_detail(spark, sf))
 
 
-def dau_docs(spark: SparkSession, sf: str, days: list[str], *columns: str) -> DataFrame:
+def page_days(spark: SparkSession, sf: str, of: list[str]) -> DataFrame:
+    """The stored page records of some days."""
+    return days.read_days(spark, path_of(spark, sf, "page_days"), PAGE_DAY, of)
+
+
+def device_bitmaps(spark: SparkSession, sf: str, of: list[str]) -> DataFrame:
+    """The devices of some days as bitmaps."""
+    return uv.bitmaps(spark, path_of(spark, sf, "uv"), of)
+
+
+def dau_docs(spark: SparkSession, sf: str, of: list[str], *columns: str) -> DataFrame:
     """The stored daily-active documents of some days, narrowed to the columns a query needs."""
-    return read_days(spark, path_of(spark, sf, "dau_docs"), DAU_INFO, "mid", "dt", days, columns)
+    return read_days(spark, path_of(spark, sf, "dau_docs"), DAU_INFO, "mid", "dt", of, columns)
 
 
-def order_docs(spark: SparkSession, sf: str, days: list[str], *columns: str) -> DataFrame:
+def order_docs(spark: SparkSession, sf: str, of: list[str], *columns: str) -> DataFrame:
     """The stored order documents of some days, narrowed to the columns a query needs."""
-    return read_days(spark, path_of(spark, sf, "order_docs"), ORDER_WIDE_STORED, "detail_id", "dt", days, columns)
+    return read_days(spark, path_of(spark, sf, "order_docs"), ORDER_WIDE_STORED, "detail_id", "dt", of, columns)

@@ -6,7 +6,7 @@ statement restates what the pipeline should find.
 
 from __future__ import annotations
 
-from ..sources.samples import AS_OF, EPOCH, ITEM, ITEM_ONE_TERM, MISSING_DAY, ORDER_DAY, TD
+from ..sources.samples import AS_OF, EPOCH, ITEM, ITEM_ONE_TERM, LAST_DAY, MISSING_DAY, ORDER_DAY, TD
 
 # One row per event, with the fields its log carries.
 _EVENT = """
@@ -260,6 +260,14 @@ FROM first LEFT JOIN users AS u ON CAST(u.id AS VARCHAR) = user_id
 LEFT JOIN provinces AS p ON CAST(p.id AS VARCHAR) = province_id""",
     "dau_first_seen_stream": f"""WITH {_EVENT}, {_DIMS}
 SELECT dt, mid, user_id, p.name AS province_name FROM first LEFT JOIN provinces AS p ON CAST(p.id AS VARCHAR) = province_id""",
+    "dau_by_hour_stream": f"""WITH {_EVENT},
+in_time AS (
+  SELECT * FROM entry WHERE NOT (make_timestamp(ts * 1000) BETWEEN '2024-01-05' AND '2024-01-11' AND ts % 97 = 0)
+),
+first_hour AS (SELECT mid, dt, arg_min(hr, ts) AS hr FROM in_time GROUP BY mid, dt)
+SELECT dt, hr, count(*) AS n FROM first_hour
+WHERE CAST(dt AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT make_timestamp(max(ts) * 1000) - INTERVAL 2 HOUR FROM entry)
+GROUP BY dt, hr""",
     "dau_state_seed": f"WITH {_EVENT} SELECT mid, dt, hr, ts FROM first WHERE dt = '{TD}' AND hr >= '12'",
     "dau_total": f"WITH {_EVENT} SELECT count(*) AS dau_total FROM first WHERE dt = '{TD}'",
     "dau_total_missing_day": f"WITH {_EVENT} SELECT count(*) AS dau_total FROM first WHERE dt = '{MISSING_DAY}'",
@@ -317,9 +325,16 @@ FROM found WHERE user_gender IS NOT NULL GROUP BY user_gender""",
 
 _WEEK = f"""WITH {_EVENT},
 week AS (SELECT * FROM dated WHERE dt BETWEEN strftime(DATE '{TD}' - 6, '%Y-%m-%d') AND '{TD}'),
+numbered AS (
+  SELECT *, sum(CAST(last_page_id IS NULL AS INTEGER)) OVER (
+    PARTITION BY mid ORDER BY ts, last_page_id IS NOT NULL, page_id, page_item, last_page_id ROWS UNBOUNDED PRECEDING
+  ) AS visit, row_number() OVER (PARTITION BY mid ORDER BY ts, last_page_id IS NOT NULL, page_id, page_item, last_page_id) AS rn
+  FROM week
+),
 visit AS (
-  SELECT mid, dt, channel, count(*) AS pages, sum(during_time) AS millis, max(CAST(is_new = '1' AS INTEGER)) AS is_new
-  FROM week GROUP BY mid, dt, channel
+  SELECT mid, CAST(visit AS BIGINT) AS visit, min(dt) AS dt, arg_min(page_id, rn) AS entry_page, arg_min(channel, rn) AS channel,
+    max(CAST(is_new = '1' AS INTEGER)) AS is_new, count(*) AS pages, CAST(sum(during_time) AS BIGINT) AS millis
+  FROM numbered GROUP BY mid, visit
 )"""
 
 
@@ -347,6 +362,10 @@ ORACLE |= {
     "uv_count": f"{_WEEK} SELECT dt, count(DISTINCT mid) AS uv FROM week GROUP BY dt",
     "visit_total": f"""{_WEEK}
 SELECT count(*) AS pv_count, count(DISTINCT mid) AS uv_count, count(DISTINCT mid) FILTER (WHERE is_new = '1') AS new_count FROM week""",
+    "uv_period": f"""WITH {_EVENT}
+SELECT count(DISTINCT mid) AS uv_count, count(DISTINCT mid) FILTER (WHERE is_new = '1') AS new_count
+FROM dated WHERE dt BETWEEN strftime(DATE '{LAST_DAY}' - 29, '%Y-%m-%d') AND '{LAST_DAY}'""",
+    "visit_sessions": f"{_WEEK} SELECT * FROM visit",
     "new_visit_stats": _WEEK
     + " UNION ALL ".join(
         [

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import age_years, as_date
-from ..operators import cdc, dashboard, dau, dims, logs, orders, reports
+from ..operators import cdc, dashboard, dau, dims, logs, orders, reports, sessions, uv
 from ..schemas import (
     DAU_INFO,
     DIM_ROW,
+    HOURLY_ACTIVES,
     ORDER_DETAIL_TOPIC,
     ORDER_INFO_TOPIC,
     ORDER_WIDE_STORED,
@@ -21,8 +21,9 @@ from ..schemas import (
 )
 from ..session import scratch_dir, stream_session
 from ..sinks import upsert as table
+from ..sinks.days import days_up_to, read_days
 from ..sources import samples
-from ..sources.samples import AS_OF, ITEM, ITEM_ONE_TERM, MISSING_DAY, ORDER_DAY, TD
+from ..sources.samples import AS_OF, ITEM, ITEM_ONE_TERM, LAST_DAY, MISSING_DAY, ORDER_DAY, TD
 from ..sources.topics import file_topic, land
 from ..streaming import jobs
 from . import landing
@@ -78,16 +79,14 @@ def _details(spark: SparkSession, sf: str) -> DataFrame:
 def _docs(spark: SparkSession, sf: str, *columns: str, days: int = 1) -> DataFrame:
     """Stored order documents of the last ``days`` days up to the queried one."""
     utc(spark)
-    last = datetime.date.fromisoformat(ORDER_DAY)
-    wanted = [str(last - datetime.timedelta(days=n)) for n in range(days)]
-    return landing.order_docs(spark, sf, wanted, *columns)
+    return landing.order_docs(spark, sf, days_up_to(ORDER_DAY, days), *columns)
 
 
 # ---- logs ----------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession) -> SparkSession:
-    return stream_session(spark, spark.sparkContext.defaultParallelism)
+def _stream(spark: SparkSession, idle_batches: bool = False) -> SparkSession:
+    return stream_session(spark, spark.sparkContext.defaultParallelism, idle_batches)
 
 
 def _topic_stream(session: SparkSession, sf: str, name: str) -> DataFrame:
@@ -296,11 +295,29 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     return table.read_current(spark, f"{root}/docs", DAU_INFO, "mid", "dt", columns=["user_id", "province_name"])
 
 
+@query
+def dau_by_hour_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly job over the page topic in two parts. With the second come pages of the first's last hour, which still
+    count, and pages of days long closed, which do not."""
+    session = _stream(spark, idle_batches=True)
+    root = scratch_dir(session, "hourly")
+    pages = landing.topic(session, sf, "page")
+    middle, millis = F.lit("2024-01-16").cast("timestamp"), F.col("offset")
+    within = (F.col("timestamp") >= middle - F.expr("INTERVAL 1 HOUR")) & (millis % 2 == 0)
+    closed = F.col("timestamp").between("2024-01-05", "2024-01-11") & (millis % 97 == 0)
+    early = (F.col("timestamp") < middle) & ~within & ~closed
+    for part in (early, ~early):
+        land(pages.where(part), PAGE_TOPIC, f"{root}/page")
+        stream = file_topic(session, f"{root}/page")
+        jobs.hourly_actives(stream, f"{root}/hours", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    return read_days(spark, f"{root}/hours", HOURLY_ACTIVES, days_up_to(LAST_DAY, 31))
+
+
 @query
 def dau_state_seed(spark: SparkSession, sf: str) -> DataFrame:
     """A start without checkpoint: what the day's afternoon adds to the devices its morning has stored."""
     root = scratch_dir(spark, "dau-seed")
-    entries = _entries(spark, sf).where(F.col("dt") == TD)
+    entries = dau.session_entries(_dated(spark, sf, days=1))
     morning = dau.first_seen(entries.where(F.col("hr") < "12"))
     docs = dau.dau_wide(morning, samples.user_info(spark, sf), samples.base_province(spark, sf), AS_OF)
     table.upsert(docs, f"{root}/docs", "mid", "dt", "morning-0", order=("ts",))
@@ -498,8 +515,14 @@ def detail_page_2(spark: SparkSession, sf: str) -> DataFrame:
 # ---- dashboard -----------------------------------------------------------------------
 
 
-def _dated(spark: SparkSession, sf: str) -> DataFrame:
-    return dau.with_day(_pages(spark, sf))
+def _dated(spark: SparkSession, sf: str, day: str = TD, days: int = dashboard.DEFAULT_DAYS) -> DataFrame:
+    """The stored page records of the last ``days`` days up to ``day``."""
+    utc(spark)
+    return landing.page_days(spark, sf, days_up_to(day, days))
+
+
+def _bitmaps(spark: SparkSession, sf: str, day: str = TD, days: int = dashboard.DEFAULT_DAYS) -> DataFrame:
+    return landing.device_bitmaps(spark, sf, days_up_to(day, days))
 
 
 def _skus(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,12 +537,24 @@ def pv_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def uv_count(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.uv_count(_dated(spark, sf), TD)
+    return uv.uv_by_day(_bitmaps(spark, sf))
+
+
+@query
+def uv_period(spark: SparkSession, sf: str) -> DataFrame:
+    """Devices of thirty days, from the days' bitmaps alone."""
+    return uv.uv_period(_bitmaps(spark, sf, LAST_DAY, 30))
 
 
 @query
 def visit_total(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.visit_total(_dated(spark, sf), TD)
+    return dashboard.visit_total_of(dashboard.pv_count(_dated(spark, sf), TD), _bitmaps(spark, sf))
+
+
+@query
+def visit_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """The week's visits."""
+    return sessions.visits(_dated(spark, sf)).drop("begin")
 
 
 @query
@@ -557,7 +592,7 @@ def user_paid(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def user_total(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf, "order_id", "user_id", "province_name", "total_amount", days=7)
-    total = dashboard.user_total(samples.user_info(spark, sf), _dated(spark, sf), docs, ORDER_DAY)
+    total = dashboard.user_total(samples.user_info(spark, sf), _dated(spark, sf, ORDER_DAY), docs, ORDER_DAY)
     return total.withColumn("pct", F.round("pct", 4))
 
 

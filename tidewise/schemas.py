@@ -91,6 +91,11 @@ ACTION_FIELDS = {"action_id": "actionId", "item": "actionItem", "item_type": "ac
 _PAGE_TEXT = " ".join([*COMMON_FIELDS.values(), *PAGE_FIELDS.values()])
 
 PAGE_LOG = T.StructType(_struct(STR, _PAGE_TEXT) + _struct(LONG, "during_time ts"))
+# Stored forms: page records by day, numbers of devices, and a day's devices as bits.
+PAGE_DAY = T.StructType(PAGE_LOG.fields + _struct(STR, "hr dt"))
+HOURLY_ACTIVES = T.StructType(_struct(STR, "hr") + _struct(LONG, "n") + _struct(STR, "dt"))
+DEVICES = T.StructType(_struct(STR, "mid") + _struct(LONG, "number"))
+DEVICE_BITS = T.StructType(_struct(STR, "kind") + _struct(LONG, "bucket") + _struct(T.BinaryType(), "bitmap"))
 PAGE_DISPLAY_LOG = T.StructType(
     _struct(STR, _PAGE_TEXT)
     + _struct(LONG, "during_time")

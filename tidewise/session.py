@@ -36,15 +36,19 @@ def build_session(app: str = "tidewise", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def stream_session(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+def stream_session(
+    spark: SparkSession, shuffle_partitions: int | None = None, idle_batches: bool = False
+) -> SparkSession:
     """A sibling session with the streaming settings; the caller's own settings stay as they are.
 
     The number of state partitions is fixed when a checkpoint is created, so a
-    job on a cluster passes the value it was sized for.
+    job on a cluster passes the value it was sized for. ``idle_batches`` is for
+    jobs that emit what the passing of time completes.
     """
     session = spark.newSession()
     for key, value in SETTINGS.items():
         session.conf.set(key, value)
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
     parts = shuffle_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.shuffle.partitions", str(parts))
     return session

@@ -13,6 +13,7 @@ AS_OF = "2024-01-31"
 TD = "2024-01-15"
 ORDER_DAY = "2024-01-05"
 MISSING_DAY = "2024-03-01"
+LAST_DAY, PERIOD = "2024-01-31", 31  # the logs' days: January
 ITEM = "red plate"
 ITEM_ONE_TERM = "red"
 EPOCH = 1704067200

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc, dau, dims, logs, orders
-from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_STORED, PAGE_LOG, json_form
+from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_STORED, PAGE_DAY, PAGE_LOG, json_form
 from ..sinks import topics as topic_sink
+from ..sinks.days import write_days
 from ..sinks.upsert import stored_keys, upsert
 from . import state
 
@@ -44,17 +45,37 @@ def _start(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint
 
 
 def log_split(
-    raw: DataFrame, checkpoint: str, path: str | None = None, servers: str | None = None, trigger: dict | None = None
+    raw: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    servers: str | None = None,
+    trigger: dict | None = None,
+    pages: str | None = None,
 ) -> StreamingQuery:
-    """Raw logs to the page, display, action, start, error and corrupt topics, in one query over one read."""
-    messages = logs.fan_out(logs.parse_logs(raw).observe("log_quality", *logs.quality_counts()))
-    if servers:
-        return topic_sink.stream_to_kafka(messages, servers, checkpoint, **(trigger or FIVE_SECONDS))
+    """Raw logs to the page, display, action, start, error and corrupt topics, in one query over one read.
+
+    ``pages`` names a table of typed page records by day, written in the same batch.
+    """
+    parsed = logs.parse_logs(raw).observe("log_quality", *logs.quality_counts())
+    if servers and not pages:
+        return topic_sink.stream_to_kafka(logs.fan_out(parsed), servers, checkpoint, **(trigger or FIVE_SECONDS))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        topic_sink.batch_to_files(batch, path, _batch_name(batch, batch_id))
+        # Two sinks read the batch when pages are filed too: it is parsed once.
+        records = batch.persist() if pages else batch
+        try:
+            name = _batch_name(batch, batch_id)
+            if servers:
+                topic_sink.batch_to_kafka(logs.fan_out(records), servers)
+            else:
+                topic_sink.batch_to_files(logs.fan_out(records), path, name)
+            if pages:
+                write_days(dau.with_day(logs.page_log(records)).select(*PAGE_DAY.names), pages, name)
+        finally:
+            if pages:
+                records.unpersist()
 
-    return _start(messages, handle, checkpoint, trigger)
+    return _start(parsed, handle, checkpoint, trigger)
 
 
 def cdc_route(
@@ -124,6 +145,22 @@ def dau_documents(
     return _start(state.first_seen_stream(entries, delay), handle, checkpoint, trigger)
 
 
+def hourly_actives(
+    pages: DataFrame, path: str, checkpoint: str, delay: str = "2 hours", trigger: dict | None = None
+) -> StreamingQuery:
+    """Page topic to the actives of each hour, by day: (hr, n), written once when a day is over by ``delay``.
+
+    Needs a session in which a batch without input may close a day: ``stream_session(..., idle_batches=True)``.
+    """
+    parsed = _parsed_with_arrival(pages, PAGE_LOG, "page_quality", ["mid", "ts"])
+    hours = state.hourly_actives_stream(dau.session_entries(parsed).select("mid", "ts"), delay)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_days(batch.coalesce(1), path, _batch_name(batch, batch_id))
+
+    return _start(hours, handle, checkpoint, trigger)
+
+
 def _first_of_their_day(batch: DataFrame, path: str) -> DataFrame:
     """Without the devices that are stored already, as far as the state may have forgotten them.
 

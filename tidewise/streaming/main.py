@@ -2,6 +2,7 @@
 
     python -m tidewise.streaming.main dau --servers host:9092 --store /shared/store --checkpoint /shared/cp/dau
     python -m tidewise.streaming.main compact --store /shared/store --table dau --day 2024-01-15
+    python -m tidewise.streaming.main uv --store /shared/store --day 2024-01-15 --days 2
 
 Without ``--servers`` a topic is a folder below ``<store>/topics``, both for the jobs that write it and those that read it.
 """
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
 from ..session import build_session, stream_session
+from ..sinks.days import days_up_to
 from ..sinks.upsert import compact
+from ..sinks.uv import add_days
 from ..sources import tables
 from ..sources.topics import file_topic, kafka_topic, topic_folder
 from . import jobs
@@ -27,12 +30,12 @@ STORES = {
     "orders": ("docs/orders", S.ORDER_WIDE_STORED, "detail_id", "dt"),
     "dims": ("dims", S.DIM_ROW, "id", "table_name"),
 }
-JOBS = ["log-split", "cdc-route", "dau", "orders"]
+JOBS = ["log-split", "cdc-route", "dau", "hourly", "orders"]
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=[*JOBS, "compact"])
+    parser.add_argument("job", choices=[*JOBS, "compact", "uv"])
     parser.add_argument("--store", required=True, help="shared folder of topics, dimensions, table lists and documents")
     parser.add_argument("--checkpoint", help="shared folder of this job's checkpoint")
     parser.add_argument("--servers", help="Kafka servers; without them topics are folders")
@@ -46,7 +49,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="the date that ages are counted at; default: today")
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     parser.add_argument("--table", choices=list(STORES), help="compact only")
-    parser.add_argument("--day", help="compact only: the partition to fold")
+    parser.add_argument("--day", help="compact: the partition to fold; uv: the last of the days")
+    parser.add_argument("--days", type=int, default=1, help="uv only: how many days up to --day got pages since the last run")
     return parser.parse_args(argv)
 
 
@@ -55,7 +59,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         folder, schema, key, part = STORES[args.table]
         compact(spark, f"{args.store}/{folder}", schema, key, part, args.day)
         return
-    session = stream_session(spark, args.state_partitions)
+    if args.job == "uv":
+        add_days(spark, f"{args.store}/pages", f"{args.store}/uv", days_up_to(args.day, args.days))
+        return
+    session = stream_session(spark, args.state_partitions, idle_batches=args.job == "hourly")
     trigger = {"availableNow": True} if args.once else jobs.FIVE_SECONDS
     positions = {
         (topic, int(partition)): offset
@@ -72,7 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     dims, out = f"{args.store}/dims", {"path": f"{args.store}/topics", "servers": args.servers, "trigger": trigger}
     lookups = (lambda s, ids: tables.users(s, dims, ids)), (lambda s, ids: tables.provinces(s, dims, ids))
     if args.job == "log-split":
-        query = jobs.log_split(topic(S.RAW_LOG_TOPIC), args.checkpoint, **out)
+        query = jobs.log_split(topic(S.RAW_LOG_TOPIC), args.checkpoint, pages=f"{args.store}/pages", **out)
     elif args.job == "cdc-route":
         lists = f"{args.store}/lists"
         query = jobs.cdc_route(
@@ -84,6 +91,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         query = jobs.dau_documents(
             topic(S.PAGE_TOPIC), *lookups, docs, args.checkpoint, args.as_of, args.delay or "48 hours", seen, trigger
         )
+    elif args.job == "hourly":
+        hours = f"{args.store}/hours"
+        query = jobs.hourly_actives(topic(S.PAGE_TOPIC), hours, args.checkpoint, args.delay or "2 hours", trigger)
     else:
         docs = f"{args.store}/{STORES['orders'][0]}"
         query = jobs.order_documents(

@@ -44,6 +44,19 @@ def first_seen_stream(entries: DataFrame, delay: str = "48 hours") -> DataFrame:
     return dated.withWatermark("arrival", delay).dropDuplicatesWithinWatermark(["mid", "day"]).drop("day")
 
 
+def hourly_actives_stream(entries: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """(dt, hr, n): devices by the hour of their first entry of a day, appended for good once the day is over by ``delay``.
+
+    Two windowed aggregates in a row: the earliest entry of each device in its day, however late in the day it arrives,
+    then the devices of each hour. Both combine before their shuffle, so a device with a third of all entries sends one
+    row a task. State holds a row for each device of the open days. Entries of a closed day are dropped and counted.
+    """
+    timed = entries.withColumn("time", F.timestamp_millis("ts")).withWatermark("time", delay)
+    first = timed.groupBy(F.window("time", "1 day").alias("day"), "mid").agg(F.min("time").alias("first"))
+    hours = first.groupBy(F.window("day", "1 day").alias("day"), F.date_format("first", "HH").alias("hr")).agg(F.count(F.lit(1)).alias("n"))
+    return hours.select(F.date_format("day.start", "yyyy-MM-dd").alias("dt"), "hr", "n")
+
+
 def distinct_stream(rows: DataFrame, time: str, delay: str, ignore: Sequence[str] = ()) -> DataFrame:
     """Rows that differ in content from all rows of the last ``delay``: a re-sent row is dropped, a changed one passes."""
     content = F.xxhash64(*[c for c in rows.columns if c not in (time, *ignore)])
