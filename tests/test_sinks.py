@@ -119,3 +119,96 @@ def test_days_with_one_batch_need_no_shuffle(spark, write):
     assert "Exchange" not in read("d2")._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in read("d2").collect()] == [("d2", 2, "c")]
     assert table.read_days(spark, path, DOC, "id", "dt", ["d1", "d2"]).schema.names == DOC.names
+
+
+def buckets_of(path, value):
+    return sorted(f for f in os.listdir(f"{path}/dt={value}") if f.startswith("_bucket="))
+
+
+def test_buckets_open_only_what_may_hold_the_keys(spark, write):
+    path, put = write
+    put([(i, f"v{i}", 1, "d") for i in range(200)] + [(1, "e", 1, "e")], "q-0", buckets=16)
+    put([(i, f"w{i}", 2, "d") for i in range(0, 200, 2)], "q-1", buckets=16)
+    assert len(buckets_of(path, "d")) == 16 and len(buckets_of(path, "e")) == 1
+
+    def read(ids, buckets=16):
+        only = spark.createDataFrame([(i,) for i in ids], "id long")
+        return table.read_current(spark, path, DOC, "id", "dt", only=only, values=["d"], buckets=buckets)
+
+    few = read([7, 8, 999])
+    assert {(r.id, r.v) for r in few.collect()} == {(7, "v7"), (8, "w8")}
+    opened = {f.split("_bucket=")[1].split("/")[0] for f in few.inputFiles()}
+    assert len(opened) <= 3 and all("dt=d/" in f for f in few.inputFiles())
+    assert read([]).isEmpty() and current(spark, path)[("d", 8)] == "w8"
+    assert {(r.id, r.v) for r in read([7, 8], buckets=0).collect()} == {(7, "v7"), (8, "w8")}
+    # Another number of buckets from now on: the old folders are all read.
+    put([(7, "x7", 3, "d")], "q-2", buckets=4)
+    assert {(r.id, r.v) for r in read([7, 8], buckets=4).collect()} == {(7, "x7"), (8, "w8")}
+    before = current(spark, path)
+    table.compact(spark, path, DOC, "id", "dt", "d", buckets=4)
+    assert current(spark, path) == before and {(r.id, r.v) for r in read([7, 8], buckets=4).collect()} == {(7, "x7"), (8, "w8")}
+    assert all(f.startswith("_bucket=4-") for f in buckets_of(path, "d") if os.listdir(f"{path}/dt=d/{f}"))
+
+
+def test_folded_folders_stay_for_those_who_have_listed_them(spark, write):
+    path, put = write
+    for n in range(3):
+        put([(1, f"v{n}", n, "d"), (n + 10, "x", 0, "d")], f"q-{n}")
+    listed = table.read_days(spark, path, DOC, "id", "dt", ["d"])
+    table.compact(spark, path, DOC, "id", "dt", "d", grace=3600)
+    after = table.read_days(spark, path, DOC, "id", "dt", ["d"])
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, after.collect()))
+    assert len([f for f in os.listdir(f"{path}/dt=d") if f.startswith("_batch")]) == 4
+    assert len({f.rsplit("/", 1)[0] for f in after.inputFiles()}) == 1
+    assert current(spark, path) == {("d", 1): "v2", ("d", 10): "x", ("d", 11): "x", ("d", 12): "x"}
+    # A replay of a folded batch puts it back with the rows that it had: the folded ones are as new.
+    put([(1, "v2", 2, "d"), (12, "x", 0, "d")], "q-2", seq=1)
+    assert current(spark, path)[("d", 1)] == "v2"
+    table.compact(spark, path, DOC, "id", "dt", "d", grace=3600)
+    table.compact(spark, path, DOC, "id", "dt", "d")
+    assert len([f for f in os.listdir(f"{path}/dt=d") if f.startswith("_batch")]) == 1
+    assert current(spark, path)[("d", 1)] == "v2"
+
+
+def test_readers_and_writers_go_on_during_compactions(spark, write):
+    """A writer adds a batch after the other, a reader asks for all keys, while the partition is folded again and again."""
+    import threading
+
+    path, put = write
+    put([(i, "0", 0, "d") for i in range(20)], "q-0", seq=0)
+    done, failures, seen = threading.Event(), [], []
+
+    def guarded(work):
+        def run():
+            try:
+                work()
+            except Exception as error:  # noqa: BLE001
+                failures.append(error)
+                done.set()
+
+        return threading.Thread(target=run)
+
+    def writes():
+        for n in range(1, 9):
+            put([(i, str(n), n, "d") for i in range(n % 3, 20, 3)], f"q-{n}", seq=n)
+        done.set()
+
+    def reads():
+        while not done.is_set():
+            rows = {r.id: int(r.v) for r in table.read_days(spark, path, DOC, "id", "dt", ["d"]).collect()}
+            assert sorted(rows) == list(range(20))
+            seen.append(rows)
+
+    threads = [guarded(writes), guarded(reads)]
+    for t in threads:
+        t.start()
+    while not done.is_set():
+        table.compact(spark, path, DOC, "id", "dt", "d", grace=3600)
+    for t in threads:
+        t.join()
+    assert not failures
+    assert all(b[k] >= a[k] for a, b in zip(seen, seen[1:]) for k in a)
+    expected = {("d", i): str(max(n for n in range(9) if n == 0 or i % 3 == n % 3)) for i in range(20)}
+    assert current(spark, path) == expected
+    table.compact(spark, path, DOC, "id", "dt", "d")
+    assert current(spark, path) == expected and len([f for f in os.listdir(f"{path}/dt=d") if f.startswith("_batch")]) == 1

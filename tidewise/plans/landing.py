@@ -29,7 +29,7 @@ from ..schemas import (
 from ..session import scratch_dir
 from ..sinks import days, uv
 from ..sinks.upsert import read_days, upsert
-from ..sources import samples
+from ..sources import samples, tables
 from ..sources.topics import land
 
 Builder = Callable[[SparkSession, str, str], None]
@@ -91,6 +91,16 @@ def _uv(spark: SparkSession, sf: str, path: str) -> None:
     uv.add_days(spark, path_of(spark, sf, "page_days"), path, days.days_up_to(samples.LAST_DAY, samples.PERIOD))
 
 
+@_store
+def _dims(spark: SparkSession, sf: str, path: str) -> None:
+    for name, rows in (("user_info", samples.user_info(spark, sf)), ("base_province", samples.base_province(spark, sf))):
+        images = rows.select(
+            F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id"), F.lit("I").alias("op"),
+            F.to_json(F.struct(*rows.columns)).alias("data"), F.lit(samples.EPOCH).cast("long").alias("ts"),
+        )
+        upsert(images, path, "id", "table_name", f"{name}-0", version=("ts",), buckets=tables.DIM_BUCKETS)
+
+
 @_store
 def _order_info(spark: SparkSession, sf: str, path: str) -> None:
     samples.order_info(spark, sf).write.parquet(path)
@@ -144,6 +154,12 @@ def order_wide(spark: SparkSession, sf: str) -> DataFrame:
     return orders.order_wide(infos, order_detail(spark, sf))
 
 
+def lookups(spark: SparkSession, sf: str):
+    """Users and provinces for a batch of facts, from the stored dimensions."""
+    path = path_of(spark, sf, "dims")
+    return (lambda s, ids: tables.users(s, path, ids)), (lambda s, ids: tables.provinces(s, path, ids))
+
+
 def page_days(spark: SparkSession, sf: str, of: list[str]) -> DataFrame:
     """The stored page records of some days."""
     return days.read_days(spark, path_of(spark, sf, "page_days"), PAGE_DAY, of)

@@ -285,8 +285,7 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(session, "dau")
     jobs.dau_documents(
         _topic_stream(session, sf, "page"),
-        lambda s, ids: samples.user_info(s, sf),
-        lambda s, ids: samples.base_province(s, sf),
+        *landing.lookups(session, sf),
         f"{root}/docs",
         f"{root}/checkpoint",
         AS_OF,
@@ -414,8 +413,7 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
         jobs.order_documents(
             file_topic(session, f"{root}/info"),
             file_topic(session, f"{root}/detail"),
-            lambda s, ids: samples.user_info(s, sf),
-            lambda s, ids: samples.base_province(s, sf),
+            *landing.lookups(session, sf),
             f"{root}/docs",
             f"{root}/checkpoint",
             AS_OF,

@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 
 from ..functions.rows import pick_one
 
-_SEQ, _BATCH, _VERSION = "_seq", "_batch", "_version"
+_SEQ, _BATCH, _VERSION, _BUCKET = "_seq", "_batch", "_version", "_bucket"
+#: A file of this name in a batch's folder says that the batch has been folded, and when.
+_FOLDED = "_folded-"
 _LATEST = [_VERSION, _SEQ]
 
 
@@ -34,23 +36,32 @@ def upsert(
     seq: int | None = None,
     version: Sequence[str] = (),
     keep: Sequence[str] | None = None,
+    buckets: int = 0,
 ) -> None:
     """Write one batch of documents. Within it, the greatest row by ``order`` stands for its key.
 
     ``version`` names the columns that rank a key's rows across batches, in
-    their order; without it the latest batch wins. ``keep`` narrows what is stored.
+    their order; without it the latest batch wins. ``keep`` narrows what is stored;
+    ``buckets`` files it by parts of the keys as well.
     A failed write fails the batch, so nothing after it is committed.
     """
     one = pick_one(docs, [part, key], list(order or version), latest=True)
     ranked = one.withColumn(_VERSION, _version_text(one, version))
     rows = ranked if keep is None else ranked.select(*keep, _VERSION)
     stamped = rows.withColumn(_SEQ, F.lit(seq if seq is not None else time.time_ns())).withColumn(_BATCH, F.lit(batch))
-    (
-        stamped.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part, _BATCH)
-        .parquet(path)
-    )
+    _write(stamped, path, key, part, buckets)
+
+
+def _write(rows: DataFrame, path: str, key: str, part: str, buckets: int) -> None:
+    """Replace the folders of the batches that ``rows`` name. With buckets, a folder's rows meet before, so it gets one file."""
+    levels = [part, _BUCKET, _BATCH] if buckets else [part, _BATCH]
+    if buckets:
+        rows = rows.withColumn(_BUCKET, _bucket_of(F.col(key), buckets)).repartition(part, _BUCKET)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
+
+
+def _bucket_of(key: Column, buckets: int) -> Column:
+    return F.concat(F.lit(f"{buckets}-"), F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("string"))
 
 
 def _version_text(docs: DataFrame, columns: Sequence[str]) -> Column:
@@ -64,17 +75,31 @@ def _version_text(docs: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws("\x01", *[text(c) for c in columns]) if columns else F.lit("")
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, part: str, values: Sequence[str] | None = None) -> DataFrame:
-    """The stored rows; of the named partitions only, which then are the only folders listed."""
+def _stored(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    part: str,
+    values: Sequence[str] | None = None,
+    buckets: Sequence[str] | None = None,
+) -> DataFrame:
+    """The stored rows; of the named partitions (and buckets) only, which then are the only folders listed."""
+    if values is None:
+        return read_or_empty(spark, path, _with_stamps(schema, part))
+    return _of_folders(spark, path, schema, part, [f for v in values for f in _batches(spark, path, part, v, buckets)])
+
+
+def _with_stamps(schema: T.StructType, part: str) -> T.StructType:
     fields = [f for f in schema if f.name != part]
     stamps = [T.StructField(_SEQ, T.LongType()), T.StructField(_VERSION, T.StringType())]
-    full = T.StructType([*fields, *stamps, T.StructField(part, T.StringType()), T.StructField(_BATCH, T.StringType())])
-    if values is None:
-        return read_or_empty(spark, path, full)
-    there = [f"{path}/{part}={v}" for v in values if _batches(spark, path, part, v)]
-    if not there:
+    return T.StructType([*fields, *stamps, T.StructField(part, T.StringType()), T.StructField(_BATCH, T.StringType())])
+
+
+def _of_folders(spark: SparkSession, path: str, schema: T.StructType, part: str, folders: Sequence) -> DataFrame:
+    full = _with_stamps(schema, part)
+    if not folders:
         return _no_rows(spark, full)
-    return spark.read.schema(full).option("basePath", path).parquet(*there)
+    return spark.read.schema(full).option("basePath", path).parquet(*[f.toString() for f in folders])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -100,15 +125,21 @@ def read_current(
     columns: Sequence[str] | None = None,
     only: DataFrame | None = None,
     values: Sequence[str] | None = None,
+    buckets: int = 0,
 ) -> DataFrame:
     """The current document of every key. A filter on ``part`` prunes folders; ``values`` names them beforehand.
 
     ``columns`` narrows what is read and compared; the key and partition always
     come along. ``only`` (one column, named as the key) narrows the keys before
-    the latest row is looked for, so a batch asks for its own keys alone.
+    the latest row is looked for, so a batch asks for its own keys alone; with
+    ``buckets`` (as the table was written) only folders that may have them are
+    opened. At most that many short names reach the driver.
     """
     wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
-    stored = _stored(spark, path, schema, part, values).select(*wanted, _SEQ, _VERSION)
+    asked = None
+    if only is not None and buckets and values is not None:
+        asked = [r[0] for r in only.select(_bucket_of(F.col(key), buckets)).distinct().collect()]
+    stored = _stored(spark, path, schema, part, values, asked).select(*wanted, _SEQ, _VERSION)
     if only is not None:
         stored = stored.join(only, key, "left_semi")
     current = pick_one(stored, [part, key], _LATEST, latest=True).drop(_SEQ, _VERSION)
@@ -130,22 +161,52 @@ def read_days(
     compacted day) is scanned as it is, without the shuffle that finds the
     latest row; only the others go through it.
     """
-    single = [v for v in values if len(_batches(spark, path, part, v)) == 1]
-    several = [v for v in values if v not in single]
-    wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
-    wanted = schema.names if columns is None else wanted
-    plain = _stored(spark, path, schema, part, single).select(*wanted)
+    # Listed once: what comes in between must not turn one folder into two that nobody merges.
+    folders = {v: _batches(spark, path, part, v) for v in values}
+    single = [f for of in folders.values() if len(of) == 1 for f in of]
+    several = [f for of in folders.values() if len(of) > 1 for f in of]
+    wanted = schema.names if columns is None else [part, key, *(c for c in columns if c not in (part, key))]
+    plain = _of_folders(spark, path, schema, part, single).select(*wanted)
     if not several:
         return plain
-    merged = read_current(spark, path, schema, key, part, columns, values=several)
+    stored = _of_folders(spark, path, schema, part, several).select(*wanted, _SEQ, _VERSION)
+    merged = pick_one(stored, [part, key], _LATEST, latest=True).select(*wanted)
     return plain.unionByName(merged) if single else merged
 
 
-def _batches(spark: SparkSession, path: str, part: str, value: str) -> list:
-    """The batch folders of one partition; none where it does not exist."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
+def _files(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _all_batches(spark: SparkSession, path: str, part: str, value: str, buckets: Sequence[str] | None = None) -> list[tuple]:
+    """The batch folders of one partition, and of those folded already the time of it (else None).
+
+    ``buckets`` leaves out the other buckets of the same number.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
+    files = _files(spark, top)
+
+    def below(folder) -> list:
+        return [s.getPath() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+    def other(name: str) -> bool:
+        label = name.removeprefix(f"{_BUCKET}=")
+        return buckets is not None and label not in buckets and label.split("-")[0] in {b.split("-")[0] for b in buckets}
+
+    level = below(top)
+    batches = [p for p in level if p.getName().startswith(f"{_BATCH}=")]
+    for bucket in (p for p in level if p.getName().startswith(f"{_BUCKET}=") and not other(p.getName())):
+        batches += [p for p in below(bucket) if p.getName().startswith(f"{_BATCH}=")]
+    out = []
+    for batch in batches:
+        marks = [p.getName() for p in below(batch) if p.getName().startswith(_FOLDED)]
+        out.append((batch, int(max(marks).removeprefix(_FOLDED)) if marks else None))
+    return out
+
+
+def _batches(spark: SparkSession, path: str, part: str, value: str, buckets: Sequence[str] | None = None) -> list:
+    """The folders of the batches that are not folded yet; none where the partition does not exist."""
+    return [folder for folder, folded in _all_batches(spark, path, part, value, buckets) if folded is None]
 
 
 def stored_keys(
@@ -155,23 +216,24 @@ def stored_keys(
     return _stored(spark, path, schema, part, values).select(key, part).distinct()
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, part: str, value: str) -> str:
-    """Fold one partition's batches into a single one and drop the folded folders.
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, part: str, value: str, grace: float = 0.0, buckets: int = 0
+) -> None:
+    """Fold one partition's batches into a single one, while others read and write it.
 
-    Between the two steps both forms exist and give the same current rows, so a
-    crash there only leaves work to repeat. Run it on partitions readers and
-    writers are done with, or they may find a listed file gone.
+    Folders that were there at the start are folded; batches written meanwhile stay as they are. What is folded is marked,
+    so that who comes later does not read it, and kept for ``grace`` seconds, so that who has listed it before finds it:
+    longer than a query takes. A later call, or this one if ``grace`` is 0, removes it. Both forms side by side give the
+    same rows, so a crash in between only leaves work to repeat. Without two batches in one place nothing is folded.
     """
     old = _batches(spark, path, part, value)
-    target = f"compact-{time.time_ns()}"
-    rows = _stored(spark, path, schema, part, [value]).drop(_BATCH)
-    folded = pick_one(rows, [part, key], _LATEST, latest=True).withColumn(_BATCH, F.lit(target))
-    (
-        folded.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part, _BATCH)
-        .parquet(path)
-    )
-    for gone in old:
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    return target
+    if len(old) > len({f.getParent().toString() for f in old}):
+        stamp = time.time_ns()
+        rows = _of_folders(spark, path, schema, part, old).drop(_BATCH)
+        folded = pick_one(rows, [part, key], _LATEST, latest=True).withColumn(_BATCH, F.lit(f"compact-{stamp}"))
+        _write(folded, path, key, part, buckets)
+        for folder in old:
+            _files(spark, folder).create(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{_FOLDED}{stamp}")).close()
+    for folder, since in _all_batches(spark, path, part, value):
+        if since is not None and time.time_ns() - since >= grace * 1e9:
+            _files(spark, folder).delete(folder, True)

@@ -11,6 +11,10 @@ from ..schemas import DIM_ROW, PROVINCE_DIM, TABLE_LIST, USER_DIM
 from ..sinks.upsert import read_current, read_or_empty
 
 
+#: Parts of a dimension table by a hash of the id: a batch of few ids opens as many folders at most.
+DIM_BUCKETS = 64
+
+
 def table_lists(spark: SparkSession, path: str) -> DataFrame:
     """The fact and dimension table lists as they are now. Read it inside the batch, so an edit counts from the next one.
 
@@ -37,7 +41,7 @@ def current_dim(
     ``ids`` (one column ``id``) restricts it to the rows a batch of facts refers to.
     """
     only = ids.select(ids["id"].cast("string").alias("id")) if ids is not None else None
-    rows = read_current(spark, path, DIM_ROW, "id", "table_name", only=only, values=[table])
+    rows = read_current(spark, path, DIM_ROW, "id", "table_name", only=only, values=[table], buckets=DIM_BUCKETS)
     return typed_dim(rows.where("op <> 'D'") if drop_deleted else rows, table, schema)
 
 

@@ -24,6 +24,7 @@ from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_ST
 from ..sinks import topics as topic_sink
 from ..sinks.days import write_days
 from ..sinks.upsert import stored_keys, upsert
+from ..sources.tables import DIM_BUCKETS
 from . import state
 
 Loader = Callable[[SparkSession], DataFrame]
@@ -102,7 +103,7 @@ def cdc_route(
                 topic_sink.batch_to_files(messages, path, name)
             images = cdc.dim_rows(changed, current)
             stored = [f.name for f in DIM_ROW]
-            upsert(images, dim_path, "id", "table_name", name, seq=batch_id, version=("ts", "offset"), keep=stored)
+            upsert(images, dim_path, "id", "table_name", name, seq=batch_id, version=("ts", "offset"), keep=stored, buckets=DIM_BUCKETS)
         finally:
             parsed.unpersist()
 

@@ -24,11 +24,11 @@ from ..sources.topics import file_topic, kafka_topic, topic_folder
 from . import jobs
 from .state import SLICES
 
-# Table name -> (folder, schema, key, partition column) of the stored documents.
+# Table name -> (folder, schema, key, partition column, buckets) of the stored documents.
 STORES = {
-    "dau": ("docs/dau", S.DAU_INFO, "mid", "dt"),
-    "orders": ("docs/orders", S.ORDER_WIDE_STORED, "detail_id", "dt"),
-    "dims": ("dims", S.DIM_ROW, "id", "table_name"),
+    "dau": ("docs/dau", S.DAU_INFO, "mid", "dt", 0),
+    "orders": ("docs/orders", S.ORDER_WIDE_STORED, "detail_id", "dt", 0),
+    "dims": ("dims", S.DIM_ROW, "id", "table_name", tables.DIM_BUCKETS),
 }
 JOBS = ["log-split", "cdc-route", "dau", "hourly", "orders"]
 
@@ -50,14 +50,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     parser.add_argument("--table", choices=list(STORES), help="compact only")
     parser.add_argument("--day", help="compact: the partition to fold; uv: the last of the days")
+    parser.add_argument("--grace", type=float, default=3600, help="compact only: seconds that folded folders are kept for running queries")
     parser.add_argument("--days", type=int, default=1, help="uv only: how many days up to --day got pages since the last run")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "compact":
-        folder, schema, key, part = STORES[args.table]
-        compact(spark, f"{args.store}/{folder}", schema, key, part, args.day)
+        folder, schema, key, part, buckets = STORES[args.table]
+        compact(spark, f"{args.store}/{folder}", schema, key, part, args.day, args.grace, buckets)
         return
     if args.job == "uv":
         add_days(spark, f"{args.store}/pages", f"{args.store}/uv", days_up_to(args.day, args.days))
