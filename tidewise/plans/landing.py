@@ -33,6 +33,8 @@ from ..sources import samples, tables
 from ..sources.topics import land
 
 Builder = Callable[[SparkSession, str, str], None]
+#: Files of a landed topic or table, whatever its size: the test tables come in one row group, a topic has many partitions.
+PIECES = 32
 _BUILDERS: dict[str, Builder] = {}
 _PATHS: dict[tuple[str, str, str], str] = {}
 
@@ -64,20 +66,20 @@ def _store(build: Builder) -> Builder:
 
 @_store
 def _raw_log(spark: SparkSession, sf: str, path: str) -> None:
-    land(samples.raw_log_records(spark, sf), RAW_LOG_TOPIC, path)
+    land(samples.raw_log_records(spark, sf), RAW_LOG_TOPIC, path, pieces=PIECES)
 
 
 @_store
 def _cdc(spark: SparkSession, sf: str, path: str) -> None:
     records = samples.cdc_records(spark, sf)
-    land(records.withColumn("timestamp", F.timestamp_seconds(F.lit(samples.EPOCH))), RAW_CDC_TOPIC, path)
+    land(records.withColumn("timestamp", F.timestamp_seconds(F.lit(samples.EPOCH))), RAW_CDC_TOPIC, path, pieces=PIECES)
 
 
 @_store
 def _page(spark: SparkSession, sf: str, path: str) -> None:
     messages = logs.fan_out(logs.parse_logs(topic(spark, sf, "raw_log"))).where(F.col("topic") == PAGE_TOPIC)
     ts = F.get_json_object("value", "$.ts").cast("bigint")
-    land(messages.withColumn("offset", ts).withColumn("timestamp", F.timestamp_millis(ts)), PAGE_TOPIC, path)
+    land(messages.withColumn("offset", ts).withColumn("timestamp", F.timestamp_millis(ts)), PAGE_TOPIC, path, pieces=PIECES)
 
 
 @_store
@@ -103,22 +105,22 @@ def _dims(spark: SparkSession, sf: str, path: str) -> None:
 
 @_store
 def _order_info(spark: SparkSession, sf: str, path: str) -> None:
-    samples.order_info(spark, sf).write.parquet(path)
+    samples.order_info(spark, sf).repartition(PIECES).write.parquet(path)
 
 
 @_store
 def _order_detail(spark: SparkSession, sf: str, path: str) -> None:
-    samples.order_detail(spark, sf).write.parquet(path)
+    samples.order_detail(spark, sf).repartition(PIECES).write.parquet(path)
 
 
 @_store
 def _order_info_topic(spark: SparkSession, sf: str, path: str) -> None:
-    land(samples.as_messages(order_info(spark, sf), "id"), ORDER_INFO_TOPIC, path)
+    land(samples.as_messages(order_info(spark, sf), "id"), ORDER_INFO_TOPIC, path, pieces=PIECES)
 
 
 @_store
 def _order_detail_topic(spark: SparkSession, sf: str, path: str) -> None:
-    land(samples.as_messages(order_detail(spark, sf), "order_id"), ORDER_DETAIL_TOPIC, path)
+    land(samples.as_messages(order_detail(spark, sf), "order_id"), ORDER_DETAIL_TOPIC, path, pieces=PIECES)
 
 
 @_store

@@ -67,8 +67,8 @@ def file_topic(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.parquet(path).select(*TOPIC_RECORD.names)
 
 
-def land(messages: DataFrame, topic: str, path: str, mode: str = "append") -> None:
-    """Write (key, value, offset, timestamp) rows as a landed topic."""
+def land(messages: DataFrame, topic: str, path: str, mode: str = "append", pieces: int | None = None) -> None:
+    """Write (key, value, offset, timestamp) rows as a landed topic, in ``pieces`` of equal size, as a topic has partitions."""
     records = messages.select(
         F.col("key").cast("string").alias("key"),
         "value",
@@ -77,4 +77,4 @@ def land(messages: DataFrame, topic: str, path: str, mode: str = "append") -> No
         F.col("offset").cast("bigint").alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
     )
-    records.write.mode(mode).parquet(path)
+    (records.repartition(pieces) if pieces else records).write.mode(mode).parquet(path)
