@@ -126,7 +126,28 @@ def test_crowded_buckets_compare_what_is_four_deviations_below_the_threshold():
         {
             "key": [7] * 3, "low": [0] * 3, "high": [0] * 3, "doc": [1, 2, 3], "component": [1, 2, 3], "block": [0] * 3,
             "registers": [r.tobytes() for r in registers], "bands": bands.tolist(),
+            "bag": [np.arange(n, n + 50, dtype="<u4").tobytes() for n in (900, 0, 5)],
         }
     )
-    for forest in (True, False):
-        assert P._near_pairs(table, forest).to_pylist() == [{"a": 2, "b": 3}]
+    assert P._near_links(table, 0.8).to_pylist() == [{"a": 2, "b": 3}]
+    assert P._near_links(table, 0.9).to_pylist() == []
+
+
+def test_a_block_sends_a_forest_of_links():
+    """A hundred near copies in one bucket, none of them linked so far, and one document that only looks like them."""
+    import pyarrow as pa
+
+    n = 101
+    bands = np.tile(np.arange(P.BANDS), (n, 1)) + 100 * np.arange(n)[:, None]
+    bands[:, 0] = 7
+    bag = np.arange(100, dtype="<u4")
+    bags = [np.sort(np.append(np.delete(bag, i), 500 + i)).astype("<u4") for i in range(100)] + [np.arange(700, 800, dtype="<u4")]
+    registers = np.ones((n, P.BANDS * P.ROWS + P.FURTHER), np.uint8)
+    table = pa.table(
+        {
+            "key": [7] * n, "low": [0] * n, "high": [0] * n, "doc": list(range(n)), "component": list(range(n)), "block": [0] * n,
+            "registers": [r.tobytes() for r in registers], "bands": bands.tolist(), "bag": [b.tobytes() for b in bags],
+        }
+    )
+    links = P._near_links(table, 0.8).to_pylist()
+    assert len(links) == 99 and {x for link in links for x in link.values()} == set(range(100))

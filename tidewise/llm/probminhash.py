@@ -9,9 +9,10 @@ two documents agree with probability equal to their similarity.
 Equal texts are classed first, by hash. Of every other bucket of equal bands, each member is first compared with the
 bucket's smallest document, never all with all. Only buckets that then still hold several components go on: their
 members' registers, one byte each, are compared in blocks of bounded size, inside a task; a pair is looked at in the
-first bucket it shares. Of pairs from different components whose registers agree in ``ESTIMATE`` or more, those that agree in ``SURE`` or more come as a spanning forest
-in the first round, the others as they are; the second round has all that still lie between components. Every link is
-verified on the bags. Classes are the connected components.
+first bucket it shares. If its registers agree in ``ESTIMATE`` or more and no link so far joins the two, it is verified
+there, on the bags that came along. So a block sends on the links of a forest, fewer than it has members, and every pair
+that it looked at is joined by links or was found unlike. Every link is verified on the bags. Classes are the connected
+components.
 
 Null and empty texts have no shingles and are classes of their own; rows without an id have a null class; rows of equal
 id are one document. Extra columns stay.
@@ -38,9 +39,10 @@ IDENTITY_BITS = 50
 #: So many further registers only serve to estimate. All together stray from a similarity of 0.8 by 0.018 (one deviation).
 FURTHER = 256
 #: At ESTIMATE, 4.5 deviations lower, banding alone decides which pairs are found.
-ESTIMATE, SURE = 0.72, 0.84
-#: Members of a bucket, or of one of its blocks, that are compared with each other at once.
+ESTIMATE = 0.72
+#: Members of a bucket, or of one of its blocks, that are compared with each other at once, and bytes of bags in a call.
 BLOCK = 1024
+CALL_BYTES = 8 << 20
 
 
 def normal(text: str | None) -> bytes:
@@ -195,52 +197,43 @@ def _check(pairs: DataFrame, bag: DataFrame, least: float) -> DataFrame:
     return stored(full.mapInArrow(lambda it: _verify(it, least), "a long, b long, linked boolean"), "verified")
 
 
-def _near_pairs(table: pa.Table, forest: bool) -> pa.Table:
-    """Pairs of different components whose registers agree, from the bucket blocks of one group."""
+def _near_links(table: pa.Table, least: float) -> pa.Table:
+    """Verified links between components, a forest of each bucket block of one call."""
     key, low, high = (table.column(c).to_numpy() for c in ("key", "low", "high"))
     doc, component, block = (table.column(c).to_numpy() for c in ("doc", "component", "block"))
     registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(len(doc), -1)
     bands = np.stack(table.column("bands").to_numpy())
+    bags_ = [np.frombuffer(x.as_buffer(), "<u4") for x in table.column("bag")]
     order = np.lexsort((doc, high, low, key))
-    key, low, high, doc, component, block, registers, bands = (
-        c[order] for c in (key, low, high, doc, component, block, registers, bands)
-    )
-    cut = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))).tolist()
+    change = (np.diff(key[order]) != 0) | (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+    need = ESTIMATE * registers.shape[1]
     found: set[tuple[int, int]] = set()
-    need, sure = ESTIMATE * registers.shape[1], SURE * registers.shape[1]
-    for i, j in zip(cut, [*cut[1:], len(doc)]):
-        agree = []
-        for x in range(i, j - 1):
-            others = np.flatnonzero(component[x + 1 : j] != component[x]) + x + 1
-            if low[i] != high[i]:
-                others = others[block[others] != block[x]]
-            same = (registers[others] == registers[x]).sum(axis=1)
-            others, same = others[same >= need], same[same >= need]
-            shared = (bands[others] == bands[x]).argmax(axis=1)
-            first = bands[x][shared] == key[i]
-            agree += [(-n, x, y) for n, y in zip(same[first].tolist(), others[first].tolist())]
-        name = {}
+    for members in np.split(order, np.flatnonzero(change) + 1):
+        name: dict[int, int] = {}
 
         def root(x: int) -> int:
-            while name.setdefault(x, x) != x:
-                x = name[x]
+            while (up := name.get(x, x)) != x:
+                x = name[x] = name.get(up, up)
             return x
 
-        for n, x, y in sorted(agree):
-            p, q = root(int(component[x])), root(int(component[y]))
-            if forest and p == q:
-                continue
-            if forest and -n >= sure:
-                name[max(p, q)] = min(p, q)
-            found.add((int(min(doc[x], doc[y])), int(max(doc[x], doc[y]))))
+        for at, x in enumerate(members[:-1].tolist()):
+            others = members[at + 1 :]
+            others = others[component[others] != component[x]]
+            if low[x] != high[x]:
+                others = others[block[others] != block[x]]
+            same = (registers[others] == registers[x]).sum(axis=1)
+            likeliest = np.argsort(-same, kind="stable")
+            others = others[likeliest[same[likeliest] >= need]]
+            shared = (bands[others] == bands[x]).argmax(axis=1)
+            for y in others[bands[x][shared] == key[x]].tolist():
+                p, q = root(int(component[x])), root(int(component[y]))
+                if p != q and similarity(bags_[x], bags_[y]) >= least:
+                    name[max(p, q)] = min(p, q)
+                    found.add((int(min(doc[x], doc[y])), int(max(doc[x], doc[y]))))
     pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def _pairs_of(forest: bool):
-    return lambda table: _near_pairs(table, forest)
-
-
 def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """(doc, class) for every distinct non-null id: the smallest id of its class of near copies."""
     docs = own_session(docs)
@@ -262,27 +255,22 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     bag = stored(bagged, "bags")
 
     hub = rows.where("doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-    tested = _check(hub, bag, least)
-    component = components(tested.where("linked"))
-    crowded = rows.where("n > 2").select("key", "doc", "n")
-    for forest in (True, False):
-        named = crowded.join(component, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
-        parts = F.ceil(F.col("n") / block).cast("int")
-        dealt = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc"), parts).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), parts - 1))
-        dealt = dealt.select("key", "doc", "component", "n", "block", other.alias("other"))
-        dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-        dealt = stored(dealt.join(signed.select("doc", "registers", "bands"), "doc"), "open-buckets")
-        # Small buckets share a call, about BLOCK rows each time; a pair of blocks of a large one has its own.
-        calls = pieces(dealt.count(), block)
-        call = F.pmod(F.xxhash64("key", "low", "high"), F.lit(calls)).cast("int")
-        near = dealt.withColumn("call", call).groupBy("call").applyInArrow(_pairs_of(forest), "a long, b long")
-        pairs = stored(near.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
-        if not pairs.limit(1).count():
-            break
-        tested = tested.unionByName(_check(pairs, bag, least))
-        component = components(tested.where("linked"))
+    links = _check(hub, bag, least).where("linked").select("a", "b")
+    component = components(links)
+    named = rows.where("n > 2").select("key", "doc", "n").join(component, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
+    parts = F.ceil(F.col("n") / block).cast("int")
+    dealt = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc"), parts).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.select("key", "doc", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    dealt = dealt.join(signed.select("doc", "registers", "bands"), "doc").join(bag, "doc")
+    dealt = stored(dealt, "open-buckets")
+    # Small buckets share a call, about BLOCK rows each time; a pair of blocks of a large one has its own.
+    size = dealt.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("bag")), F.lit(0))).first()
+    calls = max(pieces(size[0], block), pieces(size[1], CALL_BYTES))
+    call = F.pmod(F.xxhash64("key", "low", "high"), F.lit(calls)).cast("int")
+    near = dealt.withColumn("call", call).groupBy("call").applyInArrow(lambda table: _near_links(table, least), "a long, b long")
+    component = components(links.unionByName(stored(near, "near-links")))
     return members.join(component, members["first"] == component["doc"], "left").select(members["doc"], F.coalesce("component", "first").alias("class"))
 
 
