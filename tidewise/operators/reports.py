@@ -129,6 +129,27 @@ def item_scored(wide: DataFrame, item: str, day: str, cjk: bool = False) -> Data
     return scored.withColumn("score", score).drop("_s")
 
 
+def postings_scored(postings: DataFrame, stats: DataFrame, terms: list[str]) -> DataFrame:
+    """(detail_id, score) of the documents that hold all ``terms``, from the postings of these terms and the day's statistics.
+
+    The same scores as ``item_scored``, without reading or splitting a name.
+    """
+    if not terms:
+        return postings.where(F.lit(False)).select("detail_id", F.lit(0.0).alias("score"))
+    day = stats.agg(F.sum("docs").cast("double").alias("docs"), (F.sum("terms") / F.sum("docs")).alias("length"))
+    seen = postings.agg(*[F.count_if(F.col("term") == t).cast("double").alias(f"df{i}") for i, t in enumerate(terms)])
+    counts = [F.max(F.when(F.col("term") == t, F.col("tf"))).cast("double").alias(f"tf{i}") for i, t in enumerate(terms)]
+    found = postings.groupBy("detail_id").agg(F.max("length").cast("double").alias("length"), *counts)
+    found = found.withColumn("_day", day.select(F.struct("docs", "length").alias("s")).scalar())
+    found = found.withColumn("_seen", seen.select(F.struct(*seen.columns).alias("s")).scalar())
+    score, holds = F.lit(0.0), F.lit(True)
+    for i in range(len(terms)):
+        tf, s, df = F.col(f"tf{i}"), F.col("_day"), F.col("_seen")[f"df{i}"]
+        holds = holds & tf.isNotNull()
+        score = score + bm25_term(tf, F.col("length"), s["docs"], df, s["length"])
+    return found.where(holds).select("detail_id", score.alias("score"))
+
+
 def item_ranked(wide: DataFrame, item: str, day: str, cjk: bool = False) -> DataFrame:
     """Matching lines in order of relevance, ties by ``detail_id``."""
     return item_scored(wide, item, day, cjk).orderBy(F.col("score").desc(), "detail_id")
@@ -204,6 +225,28 @@ def detail_by_item(
     return page.withColumn("sku_name", highlight(F.col("sku_name"), terms, cjk)).select(*DETAIL_COLUMNS)
 
 
+def detail_after(
+    wide: DataFrame,
+    item: str,
+    day: str,
+    after: tuple[float, int] | None = None,
+    page_size: int = 20,
+    cjk: bool = False,
+) -> DataFrame:
+    """The page that follows a row given by its (score, detail_id), the first one without; with these two columns.
+
+    What came before is filtered out, so each page is a top-k of ``page_size`` per task, however far into the result.
+    """
+    if page_size < 0:
+        raise ValueError("page_size starts at 0")
+    scored = item_scored(wide, item, day, cjk)
+    if after is not None:
+        score, detail_id = after
+        scored = scored.where((F.col("score") < score) | ((F.col("score") == score) & (F.col("detail_id") > detail_id)))
+    page = scored.select(*DETAIL_COLUMNS, "score", "detail_id").orderBy(F.col("score").desc(), "detail_id").limit(page_size)
+    return page.withColumn("sku_name", highlight(F.col("sku_name"), query_terms(wide.sparkSession, item, cjk), cjk))
+
+
 def detail_response(
     wide: DataFrame, day: str, item: str, page_no: int = 1, page_size: int = 20, cjk: bool = False
 ) -> dict:

@@ -27,7 +27,7 @@ from ..schemas import (
     TOPIC_RECORD,
 )
 from ..session import scratch_dir
-from ..sinks import days, uv
+from ..sinks import days, postings, uv
 from ..sinks.upsert import read_days, upsert
 from ..sources import samples, tables
 from ..sources.topics import land
@@ -137,6 +137,11 @@ def _order_docs(spark: SparkSession, sf: str, path: str) -> None:
     upsert(docs, path, "detail_id", "dt", "orders-0", order=("create_time",))
 
 
+@_store
+def _postings(spark: SparkSession, sf: str, path: str) -> None:
+    postings.add_days(order_docs(spark, sf, days.days_up_to(samples.ORDER_DAY, 10), "sku_name"), path)
+
+
 def topic(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(TOPIC_RECORD).parquet(path_of(spark, sf, name))
 

@@ -299,6 +299,8 @@ FROM wide""",
     "item_search": f"WITH {_found(ITEM)} SELECT detail_id, order_id, sku_name, create_time FROM found",
     "item_search_ranked": f"""WITH {_scored(ITEM)}
 SELECT detail_id, sku_name, round(score, 6) AS score FROM scored ORDER BY score DESC, detail_id""",
+    "item_search_postings": f"WITH {_scored(ITEM)} SELECT detail_id, round(score, 6) AS score FROM scored",
+    "detail_after": _page(ITEM_ONE_TERM, 20),
     "item_highlight": f"WITH {_found(ITEM_ONE_TERM)} SELECT detail_id, {_marked(ITEM_ONE_TERM)} AS sku_name FROM found",
     "item_sum_by_age": _buckets("user_age"),
     "item_sum_by_gender": _buckets("user_gender"),

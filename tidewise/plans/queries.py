@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import age_years, as_date
+from ..functions.text import query_terms
 from ..operators import cdc, dashboard, dau, dims, logs, orders, reports, sessions, uv
 from ..schemas import (
     DAU_INFO,
@@ -20,6 +21,7 @@ from ..schemas import (
     RAW_LOG_TOPIC,
 )
 from ..session import scratch_dir, stream_session
+from ..sinks import postings
 from ..sinks import upsert as table
 from ..sinks.days import days_up_to, read_days
 from ..sources import samples
@@ -464,6 +466,15 @@ def item_search_ranked(spark: SparkSession, sf: str) -> DataFrame:
     return ranked.select("detail_id", "sku_name", F.round("score", 6).alias("score"))
 
 
+@query
+def item_search_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranked search from the terms' postings: no name is read or split."""
+    utc(spark)
+    path, terms = landing.path_of(spark, sf, "postings"), query_terms(spark, ITEM)
+    found = reports.postings_scored(postings.of_terms(spark, path, ORDER_DAY, terms), postings.stats(spark, path, ORDER_DAY), terms)
+    return found.select("detail_id", F.round("score", 6).alias("score"))
+
+
 @query
 def item_highlight(spark: SparkSession, sf: str) -> DataFrame:
     return reports.item_highlight(_docs(spark, sf, "sku_name"), ITEM_ONE_TERM, ORDER_DAY).select("detail_id", "sku_name")
@@ -510,6 +521,14 @@ def detail_page_2(spark: SparkSession, sf: str) -> DataFrame:
     return reports.detail_by_item(_docs(spark, sf, *reports.DETAIL_COLUMNS), ITEM_ONE_TERM, ORDER_DAY, page_no=2)
 
 
+@query
+def detail_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The page after the first one's last row."""
+    docs = _docs(spark, sf, *reports.DETAIL_COLUMNS)
+    last = reports.detail_after(docs, ITEM_ONE_TERM, ORDER_DAY).select("score", "detail_id").tail(1)
+    return reports.detail_after(docs, ITEM_ONE_TERM, ORDER_DAY, tuple(last[0]) if last else None).drop("score", "detail_id")
+
+
 # ---- dashboard -----------------------------------------------------------------------
 
 

@@ -157,6 +157,9 @@ ORDER_WIDE = T.StructType(
     + ORDER_INFO_DERIVED.fields
 )
 
+POSTING = T.StructType(_struct(STR, "term") + _struct(LONG, "detail_id tf length"))
+POSTING_STATS = T.StructType(_struct(LONG, "docs terms") + _struct(STR, "run"))
+
 # Stored forms carry the partition column.
 ORDER_WIDE_STORED = T.StructType(ORDER_WIDE.fields + _struct(STR, "dt"))
 

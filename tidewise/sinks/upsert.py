@@ -56,11 +56,12 @@ def _write(rows: DataFrame, path: str, key: str, part: str, buckets: int) -> Non
     """Replace the folders of the batches that ``rows`` name. With buckets, a folder's rows meet before, so it gets one file."""
     levels = [part, _BUCKET, _BATCH] if buckets else [part, _BATCH]
     if buckets:
-        rows = rows.withColumn(_BUCKET, _bucket_of(F.col(key), buckets)).repartition(part, _BUCKET)
+        rows = rows.withColumn(_BUCKET, bucket_of(F.col(key), buckets)).repartition(part, _BUCKET)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
 
 
-def _bucket_of(key: Column, buckets: int) -> Column:
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The part of a table, ``<buckets>-<number>``, that a key is filed in."""
     return F.concat(F.lit(f"{buckets}-"), F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("string"))
 
 
@@ -138,7 +139,7 @@ def read_current(
     wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
     asked = None
     if only is not None and buckets and values is not None:
-        asked = [r[0] for r in only.select(_bucket_of(F.col(key), buckets)).distinct().collect()]
+        asked = [r[0] for r in only.select(bucket_of(F.col(key), buckets)).distinct().collect()]
     stored = _stored(spark, path, schema, part, values, asked).select(*wanted, _SEQ, _VERSION)
     if only is not None:
         stored = stored.join(only, key, "left_semi")

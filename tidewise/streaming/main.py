@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
 from ..session import build_session, stream_session
+from ..sinks import postings
 from ..sinks.days import days_up_to
-from ..sinks.upsert import compact
+from ..sinks.upsert import compact, read_days
 from ..sinks.uv import add_days
 from ..sources import tables
 from ..sources.topics import file_topic, kafka_topic, topic_folder
@@ -35,7 +36,7 @@ JOBS = ["log-split", "cdc-route", "dau", "hourly", "orders"]
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=[*JOBS, "compact", "uv"])
+    parser.add_argument("job", choices=[*JOBS, "compact", "uv", "postings"])
     parser.add_argument("--store", required=True, help="shared folder of topics, dimensions, table lists and documents")
     parser.add_argument("--checkpoint", help="shared folder of this job's checkpoint")
     parser.add_argument("--servers", help="Kafka servers; without them topics are folders")
@@ -49,9 +50,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="the date that ages are counted at; default: today")
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     parser.add_argument("--table", choices=list(STORES), help="compact only")
-    parser.add_argument("--day", help="compact: the partition to fold; uv: the last of the days")
+    parser.add_argument("--day", help="compact: the partition to fold; uv, postings: the last of the days")
     parser.add_argument("--grace", type=float, default=3600, help="compact only: seconds that folded folders are kept for running queries")
-    parser.add_argument("--days", type=int, default=1, help="uv only: how many days up to --day got pages since the last run")
+    parser.add_argument("--days", type=int, default=1, help="uv, postings: how many days up to --day got rows since the last run")
     return parser.parse_args(argv)
 
 
@@ -63,6 +64,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "uv":
         add_days(spark, f"{args.store}/pages", f"{args.store}/uv", days_up_to(args.day, args.days))
         return
+    if args.job == "postings":
+        folder, schema, key, part, _ = STORES["orders"]
+        docs = read_days(spark, f"{args.store}/{folder}", schema, key, part, days_up_to(args.day, args.days), ["sku_name"])
+        postings.add_days(docs, f"{args.store}/postings")
+        return
     session = stream_session(spark, args.state_partitions, idle_batches=args.job == "hourly")
     trigger = {"availableNow": True} if args.once else jobs.FIVE_SECONDS
     positions = {
