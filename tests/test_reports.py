@@ -91,3 +91,16 @@ def test_paging_is_a_top_k(spark):
     w = wide(spark, ("red", 1, "F", 1.0))
     plan = reports.detail_by_item(w, "red", "2024-01-05", 2, 20)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_response_is_the_total_and_the_page(spark, sf_dir):
+    from tidewise.plans import landing
+
+    docs = landing.order_docs(spark, sf_dir, ["2024-01-05"], *reports.DETAIL_COLUMNS)
+    for item, page_no in (("plate", 1), ("plate", 2), ("red plate", 1), ("nosuch", 1), ("", 1)):
+        found = reports.detail_response(docs, "2024-01-05", item, page_no, 7)
+        assert found["total"] == reports.detail_total(docs, item, "2024-01-05").first().total
+        assert found["detail"] == [r.asDict() for r in reports.detail_by_item(docs, item, "2024-01-05", page_no, 7).collect()]
+    assert reports.detail_response(docs, "2024-03-01", "plate") == {}
+    with pytest.raises(ValueError):
+        reports.detail_response(docs, "2024-01-05", "plate", 0)

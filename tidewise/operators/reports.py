@@ -107,26 +107,36 @@ def item_search(wide: DataFrame, item: str, day: str, cjk: bool = False) -> Data
     return _day(wide, day).where(matches_all(F.col("sku_name"), terms, cjk))
 
 
-def item_scored(wide: DataFrame, item: str, day: str, cjk: bool = False) -> DataFrame:
-    """Matching lines with their BM25 ``score``, corpus = the day's lines that have a name."""
-    terms = query_terms(wide.sparkSession, item, cjk)
-    corpus = _day(wide, day)
-    words = tokens(F.col("sku_name"), cjk)
-    named = corpus.where(F.col("sku_name").isNotNull()).select(words.alias("words"))
-    stats = named.agg(
-        F.struct(
-            F.count(F.lit(1)).cast("double").alias("docs"),
-            F.avg(F.size("words").cast("double")).alias("length"),
-            *[F.count_if(F.array_contains("words", t)).cast("double").alias(f"df{i}") for i, t in enumerate(terms)],
-        ).alias("s")
+def _corpus_stats(corpus: DataFrame, terms: list[str], cjk: bool) -> DataFrame:
+    """One row over a day: its rows, of them those with a name and their mean length, those per term, and those with all terms."""
+    name = F.col("sku_name")
+    words = tokens(name, cjk)
+    return corpus.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(name).cast("double").alias("docs"),
+        F.avg(F.when(name.isNotNull(), F.size(words).cast("double"))).alias("length"),
+        F.count_if(matches_all(name, terms, cjk)).alias("total"),
+        *[F.count_if(F.array_contains(words, t)).cast("double").alias(f"df{i}") for i, t in enumerate(terms)],
     )
-    scored = corpus.where(matches_all(F.col("sku_name"), terms, cjk)).withColumn("_s", stats.scalar())
+
+
+def _score(terms: list[str], stats: Column, cjk: bool) -> Column:
+    words = tokens(F.col("sku_name"), cjk)
     length = F.size(words).cast("double")
     score = F.lit(0.0)
     for i, term in enumerate(terms):
-        s = F.col("_s")
-        score = score + bm25_term(term_frequency(words, term), length, s["docs"], s[f"df{i}"], s["length"])
-    return scored.withColumn("score", score).drop("_s")
+        score = score + bm25_term(term_frequency(words, term), length, stats["docs"], stats[f"df{i}"], stats["length"])
+    return score
+
+
+def item_scored(wide: DataFrame, item: str, day: str, cjk: bool = False) -> DataFrame:
+    """Matching lines with their BM25 ``score``, corpus = the day's lines that have a name."""
+    terms = query_terms(wide.sparkSession, item, cjk)
+    corpus = _day(wide, day)
+    stats = _corpus_stats(corpus, terms, cjk)
+    one = stats.select(F.struct("docs", "length", *[f"df{i}" for i in range(len(terms))]).alias("s"))
+    scored = corpus.where(matches_all(F.col("sku_name"), terms, cjk)).withColumn("_s", one.scalar())
+    return scored.withColumn("score", _score(terms, F.col("_s"), cjk)).drop("_s")
 
 
 def postings_scored(postings: DataFrame, stats: DataFrame, terms: list[str]) -> DataFrame:
@@ -250,9 +260,20 @@ def detail_after(
 def detail_response(
     wide: DataFrame, day: str, item: str, page_no: int = 1, page_size: int = 20, cjk: bool = False
 ) -> dict:
-    """``{total, detail}`` with one page of rows; ``{}`` for a day without documents."""
-    if _day(wide, day).isEmpty():
+    """``{total, detail}`` with one page of rows; ``{}`` for a day without documents.
+
+    Two passes over the day: its statistics with the total, and the page scored by them.
+    """
+    if page_no < 1 or page_size < 0:
+        raise ValueError("page_no starts at 1 and page_size at 0")
+    terms = query_terms(wide.sparkSession, item, cjk)
+    corpus = _day(wide, day)
+    stats = _corpus_stats(corpus, terms, cjk).first()
+    if not stats["rows"]:
         return {}
-    total = detail_total(wide, item, day, cjk).first().total
-    rows = detail_by_item(wide, item, day, page_no, page_size, cjk).collect()
-    return {"total": total, "detail": [r.asDict() for r in rows]}
+    known = F.struct(*[F.lit(stats[n]).cast("double").alias(n) for n in ("docs", "length", *(f"df{i}" for i in range(len(terms))))])
+    found = corpus.where(matches_all(F.col("sku_name"), terms, cjk)).withColumn("score", _score(terms, known, cjk))
+    best = found.select(*DETAIL_COLUMNS, "score", "detail_id").orderBy(F.col("score").desc(), "detail_id")
+    page = best.offset((page_no - 1) * page_size).limit(page_size)
+    rows = page.withColumn("sku_name", highlight(F.col("sku_name"), terms, cjk)).select(*DETAIL_COLUMNS).collect()
+    return {"total": stats["total"], "detail": [r.asDict() for r in rows]}

@@ -205,6 +205,14 @@ def _all_batches(spark: SparkSession, path: str, part: str, value: str, buckets:
     return out
 
 
+def parts_of(spark: SparkSession, path: str, part: str) -> list[str]:
+    """The values that a table has partitions of, from one listing."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = _files(spark, top)
+    names = [s.getPath().getName() for s in files.listStatus(top)] if files.exists(top) else []
+    return sorted(n.removeprefix(f"{part}=") for n in names if n.startswith(f"{part}="))
+
+
 def _batches(spark: SparkSession, path: str, part: str, value: str, buckets: Sequence[str] | None = None) -> list:
     """The folders of the batches that are not folded yet; none where the partition does not exist."""
     return [folder for folder, folded in _all_batches(spark, path, part, value, buckets) if folded is None]

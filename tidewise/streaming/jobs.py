@@ -23,7 +23,7 @@ from ..operators import cdc, dau, dims, logs, orders
 from ..schemas import DAU_INFO, DIM_ROW, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_STORED, PAGE_DAY, PAGE_LOG, json_form
 from ..sinks import topics as topic_sink
 from ..sinks.days import write_days
-from ..sinks.upsert import stored_keys, upsert
+from ..sinks.upsert import parts_of, stored_keys, upsert
 from ..sources.tables import DIM_BUCKETS
 from . import state
 
@@ -166,10 +166,12 @@ def _first_of_their_day(batch: DataFrame, path: str) -> DataFrame:
     """Without the devices that are stored already, as far as the state may have forgotten them.
 
     Only records of days before the day before their arrival can be such; the
-    keys of just those days are read.
+    keys of just those days are read, as far as the table has them: a broken
+    clock may name any day.
     """
     late = F.coalesce(F.col("dt") < F.date_sub(F.col("arrival").cast("date"), 1).cast("string"), F.lit(False))
-    days = [r["dt"] for r in batch.where(late).select("dt").distinct().collect()]
+    there = parts_of(batch.sparkSession, path, "dt")
+    days = [r["dt"] for r in batch.where(late & F.col("dt").isin(there)).select("dt").distinct().collect()] if there else []
     if not days:
         return batch
     stored = stored_keys(batch.sparkSession, path, DAU_INFO, "mid", "dt", days)
