@@ -88,3 +88,26 @@ def test_neighbours_reach_the_recall(spark, sf_dir):
         hits.append(len({i for i, _ in result} & set(ids[best].tolist())) / 20)
         assert all(s == pytest.approx(scores[ids == i][0], rel=1e-12) for i, s in result)
     assert len(found) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.9
+
+
+def test_a_huge_vector_leaves_the_others_found(spark):
+    draw = np.random.default_rng(11)
+    points = draw.standard_normal((1500, 16))
+    points[700] *= 1e9
+    points[701] *= 1e-9
+    data = [(i, v.tolist()) for i, v in enumerate(points)]
+    found, truth = got(ann.nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>"), even(), 20)), brute(data, 20)
+    share = [len({i for i, _ in found[q]} & {i for i, _ in best}) / 20 for q, best in truth.items()]
+    assert np.mean(share) >= 0.9 and min(share) >= 0.5
+    assert all((700 in [i for i, _ in found[q]]) == (700 in [i for i, _ in best]) for q, best in truth.items())
+
+
+def test_scores_out_of_range_do_not_crash(spark):
+    data = [(i, [1e200 * (i + 1), -1e200, 1e-200]) for i in range(8)] + [(8, [1e-310, 0.0, 0.0])]
+    found = ann.nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>"), even(), 3).collect()
+    assert {r.query_id for r in found} == {0, 4, 8}
+
+
+def test_every_cell_has_its_shards():
+    counts = {1: 10, 2: vectors.SHARD_ROWS, 3: 5, 4: 3 * vectors.SHARD_ROWS + 1, 5: 7, 6: 9}
+    assert ann.shards_of(counts) == {1: (0, 1), 2: (1, 1), 3: (2, 1), 4: (3, 4), 5: (7, 1), 6: (7, 1)}

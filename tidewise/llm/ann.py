@@ -1,14 +1,18 @@
 """Approximate nearest neighbours by inner product: inverted lists with an adaptive dimension scan.
 
-A coordinate that fills every vector up to the largest norm turns the largest inner product into the smallest distance;
-a fixed random rotation then spreads each vector's energy evenly over the dimensions, so that a distance in the first d
-of D of them, times D/d, estimates the whole. Lists are the cells of k-means centroids (fitted on at most
-``vectors.SAMPLE`` vectors; every vector is put in a list). Within a probed list, candidates are scanned in blocks of
-``BLOCK`` rotated dimensions; after each block, those whose partial distance is too large for the kth distance so far
-(a test of ``EPSILON`` deviations) are abandoned. What survives is scored in double precision on the original vectors.
-
-Each query first scans the list of its nearest centroid; the kth distance found there is what candidates of its other
-``probes`` lists have to beat. Which vectors take part, ties and repeated ids: as in ``topk``, and zero vectors take no part.
+Lists are the cells of k-means centroids of directions (fitted on at most ``vectors.SAMPLE`` vectors; every vector is put
+in a list), split by length, half a power of two each, so that one long vector has a list of its own and leaves the others
+alone. A query probes lists in order of the best score that they promise, until these hold the share ``probes`` of all
+vectors. Within a list, vectors are measured in units of the longest, and a coordinate that fills each up to it
+turns the largest inner product into the smallest distance to the query's direction; a fixed random rotation then
+spreads each vector's energy evenly, so that a distance in the first d of D dimensions, times D/d, estimates the whole.
+Lists are scanned in blocks of ``BLOCK`` rotated dimensions, for all queries that probe one together; after each block,
+candidates whose partial distance is too large for the kth distance so far (a test of ``EPSILON`` deviations)
+are abandoned. What survives is scored in double precision on the original vectors.
+
+Small lists share a shard, long ones are many. Each query first scans what it probes in the shard of its best list; the kth
+score found there is what candidates in its other shards have to beat. Which vectors take part, ties and repeated ids: as in
+``topk``, and zero vectors take no part. Columns other than id and vector are not looked at.
 """
 
 from __future__ import annotations
@@ -19,12 +23,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors
-from .arrays import stored
+from .arrays import pieces, stored
 
 FOUND = "query_id long, vec_id long, score double"
 BLOCK, EPSILON = 16, 3.0
-#: Share of the lists that a query probes, and so many at least.
-PROBES, LEAST_PROBES = 0.75, 8
+#: Share of the vectors whose lists a query probes, and so many lists at least; lists of one length at most.
+PROBES, LEAST_PROBES, LISTS = 0.75, 8, 1024
+#: Deviations above its middle at which a list's best score is expected.
+PROMISE = 3.0
+#: Pairs of queries and candidates that are measured at once, and the share of them left at which they are taken singly.
+PAIRS, SINGLY = 1 << 20, 0.2
+#: Distances are between unit vectors; what rounding may add.
+ROUNDING = 1e-9
 ROUNDS = 12
 SEED = 7
 
@@ -49,86 +59,193 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(axis=1)[:, None] - 2 * (a @ b.T) + (b * b).sum(axis=1)[None, :]
 
 
+def lengths(v: np.ndarray) -> np.ndarray:
+    """Lengths of vectors whose squares may be out of range."""
+    most = np.abs(v).max(axis=1)
+    return most * np.sqrt(((v / most[:, None]) ** 2).sum(axis=1))
+
+
+class Cells:
+    """Which cell a vector belongs to: its direction's centroid and its length."""
+
+    #: Halves of a power of two that lengths of doubles can differ by, with room.
+    CLASSES = 1 << 13
+
+    def __init__(self, sample: np.ndarray, lists: int) -> None:
+        self.center = centroids(sample / lengths(sample)[:, None], lists)
+
+    def of(self, v: np.ndarray) -> np.ndarray:
+        size = lengths(v)
+        near = _distances(v / size[:, None], self.center).argmin(axis=1)
+        return near * self.CLASSES + np.floor(2 * np.log2(size) + 0.5).astype(np.int64) + self.CLASSES // 2
+
+
 class Space:
-    """The filled-up and rotated space, and the lists' centroids in it."""
+    """The lists with their numbers of vectors and the shards they are in."""
 
-    def __init__(self, sample: np.ndarray, largest: float, lists: int) -> None:
-        self.largest, self.turn = largest, rotation(sample.shape[1] + 1)
-        self.center = centroids(self.points(sample), lists)
+    def __init__(self, cells: Cells, counts: dict[int, int], parts: dict[int, tuple[int, int]], probes: float) -> None:
+        self.number = np.array(sorted(counts), dtype=np.int64)
+        self.rows = np.array([counts[i] for i in self.number.tolist()], dtype=np.int64)
+        self.first, self.parts = np.array([parts[i] for i in self.number.tolist()], dtype=np.int64).T
+        self.middle = cells.center[self.number // Cells.CLASSES]
+        self.reach = 2.0 ** ((self.number % Cells.CLASSES - Cells.CLASSES // 2 + 0.5) / 2)
+        dimension = self.middle.shape[1]
+        around = np.sqrt(np.maximum(1 - (self.middle**2).sum(axis=1), 0.0))
+        self.above = PROMISE * around / np.sqrt(dimension)
+        self.turn, self.probes = rotation(dimension + 1), probes
 
-    def points(self, v: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(self.largest**2 - (v * v).sum(axis=1), 0.0))
-        return np.column_stack((v, rest)) @ self.turn
+    def probed(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query's direction the lists in order of promise, and how many of them it probes."""
+        order = np.argsort(-(unit @ self.middle.T + self.above) * self.reach, axis=1, kind="stable")
+        before = np.cumsum(self.rows[order], axis=1) - self.rows[order]
+        wanted = (before < self.probes * self.rows.sum()).sum(axis=1)
+        return order, np.minimum(np.maximum(wanted, LEAST_PROBES), len(self.number))
 
-    def queries(self, v: np.ndarray) -> np.ndarray:
-        return np.column_stack((v, np.zeros(len(v)))) @ self.turn
+    def shards(self, unit: np.ndarray) -> list[list[int]]:
+        """The shards of each query's lists, that of the most promising one first."""
+        out = []
+        for order, n in zip(*self.probed(unit)):
+            mine = order[:n]
+            all_of = np.repeat(self.first[mine], self.parts[mine])
+            step = np.arange(len(all_of)) - np.repeat(np.cumsum(self.parts[mine]) - self.parts[mine], self.parts[mine])
+            out.append(list(dict.fromkeys((all_of + step).tolist())))
+        return out
 
 
-def scan(query: np.ndarray, blocks: list[np.ndarray], k: int, beat: float) -> np.ndarray:
-    """Rows of a list that may be among the k nearest, in no order; ``blocks`` are the list's columns in blocks.
+def scan(queries: np.ndarray, blocks: list[np.ndarray], k: int, beat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row of a list) of rows that may be among a query's k nearest; ``blocks`` are the list's columns in blocks.
 
-    ``beat`` is a squared distance that k others already have. Rows are taken in portions, the first of which sets the
-    kth distance for the rest.
+    ``beat`` holds for each query a squared distance that k others already have. Rows are taken in portions, the first of
+    which sets the kth distance for the rest.
     """
     size, width = len(blocks[0]), sum(b.shape[1] for b in blocks)
-    kept_rows, kept_far = np.zeros(0, np.int64), np.zeros(0)
-    at, portion = 0, max(4 * k, 128)
+    asked, rows, far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    beat, at, portion = beat.copy(), 0, max(4 * k, 128)
     while at < size:
-        rows = np.arange(at, min(size, at + portion))
-        far, done = np.zeros(len(rows)), 0
+        stop, done, single = min(size, at + portion), 0, False
+        whole = np.zeros((len(queries), stop - at))
         for i, block in enumerate(blocks):
-            step = block[rows] - query[done : done + block.shape[1]]
-            far = far + np.einsum("ij,ij->i", step, step)
+            here, there = queries[:, done : done + block.shape[1]], block[at:stop]
             done += block.shape[1]
-            if np.isfinite(beat):
-                # The last block gives whole distances, to be compared without the test's margin (but for rounding).
-                margin = 1 + EPSILON / np.sqrt(done) if i < len(blocks) - 1 else 1 + 1e-9
-                alive = far * (width / done) <= beat * margin**2 + 1e-12
-                rows, far = rows[alive], far[alive]
-                if not len(rows):
-                    break
-        kept_rows, kept_far = np.concatenate((kept_rows, rows)), np.concatenate((kept_far, far))
-        if len(kept_far) > k:
-            beat = min(beat, float(np.partition(kept_far, k)[k]))
-            near = kept_far <= beat * (1 + 1e-9) + 1e-12
-            kept_rows, kept_far = kept_rows[near], kept_far[near]
-        at, portion = at + portion, portion * 2
-    return kept_rows
+            # The last block gives whole distances, to be compared without the test's margin (but for rounding).
+            margin = 1 + EPSILON / np.sqrt(done) if i < len(blocks) - 1 else 1.0
+            limit = (beat * margin**2 + ROUNDING) * (done / width)
+            if single:
+                step = there[r] - here[q]
+                f = f + np.einsum("ij,ij->i", step, step)
+                alive = f <= limit[q]
+                q, r, f = q[alive], r[alive], f[alive]
+            else:
+                whole += _distances(here, there)
+                alive = whole <= limit[:, None]
+                if i == len(blocks) - 1 or np.count_nonzero(alive) < SINGLY * alive.size:
+                    single = True
+                    q, r = np.nonzero(alive)
+                    f = whole[q, r]
+        asked, rows, far = np.concatenate((asked, q)), np.concatenate((rows, r + at)), np.concatenate((far, f))
+        kept, kth = _first(asked, far, k)
+        beat = np.minimum(beat, np.append(kth, np.full(len(beat) - len(kth), np.inf)) + ROUNDING)
+        asked, rows, far = asked[kept], rows[kept], far[kept]
+        at, portion = stop, portion * 2
+    return asked, rows
+
+
+def _first(group: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each group's k + 1 smallest values and those equal to the last, by group and value; and that last one (or inf)."""
+    order = np.lexsort((value, group))
+    starts = np.searchsorted(group[order], np.arange(int(group.max(initial=-1)) + 2))
+    last = np.full(len(starts) - 1, np.inf)
+    full = np.flatnonzero(np.diff(starts) > k)
+    last[full] = value[order][starts[full] + k]
+    return order[value[order] <= last[group[order]]], last
+
+
+def _search(points: pa.Table, queries: pa.Table, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (query, point) of a shard that may be among a query's k best, and their scores."""
+    original, cell = vectors.matrix(points.column("v")), points.column("cell").to_numpy()
+    asked = vectors.matrix(queries.column("v"))
+    size, norm = lengths(original), lengths(asked)
+    unit = asked / norm[:, None]
+    spun = np.column_stack((unit, np.zeros(len(unit)))) @ space.turn
+    order, count = space.probed(unit)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], axis=1)
+    worst = queries.column("worst").to_numpy().astype(float)
+    q, p, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    for number in np.unique(cell).tolist():
+        place, mine = int(np.searchsorted(space.number, number)), np.flatnonzero(cell == number)
+        longest = size[mine].max()
+        scaled = original[mine] / longest
+        rest = np.sqrt(np.maximum(1 - (scaled * scaled).sum(axis=1), 0.0))
+        turned = np.column_stack((scaled, rest)) @ space.turn
+        blocks = [np.ascontiguousarray(turned[:, i : i + BLOCK]) for i in range(0, turned.shape[1], BLOCK)]
+        probing = np.flatnonzero(rank[:, place] < count)
+        beat = 2 - 2 * (worst[probing] / norm[probing] / longest)
+        # Nothing to beat yet, or a score out of range: all are looked at.
+        beat = np.where(np.isfinite(beat), np.maximum(beat, 0.0), np.inf)
+        step = max(1, PAIRS // len(mine))
+        for i in range(0, len(probing), step):
+            some = probing[i : i + step]
+            found_q, found_p = scan(spun[some], blocks, k + 1, beat[i : i + step])
+            found_q, found_p = some[found_q], mine[found_p]
+            q, p = np.concatenate((q, found_q)), np.concatenate((p, found_p))
+            score = np.concatenate((score, (original[found_p] * asked[found_q]).sum(axis=1)))
+        kept, last = _first(q, -score, k)
+        q, p, score = q[kept], p[kept], score[kept]
+        worst[: len(last)] = np.fmax(worst[: len(last)], -last)
+    return q, p, score
 
 
 def _kernel(space, k: int):
     def run(points: pa.Table, queries: pa.Table) -> pa.Table:
-        ids = [np.array(i, dtype=np.int64) for i in points.column("ids").to_pylist()]
-        found = []
-        if ids and len(queries):
-            original = vectors.matrix(points.column("v"))
-            turned = space.value.points(original)
-            blocks = [np.ascontiguousarray(turned[:, i : i + BLOCK]) for i in range(0, turned.shape[1], BLOCK)]
-            asked = vectors.matrix(queries.column("v"))
-            names, beats = queries.column("query_id").to_pylist(), queries.column("beat").to_pylist()
-            for name, query, spun, beat in zip(names, asked, space.value.queries(asked), beats):
-                rows = scan(spun, blocks, k + 1, np.inf if beat is None else beat)
-                found += vectors.expand((original[rows] * query).sum(axis=1), [ids[r] for r in rows], name, k)
-        columns = list(zip(*found)) or [(), (), ()]
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "vec_id", "score"])
+        q = ids = np.zeros(0, np.int64)
+        score = np.zeros(0)
+        if len(points) and len(queries):
+            with np.errstate(over="ignore", invalid="ignore"):
+                q, p, score = _search(points, queries, space.value, k)
+            own = [np.array(i, dtype=np.int64) for i in points.column("ids").to_pylist()]
+            many = np.array([len(own[i]) for i in p.tolist()], dtype=np.int64)
+            ids = np.concatenate([ids, *(own[i] for i in p.tolist())])
+            q = queries.column("query_id").to_numpy()[np.repeat(q, many)]
+            score = np.repeat(score, many)
+            other = ids != q
+            q, ids, score = q[other], ids[other], score[other]
+            order = np.lexsort((ids, -score, q))
+            q, ids, score = q[order], ids[order], score[order]
+            top = np.arange(len(q)) - np.searchsorted(q, q) < k
+            q, ids, score = q[top], ids[top], score[top]
+        return pa.table({"query_id": q, "vec_id": ids, "score": score})
 
     return run
 
 
-def _cells(batches, space):
+def _with_cells(batches, cells):
     for batch in batches:
         if batch.num_rows:
-            far = _distances(space.value.points(vectors.matrix(batch.column("v"))), space.value.center)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(far.argmin(axis=1).astype(np.int32))], names=[*batch.schema.names, "cell"])
+            cell = pa.array(cells.value.of(vectors.matrix(batch.column("v"))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=[*batch.schema.names, "cell"])
 
 
-def _probes(batches, space, probes: int):
+def _with_shards(batches, space):
     for batch in batches:
         if batch.num_rows:
-            far = _distances(space.value.queries(vectors.matrix(batch.column("v"))), space.value.center)
-            near = np.argsort(far, axis=1, kind="stable")[:, :probes].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(near), pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"])
+            v = vectors.matrix(batch.column("v"))
+            shards = pa.array(space.value.shards(v / lengths(v)[:, None]), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, shards], names=[*batch.schema.names, "shards"])
+
+
+def shards_of(counts: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """Each cell's first shard and how many it has: long cells have shards of their own, others share one of about ``SHARD_ROWS``."""
+    parts, shard, room = {}, 0, vectors.SHARD_ROWS
+    for cell, rows in sorted(counts.items()):
+        if rows > room and room < vectors.SHARD_ROWS:
+            shard, room = shard + 1, vectors.SHARD_ROWS
+        parts[cell] = (shard, pieces(rows, vectors.SHARD_ROWS))
+        if rows > room:
+            shard, room = shard + parts[cell][1], vectors.SHARD_ROWS
+        else:
+            room -= rows
+    return parts
 
 
 def nearest(
@@ -140,26 +257,25 @@ def nearest(
     chosen = vectors.sample(points)
     if not len(chosen):
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x))
-    largest, number = points.agg(F.max(norm), F.count("*")).first()
-    lists = max(1, min(vectors.CELLS, int(np.sqrt(number)), len(chosen) // 4))
-    space = df.sparkSession.sparkContext.broadcast(Space(chosen, largest, lists))
-    with_cell = points.mapInArrow(lambda it: _cells(it, space), "ids array<long>, v array<double>, cell int")
-    sharded, parts = vectors.shards_of(stored(with_cell, "ann-cells"))
-    sharded = stored(sharded.select("ids", "v", "shard"), "ann-shards")
-    count = max(1, min(lists, max(LEAST_PROBES, round(lists * probes))))
+    context = df.sparkSession.sparkContext
+    lists = max(1, min(LISTS, int(np.sqrt(points.count())), len(chosen) // 4))
+    cells = Cells(chosen, lists)
+    shared = context.broadcast(cells)
+    dealt = stored(points.mapInArrow(lambda it: _with_cells(it, shared), "ids array<long>, v array<double>, cell long"), "ann-cells")
+    # At most LISTS rows for each length that occurs.
+    counts = {r["cell"]: r["count"] for r in dealt.groupBy("cell").count().collect()}
+    parts = shards_of(counts)
+    space = context.broadcast(Space(cells, counts, parts, probes))
+    table = F.create_map(*[F.lit(x) for cell, (first, n) in parts.items() for x in (cell, F.struct(F.lit(first).alias("first"), F.lit(n).alias("n")))])
+    place = table[F.col("cell")]
+    spread = F.pmod(F.xxhash64(F.col("ids")[0]), place["n"].cast("long")).cast("int")
+    sharded = stored(dealt.withColumn("shard", place["first"] + spread), "ann-shards")
     asked = rows.where(is_query).groupBy(F.col("id").alias("query_id")).agg(F.min("v").alias("v"))
-    asked = stored(asked.mapInArrow(lambda it: _probes(it, space, count), "query_id long, v array<double>, cells array<int>"), "ann-queries")
+    asked = stored(asked.mapInArrow(lambda it: _with_shards(it, space), "query_id long, v array<double>, shards array<int>"), "ann-queries")
     number = asked.count()
-    table = F.create_map(*[F.lit(x) for cell, (first, n) in parts.items() for x in (cell, F.sequence(F.lit(first), F.lit(first + n - 1)))])
-    # Empty lists have no shard; a query starts in the first shard of its nearest list that has one.
-    probed = asked.select("query_id", "v", F.flatten(F.filter(F.transform("cells", lambda c: table[c]), lambda s: s.isNotNull())).alias("shards"))
-    home = probed.where(F.size("shards") > 0).select(F.col("shards")[0].alias("shard"), "query_id", "v", F.lit(None).cast("double").alias("beat"))
+    home = asked.select(F.col("shards")[0].alias("shard"), "query_id", "v", F.lit(None).cast("double").alias("worst"))
     near = stored(vectors.meet(sharded, home, _kernel(space, k), FOUND, number), "ann-near")
-    # |q - x|^2 in the filled-up space, from the kth score.
-    square = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
     worst = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("worst"))
-    beat = (square + F.lit(largest**2) - 2 * F.col("worst")).alias("beat")
-    onward = probed.join(worst, "query_id", "left").select(F.posexplode("shards").alias("n", "shard"), "query_id", "v", beat).where("n > 0").drop("n")
+    onward = asked.join(worst, "query_id", "left").select(F.posexplode("shards").alias("n", "shard"), "query_id", "v", "worst").where("n > 0").drop("n")
     far = vectors.meet(sharded, onward, _kernel(space, k), FOUND, number)
     return vectors.best(near.unionByName(far), k)
