@@ -49,6 +49,17 @@ def test_full_cache_starts_anew(raw, library):
     same([f"word{i} other{i}" for i in range(200)], raw, library, bpe.Merges(bpe.parse_ranks(raw), limit=50))
 
 
+def test_slices_that_share_slots(raw, library, monkeypatch):
+    monkeypatch.setattr(bpe, "SLOTS", 2)
+    random.seed(7)
+    merges = bpe.Merges(bpe.parse_ranks(raw))
+    # Lengths around eight and fifteen bytes, and slices that differ by zero bytes at the end only.
+    texts = [" ".join("abcdefghijklmnopqrstuvwxyz"[i % 5 : i % 5 + random.randint(1, 18)] for i in range(40)) for _ in range(50)]
+    texts += ["\x00" * n for n in range(1, 20)] + ["!" + "\x00" * n for n in range(20)] + ["é" * n for n in range(1, 12)]
+    same(texts, raw, library, merges)
+    same(texts[::-1], raw, library, merges)
+
+
 def test_dataframe_keeps_rows_and_columns(spark, raw):
     rows = [Row(doc_id=1, text="it's", ids="x"), Row(doc_id=2, text=None, ids="y"), Row(doc_id=None, text="", ids=None), Row(doc_id=1, text="it's", ids="x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")

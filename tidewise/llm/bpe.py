@@ -6,7 +6,9 @@ depend on the characters that follow. Every class is a transition function over
 few states ("inside a word", "after a blank", ...). Function composition is
 associative, so a scan over blocks gives the state before every character of a
 whole chunk of documents with array operations, and a table of (state, class) says
-where a slice begins. Slices then go through a cache of merged slices.
+where a slice begins. Slices then go through a cache of merged slices: those of
+up to 15 bytes are two numbers, looked up for a whole chunk at once in a table that
+compares both; the few longer ones go through a dictionary.
 
 Null and empty texts encode to no ids. Rows and their other columns are kept as
 they are; ``ids``, ``ends`` and ``n_tokens`` replace columns of those names.
@@ -17,7 +19,6 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
-import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -27,10 +28,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrays import CHUNK, chunks, own_session
+from .arrays import BASE, chunks, mix, own_session
 
 #: Slices that a Python worker remembers; beyond it the cache starts anew.
 CACHE = 400_000
+#: Slots of the table of short slices, of at most so many bytes; and masks of a number's first bytes.
+SLOTS, SHORT_SLICE = 1 << 20, 15
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 # The white space of the pattern, as ranges of code points.
 BLANKS = [
@@ -138,41 +142,80 @@ def slice_starts(points: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[_states_before(kinds), kinds])
 
 
-class Merges(dict):
-    """Slice -> its ids as little-endian 32-bit integers. ``learn`` merges the unknown slices of a chunk together."""
+class Merges:
+    """The ids of slices. What is known of a slice is its place in ``pool``; unknown slices of a chunk are merged together."""
 
     NONE = 1 << 40
 
     def __init__(self, ranks: dict[bytes, int], limit: int = CACHE) -> None:
-        super().__init__()
         self.ranks, self.limit = ranks, limit
         self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int64)
         splits = ((t[:i], t[i:], r) for t, r in ranks.items() for i in range(1, len(t)))
         pairs = np.array([(ranks[a] << 20 | ranks[b], r) for a, b, r in splits if a in ranks and b in ranks], dtype=np.int64)
         pairs = pairs.reshape(-1, 2)[np.argsort(pairs.reshape(-1, 2)[:, 0])]
         self.pair, self.merged = np.append(pairs[:, 0], self.NONE), np.append(pairs[:, 1], self.NONE)
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Make all slices of a chunk known. A full cache starts anew, so it never outgrows limit and one chunk."""
-        unknown = pieces.difference(self)
-        if len(self) + len(unknown) > self.limit:
-            self.clear()
-            unknown = pieces
-        short = [p for p in unknown if len(p) <= 48]
-        for piece in unknown:
-            if len(piece) > 48:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pool, self.used, self.slices = np.zeros(1 << 16, dtype=np.uint32), 0, 0
+        # Slots by a hash of the slice; a later slice takes an earlier one's slot. A slice's length is part of ``high``, which is never 0.
+        self.low, self.high = np.zeros(SLOTS, dtype=np.uint64), np.zeros(SLOTS, dtype=np.uint64)
+        self.at, self.count = np.zeros(SLOTS, dtype=np.int64), np.zeros(SLOTS, dtype=np.int64)
+        self.long: dict[bytes, tuple[int, int]] = {}
+
+    def _keep(self, ids: np.ndarray) -> int:
+        """Append ids to the pool; where they begin."""
+        start, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.pool):
+            self.pool = np.concatenate((self.pool[:start], np.zeros(2 * self.used - start, dtype=np.uint32)))
+        self.pool[start : self.used] = ids
+        return start
+
+    def places(self, data: bytes, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``pool`` each slice's ids begin, and how many they are; valid until the next call.
+
+        A full cache starts anew, so it never outgrows its limit and one chunk.
+        """
+        if self.slices > self.limit or self.used > 8 * self.limit:
+            self._forget()
+        at, count = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
+        # The eight bytes from each place on.
+        words = np.ndarray(len(data) + 9, dtype="<u8", buffer=data + bytes(16), strides=(1,))
+        short = np.flatnonzero((size > 0) & (size <= SHORT_SLICE))
+        begin, width = start[short], size[short]
+        low = words[begin] & FIRST_BYTES[np.minimum(width, 8)]
+        high = (words[begin + 8] & FIRST_BYTES[np.maximum(width - 8, 0)]) | width.astype(np.uint64) << np.uint64(56)
+        slot = (mix(low ^ (high * np.uint64(BASE))) & np.uint64(SLOTS - 1)).astype(np.int64)
+        at[short], count[short] = self.at[slot], self.count[slot]
+        unknown = np.flatnonzero((self.low[slot] != low) | (self.high[slot] != high))
+        if len(unknown):
+            unknown = unknown[np.lexsort((high[unknown], low[unknown]))]
+            differs = (np.diff(low[unknown]) != 0) | (np.diff(high[unknown]) != 0)
+            first = np.concatenate(([True], differs))
+            new, kind = unknown[first], np.cumsum(first) - 1
+            ids, counts = self._merge_together([data[i : i + n] for i, n in zip(begin[new].tolist(), width[new].tolist())])
+            places = self._keep(ids) + np.cumsum(counts) - counts
+            at[short[unknown]], count[short[unknown]] = places[kind], counts[kind]
+            taken, which = np.unique(slot[new], return_index=True)
+            self.low[taken], self.high[taken] = low[new[which]], high[new[which]]
+            self.at[taken], self.count[taken] = places[which], counts[which]
+            self.slices += len(new)
+        for i in np.flatnonzero(size > SHORT_SLICE).tolist():
+            piece = data[start[i] : start[i] + size[i]]
+            if piece not in self.long:
                 ids = self._merge_long(piece)
-                self[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        if short:
-            self.update(zip(short, self._merge_together(short), strict=True))
+                self.long[piece] = self._keep(np.array(ids, dtype=np.uint32)), len(ids)
+                self.slices += 1
+            at[i], count[i] = self.long[piece]
+        return at, count
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left << 20 | right
         at = np.searchsorted(self.pair, wanted)
         return np.where(self.pair[at] == wanted, self.merged[at], self.NONE)
 
-    def _merge_together(self, pieces: list[bytes]) -> list[bytes]:
-        """Each round merges every slice's pair of lowest rank, the leftmost of equals; done slices leave the round."""
+    def _merge_together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all slices in a row, and how many each has. Each round merges every slice's pair of lowest rank, the leftmost of equals; done slices leave the round."""
         sizes = np.array([len(p) for p in pieces])
         ids = self.single[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
         owner = np.repeat(np.arange(len(pieces)), sizes)
@@ -205,10 +248,7 @@ class Merges(dict):
                 rank[changed] = np.where(same, self._rank(ids[changed], ids[after]), self.NONE)
         ids, owner = np.concatenate(done_ids), np.concatenate(done_owner)
         order = np.argsort(owner, kind="stable")
-        cut = np.searchsorted(owner[order], np.arange(len(pieces) + 1)) * 4
-        packed = ids[order].astype("<u4").tobytes()
-        cut = cut.tolist()
-        return [packed[i:j] for i, j in zip(cut, cut[1:])]
+        return ids[order].astype(np.uint32), np.bincount(owner, minlength=len(pieces))
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """One long slice with a heap, which keeps the time near linear."""
@@ -262,8 +302,8 @@ def token_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), dtype=np.uint8), starts
 
 
-def encode_texts(texts: list[str], merges: Merges) -> list[bytes]:
-    """The ids of each text, packed; the texts are sliced together."""
+def encode_chunk(texts: list[str], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and the place after each text's last (0 first); the texts are sliced together."""
     joined = "\n".join(texts) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).copy()
     ends = np.cumsum([len(t) + 1 for t in texts]) - 1
@@ -273,18 +313,22 @@ def encode_texts(texts: list[str], merges: Merges) -> list[bytes]:
     offset = np.zeros(len(points) + 1, dtype=np.int64)
     np.cumsum(widths, out=offset[1:])
     starts = slice_starts(points)
-    bounds = offset[starts].tolist()
-    data = joined.encode()
-    # END begins a slice of its own, which closes the document's last slice and is left out.
-    closing = np.searchsorted(starts, ends).tolist()
-    pieces = list(map(data.__getitem__, map(slice, bounds, bounds[1:])))
-    merges.learn(set(pieces))
-    packed = list(map(merges.__getitem__, pieces))
-    out, first = [], 0
-    for last in closing:
-        out.append(b"".join(packed[first:last]))
-        first = last + 1
-    return out
+    bounds = offset[np.append(starts, len(points))]
+    size = np.diff(bounds)
+    # END begins a slice of its own, which closes the document's last slice and has no ids.
+    closing = np.searchsorted(starts, ends)
+    size[closing] = 0
+    at, count = merges.places(joined.encode(), bounds[:-1], size)
+    total = np.cumsum(count)
+    ids = merges.pool[np.repeat(at - (total - count), count) + np.arange(total[-1])]
+    return ids, np.concatenate(([0], total[closing]))
+
+
+def encode_texts(texts: list[str], merges: Merges) -> list[bytes]:
+    """The ids of each text, packed."""
+    ids, cut = encode_chunk(texts, merges)
+    packed, cut = ids.astype("<u4").tobytes(), (cut * 4).tolist()
+    return [packed[i:j] for i, j in zip(cut, cut[1:])]
 
 
 def decode_ids(ids: np.ndarray, ends: np.ndarray, raw: bytes) -> bytes:
@@ -298,9 +342,18 @@ def decode_ids(ids: np.ndarray, ends: np.ndarray, raw: bytes) -> bytes:
     return buffer[np.repeat(shift, length) + np.arange(int(ends[-1]))].tobytes()
 
 
-def token_ends(ids: np.ndarray, raw: bytes) -> np.ndarray:
+def _token_ends(ids: np.ndarray, raw: bytes) -> np.ndarray:
     _, starts = token_bytes(raw)
-    return np.cumsum(starts[ids + np.uint32(1)] - starts[ids]).astype("<u4")
+    return np.cumsum(starts[ids + np.uint32(1)] - starts[ids])
+
+
+def token_ends(ids: np.ndarray, raw: bytes) -> np.ndarray:
+    return _token_ends(ids, raw).astype("<u4")
+
+
+def _binaries(data: bytes, cut: np.ndarray) -> pa.Array:
+    """Binary values that lie in a row, cut at offsets."""
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(data)])
 
 
 def read_ranks(path: str) -> bytes:
@@ -341,13 +394,14 @@ def encode(
             sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
             for start, stop in chunks(sizes):
                 part = batch.slice(start, stop - start)
-                packed = encode_texts([t or "" for t in part.column(text).to_pylist()], merges)
-                ends = [token_ends(np.frombuffer(p, dtype="<u4"), raw).tobytes() for p in packed]
-                counts = pa.array([len(p) // 4 for p in packed], pa.int64())
-                made = [pa.array(packed, pa.binary()), pa.array(ends, pa.binary()), counts]
+                coded, cut = encode_chunk([t or "" for t in part.column(text).to_pylist()], merges)
+                # Ends within the chunk, and where each document begins and ends among its bytes.
+                ends = _token_ends(coded, raw)
+                place = np.concatenate(([0], ends))[cut]
+                own = (ends - np.repeat(place[:-1], np.diff(cut))).astype("<u4")
+                made = [_binaries(coded.astype("<u4").tobytes(), cut * 4), _binaries(own.tobytes(), cut * 4), pa.array(np.diff(cut), pa.int64())]
                 if decoded:
-                    both = zip(packed, ends)
-                    made.append(pa.array([decode_ids(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4"), raw) for i, e in both], pa.binary()))
+                    made.append(_binaries(decode_ids(coded, ends, raw), place))
                 yield pa.RecordBatch.from_arrays(_columns(part, kept) + made, names=[*kept, *(f.name for f in fields)])
 
     return df.select(*names).mapInArrow(run, schema)

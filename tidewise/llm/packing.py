@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import chunks, own_session, pieces
-from .bpe import encode_texts, merges_of, read_ranks
+from .bpe import encode_chunk, merges_of, read_ranks
 
 LENGTH = 2048
 SHARD_BYTES = 8 << 20
@@ -100,8 +100,8 @@ def _pack(table: pa.Table, vocabulary, length: int) -> pa.Table:
     sizes = pa.compute.binary_length(texts).to_numpy()
     ids: list[np.ndarray] = []
     for start, stop in chunks(sizes):
-        packed = encode_texts(texts.slice(start, stop - start).to_pylist(), merges)
-        ids += [np.frombuffer(p, dtype="<u4") for p in packed]
+        coded, cut = encode_chunk(texts.slice(start, stop - start).to_pylist(), merges)
+        ids += [coded[i:j] for i, j in zip(cut.tolist(), cut[1:].tolist())]
     shard = table.column("shard")[0].as_py()
     out: list[tuple] = []
     for number, row in enumerate(pack_documents(ids, length)):
