@@ -242,6 +242,12 @@ FROM change WHERE table_name IN ('order_info', 'order_detail', 'sku_info')""",
     "cdc_dim_route": f"WITH {_CDC} SELECT table_name, id, op, ts, name FROM dim_change",
     "dim_upsert_latest": _LATEST_DIM,
     "cdc_stream": _LATEST_DIM,
+    "cdc_stream_batches": f"""WITH {_CDC},
+routed AS (SELECT * FROM dim_change WHERE table_name <> 'sku_info' OR (key * 3 + n) % 2 = 1)
+SELECT 'dimension' AS kind, table_name AS name, id, op FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, id ORDER BY ts DESC) AS rn FROM routed
+) WHERE rn = 1
+UNION ALL SELECT 'fact', 'DWD_' || upper(table_name) || '_' || op || '_0522', id, NULL FROM change WHERE table_name IN ('order_info', 'order_detail', 'sku_info')""",
     "user_age": f"""WITH {_DIMS}
 SELECT id, birthday, age, strftime(DATE '{AS_OF}' - 1, '%Y-%m-%d') AS day_before FROM users""",
     "enrich_user": f"""WITH {_DIMS}
@@ -260,6 +266,14 @@ FROM first LEFT JOIN users AS u ON CAST(u.id AS VARCHAR) = user_id
 LEFT JOIN provinces AS p ON CAST(p.id AS VARCHAR) = province_id""",
     "dau_first_seen_stream": f"""WITH {_EVENT}, {_DIMS}
 SELECT dt, mid, user_id, p.name AS province_name FROM first LEFT JOIN provinces AS p ON CAST(p.id AS VARCHAR) = province_id""",
+    "pipeline_chain": f"""WITH {_EVENT}, {_CDC},
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY table_name, id ORDER BY ts DESC) AS rn FROM dim_change) WHERE rn = 1
+)
+SELECT dt, mid, user_id, p.name AS province_name,
+  CASE WHEN u.key % 10 = 9 THEN NULL WHEN u.key % 2 = 0 THEN 'F' WHEN u.key % 2 = 1 THEN 'M' END AS user_gender
+FROM first LEFT JOIN latest AS u ON u.table_name = 'user_info' AND u.id = user_id
+LEFT JOIN latest AS p ON p.table_name = 'base_province' AND p.id = province_id""",
     "dau_by_hour_stream": f"""WITH {_EVENT},
 in_time AS (
   SELECT * FROM entry WHERE NOT (make_timestamp(ts * 1000) BETWEEN '2024-01-05' AND '2024-01-11' AND ts % 97 = 0)

@@ -18,6 +18,7 @@ from ..schemas import (
     ORDER_INFO_TOPIC,
     ORDER_WIDE_STORED,
     PAGE_TOPIC,
+    RAW_CDC_TOPIC,
     RAW_LOG_TOPIC,
 )
 from ..session import scratch_dir, stream_session
@@ -26,7 +27,8 @@ from ..sinks import upsert as table
 from ..sinks.days import days_up_to, read_days
 from ..sources import samples
 from ..sources.samples import AS_OF, ITEM, ITEM_ONE_TERM, LAST_DAY, MISSING_DAY, ORDER_DAY, TD
-from ..sources.topics import file_topic, land
+from ..sources.tables import provinces, required_lists, users
+from ..sources.topics import file_topic, land, topic_folder
 from ..streaming import jobs
 from . import landing
 
@@ -240,15 +242,41 @@ def cdc_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("table_name", "id", "op", "ts", F.get_json_object("data", "$.name").alias("name"))
 
 
+@query
+def cdc_stream_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The change routing job over several batches, with a list edited between two starts: what it left in the dimension
+    table and in the fact topics. Items are a dimension from the second start on."""
+    session = _stream(spark)
+    root = scratch_dir(session, "cdc-batches")
+    records = landing.topic(session, sf, "cdc")
+    lists = samples.table_lists(session)
+    later = (F.col("list_name") == cdc.DIM_LIST) & (F.col("table_name") == "sku_info")
+
+    def run() -> None:
+        stream = file_topic(session, f"{root}/changes", max_files=2)
+        jobs.cdc_route(
+            stream, lambda s: required_lists(s, f"{root}/lists"), f"{root}/dims", f"{root}/checkpoint", path=f"{root}/facts", trigger=ONCE
+        ).awaitTermination()
+
+    for odd, listed in ((0, lists.where(~later)), (1, lists)):
+        land(records.where(F.col("offset") % 2 == odd), RAW_CDC_TOPIC, f"{root}/changes", pieces=4)
+        listed.write.mode("overwrite").parquet(f"{root}/lists")
+        run()
+    rows = table.read_current(spark, f"{root}/dims", DIM_ROW, "id", "table_name")
+    facts = spark.read.schema("key STRING, topic STRING").parquet(f"{root}/facts")
+    images = rows.select(F.lit("dimension").alias("kind"), F.col("table_name").alias("name"), "id", "op")
+    return images.unionByName(facts.select(F.lit("fact").alias("kind"), F.col("topic").alias("name"), F.col("key").alias("id"), F.lit(None).cast("string").alias("op")))
+
+
 # ---- dimensions ----------------------------------------------------------------------
 
 
 @query
 def user_age(spark: SparkSession, sf: str) -> DataFrame:
     utc(spark)
-    users = samples.user_info(spark, sf)
+    known = samples.user_info(spark, sf)
     age = age_years(F.col("birthday"), AS_OF).alias("age")
-    return users.select("id", "birthday", age, F.date_sub(as_date(AS_OF), 1).cast("string").alias("day_before"))
+    return known.select("id", "birthday", age, F.date_sub(as_date(AS_OF), 1).cast("string").alias("day_before"))
 
 
 @query
@@ -296,6 +324,35 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     return table.read_current(spark, f"{root}/docs", DAU_INFO, "mid", "dt", columns=["user_id", "province_name"])
 
 
+@query
+def pipeline_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Three jobs in a row, each fed by what the one before left: raw logs to page records, changes to dimensions, and
+    both to the stored documents of first-seen devices."""
+    session = _stream(spark)
+    root = scratch_dir(session, "chain")
+    samples.table_lists(session).write.parquet(f"{root}/lists")
+    topics, dimensions = f"{root}/topics", f"{root}/dims"
+    jobs.log_split(_topic_stream(session, sf, "raw_log"), f"{root}/log-checkpoint", path=topics, trigger=ONCE).awaitTermination()
+    jobs.cdc_route(
+        _topic_stream(session, sf, "cdc"),
+        lambda s: required_lists(s, f"{root}/lists"),
+        dimensions,
+        f"{root}/cdc-checkpoint",
+        path=topics,
+        trigger=ONCE,
+    ).awaitTermination()
+    jobs.dau_documents(
+        file_topic(session, topic_folder(topics, PAGE_TOPIC)),
+        lambda s, ids: users(s, dimensions, ids),
+        lambda s, ids: provinces(s, dimensions, ids),
+        f"{root}/docs",
+        f"{root}/dau-checkpoint",
+        AS_OF,
+        trigger=ONCE,
+    ).awaitTermination()
+    return table.read_current(spark, f"{root}/docs", DAU_INFO, "mid", "dt", columns=["user_id", "user_gender", "province_name"])
+
+
 @query
 def dau_by_hour_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The hourly job over the page topic in two parts. With the second come pages of the first's last hour, which still
