@@ -58,6 +58,20 @@ def _dim_row(changed: DataFrame) -> list[Column]:
     return [F.col("table").alias("table_name"), "id", "op", "data", "ts", *position]
 
 
+def route_counts(parsed: DataFrame, table_lists: DataFrame) -> DataFrame:
+    """One row: records, and of those the unreadable ones, those that change no row, and those of tables in no list."""
+    either = table_lists.select(F.col("table_name").alias("table"), F.lit(True).alias("_listed")).distinct()
+    corrupt = F.col("_corrupt").isNotNull()
+    no_change = ~corrupt & op_code(F.col("type")).isNull()
+    unlisted = ~corrupt & op_code(F.col("type")).isNotNull() & F.col("_listed").isNull()
+    return parsed.join(either, "table", "left").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(corrupt).alias("corrupt"),
+        F.count_if(no_change).alias("no_change"),
+        F.count_if(unlisted).alias("unlisted"),
+    )
+
+
 def latest_dim(rows: DataFrame, drop_deleted: bool = False) -> DataFrame:
     """Last image per (table, id). A deleted row keeps its last image unless ``drop_deleted``."""
     order = [c for c in ("ts", "offset") if c in rows.columns]

@@ -182,6 +182,14 @@ def quality_counts() -> list[Column]:
     ]
 
 
+def route_counts() -> list[Column]:
+    """Records by what they are filed as first: each counts once."""
+    corrupt, error = F.col(_CORRUPT).isNotNull(), _is_error()
+    page = _is_clean() & F.col("page").isNotNull()
+    start = _is_clean() & F.col("page").isNull() & F.col("start").isNotNull()
+    return [F.count_if(kind).alias(name) for name, kind in (("corrupt", corrupt), ("error", error), ("page", page), ("start", start))]
+
+
 def parse_page_log(messages: DataFrame) -> DataFrame:
     """Typed page records from the page topic."""
     return typed(parse_json(messages.select("value"), json_form(PAGE_LOG)).where(F.col(_CORRUPT).isNull()), PAGE_LOG)

@@ -274,6 +274,36 @@ SELECT dt, mid, user_id, p.name AS province_name,
   CASE WHEN u.key % 10 = 9 THEN NULL WHEN u.key % 2 = 0 THEN 'F' WHEN u.key % 2 = 1 THEN 'M' END AS user_gender
 FROM first LEFT JOIN latest AS u ON u.table_name = 'user_info' AND u.id = user_id
 LEFT JOIN latest AS p ON p.table_name = 'base_province' AND p.id = province_id""",
+    "record_balance": f"""WITH {_EVENT}, {_CDC},
+read AS (
+  SELECT *, make_timestamp(ts * 1000) >= '2024-01-16' AND event_id % 89 = 0 AS broken FROM logs
+),
+raw AS (
+  SELECT 'raw log' AS source, CASE WHEN broken THEN 'corrupt' WHEN event_type = 'error' THEN 'error'
+    WHEN event_type IN ('view', 'click', 'purchase') THEN 'page' WHEN event_type = 'signup' THEN 'start' ELSE 'other' END AS fate
+  FROM read
+),
+changed AS (
+  SELECT 'change' AS source, CASE WHEN (key * 3 + n) % 89 = 0 THEN 'corrupt'
+    WHEN type NOT IN ('bootstrap-insert', 'insert', 'update', 'delete') THEN 'no_change'
+    WHEN table_name = 'comment_info' THEN 'unlisted' ELSE 'routed' END AS fate
+  FROM named_change
+),
+paged AS (
+  SELECT 'page' AS source, CASE WHEN last_page_id IS NOT NULL THEN 'later_page'
+    WHEN row_number() OVER (PARTITION BY mid, dt, last_page_id IS NULL) = 1 THEN 'first' ELSE 'repeated' END AS fate
+  FROM dated WHERE NOT (make_timestamp(ts * 1000) >= '2024-01-16' AND event_id % 89 = 0)
+),
+fates AS (
+  SELECT * FROM (VALUES ('raw log', ['read', 'corrupt', 'error', 'page', 'start', 'other']),
+    ('change', ['read', 'corrupt', 'no_change', 'unlisted', 'routed']),
+    ('page', ['read', 'corrupt', 'no_key', 'later_page', 'first', 'late', 'repeated']),
+    ('order header', ['read', 'corrupt', 'no_key', 'kept']), ('order line', ['read', 'corrupt', 'no_key', 'kept'])) AS t(source, names)
+),
+went AS (SELECT * FROM raw UNION ALL SELECT * FROM changed UNION ALL SELECT * FROM paged)
+SELECT f.source, f.fate, CAST(count(w.source) AS BIGINT) AS n
+FROM (SELECT source, unnest(names) AS fate FROM fates) AS f
+LEFT JOIN went AS w ON w.source = f.source AND (w.fate = f.fate OR f.fate = 'read') GROUP BY f.source, f.fate""",
     "dau_by_hour_stream": f"""WITH {_EVENT},
 in_time AS (
   SELECT * FROM entry WHERE NOT (make_timestamp(ts * 1000) BETWEEN '2024-01-05' AND '2024-01-11' AND ts % 97 = 0)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import age_years, as_date
 from ..functions.text import query_terms
@@ -29,7 +30,7 @@ from ..sources import samples
 from ..sources.samples import AS_OF, ITEM, ITEM_ONE_TERM, LAST_DAY, MISSING_DAY, ORDER_DAY, TD
 from ..sources.tables import provinces, required_lists, users
 from ..sources.topics import file_topic, land, topic_folder
-from ..streaming import jobs
+from ..streaming import balance, jobs
 from . import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,6 +354,51 @@ def pipeline_chain(spark: SparkSession, sf: str) -> DataFrame:
     return table.read_current(spark, f"{root}/docs", DAU_INFO, "mid", "dt", columns=["user_id", "user_gender", "province_name"])
 
 
+@query
+def record_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """What the log split, the change routing and the daily actives read, and where each record went, from the kept account.
+    The raw logs come in two starts, the second with some unreadable records."""
+    session = _stream(spark)
+    root = scratch_dir(session, "balance")
+    account = balance.Account(session, f"{root}/account")
+    samples.table_lists(session).write.parquet(f"{root}/lists")
+    records, changes = landing.topic(session, sf, "raw_log"), landing.topic(session, sf, "cdc")
+    broken = F.when(F.col("offset") % 89 == 0, F.lit("{broken")).otherwise(F.col("value")).alias("value")
+    middle = F.lit("2024-01-16").cast("timestamp")
+    late = records.where(F.col("timestamp") >= middle).select("key", broken, "offset", "timestamp")
+    land(changes.select("key", broken, "offset", "timestamp"), RAW_CDC_TOPIC, f"{root}/changes")
+
+    def pages() -> StreamingQuery:
+        stream = file_topic(session, f"{root}/raw")
+        return jobs.log_split(stream, f"{root}/log-checkpoint", path=f"{root}/topics", trigger=ONCE)
+
+    def routed() -> StreamingQuery:
+        stream = file_topic(session, f"{root}/changes", max_files=4)
+        lists, out = (lambda s: required_lists(s, f"{root}/lists")), f"{root}/dims"
+        return jobs.cdc_route(stream, lists, out, f"{root}/cdc-checkpoint", path=f"{root}/facts", trigger=ONCE, account=account.path)
+
+    def actives() -> StreamingQuery:
+        stream = file_topic(session, topic_folder(f"{root}/topics", PAGE_TOPIC))
+        return jobs.dau_documents(stream, *landing.lookups(session, sf), f"{root}/docs", f"{root}/dau-checkpoint", AS_OF, trigger=ONCE)
+
+    session.streams.addListener(account)
+    try:
+        for part in (records.where(F.col("timestamp") < middle), late):
+            land(part, RAW_LOG_TOPIC, f"{root}/raw")
+            _ended(account, pages())
+        for job in (routed, actives):
+            _ended(account, job())
+    finally:
+        session.streams.removeListener(account)
+    return balance.balance(spark, account.path)
+
+
+def _ended(account: balance.Account, query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if not account.settled(query):
+        raise TimeoutError("the account of a job that has ended is not complete")
+
+
 @query
 def dau_by_hour_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The hourly job over the page topic in two parts. With the second come pages of the first's last hour, which still

@@ -6,7 +6,7 @@ doubles a row. Dimensions and table lists are read inside ``foreachBatch``:
 a change to them counts from the next batch. What could not be read or found is
 counted along the way: ``log_quality``, ``page_quality``, ``info_quality`` and
 ``detail_quality`` in the progress of the jobs that read these topics (see
-``dropped`` for what came too late), a log line per batch of the two document
+``dropped`` for what came too late, and ``balance`` for a kept account), a log line per batch of the two document
 jobs, and unreadable change records go to the corrupt topic.
 """
 
@@ -26,6 +26,7 @@ from ..sinks.days import write_days
 from ..sinks.upsert import parts_of, stored_keys, upsert
 from ..sources.tables import DIM_BUCKETS
 from . import state
+from .balance import write_counts
 
 Loader = Callable[[SparkSession], DataFrame]
 # A dimension for one batch: given the ids (column ``id``) its facts refer to, at least those rows.
@@ -57,7 +58,7 @@ def log_split(
 
     ``pages`` names a table of typed page records by day, written in the same batch.
     """
-    parsed = logs.parse_logs(raw).observe("log_quality", *logs.quality_counts())
+    parsed = logs.parse_logs(raw).observe("log_quality", *logs.quality_counts()).observe("log_routes", *logs.route_counts())
     if servers and not pages:
         return topic_sink.stream_to_kafka(logs.fan_out(parsed), servers, checkpoint, **(trigger or FIVE_SECONDS))
 
@@ -87,8 +88,12 @@ def cdc_route(
     path: str | None = None,
     servers: str | None = None,
     trigger: dict | None = None,
+    account: str | None = None,
 ) -> StreamingQuery:
-    """Change records to fact topics and to the dimension table."""
+    """Change records to fact topics and to the dimension table.
+
+    ``account`` names the table of ``balance.Account``: what a batch's lists leave out is known in the batch only.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = cdc.parse_cdc(batch).persist()
@@ -104,6 +109,10 @@ def cdc_route(
             images = cdc.dim_rows(changed, current)
             stored = [f.name for f in DIM_ROW]
             upsert(images, dim_path, "id", "table_name", name, seq=batch_id, version=("ts", "offset"), keep=stored, buckets=DIM_BUCKETS)
+            if account:
+                counts = cdc.route_counts(parsed, current).first().asDict()
+                kept = [("changes", fate, n) for fate, n in counts.items()]
+                write_counts(batch.sparkSession, account, name.removesuffix(f"-{batch_id}"), batch_id, kept, "routes")
         finally:
             parsed.unpersist()
 
@@ -127,7 +136,7 @@ def dau_documents(
     checkpoint (see ``restore_devices``).
     """
     parsed = _parsed_with_arrival(pages, PAGE_LOG, "page_quality", ["mid", "ts"])
-    entries = dau.with_day(dau.session_entries(parsed))
+    entries = dau.with_day(dau.session_entries(parsed)).observe("entries", F.count(F.lit(1)).alias("records"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         known = batch.persist()
@@ -143,7 +152,8 @@ def dau_documents(
             fresh.unpersist()
             known.unpersist()
 
-    return _start(state.first_seen_stream(entries, delay), handle, checkpoint, trigger)
+    first = state.first_seen_stream(entries, delay).observe("first_seen", F.count(F.lit(1)).alias("records"))
+    return _start(first, handle, checkpoint, trigger)
 
 
 def hourly_actives(
@@ -153,7 +163,7 @@ def hourly_actives(
 
     Needs a session in which a batch without input may close a day: ``stream_session(..., idle_batches=True)``.
     """
-    parsed = _parsed_with_arrival(pages, PAGE_LOG, "page_quality", ["mid", "ts"])
+    parsed = _parsed_with_arrival(pages, PAGE_LOG, "hour_quality", ["mid", "ts"])
     hours = state.hourly_actives_stream(dau.session_entries(parsed).select("mid", "ts"), delay)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
