@@ -1,8 +1,10 @@
 """The kept account of records: what it takes from progress, replays, and that it adds up."""
 
 from tidewise.operators import cdc, logs
+from tidewise.schemas import RAW_CDC_TOPIC
 from tidewise.sources import samples
-from tidewise.streaming import balance
+from tidewise.sources.topics import land
+from tidewise.streaming import balance, main
 
 
 def progress(late=0, **observed):
@@ -40,3 +42,15 @@ def test_each_record_has_one_fate(spark):
     parsed = cdc.parse_cdc(spark.createDataFrame([(t,) for t in [*changes, "{broken", None]], "value string"))
     counts = cdc.route_counts(parsed, samples.table_lists(spark)).first().asDict()
     assert counts == {"records": 6, "corrupt": 2, "no_change": 1, "unlisted": 1}
+
+
+def test_the_command_line_keeps_the_account(spark, tmp_path):
+    store = str(tmp_path)
+    samples.table_lists(spark).write.parquet(f"{store}/lists")
+    texts = ['{"table": "user_info", "type": "insert", "ts": 1, "data": {"id": 1}}', "{broken", '{"table": "t", "type": "insert", "data": {"id": 2}}']
+    rows = spark.createDataFrame([(None, t, i, 0.0) for i, t in enumerate(texts)], "key string, value string, offset long, timestamp double")
+    land(rows, RAW_CDC_TOPIC, f"{store}/topics/{RAW_CDC_TOPIC}")
+    options = ["cdc-route", "--store", store, "--checkpoint", f"{store}/cp", "--once", "--account", "--state-partitions", "2"]
+    main.run(spark, main.arguments(options))
+    got = {r.fate: r.n for r in balance.balance(spark, f"{store}/account").where("source = 'change'").collect()}
+    assert got == {"read": 3, "corrupt": 1, "no_change": 0, "unlisted": 1, "routed": 1}

@@ -23,6 +23,7 @@ from ..sinks.uv import add_days
 from ..sources import tables
 from ..sources.topics import file_topic, kafka_topic, topic_folder
 from . import jobs
+from .balance import Account
 from .state import SLICES
 
 # Table name -> (folder, schema, key, partition column, buckets) of the stored documents.
@@ -48,6 +49,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep", default="72 hours", help="orders only: how long headers and lines wait for each other")
     parser.add_argument("--slices", type=int, default=SLICES, help="orders only: state partitions an order's lines are spread over")
     parser.add_argument("--as-of", help="the date that ages are counted at; default: today")
+    parser.add_argument("--account", action="store_true", help="keep what each batch read and where it went in <store>/account")
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     parser.add_argument("--table", choices=list(STORES), help="compact only")
     parser.add_argument("--day", help="compact: the partition to fold; uv, postings: the last of the days")
@@ -70,6 +72,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         postings.add_days(docs, f"{args.store}/postings")
         return
     session = stream_session(spark, args.state_partitions, idle_batches=args.job == "hourly")
+    account = Account(session, f"{args.store}/account") if args.account else None
+    if account:
+        session.streams.addListener(account)
     trigger = {"availableNow": True} if args.once else jobs.FIVE_SECONDS
     positions = {
         (topic, int(partition)): offset
@@ -90,7 +95,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "cdc-route":
         lists = f"{args.store}/lists"
         query = jobs.cdc_route(
-            topic(S.RAW_CDC_TOPIC), lambda s: tables.required_lists(s, lists), dims, args.checkpoint, **out
+            topic(S.RAW_CDC_TOPIC), lambda s: tables.required_lists(s, lists), dims, args.checkpoint,
+            account=account.path if account else None, **out,
         )
     elif args.job == "dau":
         docs = f"{args.store}/{STORES['dau'][0]}"
@@ -108,6 +114,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.delay or "24 hours", args.slices, args.keep, trigger,
         )
     query.awaitTermination()
+    if account:
+        account.settled(query)
+        session.streams.removeListener(account)
 
 
 if __name__ == "__main__":
