@@ -2,7 +2,8 @@
 
 ``Account`` listens to the queries of a session and writes what a batch's observed counts and its stateful steps say to
 a table, one folder for each query and batch, so that a replayed batch replaces its own numbers and progress that the
-session has forgotten stays known. ``balance`` sums it up by source: ``read`` is the sum of a source's other rows.
+session has forgotten stays known. ``balance`` sums it up by source: ``read`` is the sum of a source's other rows, the last of
+which (``other``, ``routed``, ``repeated``, ``kept``) is not counted but what the counted ones leave.
 """
 
 from __future__ import annotations
