@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewise.functions.rows import pick_one
 from tidewise.operators import dau, dims, orders
 from tidewise.schemas import ORDER_DETAIL, ORDER_INFO_WIDE
+from tidewise.sources import samples
 from tidewise.streaming.state import thin
 
 SMALL = {
@@ -135,3 +136,27 @@ def test_thin_keeps_every_key_and_drops_repeats(spark):
     assert thinned.count() <= 4 * 501
     first = thinned.where("k = 1").agg(F.min("s.x")).first()[0]
     assert first == 1 and thinned.select("t").distinct().count() == 1
+
+
+def test_documents_are_compared_only_where_a_line_or_header_comes_again(spark, tmp_path):
+    """The same documents as ``order_wide``, with lines sent again for other orders, headers sent again, and ids that are NULL."""
+    hour = F.concat(F.lit("2024-01-02 1"), (F.col("id") % 10).cast("string"), F.lit(":00:00"))
+    order = F.when(F.col("id") % 97 == 0, None).otherwise(F.col("id") % 400)
+    line = F.when(F.col("id") % 101 == 0, None).when(F.col("id") >= 1900, F.col("id") - 1900).otherwise(F.col("id"))
+    infos = spark.range(450).select((F.col("id") % 430).alias("id"), hour.alias("create_time"), F.col("id").cast("string").alias("create_date"))
+    details = spark.range(2000).select(line.alias("id"), order.alias("order_id"), hour.alias("create_time"), F.col("id").cast("string").alias("sku_name"))
+    infos, details = keep(conform(infos, ORDER_INFO_WIDE), f"{tmp_path}/i"), keep(conform(details, ORDER_DETAIL), f"{tmp_path}/d")
+    headers, lines = keep(orders.repeated(infos), f"{tmp_path}/h"), keep(orders.repeated(details), f"{tmp_path}/l")
+    compared = keep(orders.to_compare(details, headers, lines), f"{tmp_path}/c")
+    assert 0 < compared.count() < details.count()
+    assert compared.count() + orders.to_compare(details, headers, lines, those=False).count() == details.count()
+    apart = orders.order_wide_apart(infos, details, headers, lines, compared, compared.select(F.col("order_id").alias("id")).distinct())
+    whole = orders.order_wide(infos, details)
+    assert apart.columns == whole.columns and apart.count() == whole.count()
+    assert apart.exceptAll(whole).count() == 0
+
+
+def test_landed_orders_are_dealt_without_a_sort(spark, sf_dir):
+    for rows in (samples.order_info(spark, sf_dir, 8), samples.order_detail(spark, sf_dir, 8)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and "RoundRobin" not in plan

@@ -70,7 +70,11 @@ def _paired(infos: DataFrame, details: DataFrame, how: str = "inner") -> DataFra
 
 def order_pairs(infos: DataFrame, details: DataFrame) -> DataFrame:
     """Headers (``i``) and lines (``d``) of equal order created at most a day apart; an unknown time counts as near."""
-    return _paired(infos, details).where(F.coalesce(_seconds_apart() <= JOIN_SECONDS, F.lit(True)))
+    return _paired(infos, details).where(_near())
+
+
+def _near() -> Column:
+    return F.coalesce(_seconds_apart() <= JOIN_SECONDS, F.lit(True))
 
 
 def order_wide(infos: DataFrame, details: DataFrame) -> DataFrame:
@@ -78,6 +82,37 @@ def order_wide(infos: DataFrame, details: DataFrame) -> DataFrame:
     return pick_one(wide_of_pairs(order_pairs(infos, details)), ["detail_id"], ["create_date", "order_id"])
 
 
+def repeated(rows: DataFrame, key: str = "id") -> DataFrame:
+    """The keys that more than one row has. Only keys are sent, and counted in place."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
+
+
+def to_compare(details: DataFrame, headers_again: DataFrame, lines_again: DataFrame, those: bool = True) -> DataFrame:
+    """The lines that may make more than one document of a ``detail_id``, or the others: ``those=False``."""
+    line, header = lines_again.select(F.col("id").alias("_line")), headers_again.select(F.col("id").alias("_header"))
+    by_line, by_header = details["id"].eqNullSafe(line["_line"]), details["order_id"] == header["_header"]
+    if not those:
+        return details.join(line, by_line, "left_anti").join(header, by_header, "left_anti")
+    others = details.join(line, by_line, "left_anti").join(header, by_header, "left_semi")
+    return details.join(line, by_line, "left_semi").unionByName(others)
+
+
+def order_wide_apart(
+    infos: DataFrame, details: DataFrame, headers_again: DataFrame, lines_again: DataFrame, compared: DataFrame, their_orders: DataFrame
+) -> DataFrame:
+    """``order_wide``, with documents compared only where a line or header comes again.
+
+    ``headers_again`` and ``lines_again`` are the ``repeated`` ids of either side, ``compared`` the lines ``to_compare`` and
+    ``their_orders`` the ids of their orders, all stored, so that Spark knows how small they are. A line of one row with a
+    header of one row makes one document, which needs neither the sort nor the shuffle of the wide rows.
+    """
+    once = infos.join(headers_again, "id", "left_anti")
+    on = F.col("d.order_id") == F.col("i.id")
+    pairs = to_compare(details, headers_again, lines_again, those=False).alias("d").join(once.alias("i"), on)
+    alone = wide_of_pairs(pairs.where(_near()))
+    return alone.unionByName(order_wide(infos.join(their_orders, "id", "left_semi"), compared))
+
+
 def wide_of_pairs(pairs: DataFrame, info_schema: T.StructType = ORDER_INFO_WIDE) -> DataFrame:
     """Lay lines (``d``) over headers (``i``), so a line's creation time wins even when NULL."""
     fixed = {"detail_id": F.col("d.id"), "order_id": F.col("i.id")}

@@ -105,12 +105,24 @@ def _dims(spark: SparkSession, sf: str, path: str) -> None:
 
 @_store
 def _order_info(spark: SparkSession, sf: str, path: str) -> None:
-    samples.order_info(spark, sf).repartition(PIECES).write.parquet(path)
+    samples.order_info(spark, sf, PIECES).write.parquet(path)
 
 
 @_store
 def _order_detail(spark: SparkSession, sf: str, path: str) -> None:
-    samples.order_detail(spark, sf).repartition(PIECES).write.parquet(path)
+    samples.order_detail(spark, sf, PIECES).write.parquet(path)
+
+
+@_store
+def _order_repeats(spark: SparkSession, sf: str, path: str) -> None:
+    """Ids of headers and of lines that come more than once, the lines they concern, and those lines' orders."""
+    details = order_detail(spark, sf)
+    for name, rows in (("headers", order_info(spark, sf)), ("lines", details)):
+        orders.repeated(rows).write.parquet(f"{path}/{name}")
+    headers, lines = (spark.read.schema("id LONG").parquet(f"{path}/{name}") for name in ("headers", "lines"))
+    orders.to_compare(details, headers, lines).write.parquet(f"{path}/compared")
+    compared = spark.read.schema(ORDER_DETAIL).parquet(f"{path}/compared")
+    compared.select(F.col("order_id").alias("id")).distinct().write.parquet(f"{path}/orders")
 
 
 @_store
@@ -134,7 +146,7 @@ def _dau_docs(spark: SparkSession, sf: str, path: str) -> None:
 @_store
 def _order_docs(spark: SparkSession, sf: str, path: str) -> None:
     docs = order_wide(spark, sf).withColumn("dt", F.col("create_date")).select(*ORDER_WIDE_STORED.names)
-    upsert(docs, path, "detail_id", "dt", "orders-0", order=("create_time",))
+    upsert(docs, path, "detail_id", "dt", "orders-0", order=("create_time",), unique=True)
 
 
 @_store
@@ -158,7 +170,10 @@ def order_wide(spark: SparkSession, sf: str) -> DataFrame:
     """The order documents, computed from headers and lines."""
     users, provinces = samples.user_info(spark, sf), samples.base_province(spark, sf)
     infos = orders.order_info_wide(order_info(spark, sf), users, provinces, samples.AS_OF)
-    return orders.order_wide(infos, order_detail(spark, sf))
+    path = path_of(spark, sf, "order_repeats")
+    headers, lines, their_orders = (spark.read.schema("id LONG").parquet(f"{path}/{name}") for name in ("headers", "lines", "orders"))
+    compared = spark.read.schema(ORDER_DETAIL).parquet(f"{path}/compared")
+    return orders.order_wide_apart(infos, order_detail(spark, sf), headers, lines, compared, their_orders)
 
 
 def lookups(spark: SparkSession, sf: str):

@@ -10,8 +10,9 @@ batches. ``compact`` folds a partition's batches into one.
 
 from __future__ import annotations
 
+import contextlib
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,8 @@ _SEQ, _BATCH, _VERSION, _BUCKET = "_seq", "_batch", "_version", "_bucket"
 #: A file of this name in a batch's folder says that the batch has been folded, and when.
 _FOLDED = "_folded-"
 _LATEST = [_VERSION, _SEQ]
+#: Folders that a task may write side by side; with more it sorts what is left by folder.
+OPEN_FOLDERS = 16
 
 
 def upsert(
@@ -37,15 +40,17 @@ def upsert(
     version: Sequence[str] = (),
     keep: Sequence[str] | None = None,
     buckets: int = 0,
+    unique: bool = False,
 ) -> None:
     """Write one batch of documents. Within it, the greatest row by ``order`` stands for its key.
 
     ``version`` names the columns that rank a key's rows across batches, in
     their order; without it the latest batch wins. ``keep`` narrows what is stored;
-    ``buckets`` files it by parts of the keys as well.
+    ``buckets`` files it by parts of the keys as well. ``unique`` says that the batch has one row of each key already,
+    as what ``order_wide`` or ``read_current`` returns: it is then written as it is, with no shuffle.
     A failed write fails the batch, so nothing after it is committed.
     """
-    one = pick_one(docs, [part, key], list(order or version), latest=True)
+    one = docs if unique else pick_one(docs, [part, key], list(order or version), latest=True)
     ranked = one.withColumn(_VERSION, _version_text(one, version))
     rows = ranked if keep is None else ranked.select(*keep, _VERSION)
     stamped = rows.withColumn(_SEQ, F.lit(seq if seq is not None else time.time_ns())).withColumn(_BATCH, F.lit(batch))
@@ -57,7 +62,20 @@ def _write(rows: DataFrame, path: str, key: str, part: str, buckets: int) -> Non
     levels = [part, _BUCKET, _BATCH] if buckets else [part, _BATCH]
     if buckets:
         rows = rows.withColumn(_BUCKET, bucket_of(F.col(key), buckets)).repartition(part, _BUCKET)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
+    with _side_by_side(rows.sparkSession, 0 if buckets else OPEN_FOLDERS):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
+
+
+@contextlib.contextmanager
+def _side_by_side(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Let a task hold that many folders open, so that its rows, wide and many, need no sort by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(folders))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -127,6 +145,7 @@ def read_current(
     only: DataFrame | None = None,
     values: Sequence[str] | None = None,
     buckets: int = 0,
+    plain: bool = False,
 ) -> DataFrame:
     """The current document of every key. A filter on ``part`` prunes folders; ``values`` names them beforehand.
 
@@ -134,8 +153,17 @@ def read_current(
     come along. ``only`` (one column, named as the key) narrows the keys before
     the latest row is looked for, so a batch asks for its own keys alone; with
     ``buckets`` (as the table was written) only folders that may have them are
-    opened. At most that many short names reach the driver.
+    opened. At most that many short names reach the driver. ``plain``, over whole tables:
+    a partition that holds one batch is scanned as it is, as in ``read_days``.
     """
+    if plain and only is None and values is None and (alone := _of_one_batch(spark, path, part)):
+        names = schema.names if columns is None else [part, key, *(c for c in columns if c not in (part, key))]
+        scanned = _of_folders(spark, path, schema, part, list(alone.values())).select(*names)
+        others = [spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={v}") for v in parts_of(spark, path, part) if v not in alone]
+        if not others:
+            return scanned
+        rows = _of_folders(spark, path, schema, part, others).select(*names, _SEQ, _VERSION)
+        return scanned.unionByName(pick_one(rows, [part, key], _LATEST, latest=True).select(*names))
     wanted = [part, key, *(c for c in (columns or schema.names) if c not in (part, key))]
     asked = None
     if only is not None and buckets and values is not None:
@@ -213,6 +241,17 @@ def parts_of(spark: SparkSession, path: str, part: str) -> list[str]:
     return sorted(n.removeprefix(f"{part}=") for n in names if n.startswith(f"{part}="))
 
 
+def _of_one_batch(spark: SparkSession, path: str, part: str) -> dict:
+    """The partitions that hold one batch, not cut into buckets, and its folder: one listing a partition."""
+    found = {}
+    for value in parts_of(spark, path, part):
+        top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
+        inside = [s.getPath() for s in _files(spark, top).listStatus(top)]
+        if len(inside) == 1 and inside[0].getName().startswith(f"{_BATCH}="):
+            found[value] = inside[0]
+    return found
+
+
 def _batches(spark: SparkSession, path: str, part: str, value: str, buckets: Sequence[str] | None = None) -> list:
     """The folders of the batches that are not folded yet; none where the partition does not exist."""
     return [folder for folder, folded in _all_batches(spark, path, part, value, buckets) if folded is None]

@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, pieces: int | None) -> DataFrame:
+    """Deal rows to ``pieces`` tasks by their content: dealing them in turn sorts each task's rows first, to be repeatable."""
+    return rows.repartition(pieces, *rows.columns) if pieces else rows
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -198,10 +203,12 @@ def _time_text(second: Column) -> Column:
     return F.date_format(F.timestamp_seconds(second), "yyyy-MM-dd HH:mm:ss")
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_info(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
+    """Order headers, computed in ``pieces`` tasks: what is read is dealt out, not what is made of it."""
     key = F.col("o_orderkey")
     zero, no_text = F.lit(0.0), F.lit(None).cast("string")
-    return table(spark, sf_dir, "orders").select(
+    read = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return _spread(read, pieces).select(
         key.alias("id"),
         (key % 25).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -219,9 +226,10 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines. The id is a digest of the line, so equal lines are one line sent twice."""
-    line, key = table(spark, sf_dir, "lineitem"), F.col("l_orderkey")
+def order_detail(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
+    """Order lines, computed in ``pieces`` tasks. The id is a digest of the line, so equal lines are one line sent twice."""
+    read = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_shipdate".split()
+    line, key = _spread(table(spark, sf_dir, "lineitem").select(*read), pieces), F.col("l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_name")
 
     def cents(name: str) -> Column:
