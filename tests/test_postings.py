@@ -84,3 +84,11 @@ def test_pages_after_a_cursor_are_the_numbered_pages(spark, sf_dir):
     assert reports.detail_after(docs, "nosuch", DAY).isEmpty() and reports.detail_after(docs, "plate", "2024-03-01").isEmpty()
     with pytest.raises(ValueError):
         reports.detail_after(docs, "plate", DAY, page_size=-1)
+
+
+def test_terms_are_counted_without_a_shuffle(spark):
+    rows = [(1, "d1", ["red", "plate", "red"], 3), (2, "d1", [], 0), (None, "d2", ["red"], 1)]
+    named = spark.createDataFrame(rows, "detail_id LONG, dt STRING, terms ARRAY<STRING>, length LONG")
+    found = postings.counted(named)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {("d1", "red", 1, 2, 3), ("d1", "plate", 1, 1, 3), ("d2", "red", None, 1, 1)}

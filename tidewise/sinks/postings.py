@@ -29,9 +29,7 @@ def add_days(docs: DataFrame, path: str, cjk: bool = False) -> None:
     spark, run = docs.sparkSession, str(time.time_ns())
     named = docs.where(F.col("sku_name").isNotNull()).select("dt", "detail_id", tokens(F.col("sku_name"), cjk).alias("terms"))
     named = named.withColumn("length", F.size("terms").cast("long"))
-    counted = named.select("dt", "detail_id", "length", F.explode("terms").alias("term"))
-    counted = counted.groupBy("dt", "term", "detail_id").agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
-    filed = counted.withColumn("_bucket", bucket_of(F.col("term"), BUCKETS)).withColumn("_run", F.lit(run))
+    filed = counted(named).withColumn("_bucket", bucket_of(F.col("term"), BUCKETS)).withColumn("_run", F.lit(run))
     slice_ = F.pmod(F.xxhash64("detail_id"), F.lit(SLICES))
     ordered = filed.repartition("dt", "_bucket", slice_).sortWithinPartitions("dt", "_bucket", "term", "detail_id")
     ordered.write.mode("append").partitionBy("dt", "_run", "_bucket").parquet(f"{path}/postings")
@@ -46,6 +44,17 @@ def add_days(docs: DataFrame, path: str, cjk: bool = False) -> None:
             files.delete(old, True)
 
 
+def counted(named: DataFrame) -> DataFrame:
+    """(dt, term, detail_id, tf, length) of documents with their ``terms``.
+
+    A document is one row, so its terms are counted within it: grouping would hold every posting and send it twice.
+    """
+    times = F.transform(
+        F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.size(F.filter("terms", lambda u: u == t)).cast("long").alias("tf"))
+    )
+    return named.select("dt", "detail_id", "length", F.inline(times)).select("dt", "term", "detail_id", "tf", "length")
+
+
 def of_terms(spark: SparkSession, path: str, day: str, terms: Sequence[str]) -> DataFrame:
     """The day's postings of some terms, from their folders alone."""
     held = stats(spark, path, day).first()
