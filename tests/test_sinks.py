@@ -6,6 +6,7 @@ from tidewise.schemas import TABLE_LIST
 from tidewise.sinks import topics, upsert as table
 from tidewise.sources import topics as source
 from tidewise.sources.tables import table_lists
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DOC = T.StructType().add("id", "long").add("v", "string").add("n", "long").add("dt", "string")
@@ -212,3 +213,17 @@ def test_readers_and_writers_go_on_during_compactions(spark, write):
     assert current(spark, path) == expected
     table.compact(spark, path, DOC, "id", "dt", "d")
     assert current(spark, path) == expected and len([f for f in os.listdir(f"{path}/dt=d") if f.startswith("_batch")]) == 1
+
+
+def test_whole_tables_of_one_batch_a_day_need_no_shuffle(spark, write, tmp_path):
+    path, put = write
+    put([(1, "a", 1, "d1"), (1, "b", 2, "d1"), (2, "c", 1, "d2")], "q-0")
+    current = table.read_current(spark, path, DOC, "id", "dt", plain=True)
+    assert "Exchange" not in current._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.v, r.dt) for r in current.collect()) == [(1, "b", "d1"), (2, "c", "d2")]
+    copy = f"{tmp_path}/copy"
+    table.upsert(current, copy, "id", "dt", "c-0", unique=True)
+    table.upsert(current.where("id = 1").withColumn("v", F.lit("z")), copy, "id", "dt", "c-1", unique=True)
+    again = table.read_current(spark, copy, DOC, "id", "dt", plain=True)
+    assert sorted((r.id, r.v, r.dt) for r in again.collect()) == [(1, "z", "d1"), (2, "c", "d2")]
+    assert again.columns == table.read_current(spark, copy, DOC, "id", "dt").columns

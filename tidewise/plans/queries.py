@@ -544,10 +544,10 @@ def sink_upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     utc(spark)
     path = scratch_dir(spark, "order-docs")
     stored = landing.path_of(spark, sf, "order_docs")
-    docs = table.read_current(spark, stored, ORDER_WIDE_STORED, "detail_id", "dt")
+    docs = table.read_current(spark, stored, ORDER_WIDE_STORED, "detail_id", "dt", plain=True)
     later = docs.where(F.col("order_id") % 2 == 0).withColumn("order_status", F.lit("Z"))
     for rows, batch in ((docs, "orders-0"), (docs, "orders-0"), (later, "orders-1")):
-        table.upsert(rows, path, "detail_id", "dt", batch, order=("create_time",))
+        table.upsert(rows, path, "detail_id", "dt", batch, order=("create_time",), unique=True)
     current = table.read_current(
         spark, path, ORDER_WIDE_STORED, "detail_id", "dt", columns=["order_id", "order_status", "split_total_amount"]
     )
