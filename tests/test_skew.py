@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewise.functions.rows import pick_one
 from tidewise.operators import dau, dims, orders
+from tidewise.plans import landing
 from tidewise.schemas import ORDER_DETAIL, ORDER_INFO_WIDE
 from tidewise.sources import samples
 from tidewise.streaming.state import thin
@@ -156,6 +157,23 @@ def test_documents_are_compared_only_where_a_line_or_header_comes_again(spark, t
     assert apart.exceptAll(whole).count() == 0
 
 
+def test_a_user_of_two_rows_makes_no_second_document(spark, tmp_path):
+    rows = {
+        "customer": ("c_custkey LONG", [(1,), (1,), (2,)]),
+        "nation": ("n_nationkey INT, n_name STRING", [(n, "N") for n in range(25)]),
+        "orders": ("o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE", [(1, 1, "O", 2.0), (2, 2, "O", 3.0)]),
+        "part": ("p_partkey LONG, p_retailprice DOUBLE, p_name STRING", [(1, 1.0, "red plate")]),
+        "lineitem": (
+            "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ",
+            [(o, 1, 1, n, 1.0, 1.0, None) for o in (1, 2) for n in (1, 2)],
+        ),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = landing.order_wide(spark, str(tmp_path)).select("detail_id", "order_id").collect()
+    assert len(docs) == 4 and len({d.detail_id for d in docs}) == 4
+
+
 def test_landed_orders_are_dealt_without_a_sort(spark, sf_dir):
     for rows in (samples.order_info(spark, sf_dir, 8), samples.order_detail(spark, sf_dir, 8)):
         plan = rows._jdf.queryExecution().executedPlan().toString()

@@ -117,7 +117,7 @@ def _order_detail(spark: SparkSession, sf: str, path: str) -> None:
 def _order_repeats(spark: SparkSession, sf: str, path: str) -> None:
     """Ids of headers and of lines that come more than once, the lines they concern, and those lines' orders."""
     details = order_detail(spark, sf)
-    for name, rows in (("headers", order_info(spark, sf)), ("lines", details)):
+    for name, rows in (("headers", _headers(spark, sf)), ("lines", details)):
         orders.repeated(rows).write.parquet(f"{path}/{name}")
     headers, lines = (spark.read.schema("id LONG").parquet(f"{path}/{name}") for name in ("headers", "lines"))
     orders.to_compare(details, headers, lines).write.parquet(f"{path}/compared")
@@ -166,10 +166,15 @@ def order_detail(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(ORDER_DETAIL).parquet(path_of(spark, sf, "order_detail"))
 
 
+def _headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Order headers with user and province. A user of several rows makes several of a header."""
+    users, provinces = samples.user_info(spark, sf), samples.base_province(spark, sf)
+    return orders.order_info_wide(order_info(spark, sf), users, provinces, samples.AS_OF)
+
+
 def order_wide(spark: SparkSession, sf: str) -> DataFrame:
     """The order documents, computed from headers and lines."""
-    users, provinces = samples.user_info(spark, sf), samples.base_province(spark, sf)
-    infos = orders.order_info_wide(order_info(spark, sf), users, provinces, samples.AS_OF)
+    infos = _headers(spark, sf)
     path = path_of(spark, sf, "order_repeats")
     headers, lines, their_orders = (spark.read.schema("id LONG").parquet(f"{path}/{name}") for name in ("headers", "lines", "orders"))
     compared = spark.read.schema(ORDER_DETAIL).parquet(f"{path}/compared")
