@@ -354,3 +354,17 @@ def test_batches_that_leave_nothing(streams, tmp_path):
     push(streams, f"{root}/o/detail", line(21, 2, "2024-01-02 12:00:00"), at="2024-01-02 12:00:00")
     orders_root = f"{root}/o"
     assert run_orders(streams, orders_root) == {}
+
+
+def test_a_large_landed_file_is_read_by_several_tasks(streams, tmp_path):
+    """Its row groups are small and a task takes some of them, so what one task reads does not grow with the topic."""
+    import pyarrow.parquet as pq
+
+    from tidewise.sources.topics import land
+
+    noise = F.concat(*[F.sha2(F.concat("id", F.lit(n)), 512) for n in range(4)])
+    rows = streams.range(150_000).select(F.col("id").alias("key"), noise.alias("value"), F.col("id").alias("offset"), F.current_timestamp().alias("timestamp"))
+    land(rows, "t", f"{tmp_path}/t", pieces=1)
+    (file,) = [f for f in (tmp_path / "t").glob("*.parquet") if f.stat().st_size > 1_000_000]
+    assert pq.ParquetFile(file).num_row_groups > 1
+    assert streams.conf.get("spark.sql.files.maxPartitionBytes") == "32m"

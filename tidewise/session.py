@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # One store per join partition instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
+    # A landed file is read by as many tasks as its size asks for, however few files a topic came in.
+    "spark.sql.files.maxPartitionBytes": "32m",
     # De-duplication and inner joins emit nothing when state expires, so a batch
     # without input would only evict; the next one with input does that too.
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from ..schemas import TOPIC_RECORD
 
 
+#: Bytes of messages, not yet compressed, that a landed file holds in one piece: what a task reads at least.
+ROW_GROUP = 32 << 20
+
+
 def starting_offsets(positions: Mapping[tuple[str, int], int]) -> str:
     """Stored positions, (topic, partition) -> next offset, as the option Spark takes."""
     topics: dict[str, dict[str, int]] = {}
@@ -77,4 +81,5 @@ def land(messages: DataFrame, topic: str, path: str, mode: str = "append", piece
         F.col("offset").cast("bigint").alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
     )
-    (records.repartition(pieces) if pieces else records).write.mode(mode).parquet(path)
+    dealt = records.repartition(pieces, *records.columns) if pieces else records
+    dealt.write.mode(mode).option("compression", "zstd").option("parquet.block.size", str(ROW_GROUP)).parquet(path)
