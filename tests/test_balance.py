@@ -1,5 +1,7 @@
 """The kept account of records: what it takes from progress, replays, and that it adds up."""
 
+from pyspark.sql import functions as F
+
 from tidewise.operators import cdc, logs
 from tidewise.schemas import RAW_CDC_TOPIC
 from tidewise.sources import samples
@@ -44,6 +46,31 @@ def test_each_record_has_one_fate(spark):
     assert counts == {"records": 6, "corrupt": 2, "no_change": 1, "unlisted": 1}
 
 
+def test_topics_are_made_in_many_tasks_however_few_read(spark, sf_dir):
+    """What is read is dealt out before messages are made of it, and the messages are the same."""
+    for records in (samples.raw_log_records, samples.cdc_records):
+        dealt, whole = records(spark, sf_dir, 6), records(spark, sf_dir)
+        assert dealt.rdd.getNumPartitions() == 6
+        plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("RepartitionByExpression")
+        assert "StructsToJson" in above and "StructsToJson" not in below
+        assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+
+
+def test_a_batch_of_few_files_is_read_by_many_tasks(spark, sf_dir, tmp_path):
+    """A landed file of some MB has pieces enough for the tasks of a batch."""
+    import pyarrow.parquet as pq
+
+    records = samples.cdc_records(spark, sf_dir)
+    many = records.crossJoin(spark.range(32).select("id")).drop("id").withColumn("timestamp", F.current_timestamp())
+    wide = many.withColumn("value", F.concat("value", *[F.sha2(F.concat("offset", F.rand()), 512) for _ in range(4)]))
+    land(wide, RAW_CDC_TOPIC, f"{tmp_path}/t", pieces=1)
+    (file,) = [f for f in (tmp_path / "t").glob("*.parquet")]
+    of = pq.ParquetFile(file).metadata
+    assert of.num_row_groups > 1
+    assert max(of.row_group(i).total_byte_size for i in range(of.num_row_groups)) < 24 << 20
+
+
 def test_the_command_line_keeps_the_account(spark, tmp_path):
     store = str(tmp_path)
     samples.table_lists(spark).write.parquet(f"{store}/lists")

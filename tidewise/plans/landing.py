@@ -66,13 +66,13 @@ def _store(build: Builder) -> Builder:
 
 @_store
 def _raw_log(spark: SparkSession, sf: str, path: str) -> None:
-    land(samples.raw_log_records(spark, sf), RAW_LOG_TOPIC, path, pieces=PIECES)
+    land(samples.raw_log_records(spark, sf, PIECES), RAW_LOG_TOPIC, path)
 
 
 @_store
 def _cdc(spark: SparkSession, sf: str, path: str) -> None:
-    records = samples.cdc_records(spark, sf)
-    land(records.withColumn("timestamp", F.timestamp_seconds(F.lit(samples.EPOCH))), RAW_CDC_TOPIC, path, pieces=PIECES)
+    records = samples.cdc_records(spark, sf, PIECES)
+    land(records.withColumn("timestamp", F.timestamp_seconds(F.lit(samples.EPOCH))), RAW_CDC_TOPIC, path)
 
 
 @_store

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +41,10 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
-def raw_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key, value, offset, timestamp): one application log per event."""
-    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+def raw_log_records(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
+    """(key, value, offset, timestamp): one application log per event, computed in ``pieces`` tasks."""
+    read = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    e = _spread(read, pieces).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     u, k, event = F.col("user_id"), F.col("k"), F.col("event_id")
     kind = F.col("event_type")
     moment = F.col("ts").cast("timestamp")
@@ -127,42 +130,46 @@ def raw_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(mid.alias("key"), value.alias("value"), event.alias("offset"), moment.alias("timestamp"))
 
 
-def _change(table_name: str, key: Column, version: Column, *data: Column) -> list[Column]:
+def cdc_records(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
+    """(key, value, offset): change records of five tables; every tenth user has three versions. Computed in ``pieces`` tasks."""
+    once = F.lit(0).cast("bigint")
+
+    def rows(label: str, source: str, key: str, version: Column = once, **data: str) -> DataFrame:
+        known = [F.col(data[c]) if c in data else F.lit(None) for c in ("user_id", "total_amount", "name")]
+        of = [c.cast(t).alias(n) for c, t, n in zip(known, ("bigint", "double", "string"), ("user_id", "total_amount", "name"))]
+        return table(spark, sf_dir, source).select(F.lit(label).alias("table"), F.col(key).cast("bigint").alias("key"), version.alias("n"), *of)
+
+    versions = F.when(F.col("c_custkey") % 10 == 0, F.sequence(once, F.lit(2).cast("bigint"))).otherwise(F.array(once))
+    parts = [
+        rows("order_info", "orders", "o_orderkey", user_id="o_custkey", total_amount="o_totalprice"),
+        rows("user_info", "customer", "c_custkey", F.explode(versions)),
+        rows("base_province", "nation", "n_nationkey", name="n_name"),
+        rows("comment_info", "region", "r_regionkey", name="r_name"),
+        rows("sku_info", "part", "p_partkey", name="p_name"),
+    ]
+    key, version, user = F.col("key"), F.col("n"), F.col("table") == "user_info"
+    user_name = F.concat(F.lit("u"), _text(key), F.lit("_v"), _text(version))
     kind = F.element_at(F.array(*[F.lit(t) for t in CHANGE_TYPES]), ((key + version) % 6 + 1).cast("int"))
+    # A field that a table does not have is NULL, which JSON leaves out.
+    data = F.struct(
+        key.alias("id"),
+        "user_id",
+        "total_amount",
+        F.when(user, user_name).otherwise(F.col("name")).alias("name"),
+        F.when(user, _gender(key)).alias("gender"),
+        F.when(user, _birthday(key)).alias("birthday"),
+    )
     value = F.to_json(
         F.struct(
             F.lit("shop").alias("database"),
-            F.lit(table_name).alias("table"),
+            F.col("table"),
             kind.alias("type"),
             (F.lit(EPOCH).cast("bigint") + version).alias("ts"),
-            F.struct(key.alias("id"), *data).alias("data"),
+            data.alias("data"),
         )
     )
-    return [_text(key).alias("key"), value.alias("value"), (key * 3 + version).alias("offset")]
-
-
-def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key, value, offset): change records of five tables; every tenth user has three versions."""
-    once = F.lit(0).cast("bigint")
-    version = F.col("n")
-    key = F.col("c_custkey")
-    versions = F.when(key % 10 == 0, F.sequence(once, F.lit(2).cast("bigint"))).otherwise(F.array(once))
-    customers = table(spark, sf_dir, "customer").withColumn("n", F.explode(versions))
-    name = F.concat(F.lit("u"), _text(key), F.lit("_v"), _text(version)).alias("name")
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    parts = [
-        table(spark, sf_dir, "orders").select(
-            *_change("order_info", F.col("o_orderkey"), once, F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("total_amount"))
-        ),
-        customers.select(*_change("user_info", key, version, name, _gender(key).alias("gender"), _birthday(key).alias("birthday"))),
-        nation.select(*_change("base_province", F.col("n_nationkey").cast("bigint"), once, F.col("n_name").alias("name"))),
-        region.select(*_change("comment_info", F.col("r_regionkey").cast("bigint"), once, F.col("r_name").alias("name"))),
-        table(spark, sf_dir, "part").select(*_change("sku_info", F.col("p_partkey"), once, F.col("p_name").alias("name"))),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    dealt = _spread(reduce(DataFrame.unionByName, parts), pieces)
+    return dealt.select(_text(key).alias("key"), value.alias("value"), (key * 3 + version).alias("offset"))
 
 
 def table_lists(spark: SparkSession) -> DataFrame:

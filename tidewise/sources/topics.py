@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..schemas import TOPIC_RECORD
 
 
-#: Bytes of messages, not yet compressed, that a landed file holds in one piece: what a task reads at least.
-ROW_GROUP = 32 << 20
+#: Bytes of messages, not yet compressed, that a landed file holds in one piece: what a task reads at least. A batch of
+#: a few files is read by as many tasks as it has pieces.
+ROW_GROUP = 8 << 20
 
 
 def starting_offsets(positions: Mapping[tuple[str, int], int]) -> str:

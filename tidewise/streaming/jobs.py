@@ -96,7 +96,8 @@ def cdc_route(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = cdc.parse_cdc(batch).persist()
+        # Held while four outputs are made of it: only what they need of a record.
+        parsed = cdc.parse_cdc(batch).select("offset", "table", "type", "ts", "data", "_corrupt").persist()
         try:
             changed = cdc.changes(parsed)
             current = lists(batch.sparkSession)
