@@ -368,3 +368,19 @@ def test_a_large_landed_file_is_read_by_several_tasks(streams, tmp_path):
     (file,) = [f for f in (tmp_path / "t").glob("*.parquet") if f.stat().st_size > 1_000_000]
     assert pq.ParquetFile(file).num_row_groups > 1
     assert streams.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+
+
+def test_an_order_batch_leaves_no_shuffle_files_and_packed_state(spark, streams, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = blocks.getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    root, noon, before = str(tmp_path), "2024-01-02 12:00:00", shuffles()
+    push(streams, f"{root}/info", *[head(n, noon) for n in range(50)])
+    push(streams, f"{root}/detail", *[line(100 + n, n, noon) for n in range(50)], at=noon)
+    assert len(run_orders(streams, root)) == 50
+    assert not shuffles() - before
+    logs_of_state = list((tmp_path / "cp" / "state").rglob("*.changelog"))
+    assert logs_of_state and {file.read_bytes()[:4] for file in logs_of_state} == {b"\x28\xb5\x2f\xfd"}  # zstd

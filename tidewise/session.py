@@ -21,6 +21,12 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # One store per join partition instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
+    # State and its change log hold every row of some days: packed, in blocks large enough to pack well.
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "64",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    # A batch's shuffle files go with it, not when the driver happens to collect garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # A landed file is read by as many tasks as its size asks for, however few files a topic came in.
     "spark.sql.files.maxPartitionBytes": "32m",
     # De-duplication and inner joins emit nothing when state expires, so a batch
