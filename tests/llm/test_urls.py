@@ -1,5 +1,10 @@
 """URL parts, rules and templates; the whole query is compared with its SQL in test_mixing.py."""
 
+import random
+from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
+
 from pyspark.sql import functions as F
 
 from tidewise.llm import urls
@@ -36,6 +41,51 @@ def test_variable_segments_become_wildcards(spark):
     assert {r.template for r in found} == {"/item/*/view", "/about/us", "/about/them", "/x"}
 
 
+def leaf_scans(df):
+    return df._jdf.queryExecution().analyzed().collectLeaves().size()
+
+
+def plain_templates(rows):
+    """The template of every (host, shape): level by level in plain Python."""
+    template = {(h, s): "" for h, s, _ in rows}
+    for depth in range(urls.DEPTH + 1):
+        kinds, pages = defaultdict(set), defaultdict(int)
+        below = [(h, s, n, s.split("/")[depth]) for h, s, n in rows if len(s.split("/")) > depth]
+        for h, s, n, x in below:
+            kinds[h, template[h, s]].add(x)
+            pages[h, template[h, s]] += n
+        wild = {k for k, v in kinds.items() if len(v) >= urls.KINDS and len(v) >= urls.RARE * pages[k]}
+        for h, s, _, x in below:
+            at = template[h, s]
+            template[h, s] = f"{at}/{'*' if (h, at) in wild and x != '**' else x}"
+    return template
+
+
+def test_plan_of_deep_templates_does_not_double_by_level(spark):
+    random.seed(5)
+    shapes = {("h", "/".join([f"a{i % 2}", f"n{i}", f"b{i % 3}", "c", f"m{i // 2}", "d", "**"][: 1 + i % 7])) for i in range(400)}
+    shapes |= {("g", f"x/{i % 5}/y/{i}") for i in range(60)} | {("g", ""), ("e", ""), ("h", "a0//n")}
+    rows = [(h, s, random.choice([1, 1, 1, 2])) for h, s in sorted(shapes)]
+    found = urls.templates(spark.createDataFrame(rows, "host string, shape string, n long"))
+    assert {(r.host, r.shape): r.template for r in found.collect()} == plain_templates(rows)
+    assert len({r.template.count("*") for r in found.collect()}) > 2
+    assert leaf_scans(found) == 1
+    # Of the levels' tables only the last one stays.
+    root = Path(urlparse(found.inputFiles()[0]).path).parents[1]
+    before = set(root.glob("url-templates-*"))
+    urls.templates(spark.createDataFrame(rows, "host string, shape string, n long"))
+    assert len(set(root.glob("url-templates-*")) - before) == 1
+
+
+def test_no_job_has_a_plan_that_doubles_by_level(spark, monkeypatch):
+    scans, write = [], urls.stored
+    monkeypatch.setattr(urls, "stored", lambda df, *a: scans.append(leaf_scans(df)) or write(df, *a))
+    pages = spark.createDataFrame([(i, f"http://h.org/a/b/c/d/e/f/{i}") for i in range(50)], "page_id long, url string")
+    labels = pages.select("url", F.lit(1).alias("good"))
+    judged = urls.judge(pages, labels, RULES)
+    assert judged.count() == 50 and max([*scans, leaf_scans(judged)]) <= 8
+
+
 def test_shapes(spark):
     paths = ["/a/12/b3.html", "/", "", "/1/2/3/4/5/6/7/8", "/x//y/"]
     df = spark.createDataFrame([(p,) for p in paths], "path string")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import stored
+from .arrays import discard, stored
 
 DEPTH, KINDS, RARE = 6, 20, 0.5
 SIMILAR, PRIOR, THRESHOLD = 1.96, 20.0, 0.5
@@ -59,18 +59,26 @@ def shape(path: Column) -> Column:
 
 
 def templates(shapes: DataFrame) -> DataFrame:
-    """Add ``template`` to rows (host, shape, n, ...), one for each host and shape."""
-    tree = shapes.withColumn("_segments", F.split("shape", "/")).withColumn("template", F.lit(""))
-    for depth in range(DEPTH + 1):
-        tree = tree.withColumn("_next", F.get("_segments", F.lit(depth)))
+    """Add ``template`` to rows (host, shape, n, ...), one for each host and shape.
+
+    Every level reads the one above twice, so each is stored: in one plan they would double it level by level.
+    """
+    segments = F.split("shape", "/")
+    deepest = shapes.agg(F.max(F.size(segments))).first()[0] or 0
+    tree = shapes.withColumn("template", F.lit(""))
+    for depth in range(min(DEPTH + 1, deepest)):
+        above, tree = tree, tree.withColumn("_next", F.get(segments, F.lit(depth)))
         below = tree.where(F.col("_next").isNotNull()).groupBy("host", "template")
         kinds = below.agg(F.countDistinct("_next").alias("kinds"), F.sum("n").alias("pages"))
         wild = kinds.where((F.col("kinds") >= KINDS) & (F.col("kinds") >= RARE * F.col("pages"))).select("host", "template", F.lit(True).alias("_wild"))
         step = F.when(F.col("_wild") & (F.col("_next") != "**"), F.lit("*")).otherwise(F.col("_next"))
         tree = tree.join(wild, ["host", "template"], "left")
         longer = F.concat("template", F.lit("/"), step)
-        tree = tree.withColumn("template", F.when(F.col("_next").isNull(), F.col("template")).otherwise(longer)).drop("_wild")
-    return tree.drop("_segments", "_next")
+        tree = tree.withColumn("template", F.when(F.col("_next").isNull(), F.col("template")).otherwise(longer)).drop("_wild", "_next")
+        tree = stored(tree, "url-templates")
+        if depth:
+            discard(above)
+    return tree
 
 
 def purities(leaves: DataFrame) -> DataFrame:
@@ -113,7 +121,7 @@ def judge(
     told = known.select("host", "shape", F.lit(0).alias("n"), "good", (1 - F.col("good")).alias("bad"))
     sums = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
     shapes = stored(seen.unionByName(told).groupBy("host", "shape").agg(*sums), "url-shapes")
-    tree = stored(templates(shapes), "url-templates")
+    tree = templates(shapes)
     leaves = tree.groupBy("host", "template").agg(*sums[1:])
     named = tree.select("host", "shape", "template").join(purities(stored(leaves, "url-leaves")), ["host", "template"])
     named = stored(named.select("host", F.col("shape").alias("_shape"), "template", "purity"), "url-purities")
