@@ -384,3 +384,31 @@ def test_an_order_batch_leaves_no_shuffle_files_and_packed_state(spark, streams,
     assert not shuffles() - before
     logs_of_state = list((tmp_path / "cp" / "state").rglob("*.changelog"))
     assert logs_of_state and {file.read_bytes()[:4] for file in logs_of_state} == {b"\x28\xb5\x2f\xfd"}  # zstd
+
+
+def test_order_state_is_asked_in_the_order_in_which_it_lies(streams, tmp_path):
+    """Rows come to the order job's state sorted as its store sorts keys, by the shuffle that the state asks for anyway."""
+    import struct
+
+    from tidewise.streaming import state
+
+    root, noon = str(tmp_path), "2024-01-02 12:00:00"
+    push(streams, f"{root}/info", head(1, noon))
+    push(streams, f"{root}/detail", line(11, 1, noon), at=noon)
+    users, provinces = dims(streams)
+    before = streams.conf.getAll
+    query = jobs.order_documents(
+        file_topic(streams, f"{root}/info"), file_topic(streams, f"{root}/detail"), users, provinces, f"{root}/docs", f"{root}/cp", trigger=ONCE
+    )
+    query.awaitTermination()
+    assert streams.conf.getAll == before
+    plan = query._jsq.explainInternal(False).split("StreamingSymmetricHashJoin")[1]
+    first = [text.strip(" :|+-").split(" ")[:2] for text in plan.splitlines()[1:]]
+    steps = [words[1] if words[0].startswith("*") else words[0] for words in first if words[0]]
+    assert steps.count("Exchange") == steps.count("Sort") == 3
+    assert all(steps[i + 1] == "Exchange" for i, step in enumerate(steps) if step == "Sort")
+    ids = [0, 1, 2, 127, 128, 255, 256, 257, 65_536, 1 << 40, (1 << 63) - 1, -1, -256]
+    rows = streams.createDataFrame([(i,) for i in ids], "id LONG").coalesce(1).sortWithinPartitions(state.stored_order(F.col("id")))
+    assert [r.id for r in rows.collect()] == sorted(ids, key=lambda i: struct.pack("<q", i))
+    # No count of a store's rows is kept: it asks for each key once more before it is written.
+    assert {op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]} == {0}

@@ -24,6 +24,8 @@ SETTINGS = {
     # State and its change log hold every row of some days: packed, in blocks large enough to pack well.
     "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
     "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "64",
+    # Counting the rows of a store asks it for each key before it is written.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.sql.streaming.stateStore.compression.codec": "zstd",
     # A batch's shuffle files go with it, not when the driver happens to collect garbage.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",

@@ -258,6 +258,7 @@ def order_documents(
         delay,
         slices,
         keep,
+        in_order=True,
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -273,4 +274,5 @@ def order_documents(
         finally:
             wide.unpersist()
 
-    return _start(pairs, handle, checkpoint, trigger)
+    with state.sorted_batches(pairs.sparkSession):
+        return _start(pairs, handle, checkpoint, trigger)
