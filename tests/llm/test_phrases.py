@@ -103,3 +103,31 @@ def test_sql_against_plain_count():
 
     found = connection.execute(phrases_sql(5, 80, 2000)).fetchall()
     assert sorted(found) == plain(rows, 5)
+
+
+def test_a_reader_of_blocks_holds_few_of_them(spark, monkeypatch):
+    """A file's blocks lie in pieces of some bytes, however much text went into the file: a reader has one piece in memory."""
+    from pathlib import Path
+    from urllib.parse import unquote, urlparse
+
+    import pyarrow.parquet as pq
+
+    from tidewise.llm import arrays
+
+    rng, groups = random.Random(5), []
+    rows = [("en", " ".join(f"w{rng.randrange(3000)}" for _ in range(2000))) for _ in range(40)]
+
+    def watched(df, label, *args, **more):
+        table = arrays.stored(df, label, *args, **more)
+        if label == "phrases-1":
+            for file in table.inputFiles():
+                read = pq.ParquetFile(Path(unquote(urlparse(file).path))).metadata
+                groups.extend(read.row_group(i).num_rows for i in range(read.num_row_groups))
+        return table
+
+    monkeypatch.setattr(arrays, "ROW_GROUP", 1 << 15)
+    monkeypatch.setattr(phrases, "stored", watched)
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found, totals = phrases.frequent_phrases(docs, least=1, longest=1, block_bytes=10_000)
+    assert totals.first().n == 80_000 and found.count() == len({w for _, text in rows for w in text.split(" ")})
+    assert sum(groups) >= 20 and max(groups) <= 4

@@ -19,6 +19,9 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 BATCH_ROWS = 500
 _BATCH, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
+#: Bytes of rows, of about a megabyte each, that a piece of a stored table of such rows holds. A reader has one piece in memory.
+ROW_GROUP = 2 << 20
+
 CHUNK = 1 << 18  # bytes or characters that one round of array work takes
 
 
@@ -111,10 +114,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
-    """Cut the lineage with a table in the folder all executors share."""
+def stored(df: DataFrame, label: str, compression: str | None = None, large_rows: bool = False) -> DataFrame:
+    """Cut the lineage with a table in the folder all executors share.
+
+    ``large_rows`` are written in pieces of ``ROW_GROUP``. By itself the writer looks at its size every hundred rows, and
+    whoever reads then holds a file's rows together, however much went into the file.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path, compression=compression)
+    pieces_of = {"parquet.block.size": str(ROW_GROUP), "parquet.page.size.row.check.min": "1"} if large_rows else {}
+    df.write.options(**pieces_of).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -278,7 +278,7 @@ def frequent_phrases(
     rows = own_session(rows.where("text != ''"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces(total, BUCKET_BYTES)
-    blocks = stored(rows.mapInArrow(lambda it: _scan(it, block_bytes), OCCURRENCES), "phrases-1", "zstd")
+    blocks = stored(rows.mapInArrow(lambda it: _scan(it, block_bytes), OCCURRENCES), "phrases-1", "zstd", large_rows=True)
     counted = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "it")).select("block", "at", "it.*")
     totals = stored(counted.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     words = counted.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
