@@ -222,15 +222,19 @@ def _all_batches(spark: SparkSession, path: str, part: str, value: str, buckets:
         label = name.removeprefix(f"{_BUCKET}=")
         return buckets is not None and label not in buckets and label.split("-")[0] in {b.split("-")[0] for b in buckets}
 
-    level = below(top)
-    batches = [p for p in level if p.getName().startswith(f"{_BATCH}=")]
-    for bucket in (p for p in level if p.getName().startswith(f"{_BUCKET}=") and not other(p.getName())):
-        batches += [p for p in below(bucket) if p.getName().startswith(f"{_BATCH}=")]
-    out = []
-    for batch in batches:
+    def listed() -> list:
+        level = below(top)
+        found = [p for p in level if p.getName().startswith(f"{_BATCH}=")]
+        for bucket in (p for p in level if p.getName().startswith(f"{_BUCKET}=") and not other(p.getName())):
+            found += [p for p in below(bucket) if p.getName().startswith(f"{_BATCH}=")]
+        return found
+
+    folded = {}
+    for batch in listed():
         marks = [p.getName() for p in below(batch) if p.getName().startswith(_FOLDED)]
-        out.append((batch, int(max(marks).removeprefix(_FOLDED)) if marks else None))
-    return out
+        folded[batch.toString()] = int(max(marks).removeprefix(_FOLDED)) if marks else None
+    # Listed again after the marks: what a marked batch was folded into was there before its mark, so it is among these.
+    return [(batch, folded.get(batch.toString())) for batch in listed()]
 
 
 def parts_of(spark: SparkSession, path: str, part: str) -> list[str]:
